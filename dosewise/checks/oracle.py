@@ -28,16 +28,29 @@ def _case(expr: str, mapping: dict, default=None) -> str:
     return f"CASE {expr} {parts}{tail} END"
 
 
-def ratio_round(num: str, den: str, digits: int = 2, scale: int = 0, when_zero: str = "0.0") -> str:
-    """Exact half-away-from-zero rounding of num/den (see semantics.ratio_round)."""
+def sr(num: str, den: str, digits: int = 2, scale: int = 0) -> str:
+    """round(num/den * 10**digits) as an exact integer, NULL if den is 0/NULL."""
     f = 10 ** scale
     p = 10 ** digits
     a = f"CAST(({num}) * {f} AS HUGEINT)"
     bb = f"CAST(({den}) * {f} AS HUGEINT)"
     q = f"((abs({a}) * {2 * p} + abs({bb})) // (abs({bb}) * 2))"
-    signed = f"(CASE WHEN (({a}) < 0) <> (({bb}) < 0) THEN -{q} ELSE {q} END)"
-    return (f"(CASE WHEN ({bb}) IS NULL OR ({bb}) = 0 OR ({a}) IS NULL THEN CAST({when_zero} AS DOUBLE) "
-            f"ELSE CAST({signed} AS DOUBLE) / {float(p)} END)")
+    return (f"CAST(CASE WHEN ({bb}) IS NULL OR ({bb}) = 0 OR ({a}) IS NULL THEN NULL "
+            f"WHEN (({a}) < 0) <> (({bb}) < 0) THEN -{q} ELSE {q} END AS BIGINT)")
+
+
+def ratio_round(num: str, den: str, digits: int = 2, scale: int = 0, when_zero: str = "0.0",
+                when_null: str | None = "same") -> str:
+    """Exact half-away-from-zero rounding of num/den (see semantics.ratio_round)."""
+    p = 10 ** digits
+    nul = when_zero if when_null == "same" else ("NULL" if when_null is None else when_null)
+    return (f"(CASE WHEN ({den}) IS NULL OR ({den}) = 0 THEN CAST({when_zero} AS DOUBLE) "
+            f"WHEN ({num}) IS NULL THEN CAST({nul} AS DOUBLE) "
+            f"ELSE CAST({sr(num, den, digits, scale)} AS DOUBLE) / {float(p)} END)")
+
+
+def upct(num: str, den: str) -> str:
+    return f"(CASE WHEN ({den}) = 0 THEN 0 ELSE {sr(num, den, 2)} END)"
 
 
 def binding_ctes() -> list[str]:
@@ -210,3 +223,395 @@ def psr_t14(ctx: RunContext) -> str:
 FROM grid g LEFT JOIN pm_m m
   ON m.h_id = g.h_id AND m.report_name = g.report_name AND m.species = g.species AND m.wellness_care IS NOT NULL
 GROUP BY g.h_id, g.location_number, g.report_name, g.species""")
+
+
+W = "m.wellness_care IS NOT NULL"
+JOIN_M = "LEFT JOIN pm_m m ON m.h_id = g.h_id AND m.report_name = g.report_name AND m.species = g.species"
+CELLS = "g.h_id, g.location_number, g.report_name, g.species"
+
+
+def _avg10() -> str:
+    n = f"count(DISTINCT CASE WHEN {W} AND m.doses IS NOT NULL THEN m.patient_id END)"
+    return f"(CASE WHEN {n} = 0 THEN 0 ELSE coalesce({sr(f'sum(CASE WHEN {W} THEN m.doses END)', n, 1)}, 0) END)"
+
+
+def psr_t1(ctx: RunContext) -> str:
+    inner = f"""SELECT {CELLS}, g.dose_rec,
+    count(m.patient_id) AS num_pats,
+    count(CASE WHEN m.doses > 0 THEN m.patient_id END) AS pats_prod,
+    count(m.wellness_care) AS pats_well,
+    count(CASE WHEN m.doses > 0 AND {W} THEN m.patient_id END) AS pats_prod_well,
+    {_avg10()} AS avg10,
+    count(CASE WHEN {W} AND m.doses BETWEEN 1 AND m.rec - 1 THEN m.patient_id END) AS partial_pats,
+    CAST(ceil(count(CASE WHEN {W} AND m.doses BETWEEN 1 AND 5 THEN m.patient_id END) * 0.25) AS BIGINT) AS twentyfive_part_prod,
+    CAST(coalesce(ceil(sum(CASE WHEN {W} AND m.doses BETWEEN 1 AND 5 THEN 6 - m.doses END) * 0.25), 0) AS BIGINT) AS twentyfive_part_prod_doses,
+    CAST(ceil(count(CASE WHEN {W} AND m.doses BETWEEN 7 AND 11 THEN m.patient_id END) * 0.10) AS BIGINT) AS ten_part_prod,
+    CAST(coalesce(ceil(sum(CASE WHEN {W} AND m.doses BETWEEN 7 AND 11 THEN 12 - m.doses END) * 0.10), 0) AS BIGINT) AS ten_part_prod_doses,
+    count(CASE WHEN {W} AND m.opp = 0 THEN m.patient_id END) AS fully_protected_pats,
+    CAST(ceil(count(CASE WHEN {W} AND m.doses = 1 THEN m.patient_id END) * 0.8) AS BIGINT) AS eighty_single_pats
+  FROM grid g {JOIN_M}
+  GROUP BY {CELLS}, g.dose_rec"""
+    mid = f"""SELECT *, pats_well - pats_prod_well AS gap,
+    {upct('partial_pats', 'pats_well')} AS pp, {upct('fully_protected_pats', 'pats_well')} AS fp
+  FROM ({inner})"""
+    over = "(fp + pp) > 100"
+    excess = "(100 - (abs(pp) + abs(fp)))"
+    final = f"""SELECT h_id, location_number, report_name, species, {d(ctx.end_date)} AS end_date,
+  num_pats, pats_prod, pats_well, pats_prod_well, gap AS pats_no_prod_well,
+  CAST(dose_rec AS BIGINT) AS dose_rec, avg10 / 10.0 AS avg_doses,
+  coalesce({sr('gap', '10', 0)}, 0) AS ten_unpro,
+  coalesce({sr('gap * avg10', '100', 0)}, 0) AS ten_unpro_doses,
+  coalesce({sr('gap', '4', 0)}, 0) AS twentyfive_unpro,
+  coalesce({sr('gap * avg10', '40', 0)}, 0) AS twentyfive_unpro_doses,
+  partial_pats, twentyfive_part_prod, twentyfive_part_prod_doses, ten_part_prod, ten_part_prod_doses,
+  fully_protected_pats, eighty_single_pats, eighty_single_pats * 2 AS eighty_single_pats_doses,
+  pats_well - (fully_protected_pats + partial_pats) AS unprotected_pats,
+  (CASE WHEN pp > fp AND pp > (100 - (pp + fp)) AND {over} THEN pp + {excess} ELSE pp END) / 100.0 AS partial_pats_pct,
+  (CASE WHEN fp > pp AND fp > (100 - (pp + fp)) AND {over} THEN fp + {excess} ELSE fp END) / 100.0 AS fully_protected_pats_pct,
+  (CASE WHEN {over} THEN (100 - (pp + fp)) - {excess} ELSE (100 - (pp + fp)) END) / 100.0 AS unprotected_pats_pct
+FROM ({mid})"""
+    return with_ctes(psr_pm_cte(ctx), GRID_CTE, final=final)
+
+
+def _bucket(expr: str, cap: int) -> str:
+    return (f"CASE WHEN {expr} >= {cap} THEN '{cap}+' WHEN {expr} IS NULL OR {expr} <= 0 THEN '0' "
+            f"ELSE CAST(CAST({expr} AS BIGINT) AS VARCHAR) END")
+
+
+def _labels(cap: int, zero: bool = True) -> str:
+    vals = ([str(i) for i in range(0 if zero else 1, cap)] + [f"{cap}+"])
+    return "(VALUES " + ", ".join(f"('{v}')" for v in vals) + ") lb(doses)"
+
+
+def psr_t2(ctx: RunContext) -> str:
+    agg = f"""SELECT {CELLS}, {_bucket('m.doses', 12)} AS doses,
+    count(DISTINCT CASE WHEN m.doses > 0 THEN m.patient_id END) AS patients
+  FROM grid g LEFT JOIN pm_m m ON m.h_id = g.h_id AND m.report_name = g.report_name AND m.species = g.species AND {W}
+  GROUP BY {CELLS}, 5"""
+    val = "CASE WHEN d.doses = '0' THEN NULL ELSE CAST(replace(d.doses, '+', '') AS BIGINT) END"
+    final = f"""SELECT d.h_id, d.location_number, d.report_name, d.species, {d(ctx.end_date)} AS end_date,
+  CAST(d.dose_rec AS BIGINT) AS dose_rec, d.doses, CAST(coalesce(a.patients, 0) AS BIGINT) AS patients,
+  CAST(CASE WHEN d.dose_rec - ({val}) < 0 THEN 0 ELSE (d.dose_rec - ({val})) * coalesce(a.patients, 0) END AS BIGINT) AS missed_doses
+FROM (SELECT g.*, lb.doses FROM grid g, {_labels(12)}) d
+LEFT JOIN ({agg}) a ON a.h_id = d.h_id AND a.report_name = d.report_name AND a.species = d.species AND a.doses = d.doses"""
+    return with_ctes(psr_pm_cte(ctx), GRID_CTE, final=final)
+
+
+def psr_t3(ctx: RunContext) -> str:
+    d0 = "coalesce(m.doses, 0)"
+    low = f"{W} AND {d0} BETWEEN 0 AND 5"
+    inner = f"""SELECT {CELLS}, g.dose_rec,
+    count(m.patient_id) AS num_pats,
+    count(m.wellness_care) AS num_pats_wellness,
+    count(CASE WHEN m.doses > 0 AND {W} THEN m.patient_id END) AS pats_prod,
+    {_avg10()} AS avg10,
+    count(CASE WHEN {W} AND m.doses BETWEEN 1 AND m.rec - 1 THEN m.patient_id END) AS partial_pats,
+    CAST(ceil(count(CASE WHEN {low} THEN m.patient_id END) * 0.1) AS BIGINT) AS ten_pats,
+    CAST(ceil(sum(CASE WHEN {low} THEN 6 - {d0} END) * 0.1) AS BIGINT) AS ten_doses,
+    CAST(ceil(count(CASE WHEN {low} THEN m.patient_id END) * 0.25) AS BIGINT) AS twentyfive_pats,
+    CAST(ceil(sum(CASE WHEN {low} THEN 6 - {d0} END) * 0.25) AS BIGINT) AS twentyfive_doses,
+    CAST(ceil(count(CASE WHEN {low} THEN m.patient_id END) * 0.5) AS BIGINT) AS fifty_pats,
+    CAST(ceil(sum(CASE WHEN {low} THEN 6 - {d0} END) * 0.5) AS BIGINT) AS fifty_doses,
+    count(CASE WHEN {W} AND m.opp = 0 THEN m.patient_id END) AS fully_protected_pats
+  FROM grid g LEFT JOIN pm_m m ON m.h_id = g.h_id AND m.report_name = g.report_name AND m.species = g.species AND m.baby = 1
+  GROUP BY {CELLS}, g.dose_rec"""
+    Wn = "num_pats_wellness"
+    final = f"""SELECT h_id, location_number, report_name, species, {d(ctx.end_date)} AS end_date,
+  num_pats, pats_prod, {upct('pats_prod', Wn)} / 100.0 AS pats_prod_pct,
+  {Wn} - pats_prod AS pats_no_prod,
+  CASE WHEN {Wn} = 0 THEN 0.0 ELSE {sr(f'{Wn} - pats_prod', Wn, 2)} / 100.0 END AS pats_no_prod_pct,
+  CAST(dose_rec AS BIGINT) AS dose_rec, avg10 / 10.0 AS avg_doses,
+  partial_pats, {upct('partial_pats', Wn)} / 100.0 AS partial_pats_pct,
+  ten_pats, ten_doses, twentyfive_pats, twentyfive_doses, fifty_pats, fifty_doses,
+  fully_protected_pats, {upct('fully_protected_pats', Wn)} / 100.0 AS fully_protected_pats_pct,
+  {Wn} - (fully_protected_pats + partial_pats) AS unprotected_pats,
+  (100 - ({upct('partial_pats', Wn)} + {upct('fully_protected_pats', Wn)})) / 100.0 AS unprotected_pats_pct,
+  {Wn}
+FROM ({inner})"""
+    return with_ctes(psr_pm_cte(ctx), GRID_CTE, final=final)
+
+
+def psr_t7(ctx: RunContext) -> str:
+    inner = f"""SELECT {CELLS}, g.dose_rec,
+    count(m.patient_id) AS num_pats,
+    count(CASE WHEN m.doses > 0 THEN m.patient_id END) AS pats_prod,
+    count(CASE WHEN {W} THEN m.patient_id END) AS pats_well,
+    count(CASE WHEN m.doses > 0 AND {W} THEN m.patient_id END) AS pats_prod_well,
+    {_avg10()} AS avg10,
+    sum(CASE WHEN {W} THEN m.rev ELSE 0 END) AS w_rev,
+    sum(CASE WHEN {W} THEN m.doses ELSE 0 END) AS w_doses,
+    sum(CASE WHEN {W} THEN m.rev END) AS w_rev_n,
+    count(CASE WHEN {W} AND m.doses BETWEEN 1 AND m.rec - 1 THEN m.patient_id END) AS partial_pats,
+    count(CASE WHEN {W} AND m.opp = 0 THEN m.patient_id END) AS protected_pats
+  FROM grid g {JOIN_M}
+  GROUP BY {CELLS}, g.dose_rec"""
+    mid = f"""SELECT *, pats_well - pats_prod_well AS gap,
+    CASE WHEN coalesce(w_doses, 0) = 0 THEN 0 ELSE coalesce({sr('w_rev', 'w_doses', 2, 6)}, 0) END AS price100
+  FROM ({inner})"""
+    mid2 = f"SELECT *, {sr('gap * avg10', '10', 0)} AS pot_doses, gap * dose_rec AS rec_doses FROM ({mid})"
+    final = f"""SELECT h_id, location_number, report_name, species, {d(ctx.end_date)} AS end_date,
+  num_pats, pats_prod, pats_well, pats_prod_well,
+  {upct('pats_prod_well', 'pats_well')} / 100.0 AS pats_prod_well_pct,
+  gap AS pats_no_prod_well,
+  CASE WHEN pats_well = 0 THEN 0.0 ELSE {sr('gap', 'pats_well', 2)} / 100.0 END AS pats_no_prod_well_pct,
+  CAST(dose_rec AS BIGINT) AS dose_rec, avg10 / 10.0 AS avg_doses, price100 / 100.0 AS avg_price_dose,
+  CAST(coalesce(round(w_rev_n, 0), 0) AS DOUBLE) AS total_rev,
+  pot_doses AS avg_pot_doses,
+  {sr('pot_doses * price100', '100', 0)} AS avg_pot_rev,
+  CAST(rec_doses AS BIGINT) AS rec_doses_pot_doses,
+  {sr('rec_doses * price100', '100', 0)} AS rec_doses_pot_rev,
+  partial_pats, {upct('partial_pats', 'pats_well')} / 100.0 AS partial_pats_pct,
+  protected_pats AS fully_protected_pats, {upct('protected_pats', 'pats_well')} / 100.0 AS fully_protected_pats_pct,
+  pats_well - (partial_pats + protected_pats) AS unprotected_pats,
+  (100 - ({upct('partial_pats', 'pats_well')} + {upct('protected_pats', 'pats_well')})) / 100.0 AS unprotected_pats_pct
+FROM ({mid2})"""
+    return with_ctes(psr_pm_cte(ctx), GRID_CTE, final=final)
+
+
+def psr_t8(ctx: RunContext) -> str:
+    nprod = "((m.doses IS NULL))"
+    inner = f"""SELECT {CELLS}, g.dose_rec,
+    count(m.patient_id) AS num_pats,
+    count(CASE WHEN m.baby IS NOT NULL THEN m.patient_id END) AS num_babies,
+    sum(m.total_rev) AS sum_total_rev,
+    sum(m.visits) AS total_visits,
+    median(m.visits) AS median_visits,
+    sum(m.rev) AS mkt_rev,
+    sum(m.doses) AS sum_doses,
+    sum(m.mkt_visits) AS total_market_trans,
+    count(CASE WHEN {nprod} THEN m.patient_id END) AS pats_no_prod,
+    count(CASE WHEN {nprod} AND m.baby = 1 THEN m.patient_id END) AS babies_no_prod,
+    count(CASE WHEN m.opp = 0 THEN m.patient_id END) AS pats_compliant,
+    count(CASE WHEN m.hw_tests > 0 THEN m.hw_tests END) AS num_pats_hw_test,
+    count(CASE WHEN {nprod} AND m.hw_tests > 0 THEN m.hw_tests END) AS num_pats_hw_test_no_prod
+  FROM grid g LEFT JOIN pm_m m ON m.h_id = g.h_id AND m.report_name = g.report_name AND m.species = g.species AND {W}
+  GROUP BY {CELLS}, g.dose_rec"""
+    rt = "coalesce(round(sum_total_rev, 0), 0)"
+    final = f"""SELECT h_id, location_number, report_name, species, {d(ctx.end_date)} AS end_date,
+  num_pats, num_babies,
+  {ratio_round('sum_total_rev', 'num_pats', 2, 4)} AS avg_rev_pat,
+  CAST(coalesce(total_visits, 0) AS BIGINT) AS total_visits,
+  {ratio_round('sum_total_rev', 'total_visits', 2, 4)} AS avg_rev_visit,
+  CAST(coalesce(round(median_visits, 0), 0) AS DOUBLE) AS median_visits,
+  CAST(coalesce(round(mkt_rev, 0), 0) AS DOUBLE) AS total_market_rev,
+  CAST(coalesce(sum_doses, 0) AS BIGINT) AS total_doses,
+  CAST(coalesce(total_market_trans, 0) AS BIGINT) AS total_market_trans,
+  {ratio_round('coalesce(sum_doses, 0)', 'coalesce(total_market_trans, 0)', 2)} AS avg_doses_trans,
+  CAST(dose_rec AS BIGINT) AS dose_rec,
+  {ratio_round('sum_doses', 'num_pats', 2, when_null=None)} AS avg_doses_pat,
+  pats_no_prod, babies_no_prod, pats_compliant,
+  {ratio_round('pats_compliant', 'num_pats', 2)} AS pct_pats_compliant,
+  CASE WHEN {rt} = 0 THEN 0.0 ELSE {ratio_round('mkt_rev', rt, 2, 6, when_null=None)} END AS market_rev_pct,
+  num_pats_hw_test, num_pats_hw_test_no_prod
+FROM ({inner})"""
+    return with_ctes(psr_pm_cte(ctx), GRID_CTE, final=final)
+
+
+def psr_pm2_cte(ctx: RunContext) -> str:
+    lo, hi = ctx.months_window(-11, 0)
+    return f"""pm2 AS (
+  SELECT p.h_id, p.vi_species_id, pr.family_name,
+    CASE WHEN pr.type = 'f' THEN 'ft' ELSE pr.type END AS type,
+    count(DISTINCT p.patient_id) AS patients,
+    CAST(sum(l.quantity_norm) AS BIGINT) AS doses,
+    sum(CASE WHEN pr.type = 'fh' THEN l.cost * CAST(0.33 AS DECIMAL(3,2)) WHEN pr.type = 'h' THEN l.cost ELSE 0 END) AS hw_rev,
+    sum(CASE WHEN pr.type = 'fh' THEN l.cost * CAST(0.66 AS DECIMAL(3,2)) WHEN pr.type IN ('f','ft') THEN l.cost ELSE 0 END) AS ft_rev
+  FROM lines l
+  JOIN patients p ON p.patient_id = l.patient_id
+  JOIN products pr ON pr.service_id = l.service_id AND pr.type IS NOT NULL
+  JOIN pm ON pm.patient_id = p.patient_id AND pm.h_id = p.h_id AND pm.wellness_care IS NOT NULL
+  WHERE l.invoice_date >= {d(lo)} AND l.invoice_date < {d(hi)} AND NOT l.voided
+    AND p.vi_species_id IN (3, 7) AND l.cost <> 0 AND l.quantity_norm IS NOT NULL AND l.quantity_norm <> 0
+  GROUP BY 1, 2, 3, 4),
+pm2_m AS (
+  SELECT h_id, vi_species_id, CASE WHEN vi_species_id = 3 THEN 'Dog' ELSE 'Cat' END AS species, family_name, type,
+         patients, doses, 'Flea/Tick' AS report_name, ft_rev AS rev FROM pm2 WHERE doses <> 0 AND ft_rev <> 0
+  UNION ALL
+  SELECT h_id, vi_species_id, CASE WHEN vi_species_id = 3 THEN 'Dog' ELSE 'Cat' END, family_name, type,
+         patients, doses, 'Heartworm', hw_rev FROM pm2 WHERE doses <> 0 AND hw_rev <> 0)"""
+
+
+def psr_product_master(ctx: RunContext) -> str:
+    return with_ctes(psr_pm_cte(ctx), psr_pm2_cte(ctx), final="""SELECT h_id, vi_species_id, family_name, type,
+  patients, doses, CAST(hw_rev AS DOUBLE) AS hw_rev, CAST(ft_rev AS DOUBLE) AS ft_rev FROM pm2""")
+
+
+PRIO = "('Frontline', 'Certifect', 'Heartgard', 'Tritak', 'NexGard')"
+PC = "h_id, report_name, species"
+
+
+def _topn(src: str, measure: str, total: str) -> str:
+    """TK1 in SQL over rows (h_id, report_name, species, family_name, measure, total)."""
+    r1 = f"dense_rank() OVER (PARTITION BY {PC} ORDER BY CASE WHEN family_name IN {PRIO} THEN 1 ELSE 2 END, {measure} DESC, family_name)"
+    r2 = f"dense_rank() OVER (PARTITION BY {PC} ORDER BY {measure} DESC, family_name)"
+    ranked = f"""SELECT {PC}, {total}, {measure},
+    CASE WHEN {r1} >= 6 THEN 'Other ' || report_name ELSE family_name END AS fam,
+    least({r1}, 6) AS row_order, least({r2}, 6) AS mrank FROM ({src})"""
+    grouped = f"""SELECT {PC}, fam, sum({measure}) AS {measure}, any_value({total}) AS {total},
+    min(row_order) AS row_order, min(mrank) AS mrank FROM ({ranked}) GROUP BY {PC}, fam"""
+    return f"""SELECT *, CASE WHEN {total} = 0 THEN 0 ELSE {sr(measure, total, 2)} END AS units FROM ({grouped})"""
+
+
+def _reconciled(units: str = "t.units") -> str:
+    s = f"sum({units}) OVER (PARTITION BY t.h_id, t.report_name, t.species)"
+    return f"(CASE WHEN t.mrank = 1 AND {s} <> 100 THEN {units} + (100 - {s}) ELSE {units} END)"
+
+
+def psr_t5(ctx: RunContext) -> str:
+    fam = """SELECT h_id, report_name, species, family_name, qty, total_qty FROM (
+    SELECT h_id, report_name, species, family_name, sum(doses) AS qty,
+           sum(sum(doses)) OVER (PARTITION BY h_id, report_name, species) AS total_qty
+    FROM pm2_m GROUP BY h_id, report_name, species, family_name)"""
+    fam = f"SELECT * FROM ({fam}) WHERE (CASE WHEN total_qty = 0 THEN 0 ELSE {sr('qty', 'total_qty', 2)} END) > 0"
+    t = _topn(fam, "qty", "total_qty")
+    final = f"""SELECT t.h_id, c.location_number, t.report_name, t.species, t.fam AS product_name, t.row_order,
+  {_reconciled()} / 100.0 AS dose_pct, {d(ctx.end_date)} AS end_date
+FROM ({t}) t LEFT JOIN clinics c ON c.h_id = t.h_id"""
+    return with_ctes(psr_pm_cte(ctx), psr_pm2_cte(ctx), final=final)
+
+
+def psr_t6(ctx: RunContext) -> str:
+    t5 = psr_t5(ctx)
+    body5 = t5[t5.index("SELECT t.h_id, c.location_number"):]
+    final = f"""SELECT t5.h_id, t5.location_number, t5.report_name, t5.species, t5.product_name, t5.row_order,
+  {ratio_round('f.qty', 'f.patients', 1)} AS doses_pat, t5.end_date
+FROM ({body5}) t5
+JOIN (SELECT h_id, report_name, species, family_name, sum(doses) AS qty, sum(patients) AS patients
+      FROM pm2_m GROUP BY 1, 2, 3, 4) f
+  ON f.h_id = t5.h_id AND f.report_name = t5.report_name AND f.species = t5.species AND f.family_name = t5.product_name
+WHERE t5.row_order < 6"""
+    return with_ctes(psr_pm_cte(ctx), psr_pm2_cte(ctx), final=final)
+
+
+def psr_t10(ctx: RunContext) -> str:
+    fam = f"""SELECT h_id, report_name, species, family_name,
+      CAST(round(rev_exact, 0) AS BIGINT) AS rev, CAST(round(total_exact, 0) AS BIGINT) AS total_rev,
+      CASE WHEN total_exact = 0 THEN 0 ELSE {sr('rev_exact', 'total_exact', 2, 6)} END AS pct
+    FROM (SELECT h_id, report_name, species, family_name, sum(rev) AS rev_exact,
+                 sum(sum(rev)) OVER (PARTITION BY h_id, report_name, species) AS total_exact
+          FROM pm2_m GROUP BY h_id, report_name, species, family_name)"""
+    fam = f"SELECT * FROM ({fam}) WHERE pct > 0"
+    t = _topn(fam, "rev", "total_rev")
+    final = f"""SELECT t.h_id, c.location_number, t.report_name, t.species, t.fam AS product_name, t.row_order,
+  {_reconciled()} / 100.0 AS rev_pct, {d(ctx.end_date)} AS end_date
+FROM ({t}) t LEFT JOIN clinics c ON c.h_id = t.h_id"""
+    return with_ctes(psr_pm_cte(ctx), psr_pm2_cte(ctx), final=final)
+
+
+def psr_mm_cte(ctx: RunContext) -> str:
+    lo, hi = ctx.months_window(-11, 0)
+    ftype = ("CASE WHEN pr.type IS NOT NULL AND l.cost <> 0 AND l.quantity_norm IS NOT NULL "
+             "AND l.quantity_norm <> 0 THEN pr.type END")
+    mon = "CAST(date_trunc('month', l.invoice_date) AS DATE)"
+    return f"""mm_base AS (
+  SELECT DISTINCT l.patient_id, p.h_id, p.vi_species_id, {mon} AS data_month,
+    sum(CASE WHEN {ftype} IN ('f','ft','fh') THEN l.quantity_norm ELSE 0 END) OVER (PARTITION BY l.patient_id, {mon}) AS ft_doses,
+    sum(CASE WHEN {ftype} IN ('f','ft','fh') THEN l.quantity_norm ELSE 0 END) OVER (PARTITION BY l.patient_id) AS ft_doses_year,
+    sum(CASE WHEN {ftype} IN ('h','fh') THEN l.quantity_norm ELSE 0 END) OVER (PARTITION BY l.patient_id, {mon}) AS hw_doses,
+    sum(CASE WHEN {ftype} IN ('h','fh') THEN l.quantity_norm ELSE 0 END) OVER (PARTITION BY l.patient_id) AS hw_doses_year
+  FROM lines l
+  JOIN patients p ON p.patient_id = l.patient_id
+  JOIN pm ON pm.patient_id = p.patient_id AND pm.h_id = p.h_id AND pm.wellness_care IS NOT NULL
+  LEFT JOIN products pr ON pr.service_id = l.service_id
+  WHERE l.invoice_date >= {d(lo)} AND l.invoice_date < {d(hi)} AND NOT l.voided AND p.vi_species_id IN (3, 7)),
+mm AS (
+  SELECT h_id, vi_species_id, data_month,
+    count(DISTINCT CASE WHEN ft_doses > 0 THEN patient_id END) AS ft_patients,
+    count(DISTINCT CASE WHEN hw_doses > 0 THEN patient_id END) AS hw_patients,
+    count(DISTINCT patient_id) AS total_patients,
+    CAST(sum(CASE WHEN ft_doses_year <= 0 THEN NULL ELSE ft_doses END) AS BIGINT) AS ft_doses,
+    CAST(sum(CASE WHEN hw_doses_year <= 0 THEN NULL ELSE hw_doses END) AS BIGINT) AS hw_doses
+  FROM mm_base GROUP BY 1, 2, 3)"""
+
+
+def psr_month_master(ctx: RunContext) -> str:
+    return with_ctes(psr_pm_cte(ctx), psr_mm_cte(ctx), final="SELECT * FROM mm")
+
+
+def psr_t11(ctx: RunContext) -> str:
+    months = ", ".join(f"({k}, {d(ctx.month(-(k - 1)))})" for k in range(1, 13))
+    final = f"""SELECT g.h_id, g.location_number, g.report_name, g.species, {d(ctx.end_date)} AS end_date,
+  strftime(mo.data_month, '%b') AS month, 13 - mo.row_order AS column_order,
+  CAST(coalesce(mm.total_patients, 0) AS BIGINT) AS total_patients,
+  CAST(coalesce(mm.total_patients - CASE WHEN g.report_name = 'Flea/Tick' THEN mm.ft_patients ELSE mm.hw_patients END, 0) AS BIGINT) AS pats_no_prod,
+  CAST(coalesce(CASE WHEN g.report_name = 'Flea/Tick' THEN mm.ft_patients ELSE mm.hw_patients END, 0) AS BIGINT) AS pats_prod,
+  CAST(coalesce(CASE WHEN g.report_name = 'Flea/Tick' THEN mm.ft_doses ELSE mm.hw_doses END, 0) AS BIGINT) AS total_doses
+FROM grid g CROSS JOIN (VALUES {months}) mo(row_order, data_month)
+LEFT JOIN mm ON mm.h_id = g.h_id AND (CASE WHEN mm.vi_species_id = 3 THEN 'Dog' ELSE 'Cat' END) = g.species
+  AND mm.data_month = mo.data_month"""
+    return with_ctes(psr_pm_cte(ctx), psr_mm_cte(ctx), GRID_CTE, final=final)
+
+
+def psr_t12(ctx: RunContext) -> str:
+    agg = f"""SELECT {CELLS}, {_bucket('m.doses', 13)} AS doses,
+    count(DISTINCT m.patient_id) AS patients, sum(m.opp) AS missed
+  FROM grid g LEFT JOIN pm_m m ON m.h_id = g.h_id AND m.report_name = g.report_name AND m.species = g.species AND {W}
+  GROUP BY {CELLS}, 5"""
+    diff = "CASE WHEN d.doses = '13+' THEN 0 ELSE d.dose_rec - CAST(d.doses AS BIGINT) END"
+    final = f"""SELECT d.h_id, d.location_number, d.report_name, d.species, {d(ctx.end_date)} AS end_date,
+  CAST(d.dose_rec AS BIGINT) AS dose_rec, d.doses, CAST(coalesce(a.patients, 0) AS BIGINT) AS patients,
+  CAST(CASE WHEN ({diff}) < 0 THEN 0 ELSE ({diff}) END AS BIGINT) AS missed_doses,
+  CAST(coalesce(a.missed, 0) AS BIGINT) AS total_missed_doses
+FROM (SELECT g.*, lb.doses FROM grid g, {_labels(13)}) d
+LEFT JOIN ({agg}) a ON a.h_id = d.h_id AND a.report_name = d.report_name AND a.species = d.species AND a.doses = d.doses"""
+    return with_ctes(psr_pm_cte(ctx), GRID_CTE, final=final)
+
+
+def psr_t13a(ctx: RunContext) -> str:
+    bucket = ("CASE WHEN m.doses >= 12 THEN '12+' WHEN m.doses IS NULL OR m.doses <= 0 THEN '0' "
+              "WHEN m.doses = 1 THEN '1' ELSE '2-11' END")
+    agg = f"""SELECT {CELLS}, {bucket} AS doses, count(m.patient_id) AS patients
+  FROM grid g LEFT JOIN pm_m m ON m.h_id = g.h_id AND m.report_name = g.report_name AND m.species = g.species AND {W}
+  GROUP BY {CELLS}, 5"""
+    part = "PARTITION BY d.h_id, d.report_name, d.species"
+    base = f"""SELECT d.h_id, d.location_number, d.report_name, d.species, d.dose_rec, d.doses,
+    coalesce(a.patients, 0) AS patients,
+    CASE WHEN sum(coalesce(a.patients, 0)) OVER ({part}) = 0 THEN NULL
+         ELSE {sr('coalesce(a.patients, 0)', f'sum(coalesce(a.patients, 0)) OVER ({part})', 2)} END AS u,
+    dense_rank() OVER ({part} ORDER BY coalesce(a.patients, 0) DESC) AS row_order
+  FROM (SELECT g.*, lb.doses FROM grid g, (VALUES ('0'), ('1'), ('2-11'), ('12+')) lb(doses)) d
+  LEFT JOIN ({agg}) a ON a.h_id = d.h_id AND a.report_name = d.report_name AND a.species = d.species AND a.doses = d.doses"""
+    s = "sum(u) OVER (PARTITION BY h_id, report_name, species)"
+    final = f"""SELECT h_id, location_number, report_name, species, {d(ctx.end_date)} AS end_date,
+  CAST(dose_rec AS BIGINT) AS dose_rec, doses, CAST(patients AS BIGINT) AS patients,
+  (CASE WHEN {s} > 100 AND row_order = 1 THEN u - ({s} - 100)
+        WHEN {s} < 100 AND row_order = 1 THEN u + (100 - {s}) ELSE u END) / 100.0 AS pct_pats
+FROM ({base})"""
+    return with_ctes(psr_pm_cte(ctx), GRID_CTE, final=final)
+
+
+def psr_t13(ctx: RunContext) -> str:
+    r = "g.dose_rec"
+    lbl = f"""CASE pos.p
+      WHEN 1 THEN '0 Doses'
+      WHEN 2 THEN CASE WHEN {r} = 0 THEN '0+ Doses' WHEN {r} = 1 THEN '1+ Doses' ELSE '1 Dose' END
+      WHEN 3 THEN CASE WHEN {r} <= 1 THEN NULL WHEN {r} = 2 THEN '2+ Doses' WHEN {r} = 3 THEN '2 Doses'
+                       ELSE '2-' || CAST({r} - 1 AS VARCHAR) || ' Doses' END
+      ELSE CASE WHEN {r} <= 2 THEN NULL WHEN {r} = 3 THEN '3+ Doses' ELSE CAST({r} AS VARCHAR) || '+ Doses' END END"""
+    grid_l = f"SELECT * FROM (SELECT g.*, pos.p AS row_order, {lbl} AS doses FROM grid g, (VALUES (1), (2), (3), (4)) pos(p)) WHERE doses IS NOT NULL"
+    dd = "coalesce(m.doses, 0)"
+    rr = "m.rec"
+    label = f"""CASE WHEN {dd} = 0 THEN '0 Doses'
+      WHEN {rr} = 0 AND {dd} >= 1 THEN '0+ Doses'
+      WHEN {rr} = 1 AND {dd} >= 1 THEN '1+ Doses'
+      WHEN {rr} > 1 AND {dd} = 1 THEN '1 Dose'
+      WHEN {rr} = 3 AND {dd} = 2 THEN '2 Doses'
+      WHEN {rr} > 3 AND {dd} BETWEEN 2 AND {rr} - 1 THEN '2-' || CAST({rr} - 1 AS VARCHAR) || ' Doses'
+      ELSE CAST({rr} AS VARCHAR) || '+ Doses' END"""
+    agg = f"""SELECT m.h_id, m.report_name, m.species, {label} AS doses, count(DISTINCT m.patient_id) AS patients
+  FROM pm_m m WHERE {W} GROUP BY 1, 2, 3, 4"""
+    part = "PARTITION BY h_id, report_name, species"
+    base = f"""SELECT d.h_id, d.location_number, d.report_name, d.species, d.dose_rec, d.doses, d.row_order,
+    coalesce(a.patients, 0) AS patients,
+    CASE WHEN sum(coalesce(a.patients, 0)) OVER (PARTITION BY d.h_id, d.report_name, d.species) = 0 THEN 0
+         ELSE {sr('coalesce(a.patients, 0)', 'sum(coalesce(a.patients, 0)) OVER (PARTITION BY d.h_id, d.report_name, d.species)', 2)} END AS u
+  FROM ({grid_l}) d LEFT JOIN ({agg}) a
+    ON a.h_id = d.h_id AND a.report_name = d.report_name AND a.species = d.species AND a.doses = d.doses"""
+    s = f"sum(u) OVER ({part})"
+    mx = f"max(u) OVER ({part})"
+    final = f"""SELECT h_id, location_number, report_name, species, {d(ctx.end_date)} AS end_date,
+  CAST(dose_rec AS BIGINT) AS dose_rec, doses, CAST(patients AS BIGINT) AS patients,
+  (CASE WHEN {s} <> 100 AND u = {mx} THEN u + (100 - {s}) ELSE u END) / 100.0 AS pct_pats,
+  CAST(row_order AS BIGINT) AS row_order
+FROM ({base})"""
+    return with_ctes(psr_pm_cte(ctx), GRID_CTE, final=final)

@@ -29,13 +29,12 @@ def idiv(a: Column, b: Column) -> Column:
     return F.call_function("div", a.cast("decimal(38,0)"), b.cast("decimal(38,0)"))
 
 
-def ratio_round(num, den, digits: int = 2, scale: int = 0, when_zero=0.0) -> Column:
-    """round(num / den, digits), half away from zero, computed exactly.
+def scaled_round(num, den, digits: int = 2, scale: int = 0) -> Column:
+    """round(num / den * 10**digits) as an exact integer (half away from zero).
 
     ``num`` and ``den`` must become integers when multiplied by 10**scale
-    (counts: scale 0; money with 4 decimals: scale 4). The quotient is
-    formed with integer division, so both engines agree to the last bit.
-    ``den = 0`` (or NULL) yields ``when_zero``.
+    (counts: scale 0; money with 4 or 6 decimals: scale 4 or 6). NULL when
+    either side is NULL or ``den`` is 0.
     """
     f = 10 ** scale
     p = 10 ** digits
@@ -43,9 +42,27 @@ def ratio_round(num, den, digits: int = 2, scale: int = 0, when_zero=0.0) -> Col
     b = (col(den) * F.lit(f)).cast("decimal(38,0)")
     q = idiv(F.abs(a) * F.lit(2 * p) + F.abs(b), F.abs(b) * F.lit(2))
     signed = F.when((a < 0) != (b < 0), -q).otherwise(q)
-    out = (signed.cast("double") / F.lit(float(p)))
-    zero = F.lit(when_zero).cast("double") if when_zero is not None else F.lit(None).cast("double")
-    return F.when(b.isNull() | (b == 0) | a.isNull(), zero).otherwise(out)
+    return F.when(b.isNull() | (b == 0) | a.isNull(), F.lit(None)).otherwise(signed).cast("long")
+
+
+_SAME = object()
+
+
+def ratio_round(num, den, digits: int = 2, scale: int = 0, when_zero=0.0, when_null=_SAME) -> Column:
+    """round(num / den, digits), half away from zero, computed exactly.
+
+    The quotient is formed with integer division, so Spark and the SQL
+    oracle agree to the last bit. ``den`` = 0 or NULL yields ``when_zero``;
+    a NULL ``num`` yields ``when_null`` (default: same as ``when_zero``;
+    pass None for NULL).
+    """
+    q = scaled_round(num, den, digits, scale)
+    p = 10 ** digits
+    b = col(den)
+    out = q.cast("double") / F.lit(float(p))
+    zero = F.lit(when_zero).cast("double")
+    nul = zero if when_null is _SAME else F.lit(when_null).cast("double")
+    return F.when(b.isNull() | (b == 0), zero).when(col(num).isNull(), nul).otherwise(out)
 
 
 def round_half(c, digits: int = 0) -> Column:
@@ -57,6 +74,13 @@ def ceil_long(c) -> Column:
     return F.ceil(col(c)).cast("long")
 
 
+def dec(x: str) -> Column:
+    """Exact decimal literal (a Python float literal would be binary)."""
+    from decimal import Decimal
+
+    return F.lit(Decimal(x))
+
+
 def species_name(species_id, dog: str = "Dog", cat: str = "Cat") -> Column:
     """decode(vi_species_id, 3, 'Dog', 'Cat')."""
     return F.when(col(species_id) == 3, F.lit(dog)).otherwise(F.lit(cat))

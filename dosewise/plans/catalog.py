@@ -54,3 +54,42 @@ def q_psr_patient_master(spark, sf_dir):
 @register("psr_t14_missed_revenue", O.psr_t14(CTX))
 def q_psr_t14(spark, sf_dir):
     return psr.t14_missed_revenue(_t(spark, sf_dir), CTX)
+
+
+def _psr(fn_name: str, oracle_fn):
+    fn = getattr(psr, fn_name)
+
+    def q(spark, sf_dir):
+        return fn(_t(spark, sf_dir), CTX)
+
+    return q, oracle_fn(CTX)
+
+
+for _name, _fn, _oracle in [
+    ("psr_t1_coverage", "t1_coverage", O.psr_t1),
+    ("psr_t2_dose_histogram", "t2_dose_histogram", O.psr_t2),
+    ("psr_t3_baby_coverage", "t3_baby_coverage", O.psr_t3),
+    ("psr_t5_dose_share", "t5_dose_share", O.psr_t5),
+    ("psr_t6_doses_per_patient", "t6_doses_per_patient", O.psr_t6),
+    ("psr_t7_potential_revenue", "t7_potential_revenue", O.psr_t7),
+    ("psr_t8_kpis", "t8_kpis", O.psr_t8),
+    ("psr_t10_revenue_share", "t10_revenue_share", O.psr_t10),
+    ("psr_t11_trend", "t11_trend", O.psr_t11),
+    ("psr_t12_dose_histogram", "t12_dose_histogram", O.psr_t12),
+    ("psr_t13a_coarse_histogram", "t13a_coarse_histogram", O.psr_t13a),
+    ("psr_t13_rec_histogram", "t13_rec_histogram", O.psr_t13),
+]:
+    _q, _sql = _psr(_fn, _oracle)
+    register(_name, _sql)(_q)
+
+
+@register("psr_product_master", O.psr_product_master(CTX))
+def q_psr_product_master(spark, sf_dir):
+    pm2 = psr.product_master(_t(spark, sf_dir), CTX)
+    return pm2.select("h_id", "vi_species_id", "family_name", "type", "patients", "doses",
+                      F.col("hw_rev").cast("double").alias("hw_rev"), F.col("ft_rev").cast("double").alias("ft_rev"))
+
+
+@register("psr_month_master", O.psr_month_master(CTX))
+def q_psr_month_master(spark, sf_dir):
+    return psr.month_master(_t(spark, sf_dir), CTX)
