@@ -60,6 +60,9 @@ def binding_ctes() -> list[str]:
     kind = _case(noun, {k: v[0] for k, v in b.SERVICE_BY_NOUN.items()}, "general")
     info = _case(noun, {k: v[1] for k, v in b.SERVICE_BY_NOUN.items()}, "Other")
     rec = _list(b.REC_LEVELS)
+    fam = (f"{_list(b.FTH_FAMILIES)}[((CAST(regexp_extract(p_brand, '(\\d+)$', 1) AS INTEGER) * {b.FAMILY_STEP} "
+           f"+ {b.FAMILY_OFFSET}) % {len(b.FTH_FAMILIES)}) + 1]")
+    k = "c_custkey"
     return [
         f"""clinics AS (
   SELECT CAST(n_nationkey AS BIGINT) AS h_id,
@@ -78,13 +81,29 @@ def binding_ctes() -> list[str]:
          DATE '{b.FIRST_DOB.isoformat()}' + CAST((c_custkey * 37) % 3650 AS INTEGER) AS dob,
          c_acctbal >= 0 AS is_active, c_custkey % 17 = 0 AS is_deceased, c_name AS pet_name
   FROM customer)""",
-        """clients AS (
-  SELECT CAST(c_custkey / 3 AS BIGINT) AS client_id, CAST(c_nationkey AS BIGINT) AS h_id,
+        f"""clients AS (
+  SELECT CAST(c_custkey // 3 AS BIGINT) AS client_id, CAST(c_nationkey AS BIGINT) AS h_id,
          c_name AS last_name, split_part(c_name, '#', 1) AS first_name,
+         {_list(b.TITLES)}[({k} % {len(b.TITLES)}) + 1] AS title,
+         CAST({k} % 997 AS VARCHAR) || ' Main St' AS address1,
+         {_list(b.ADDRESS2_NOTES)}[({k} % {len(b.ADDRESS2_NOTES)}) + 1] AS address2,
+         'City ' || CAST(c_nationkey AS VARCHAR) AS city,
+         {_list(b.STATE_CODES)}[(c_nationkey % {len(b.STATE_CODES)}) + 1] AS state,
+         lpad(CAST(({k} * 7919) % 100000 AS VARCHAR), 5, '0') || '-' || lpad(CAST({k} % 10000 AS VARCHAR), 4, '0') AS postal_code,
+         '(555) ' || lpad(CAST({k} % 1000 AS VARCHAR), 3, '0') || '-' || lpad(CAST({k} % 10000 AS VARCHAR), 4, '0') AS phone1,
+         CASE WHEN {k} % 11 = 0 THEN 'client' || CAST({k} AS VARCHAR) || '.example.com'
+              ELSE 'client' || CAST({k} AS VARCHAR) || '@example.com' END AS primary_email,
          c_acctbal AS balance, c_mktsegment AS segment
   FROM customer WHERE c_custkey % 3 = 0)""",
+        """activity AS (
+  SELECT o_custkey AS patient_id, CAST(min(o_orderdate) AS DATE) AS first_active,
+         CAST(max(o_orderdate) AS DATE) AS last_active
+  FROM orders GROUP BY o_custkey)""",
         f"""products AS (
-  SELECT p_partkey AS service_id, p_name AS product, p_brand AS family_name,
+  SELECT p_partkey AS service_id,
+         CASE WHEN {fth} IS NOT NULL THEN (CASE WHEN {fam} = 'Tritak' THEN 'Frontline Tritak' ELSE {fam} END) || ' ' || p_name
+              ELSE p_name END AS product,
+         CASE WHEN {fth} IS NOT NULL THEN {fam} ELSE p_brand END AS family_name,
          {fth} AS type,
          CASE WHEN {fth} IS NOT NULL THEN 'fth' WHEN p_type = '{b.NSAID_PTYPE}' THEN 'nsaid' ELSE {kind} END AS service_kind,
          CASE WHEN p_type = 'STANDARD' THEN {info} END AS product_info,
@@ -615,3 +634,267 @@ def psr_t13(ctx: RunContext) -> str:
   CAST(row_order AS BIGINT) AS row_order
 FROM ({base})"""
     return with_ctes(psr_pm_cte(ctx), GRID_CTE, final=final)
+
+
+# ------------------------------------------------------------- CONSUMER
+from datetime import timedelta  # noqa: E402
+
+from ..context import add_months  # noqa: E402
+
+LINE_ORDER = "invoice_date, l_orderkey, l_linenumber, l_partkey, l_suppkey"
+RE_NAME_JUNK = "(?i)\\*|[0-9]|do not|delete|decease|service|wrong|moved|dead"
+RE_ADDR_JUNK = "(?i)do not|delete|decease|service|wrong|moved|dead"
+RE_NAME_CHARS = "[[:cntrl:]]|\\^|\\*|\\)|\\(|:|\\+"
+RE_CNTRL = "[[:cntrl:]]+"
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _strip(x: str, pat: str) -> str:
+    return f"nullif(regexp_replace({x}, {_q(pat)}, '', 'g'), '')"
+
+
+def months_between(a: str, b_: str) -> str:
+    return (f"((year({a}) - year({b_})) * 12 + (month({a}) - month({b_})) + "
+            f"CASE WHEN day({a}) = day({b_}) OR ({a} = last_day({a}) AND {b_} = last_day({b_})) THEN 0 "
+            f"ELSE (day({a}) - day({b_})) / 31.0 END)")
+
+
+def consumer_ctes(ctx: RunContext) -> list[str]:
+    end = ctx.end_date
+    mb = months_between(d(end), "p.dob")
+    return [
+        f"""cons_pat AS (
+  SELECT p.patient_id, p.client_id, p.h_id, p.vi_species_id, p.dob, a.first_active, a.last_active,
+    CASE WHEN {mb} > 72 AND p.vi_species_id = 3 THEN 1 ELSE 0 END AS dogs_over_6,
+    CASE WHEN {mb} < 12 AND p.vi_species_id = 3 THEN 1 ELSE 0 END AS puppy,
+    CASE WHEN {mb} > 48 AND p.vi_species_id = 3 THEN 1 ELSE 0 END AS dogs_over_4
+  FROM patients p JOIN activity a ON a.patient_id = p.patient_id
+  WHERE a.last_active > {d(add_months(end, -23))} AND p.is_active AND NOT p.is_deceased
+    AND p.vi_species_id IN (3, 7) AND p.patient_id > 0)""",
+        f"""cons_lines AS (
+  SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.patient_id, l.invoice_date, l.service_id,
+    l.quantity_norm, l.cost, cp.client_id, cp.vi_species_id,
+    pr.product, pr.family_name, pr.type, pr.service_kind, pr.product_info,
+    (pr.type IS NOT NULL AND l.quantity_norm <> 0 AND l.invoice_date >= {d(add_months(end, -23))}) AS is_fth,
+    l.invoice_date < {d(end - timedelta(days=1))} AS is_trans
+  FROM lines l JOIN cons_pat cp ON cp.patient_id = l.patient_id
+  LEFT JOIN products pr ON pr.service_id = l.service_id
+  WHERE l.invoice_date >= {d(add_months(end, -24))} AND l.invoice_date < {d(end)} AND NOT l.voided)""",
+    ]
+
+
+PRODUCT_TAG_SQL = {
+    "hg": "product LIKE 'Heartgard%'",
+    "fl": "product LIKE 'Frontline%' AND family_name <> 'Tritak'",
+    "ce": "product LIKE 'Certifect%'",
+    "combo": "type IN ('fh', 'fth')",
+    "comp_hg": "type = 'h' AND product NOT LIKE 'Heartgard%'",
+    "comp_fl": "type IN ('ft', 'f') AND product NOT LIKE 'Frontline%' AND product NOT LIKE 'Certifect%'",
+    "flt": "family_name = 'Tritak'",
+    "ng": "family_name = 'NexGard'",
+}
+
+
+def _between(col: str, bounds) -> str:
+    return f"{col} BETWEEN {d(bounds[0])} AND {d(bounds[1])}"
+
+
+def product_metrics_sql(ctx: RunContext) -> str:
+    w12, w24 = ctx.trailing(0), ctx.trailing(1)
+    subs, cols = [], []
+    for tag, pred in PRODUCT_TAG_SQL.items():
+        subs.append(f"""LEFT JOIN (
+    SELECT client_id, max(invoice_date) AS last_{tag}_purch,
+      count(CASE WHEN {_between('invoice_date', w12)} THEN invoice_date END) AS {tag}_purch_12,
+      count(CASE WHEN {_between('invoice_date', w24)} THEN invoice_date END) AS {tag}_purch_24,
+      sum(CASE WHEN {_between('invoice_date', w12)} THEN CASE WHEN quantity_norm IS NULL THEN 0 ELSE cost END END) AS {tag}_rev_12,
+      sum(CASE WHEN {_between('invoice_date', w24)} THEN CASE WHEN quantity_norm IS NULL THEN 0 ELSE cost END END) AS {tag}_rev_24,
+      sum(CASE WHEN {_between('invoice_date', w12)} THEN coalesce(quantity_norm, 1) END) AS {tag}_doses_12,
+      sum(CASE WHEN {_between('invoice_date', w24)} THEN coalesce(quantity_norm, 1) END) AS {tag}_doses_24,
+      last(vi_species_id ORDER BY {LINE_ORDER}) AS {tag}_last_pet_species
+    FROM cons_lines WHERE is_fth AND {pred} GROUP BY client_id) s_{tag} ON s_{tag}.client_id = c.client_id""")
+        cols += [
+            f"s_{tag}.last_{tag}_purch",
+            f"coalesce(s_{tag}.{tag}_purch_12, 0) AS {tag}_purch_12",
+            f"coalesce(s_{tag}.{tag}_purch_24, 0) AS {tag}_purch_24",
+            f"CAST(s_{tag}.{tag}_rev_12 AS DOUBLE) AS {tag}_rev_12",
+            f"CAST(s_{tag}.{tag}_rev_24 AS DOUBLE) AS {tag}_rev_24",
+            f"CAST(s_{tag}.{tag}_doses_12 AS BIGINT) AS {tag}_doses_12",
+            f"CAST(s_{tag}.{tag}_doses_24 AS BIGINT) AS {tag}_doses_24",
+            f"s_{tag}.{tag}_last_pet_species",
+        ]
+    other = f"""LEFT JOIN (
+    SELECT client_id,
+      sum(CASE WHEN product LIKE 'Interceptor%' AND {_between('invoice_date', w12)} THEN quantity_norm ELSE 0 END) AS int_doses_12,
+      sum(CASE WHEN product LIKE 'Interceptor%' AND {_between('invoice_date', w24)} THEN quantity_norm ELSE 0 END) AS int_doses_24,
+      sum(CASE WHEN family_name = 'Trifexis' AND {_between('invoice_date', w12)} THEN quantity_norm ELSE 0 END) AS trif_doses,
+      sum(CASE WHEN family_name = 'Revolution' AND {_between('invoice_date', w12)} THEN quantity_norm ELSE 0 END) AS rev_doses,
+      sum(CASE WHEN family_name = 'Advantage Multi' AND {_between('invoice_date', w12)} THEN quantity_norm ELSE 0 END) AS adv_doses
+    FROM cons_lines WHERE is_fth GROUP BY client_id) s_other ON s_other.client_id = c.client_id"""
+    cols += [f"CAST(s_other.{c} AS BIGINT) AS {c}" for c in ("int_doses_12", "int_doses_24", "trif_doses", "rev_doses", "adv_doses")]
+    return (f"SELECT c.client_id, {', '.join(cols)}\nFROM (SELECT DISTINCT client_id FROM cons_lines WHERE is_fth) c\n"
+            + "\n".join(subs) + "\n" + other)
+
+
+def consumer_product_metrics(ctx: RunContext) -> str:
+    return with_ctes(*consumer_ctes(ctx), final=product_metrics_sql(ctx))
+
+
+SERVICE_TAG_SQL = {
+    "pain": "service_kind = 'nsaid'",
+    "dental": "service_kind = 'general' AND product_info = 'Surgery - dental'",
+    "surg": "service_kind = 'general' AND product_info LIKE 'Surgery%' AND product_info <> 'Surgery - dental'",
+    "vacc": "service_kind = 'vaccine'",
+    "board": "service_kind = 'general' AND lower(product_info) = 'service - boarding'",
+    "groom": "service_kind = 'general' AND lower(product_info) = 'service - grooming'",
+    "other": ("NOT coalesce(service_kind = 'general' AND (product_info LIKE 'Surgery%' OR lower(product_info) LIKE '%dental%' "
+              "OR lower(product_info) IN ('service - boarding', 'service - grooming')), false) "
+              "AND NOT is_fth AND NOT coalesce(service_kind IN ('nsaid', 'vaccine'), false)"),
+}
+
+
+def service_metrics_sql(ctx: RunContext) -> str:
+    end = ctx.end_date
+    w14 = (add_months(end, -14), end)
+    subs, cols = [], []
+    for tag, pred in SERVICE_TAG_SQL.items():
+        subs.append(f"""LEFT JOIN (
+    SELECT client_id,
+      count(CASE WHEN {_between('invoice_date', w14)} THEN 1 END) AS num_{tag}_purch,
+      max(invoice_date) AS last_{tag}_purch,
+      sum(CASE WHEN {_between('invoice_date', w14)} THEN cost ELSE 0 END) AS dollar_{tag}_purch
+    FROM cons_lines WHERE is_trans AND cost <> 0 AND {pred} GROUP BY client_id) s_{tag} ON s_{tag}.client_id = c.client_id""")
+        cols += [
+            f"coalesce(s_{tag}.num_{tag}_purch, 0) AS num_{tag}_purch",
+            f"s_{tag}.last_{tag}_purch",
+            f"CAST(coalesce(s_{tag}.dollar_{tag}_purch, 0) AS DOUBLE) AS dollar_{tag}_purch",
+        ]
+    visits = f"""LEFT JOIN (
+    SELECT client_id,
+      count(DISTINCT CASE WHEN invoice_date BETWEEN {d(add_months(end, -12))} AND {d(end - timedelta(days=1))} THEN invoice_date END) AS num_visits,
+      max(invoice_date) AS last_visit
+    FROM cons_lines WHERE is_trans GROUP BY client_id) v ON v.client_id = c.client_id"""
+    cols += ["v.num_visits", "v.last_visit"]
+    return (f"SELECT c.client_id, {', '.join(cols)}\nFROM (SELECT DISTINCT client_id FROM cons_lines WHERE is_trans) c\n"
+            + "\n".join(subs) + "\n" + visits)
+
+
+def consumer_service_metrics(ctx: RunContext) -> str:
+    return with_ctes(*consumer_ctes(ctx), final=service_metrics_sql(ctx))
+
+
+def consumer_patient_counts(ctx: RunContext) -> str:
+    lo, hi = ctx.trailing(0)
+    return with_ctes(*consumer_ctes(ctx), final=f"""SELECT c.h_id,
+  count(DISTINCT CASE WHEN c.vi_species_id = 3 AND p.type IN ('ft', 'f') THEN c.patient_id END) AS ft_canine_patients,
+  count(DISTINCT CASE WHEN c.vi_species_id = 7 AND p.type IN ('ft', 'f') THEN c.patient_id END) AS ft_feline_patients,
+  count(DISTINCT CASE WHEN c.vi_species_id = 3 AND p.type = 'h' THEN c.patient_id END) AS hw_canine_patients
+FROM (SELECT * FROM cons_lines WHERE is_fth AND invoice_date BETWEEN {d(lo)} AND {d(hi)}) p
+RIGHT JOIN cons_pat c ON c.patient_id = p.patient_id
+GROUP BY c.h_id""")
+
+
+def consumer_competitor_products(ctx: RunContext) -> str:
+    lo, hi = ctx.trailing(0)
+    base = f"SELECT * FROM cons_lines WHERE is_fth AND invoice_date BETWEEN {d(lo)} AND {d(hi)}"
+    def one(market: str, pred: str) -> str:
+        return f"""SELECT '{market}' AS market, client_id, family_name AS product, product AS product_detail,
+    CAST(doses AS BIGINT) AS doses, last_date,
+    CAST(rank() OVER (PARTITION BY client_id ORDER BY doses, last_date, last_id) AS BIGINT) AS product_order
+  FROM (SELECT client_id, product, any_value(family_name) AS family_name,
+          sum(CASE WHEN quantity_norm IS NULL OR quantity_norm = 0 THEN 1 ELSE quantity_norm END) AS doses,
+          max(invoice_date) AS last_date,
+          max((l_orderkey, l_linenumber, l_partkey, l_suppkey)) AS last_id
+        FROM ({base}) WHERE {pred} GROUP BY client_id, product)"""
+    return with_ctes(*consumer_ctes(ctx), final=(
+        one("FL", "product NOT LIKE 'Frontline%' AND product NOT LIKE 'Certifect%' AND type IN ('ft', 'f')")
+        + "\nUNION ALL\n" + one("HG", "product NOT LIKE 'Heartgard%' AND type = 'h'")))
+
+
+def clients_clean_cte(ctx: RunContext) -> str:
+    name = lambda c: f"coalesce({_strip(_strip(c, RE_NAME_JUNK), RE_NAME_CHARS)}, 'None Given')"
+    addr = lambda c: _strip(_strip(c, RE_ADDR_JUNK), RE_CNTRL)
+    return f"""cons_clients AS (
+  SELECT * FROM (
+    SELECT c.client_id, c.h_id,
+      {name('c.first_name')} AS first_name,
+      {name('c.last_name')} AS last_name,
+      CASE WHEN nullif(c.title, '') IS NULL THEN NULL WHEN regexp_matches(c.title, {_q('[^A-Za-z |.]|' + chr(92) + chr(92))}) THEN NULL ELSE c.title END AS prefix,
+      coalesce({addr('c.address1')}, 'None Given') AS address1,
+      {addr('c.address2')} AS address2,
+      {_strip('c.city', RE_CNTRL)} AS city,
+      {_strip('c.state', RE_CNTRL)} AS state,
+      {_strip(f"lpad(substr(CASE WHEN regexp_matches(c.postal_code, '[^0-9]') THEN nullif(regexp_replace(c.postal_code, '[^0-9]', '', 'g'), '') ELSE c.postal_code END, 1, 9), 30, ' ')", RE_CNTRL)} AS postal_code,
+      {_strip(f"substr(CASE WHEN regexp_matches(c.phone1, '[^0-9]') THEN nullif(regexp_replace(c.phone1, '[^0-9]', '', 'g'), '') ELSE c.phone1 END, 1, 10)", RE_CNTRL)} AS phone1,
+      c.primary_email,
+      h.dogs_over_6, CAST(h.dogs_over_4 AS BIGINT) AS dogs_over_4, h.puppy, h.canines, h.felines, h.first_visit
+    FROM clients c JOIN (
+      SELECT client_id, max(dogs_over_6) AS dogs_over_6, sum(dogs_over_4) AS dogs_over_4, max(puppy) AS puppy,
+        count(DISTINCT CASE WHEN vi_species_id = 3 THEN patient_id END) AS canines,
+        count(DISTINCT CASE WHEN vi_species_id = 7 THEN patient_id END) AS felines,
+        min(first_active) AS first_visit
+      FROM cons_pat GROUP BY client_id) h ON h.client_id = c.client_id)
+  WHERE NOT coalesce({deny_sql('first_name', 'last_name', 'address1', 'address2')}, false)
+    AND NOT coalesce(regexp_matches(upper(state), '^(AB|BC|MB|NB|NL|NT|NS|NU|ON|PE|QC|SK|YT|PR)'), false))"""
+
+
+def deny_sql(first: str, last: str, a1: str, a2: str) -> str:
+    from ..operators import contact as cl
+
+    def isin(c, vals):
+        return f"upper({c}) IN ({', '.join(_q(v) for v in vals)})"
+
+    def infix(c, parts):
+        return "(" + " OR ".join(f"contains(upper({c}), {_q(p)})" for p in parts) + ")"
+
+    return ("(" + " OR ".join([
+        isin(first, cl.FIRST_NAME_EXACT), infix(first, cl.NAME_INFIX),
+        isin(last, cl.LAST_NAME_EXACT), infix(last, cl.NAME_INFIX),
+        isin(a1, cl.ADDRESS1_EXACT), f"contains(upper({a1}), '*')",
+        isin(a2, cl.ADDRESS2_EXACT), infix(a2, cl.ADDRESS2_INFIX),
+        f"(upper({first}) = 'CASH' AND upper({last}) IN ('CLIENT', 'CASH'))",
+    ]) + ")")
+
+
+def consumer_clients(ctx: RunContext) -> str:
+    return with_ctes(*consumer_ctes(ctx), clients_clean_cte(ctx), final="SELECT * FROM cons_clients")
+
+
+def _mdy(c: str) -> str:
+    return f"strftime({c}, '%m/%d/%Y')"
+
+
+def _money(c: str) -> str:
+    return f"CAST(round(CAST(coalesce({c}, 0) AS DECIMAL(38,4)), 2) AS VARCHAR)"
+
+
+def consumer_report(ctx: RunContext) -> str:
+    cols = ["'2DT' AS record_type", "c.client_id", "c.h_id", "c.prefix", "c.first_name", "c.last_name",
+            "c.address1", "c.address2", "c.city", "c.state", "c.postal_code", "c.phone1",
+            f"CASE WHEN regexp_matches(c.primary_email, {_q('(?i)^[A-Z0-9._%+-]+@[A-Z0-9.-]+[.][A-Z]{2,4}$')}) THEN c.primary_email END AS email",
+            "c.canines", "c.felines", "c.dogs_over_6", "c.dogs_over_4", "c.puppy", f"{_mdy('c.first_visit')} AS first_visit"]
+    for tag in PRODUCT_TAG_SQL:
+        cols += [
+            f"{_mdy(f'pm.last_{tag}_purch')} AS last_{tag}_purch",
+            f"coalesce(pm.{tag}_purch_12, 0) AS {tag}_purch_12",
+            f"coalesce(pm.{tag}_purch_24, 0) AS {tag}_purch_24",
+            f"{_money(f'pm.{tag}_rev_12')} AS {tag}_rev_12",
+            f"{_money(f'pm.{tag}_rev_24')} AS {tag}_rev_24",
+            f"CAST(greatest(coalesce(pm.{tag}_doses_12, 0), 0) AS BIGINT) AS {tag}_doses_12",
+            f"CAST(greatest(coalesce(pm.{tag}_doses_24, 0), 0) AS BIGINT) AS {tag}_doses_24",
+        ]
+    for tag in SERVICE_TAG_SQL:
+        cols += [
+            f"coalesce(sm.num_{tag}_purch, 0) AS num_{tag}_purch",
+            f"{_mdy(f'sm.last_{tag}_purch')} AS last_{tag}_purch",
+            f"{_money(f'sm.dollar_{tag}_purch')} AS dollar_{tag}_purch",
+        ]
+    cols += ["coalesce(sm.num_visits, 0) AS num_visits", f"{_mdy('sm.last_visit')} AS last_visit"]
+    final = f"""SELECT {', '.join(cols)}
+FROM cons_clients c
+LEFT JOIN ({product_metrics_sql(ctx)}) pm ON pm.client_id = c.client_id
+LEFT JOIN ({service_metrics_sql(ctx)}) sm ON sm.client_id = c.client_id"""
+    return with_ctes(*consumer_ctes(ctx), clients_clean_cte(ctx), final=final)

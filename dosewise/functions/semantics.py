@@ -101,7 +101,7 @@ def id_remap(c) -> Column:
 
 def money_text(c) -> Column:
     """Amount as text with exactly two decimals (to_char '999990.00')."""
-    return F.format_string("%.2f", F.round(col(c).cast("decimal(38,4)"), 2))
+    return F.round(col(c).cast("decimal(38,4)"), 2).cast("decimal(38,2)").cast("string")
 
 
 def mdy(c) -> Column:

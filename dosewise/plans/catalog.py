@@ -93,3 +93,37 @@ def q_psr_product_master(spark, sf_dir):
 @register("psr_month_master", O.psr_month_master(CTX))
 def q_psr_month_master(spark, sf_dir):
     return psr.month_master(_t(spark, sf_dir), CTX)
+
+
+# ------------------------------------------------------------- CONSUMER
+from . import consumer  # noqa: E402
+
+
+@register("consumer_product_metrics", O.consumer_product_metrics(CTX))
+def q_consumer_product_metrics(spark, sf_dir):
+    return consumer.product_metrics(_t(spark, sf_dir), CTX)
+
+
+@register("consumer_service_metrics", O.consumer_service_metrics(CTX))
+def q_consumer_service_metrics(spark, sf_dir):
+    return consumer.service_metrics(_t(spark, sf_dir), CTX)
+
+
+@register("consumer_patient_counts", O.consumer_patient_counts(CTX))
+def q_consumer_patient_counts(spark, sf_dir):
+    return consumer.patient_counts(_t(spark, sf_dir), CTX)
+
+
+@register("consumer_competitor_products", O.consumer_competitor_products(CTX))
+def q_consumer_competitor_products(spark, sf_dir):
+    return consumer.competitor_products(_t(spark, sf_dir), CTX)
+
+
+@register("consumer_clients", O.consumer_clients(CTX))
+def q_consumer_clients(spark, sf_dir):
+    return consumer.consumer_clients(_t(spark, sf_dir), CTX)
+
+
+@register("consumer_report", O.consumer_report(CTX))
+def q_consumer_report(spark, sf_dir):
+    return consumer.consumer_report(_t(spark, sf_dir), CTX)

@@ -42,6 +42,19 @@ SERVICE_BY_NOUN = {
     "gizmo": ("diet", "Diet"),
     "anvil": ("test", "Heartworm test"),
 }
+# The 35 flea/tick/heartworm product families of the
+# purchase extracts, in the order the reference lists them.
+FTH_FAMILIES = [
+    "Activyl", "Acuguard", "Adams", "Advantage", "Advantage Multi", "Advantix", "Assurity",
+    "Capstar", "Certifect", "ComboGuard", "Comfortis", "EasySpot", "Frontline", "Heartgard",
+    "Interceptor", "Iverhart Max", "Iverhart Plus", "Paradyne", "Parastar", "Preventic",
+    "Program", "Proheart", "ProMeris", "QuadriGuard", "Revolution", "Sentinel", "Seresto",
+    "SimpleGuard", "Trifexis", "Tri-Heart", "Tritak", "Vectra", "Vectra 3D", "NexGard", "Bravecto",
+]
+# Binding rule: brand n of a flea/tick/heartworm part belongs to family
+# FTH_FAMILIES[(3n + 5) % 35]; its product name is the family (Tritak is
+# sold as 'Frontline Tritak') followed by the part name.
+FAMILY_STEP, FAMILY_OFFSET = 3, 5
 # PROMO parts are NSAID medications (service type 2).
 NSAID_PTYPE = "PROMO"
 FIRST_DOB = date(1990, 1, 1)
@@ -114,31 +127,66 @@ def patients(t: Tables) -> DataFrame:
     )
 
 
+def patient_activity(t: Tables) -> DataFrame:
+    """First and last invoice day per patient (from all orders)."""
+    return t.orders.groupBy(F.col("o_custkey").alias("patient_id")).agg(
+        F.min("o_orderdate").cast("date").alias("first_active"),
+        F.max("o_orderdate").cast("date").alias("last_active"),
+    )
+
+
+TITLES = ["Mr.", "Mrs", "Dr", "Ms.", "Mr 3rd", ""]
+ADDRESS2_NOTES = ["", "Apt 4", "Do not mail", "", "Suite 200", "moved away", "", "c/o dead letter"]
+
+
 def clients(t: Tables) -> DataFrame:
     """Client master: the customer whose key is 3 * client_id carries the
     contact fields of the household."""
     k = F.col("c_custkey")
+    n = F.col("c_nationkey")
     return t.customer.where((k % 3) == 0).select(
         (k / 3).cast("long").alias("client_id"),
-        F.col("c_nationkey").cast("long").alias("h_id"),
+        n.cast("long").alias("h_id"),
         F.col("c_name").alias("last_name"),
         F.split(F.col("c_name"), "#").getItem(0).alias("first_name"),
+        _pick(TITLES, k % len(TITLES)).alias("title"),
+        F.concat((k % 997).cast("string"), F.lit(" Main St")).alias("address1"),
+        _pick(ADDRESS2_NOTES, k % len(ADDRESS2_NOTES)).alias("address2"),
+        F.concat(F.lit("City "), n.cast("string")).alias("city"),
+        _pick(STATE_CODES, n % len(STATE_CODES)).alias("state"),
+        F.concat(F.lpad(((k * 7919) % 100000).cast("string"), 5, "0"), F.lit("-"),
+                 F.lpad((k % 10000).cast("string"), 4, "0")).alias("postal_code"),
+        F.concat(F.lit("(555) "), F.lpad((k % 1000).cast("string"), 3, "0"), F.lit("-"),
+                 F.lpad((k % 10000).cast("string"), 4, "0")).alias("phone1"),
+        F.when((k % 11) == 0, F.concat(F.lit("client"), k.cast("string"), F.lit(".example.com")))
+        .otherwise(F.concat(F.lit("client"), k.cast("string"), F.lit("@example.com"))).alias("primary_email"),
         F.col("c_acctbal").alias("balance"),
         F.col("c_mktsegment").alias("segment"),
     )
 
 
 # --------------------------------------------------------------- products
+def brand_number(brand: Column) -> Column:
+    return F.regexp_extract(brand, r"(\d+)$", 1).cast("int")
+
+
+def fth_family(brand: Column) -> Column:
+    n = brand_number(brand)
+    return _pick(FTH_FAMILIES, (n * FAMILY_STEP + FAMILY_OFFSET) % len(FTH_FAMILIES))
+
+
 def products(t: Tables) -> DataFrame:
     """Product/service dimension from ``part`` (one row per part)."""
-    noun = F.split(F.col("p_name"), " ").getItem(1)
+    noun = F.try_element_at(F.split(F.col("p_name"), " "), F.lit(2))
     kind = _map(noun, {k: v[0] for k, v in SERVICE_BY_NOUN.items()}, "general")
     info = _map(noun, {k: v[1] for k, v in SERVICE_BY_NOUN.items()}, "Other")
     fth = _map(F.col("p_type"), FTH_TYPE_BY_PTYPE)
+    fam = fth_family(F.col("p_brand"))
+    label = F.when(fam == "Tritak", F.lit("Frontline Tritak")).otherwise(fam)
     return t.part.select(
         F.col("p_partkey").alias("service_id"),
-        F.col("p_name").alias("product"),
-        F.col("p_brand").alias("family_name"),
+        F.when(fth.isNotNull(), F.concat(label, F.lit(" "), F.col("p_name"))).otherwise(F.col("p_name")).alias("product"),
+        F.when(fth.isNotNull(), fam).otherwise(F.col("p_brand")).alias("family_name"),
         fth.alias("type"),
         F.when(fth.isNotNull(), F.lit("fth"))
         .when(F.col("p_type") == NSAID_PTYPE, F.lit("nsaid"))
