@@ -73,13 +73,15 @@ def binding_ctes() -> list[str]:
          {rec}[((n_nationkey + 1) % 4) + 1] AS dose_rec_hw_dog,
          {rec}[((n_nationkey + 2) % 4) + 1] AS dose_rec_ft_cat,
          {rec}[((n_nationkey + 3) % 4) + 1] AS dose_rec_hw_cat,
-         DATE '2001-01-01' + CAST(n_nationkey * 5 AS INTEGER) AS start_date
+         DATE '2001-01-01' + CAST(n_nationkey * 5 AS INTEGER) AS start_date,
+         'ACC' || lpad(CAST(n_nationkey AS VARCHAR), 5, '0') AS account_number
   FROM nation LEFT JOIN region ON n_regionkey = r_regionkey)""",
         f"""patients AS (
   SELECT c_custkey AS patient_id, CAST(floor(c_custkey / 3) AS BIGINT) AS client_id,
          CAST(c_nationkey AS BIGINT) AS h_id, {species} AS vi_species_id,
          DATE '{b.FIRST_DOB.isoformat()}' + CAST((c_custkey * 37) % 3650 AS INTEGER) AS dob,
-         c_acctbal >= 0 AS is_active, c_custkey % 17 = 0 AS is_deceased, c_name AS pet_name
+         c_acctbal >= 0 AS is_active, c_custkey % 17 = 0 AS is_deceased, c_name AS pet_name,
+         CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_custkey % 6 END AS pms_code
   FROM customer)""",
         f"""clients AS (
   SELECT CAST(c_custkey // 3 AS BIGINT) AS client_id, CAST(c_nationkey AS BIGINT) AS h_id,
@@ -122,21 +124,25 @@ def binding_ctes() -> list[str]:
   SELECT service_id, 1 AS is_wellness FROM products
   WHERE service_kind = 'vaccine' OR product_info = 'Surgery - spay' OR service_kind = 'test')""",
         f"""appointments AS (
-  SELECT user_id AS patient_id, CAST(ts AS DATE) AS appointment_date FROM events WHERE event_type = '{b.APPOINTMENT_EVENT}')""",
+  SELECT user_id AS patient_id, CAST(ts AS DATE) - {b.EVENT_SHIFT_DAYS} AS appointment_date FROM events WHERE event_type = '{b.APPOINTMENT_EVENT}')""",
         f"""surgeries AS (
-  SELECT user_id AS patient_id, CAST(ts AS DATE) AS surgery_date, ts AS surgery_ts,
-         CAST(json_extract_string(props, '$.k') AS INTEGER) % 10 AS surgery_family
+  SELECT user_id AS patient_id, CAST(ts AS DATE) - {b.EVENT_SHIFT_DAYS} AS surgery_date,
+         ts - INTERVAL {b.EVENT_SHIFT_DAYS} DAY AS surgery_ts,
+         CAST(json_extract_string(props, '$.k') AS INTEGER) % 10 AS surgery_family,
+         CAST(value AS DECIMAL(18,2)) AS cost
   FROM events WHERE event_type = '{b.SURGERY_EVENT}')""",
         f"""nsaid_sales AS (
   SELECT event_id AS lineitem_id, user_id AS patient_id, CAST(floor(user_id / 3) AS BIGINT) AS client_id,
-         CAST(ts AS DATE) AS invoice_date, ts AS invoice_ts,
+         CAST(ts AS DATE) - {b.EVENT_SHIFT_DAYS} AS invoice_date, ts - INTERVAL {b.EVENT_SHIFT_DAYS} DAY AS invoice_ts,
          CAST(json_extract_string(props, '$.k') AS INTEGER) AS quantity,
-         CAST(value AS DECIMAL(18,2)) AS cost, CAST(user_id % 3 + 1 AS INTEGER) AS dosage_volume
+         CAST(value AS DECIMAL(18,2)) AS cost, CAST(user_id % 3 + 1 AS INTEGER) AS dosage_volume,
+         {_list(b.NSAID_PRODUCTS + [b.NSAID_EXTRA_PRODUCT])}[(event_id % {len(b.NSAID_PRODUCTS) + 1}) + 1] AS product,
+         event_id % 13 = 0 AS voided
   FROM events WHERE event_type = '{b.NSAID_SALE_EVENT}')""",
         f"""vitals AS (
   SELECT user_id AS patient_id, json_extract_string(props, '$.k') AS weight,
          {_list(b.WEIGHT_UNITS)}[(event_id % {len(b.WEIGHT_UNITS)}) + 1] AS weight_unit,
-         ts AS visit_date, event_id AS vital_id
+         ts - INTERVAL {b.EVENT_SHIFT_DAYS} DAY AS visit_date, event_id AS vital_id
   FROM events WHERE event_type = '{b.VITALS_EVENT}')""",
     ]
 
@@ -898,3 +904,154 @@ FROM cons_clients c
 LEFT JOIN ({product_metrics_sql(ctx)}) pm ON pm.client_id = c.client_id
 LEFT JOIN ({service_metrics_sql(ctx)}) sm ON sm.client_id = c.client_id"""
     return with_ctes(*consumer_ctes(ctx), clients_clean_cte(ctx), final=final)
+
+
+# ---------------------------------------------------------------- NSAID
+def _pills_below_sql(q: str, dv: str, n: int) -> str:
+    return f"(CASE WHEN {dv} > 0 THEN {q} < {dv} * {n} ELSE {q} > {dv} * {n} END)"
+
+
+def consumer_nsaid_cte(ctx: RunContext) -> str:
+    end = ctx.end_date
+    fams = ", ".join(str(x) for x in b.EXCUSED_SURGERY_FAMILIES)
+    return f"""cons_nsaid AS (
+  SELECT s.lineitem_id, s.patient_id, cp.client_id, cp.h_id, cp.vi_species_id, s.invoice_date, s.product,
+    CAST(s.quantity AS BIGINT) AS quantity, CAST(s.dosage_volume AS BIGINT) AS dosage_volume,
+    CAST(s.cost AS DOUBLE) AS cost,
+    {ratio_round('s.quantity', 's.dosage_volume', 4)} AS pills,
+    CASE WHEN EXISTS (SELECT 1 FROM appointments a WHERE a.patient_id = s.patient_id AND a.appointment_date = s.invoice_date)
+         THEN 'Y' ELSE 'N' END AS appointment_flag
+  FROM nsaid_sales s JOIN cons_pat cp ON cp.patient_id = s.patient_id
+  WHERE s.product = 'Previcox' AND NOT s.voided
+    AND s.invoice_date BETWEEN {d(add_months(end, -12))} AND {d(end)}
+    AND s.dosage_volume IS NOT NULL AND s.dosage_volume <> 0 AND s.quantity <> 0
+    AND NOT ({_pills_below_sql('s.quantity', 's.dosage_volume', 10)} AND EXISTS (
+      SELECT 1 FROM surgeries g WHERE g.patient_id = s.patient_id AND g.surgery_family IN ({fams}) AND g.cost > 0
+        AND s.invoice_date BETWEEN g.surgery_date - 5 AND g.surgery_date + 5)))"""
+
+
+def consumer_nsaid(ctx: RunContext) -> str:
+    return with_ctes(*consumer_ctes(ctx), consumer_nsaid_cte(ctx), final="SELECT * FROM cons_nsaid")
+
+
+def consumer_nsaid_metrics(ctx: RunContext) -> str:
+    w12, w24 = ctx.trailing(0), ctx.trailing(1)
+    p100 = sr("quantity", "dosage_volume", 2)
+    final = f"""SELECT client_id, max(invoice_date) AS last_prev_purch,
+  count(CASE WHEN {_between('invoice_date', w12)} THEN invoice_date END) AS prev_purch_12,
+  CAST(sum(CASE WHEN {_between('invoice_date', w12)} THEN cost END) AS DOUBLE) AS prev_rev_12,
+  CAST(sum(CASE WHEN {_between('invoice_date', w12)} THEN coalesce(quantity, 1) END) AS BIGINT) AS prev_doses_12,
+  count(CASE WHEN {_between('invoice_date', w24)} THEN invoice_date END) AS prev_purch_24,
+  CAST(sum(CASE WHEN {_between('invoice_date', w24)} THEN cost END) AS DOUBLE) AS prev_rev_24,
+  CAST(sum(CASE WHEN {_between('invoice_date', w24)} THEN coalesce(quantity, 1) END) AS BIGINT) AS prev_doses_24,
+  last(vi_species_id ORDER BY invoice_date, lineitem_id) AS prev_last_pet_species,
+  count(DISTINCT CASE WHEN {_between('invoice_date', w12)} THEN patient_id END) AS prev_pats_12,
+  sum(CASE WHEN {_between('invoice_date', w12)} THEN coalesce({p100}, 100) END) / 100.0 AS prev_pills_12,
+  sum(CASE WHEN {_between('invoice_date', w24)} THEN coalesce({p100}, 100) END) / 100.0 AS prev_pills_24
+FROM cons_nsaid GROUP BY client_id"""
+    return with_ctes(*consumer_ctes(ctx), consumer_nsaid_cte(ctx), final=final)
+
+
+def weight_sql(w: str, u: str) -> str:
+    num = f"TRY_CAST({w} AS DECIMAL(18,4))"
+    return (f"CASE WHEN {u} = 'lbs' THEN {num} WHEN upper({u}) = 'POUNDS' THEN {num} "
+            f"WHEN upper({u}) = 'OUNCES' THEN {num} * 0.0625 WHEN upper({u}) = 'KILOGRAMS' THEN {num} * 2.2 "
+            f"WHEN upper({u}) = 'GRAMS' THEN {num} * 0.0022 ELSE {num} END")
+
+
+def pw_cte(ctx: RunContext, dogs_only=True, max_weight=None, months_active=23, code_filter=False, name="pw") -> str:
+    end = ctx.end_date
+    mb = months_between(d(end), "p.dob")
+    species = "(3)" if dogs_only else "(3, 7)"
+    wfilter = f"WHERE weight < {max_weight}" if max_weight is not None else ""
+    code = "AND coalesce(p.pms_code, 2) IN (2, 3, 4)" if code_filter else ""
+    return f"""{name}_w AS (
+  SELECT patient_id, weight FROM (
+    SELECT patient_id, {weight_sql('weight', 'weight_unit')} AS weight,
+      row_number() OVER (PARTITION BY patient_id ORDER BY visit_date DESC, vital_id DESC) AS rn
+    FROM vitals) WHERE rn = 1),
+{name} AS (
+  SELECT p.patient_id, p.client_id, p.h_id, p.vi_species_id, a.first_active, a.last_active, p.pms_code,
+    CAST(w.weight AS DOUBLE) AS weight,
+    CASE WHEN {mb} > 60 AND p.vi_species_id = 3 THEN 1 ELSE 0 END AS dogs_over_5,
+    CASE WHEN {mb} > 72 AND p.vi_species_id = 3 THEN 1 ELSE 0 END AS dogs_over_6,
+    CASE WHEN {mb} < 12 AND p.vi_species_id = 3 THEN 1 ELSE 0 END AS puppy,
+    CASE WHEN {mb} > 48 AND p.vi_species_id = 3 THEN 1 ELSE 0 END AS dogs_over_4
+  FROM patients p JOIN activity a ON a.patient_id = p.patient_id
+  LEFT JOIN (SELECT * FROM {name}_w {wfilter}) w ON w.patient_id = p.patient_id
+  WHERE a.last_active > {d(add_months(end, -months_active))} AND p.is_active AND NOT p.is_deceased
+    AND p.vi_species_id IN {species} AND p.patient_id > 0 {code})"""
+
+
+def nsaid_patients(ctx: RunContext) -> str:
+    return with_ctes(pw_cte(ctx), final="SELECT * FROM pw")
+
+
+def last_dose_patients(ctx: RunContext) -> str:
+    return with_ctes(pw_cte(ctx, dogs_only=False, max_weight=500, months_active=24, code_filter=True),
+                     final="SELECT * FROM pw")
+
+
+def nsaid_clients_cte(ctx: RunContext) -> str:
+    name = lambda c: f"coalesce({_strip(_strip(c, RE_NAME_JUNK), RE_CNTRL)}, 'None Given')"
+    addr = lambda c: _strip(_strip(c, RE_ADDR_JUNK), RE_CNTRL)
+    return f"""ns_cli AS (
+  SELECT * FROM (
+    SELECT c.client_id, c.h_id, {name('c.first_name')} AS first_name, {name('c.last_name')} AS last_name,
+      {_strip('c.title', RE_CNTRL)} AS prefix,
+      coalesce({addr('c.address1')}, 'None Given') AS address1, {addr('c.address2')} AS address2,
+      {_strip('c.city', RE_CNTRL)} AS city, {_strip('c.state', RE_CNTRL)} AS state,
+      {_strip("lpad(substr(CASE WHEN regexp_matches(c.postal_code, '[^0-9]') THEN nullif(regexp_replace(c.postal_code, '[^0-9]', '', 'g'), '') ELSE c.postal_code END, 1, 9), 30, ' ')", RE_CNTRL)} AS postal_code,
+      {_strip("substr(CASE WHEN regexp_matches(c.phone1, '[^0-9]') THEN nullif(regexp_replace(c.phone1, '[^0-9]', '', 'g'), '') ELSE c.phone1 END, 1, 10)", RE_CNTRL)} AS phone1,
+      c.primary_email, h.dogs_over_5, h.canines, h.first_visit
+    FROM clients c JOIN (
+      SELECT client_id, max(dogs_over_5) AS dogs_over_5,
+        count(DISTINCT CASE WHEN vi_species_id = 3 THEN patient_id END) AS canines, min(first_active) AS first_visit
+      FROM pw GROUP BY client_id) h ON h.client_id = c.client_id)
+  WHERE NOT coalesce(first_name = 'None Given' OR last_name = 'None Given' OR address1 = ' ' OR address1 = 'None Given'
+      OR address1 LIKE '%*%' OR address2 LIKE '%*%' OR state IS NULL OR city IS NULL
+      OR regexp_matches(upper(state), '^(AB|BC|MB|NB|NL|NT|NS|NU|ON|PE|QC|SK|YT|PR)')
+      OR postal_code IS NULL OR postal_code LIKE '%0000%' OR postal_code IN ('000000', '0', '00', '000')
+      OR upper(first_name) IN ('OTC', 'OVER THE COUNTER', 'NEW', 'NEW CLIENT', 'TEST')
+      OR upper(last_name) IN ('OTC', 'OVER THE COUNTER', 'CLIENT', 'NEW CLIENT', 'TEST CLIENT')
+      OR upper(address1) IN ('OTC', 'OVER THE COUNTER') OR upper(address2) IN ('OTC', 'OVER THE COUNTER')
+      OR (upper(first_name) = 'CASH' AND upper(last_name) IN ('CLIENT', 'CASH')), false))"""
+
+
+def nsaid_clients(ctx: RunContext) -> str:
+    return with_ctes(pw_cte(ctx), nsaid_clients_cte(ctx), final="SELECT * FROM ns_cli")
+
+
+def nsaid_purchase_file(ctx: RunContext) -> str:
+    end = ctx.end_date
+    start = add_months(end, -12)
+    prods = ", ".join(_q(x) for x in b.NSAID_PRODUCTS)
+    detail = f"""SELECT '2DT' AS record_type,
+    CAST(CASE WHEN s.lineitem_id < 1 THEN 4294967297 - s.lineitem_id ELSE s.lineitem_id END AS VARCHAR) AS lineitem_id,
+    CAST(s.client_id AS VARCHAR) AS client_id,
+    substr(c.first_name, 1, 30) AS first_name, substr(c.last_name, 1, 30) AS last_name,
+    substr(c.address1, 1, 40) AS address1, substr(c.address2, 1, 40) AS address2,
+    substr(c.city, 1, 30) AS city, substr(c.state, 1, 2) AS state, trim(c.postal_code) AS postal_code,
+    CASE WHEN regexp_matches(c.primary_email, {_q('(?i)^[A-Z0-9._%+-]+@[A-Z0-9.-]+[.][A-Z]{2,4}$')}) THEN c.primary_email END AS primary_email,
+    CAST(c.canines AS BIGINT) AS canines, {_mdy('s.invoice_date')} AS purchase_date,
+    CASE WHEN s.product LIKE 'Rimadyl%' THEN 'Rimadyl' ELSE s.product END AS product,
+    {ratio_round('s.quantity', 's.dosage_volume', 4)} AS pills,
+    {_money('s.cost')} AS purchase_price,
+    CAST(coalesce(round(s.weight, 0), 0) AS DOUBLE) AS weight, c.h_id
+  FROM (SELECT n.*, pw.client_id AS pclient, pw.weight FROM nsaid_sales n JOIN pw ON pw.patient_id = n.patient_id
+        WHERE n.invoice_date >= {d(start)} AND n.invoice_date < {d(add_months(end, 1))} AND NOT n.voided
+          AND n.cost <> 0 AND n.product IN ({prods})) s
+  JOIN ns_cli c ON c.client_id = s.pclient"""
+    cols = ["record_type", "lineitem_id", "client_id", "first_name", "last_name", "address1", "address2", "city",
+            "state", "postal_code", "primary_email", "canines", "purchase_date", "product", "pills",
+            "purchase_price", "weight", "h_id"]
+    head = {"record_type": "'1HD'", "lineitem_id": f"'{ctx.as_of.strftime('%m/%d/%Y')}'", "client_id": "account_number",
+            "first_name": "CAST(location_number AS VARCHAR)", "last_name": "substr(clinic_name, 1, 40)", "h_id": "h_id"}
+    types = {"canines": "BIGINT", "pills": "DOUBLE", "weight": "DOUBLE"}
+    def row(vals):
+        return ", ".join(f"{vals.get(c, f'CAST(NULL AS {types.get(c, chr(86) + chr(65) + chr(82) + chr(67) + chr(72) + chr(65) + chr(82))})')} AS {c}" for c in cols)
+    trail = {"record_type": "'3TR'", "lineitem_id": "CAST(coalesce(n.n, 0) + 2 AS VARCHAR)", "h_id": "c.h_id"}
+    final = f"""SELECT * FROM ({detail})
+UNION ALL SELECT {row(head)} FROM clinics
+UNION ALL SELECT {row(trail)} FROM clinics c LEFT JOIN (SELECT h_id, count(*) AS n FROM ({detail}) GROUP BY h_id) n ON n.h_id = c.h_id"""
+    return with_ctes(pw_cte(ctx), nsaid_clients_cte(ctx), final=final)

@@ -127,3 +127,17 @@ def q_consumer_clients(spark, sf_dir):
 @register("consumer_report", O.consumer_report(CTX))
 def q_consumer_report(spark, sf_dir):
     return consumer.consumer_report(_t(spark, sf_dir), CTX)
+
+
+# ---------------------------------------------------------------- NSAID
+from . import nsaid  # noqa: E402
+
+for _name, _fn, _oracle in [
+    ("consumer_nsaid", nsaid.consumer_nsaid, O.consumer_nsaid),
+    ("consumer_nsaid_metrics", nsaid.consumer_nsaid_metrics, O.consumer_nsaid_metrics),
+    ("nsaid_patients", nsaid.patients_with_weight, O.nsaid_patients),
+    ("last_dose_patients", nsaid.last_dose_patients, O.last_dose_patients),
+    ("nsaid_clients", nsaid.nsaid_clients, O.nsaid_clients),
+    ("nsaid_purchase_file", nsaid.nsaid_purchase_file, O.nsaid_purchase_file),
+]:
+    register(_name, _oracle(CTX))((lambda f: lambda spark, sf_dir: f(_t(spark, sf_dir), CTX))(_fn))

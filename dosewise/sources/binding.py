@@ -64,6 +64,19 @@ SURGERY_EVENT = "error"
 NSAID_SALE_EVENT = "purchase"
 VITALS_EVENT = "view"
 WEIGHT_UNITS = ["lbs", "pounds", "Ounces", "kilograms", "grams", "stone"]
+# Events are dated January 2024; orders end in 2001. Event days are moved
+# back by a fixed number of days so January 2024 lands on June 2001, the
+# last full month of the default run, and both streams share one timeline.
+EVENT_SHIFT_DAYS = (date(2024, 1, 1) - date(2001, 6, 1)).days
+# The NSAID products of the purchase file; sale events cycle
+# through them plus one product outside the list.
+NSAID_PRODUCTS = [
+    "Novox", "Deramaxx", "Previcox", "Etogesic", "Zubrin", "Onsior", "Vetprofen",
+    "Rimadyl Caplet", "Rimadyl Chewable Tablet", "Carprofen",
+]
+NSAID_EXTRA_PRODUCT = "Metacam"
+# Surgery families (k % 10 of the event) that excuse short NSAID courses.
+EXCUSED_SURGERY_FAMILIES = [0, 1, 2, 3, 4, 5, 6]
 
 
 def _map(col: Column, mapping: dict, default=None) -> Column:
@@ -103,6 +116,7 @@ def clinics(t: Tables) -> DataFrame:
             _pick(REC_LEVELS, (n + 2) % 4).alias("dose_rec_ft_cat"),
             _pick(REC_LEVELS, (n + 3) % 4).alias("dose_rec_hw_cat"),
             F.date_add(F.lit(date(2001, 1, 1)), (n * 5).cast("int")).alias("start_date"),
+            F.concat(F.lit("ACC"), F.lpad(n.cast("string"), 5, "0")).alias("account_number"),
         )
     )
 
@@ -124,6 +138,7 @@ def patients(t: Tables) -> DataFrame:
         (F.col("c_acctbal") >= 0).alias("is_active"),
         ((k % 17) == 0).alias("is_deceased"),
         F.col("c_name").alias("pet_name"),
+        F.when((k % 7) == 0, F.lit(None).cast("long")).otherwise(k % 6).alias("pms_code"),
     )
 
 
@@ -246,7 +261,11 @@ def line_cost() -> Column:
 
 # ---------------------------------------------------------------- events
 def _event_day(ts: str = "ts") -> Column:
-    return F.col(ts).cast("date")
+    return F.date_sub(F.col(ts).cast("date"), EVENT_SHIFT_DAYS)
+
+
+def _event_ts(ts: str = "ts") -> Column:
+    return F.col(ts) - F.expr(f"INTERVAL {EVENT_SHIFT_DAYS} DAYS")
 
 
 def event_k() -> Column:
@@ -263,9 +282,9 @@ def surgeries(t: Tables) -> DataFrame:
     return e.select(
         F.col("user_id").alias("patient_id"),
         _event_day().alias("surgery_date"),
-        F.col("ts").alias("surgery_ts"),
-        # seven of ten families count as surgeries that excuse short courses
+        _event_ts().alias("surgery_ts"),
         (event_k() % 10).alias("surgery_family"),
+        F.col("value").cast("decimal(18,2)").alias("cost"),
     )
 
 
@@ -278,10 +297,12 @@ def nsaid_sales(t: Tables) -> DataFrame:
         F.col("user_id").alias("patient_id"),
         F.floor(F.col("user_id") / 3).cast("long").alias("client_id"),
         _event_day().alias("invoice_date"),
-        F.col("ts").alias("invoice_ts"),
+        _event_ts().alias("invoice_ts"),
         event_k().alias("quantity"),
         F.col("value").cast("decimal(18,2)").alias("cost"),
         (F.col("user_id") % 3 + 1).cast("int").alias("dosage_volume"),
+        _pick(NSAID_PRODUCTS + [NSAID_EXTRA_PRODUCT], F.col("event_id") % (len(NSAID_PRODUCTS) + 1)).alias("product"),
+        (F.col("event_id") % 13 == 0).alias("voided"),
     )
 
 
@@ -291,6 +312,6 @@ def vitals(t: Tables) -> DataFrame:
         F.col("user_id").alias("patient_id"),
         F.get_json_object(F.col("props"), "$.k").alias("weight"),
         _pick(WEIGHT_UNITS, F.col("event_id") % len(WEIGHT_UNITS)).alias("weight_unit"),
-        F.col("ts").alias("visit_date"),
+        _event_ts().alias("visit_date"),
         F.col("event_id").alias("vital_id"),
     )
