@@ -32,8 +32,16 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
+_TABLES: dict = {}
+
+
 def _t(spark, sf_dir) -> Tables:
-    return Tables(spark, sf_dir)
+    """One reader set per (session, folder): Parquet footers and file
+    listings are resolved once and shared by all queries."""
+    key = (id(spark), sf_dir)
+    if key not in _TABLES:
+        _TABLES[key] = Tables(spark, sf_dir)
+    return _TABLES[key]
 
 
 # ------------------------------------------------------------------ PSR

@@ -20,6 +20,8 @@ SQL_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # no Python call-site capture on every DataFrame/Column call
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
