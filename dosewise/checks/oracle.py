@@ -1055,3 +1055,199 @@ def nsaid_purchase_file(ctx: RunContext) -> str:
 UNION ALL SELECT {row(head)} FROM clinics
 UNION ALL SELECT {row(trail)} FROM clinics c LEFT JOIN (SELECT h_id, count(*) AS n FROM ({detail}) GROUP BY h_id) n ON n.h_id = c.h_id"""
     return with_ctes(pw_cte(ctx), nsaid_clients_cte(ctx), final=final)
+
+
+# ------------------------------------------------------------------ PPR
+def ppr_periods(ctx: RunContext):
+    y = ctx.end_date.year
+    return [(f"Total {y}", -2, 0), (f"Total {y - 1}", -14, -12)]
+
+
+def _period_sql(month: str, ctx: RunContext) -> str:
+    parts = " ".join(f"WHEN {month} BETWEEN {d(ctx.month(a))} AND {d(ctx.month(z))} THEN '{n}'" for n, a, z in ppr_periods(ctx))
+    return f"CASE {parts} END"
+
+
+def ppr_ctes(ctx: RunContext) -> list[str]:
+    lo, hi = ctx.month(-14), ctx.month(1)
+    ftype = ("CASE WHEN pr.type IS NOT NULL AND l.quantity_norm IS NOT NULL AND l.quantity_norm <> 0 "
+             "AND l.cost <> 0 THEN pr.type END")
+    mon = "CAST(date_trunc('month', l.invoice_date) AS DATE)"
+    return [f"""ppm_raw AS (
+  SELECT {_period_sql(mon, ctx)} AS time_period, p.h_id, l.patient_id, p.vi_species_id, {mon} AS month,
+    sum(CASE WHEN {ftype} IN ('f','ft','fh') THEN l.quantity_norm ELSE 0 END) AS ft_doses,
+    sum(CASE WHEN {ftype} IN ('h','fh') THEN l.quantity_norm ELSE 0 END) AS hw_doses,
+    round(sum(CASE WHEN {ftype} = 'fh' THEN l.cost * CAST(0.66 AS DECIMAL(3,2)) WHEN {ftype} IN ('f','ft') THEN l.cost ELSE 0 END), 2) AS ft_rev,
+    round(sum(CASE WHEN {ftype} = 'fh' THEN l.cost * CAST(0.33 AS DECIMAL(3,2)) WHEN {ftype} = 'h' THEN l.cost ELSE 0 END), 2) AS hw_rev,
+    count(DISTINCT l.invoice_date) AS visits,
+    count(DISTINCT CASE WHEN {ftype} IN ('f','ft','fh') THEN l.invoice_date END) AS ft_visits,
+    count(DISTINCT CASE WHEN {ftype} IN ('h','fh') THEN l.invoice_date END) AS hw_visits,
+    count(w.is_wellness) AS wellness
+  FROM lines l JOIN patients p ON p.patient_id = l.patient_id
+  LEFT JOIN products pr ON pr.service_id = l.service_id
+  LEFT JOIN wellness w ON w.service_id = l.service_id
+  WHERE l.invoice_date >= {d(lo)} AND l.invoice_date < {d(hi)} AND NOT l.voided AND p.vi_species_id IN (3, 7)
+    AND {_period_sql(mon, ctx)} IS NOT NULL
+  GROUP BY 1, 2, 3, 4, 5),
+ppm AS (
+  SELECT * FROM (
+    SELECT time_period, h_id, patient_id, vi_species_id, month,
+      CASE WHEN ft_doses <= 0 THEN NULL ELSE ft_doses END AS ft_doses,
+      CASE WHEN hw_doses <= 0 THEN NULL ELSE hw_doses END AS hw_doses,
+      CASE WHEN ft_doses <= 0 THEN NULL ELSE ft_rev END AS ft_rev,
+      CASE WHEN hw_doses <= 0 THEN NULL ELSE hw_rev END AS hw_rev,
+      visits, ft_visits, hw_visits,
+      sum(wellness) OVER (PARTITION BY time_period, h_id, patient_id) AS wellness_care
+    FROM ppm_raw) WHERE wellness_care > 0),
+ppm_m AS (
+  SELECT time_period, h_id, patient_id, vi_species_id, month, visits, 'Flea/Tick' AS report_name,
+         ft_doses AS doses, ft_rev AS rev, ft_visits AS mkt_visits FROM ppm
+  UNION ALL
+  SELECT time_period, h_id, patient_id, vi_species_id, month, visits, 'Heartworm', hw_doses, hw_rev, hw_visits FROM ppm)"""]
+
+
+def ppr_patient_master(ctx: RunContext) -> str:
+    return with_ctes(*ppr_ctes(ctx), final="""SELECT time_period, h_id, patient_id, vi_species_id, month,
+  CAST(ft_doses AS BIGINT) AS ft_doses, CAST(hw_doses AS BIGINT) AS hw_doses,
+  CAST(ft_rev AS DOUBLE) AS ft_rev, CAST(hw_rev AS DOUBLE) AS hw_rev,
+  visits, ft_visits, hw_visits, CAST(wellness_care AS BIGINT) AS wellness_care FROM ppm""")
+
+
+def ppr_pm2_cte(ctx: RunContext) -> str:
+    lo, hi = ctx.month(-14), ctx.month(1)
+    mon = "CAST(date_trunc('month', l.invoice_date) AS DATE)"
+    return f"""ppm2 AS (
+  SELECT {_period_sql(mon, ctx)} AS time_period, p.h_id, p.vi_species_id, pr.family_name,
+    CASE WHEN pr.type = 'f' THEN 'ft' ELSE pr.type END AS type,
+    count(DISTINCT p.patient_id) AS patients, CAST(sum(l.quantity_norm) AS BIGINT) AS doses
+  FROM lines l JOIN patients p ON p.patient_id = l.patient_id
+  JOIN products pr ON pr.service_id = l.service_id AND pr.type IS NOT NULL
+  WHERE l.invoice_date >= {d(lo)} AND l.invoice_date < {d(hi)} AND NOT l.voided AND p.vi_species_id IN (3, 7)
+    AND l.quantity_norm IS NOT NULL AND l.quantity_norm <> 0 AND l.cost <> 0
+    AND EXISTS (SELECT 1 FROM ppm WHERE ppm.patient_id = l.patient_id AND ppm.h_id = p.h_id
+                AND ppm.time_period = {_period_sql(mon, ctx)})
+  GROUP BY 1, 2, 3, 4, 5)"""
+
+
+def ppr_product_master(ctx: RunContext) -> str:
+    return with_ctes(*ppr_ctes(ctx), ppr_pm2_cte(ctx), final="SELECT * FROM ppm2")
+
+
+def _ppr_metrics(src: str, key: str) -> str:
+    return f"""SELECT h_id, vi_species_id, report_name, {key} AS col_key,
+    count(DISTINCT patient_id) AS unique_patients,
+    count(DISTINCT patient_id) - count(DISTINCT CASE WHEN doses IS NOT NULL THEN patient_id END) AS unique_pat_no_prod,
+    count(DISTINCT CASE WHEN doses IS NOT NULL THEN patient_id END) AS unique_pat_with_prod,
+    sum(doses) AS prod_doses, sum(mkt_visits) AS trans,
+    CASE WHEN sum(mkt_visits) = 0 THEN 0.0 ELSE {ratio_round('sum(doses)', 'sum(mkt_visits)', 2, when_null=None)} END AS prod_doses_per_trans,
+    sum(rev) AS rev
+  FROM {src} GROUP BY h_id, vi_species_id, report_name, {key}"""
+
+
+def ppr_t1_pre(ctx: RunContext) -> str:
+    body = _ppr_metrics("ppm_m", "time_period").replace("AS col_key", "AS time_period")
+    return with_ctes(*ppr_ctes(ctx), final=f"""SELECT h_id, vi_species_id, report_name, time_period, unique_patients,
+  unique_pat_no_prod, unique_pat_with_prod, prod_doses, trans, prod_doses_per_trans, CAST(rev AS DOUBLE) AS rev
+FROM ({body})""")
+
+
+def ppr_t1(ctx: RunContext) -> str:
+    from ..plans.ppr import METRICS, report_columns
+
+    cols = report_columns(ctx)
+    vals = ", ".join(
+        f"({o}, {_q(desc)}, {('NULL' if key is None else _q(str(key)))}, {_q(year)})" for o, desc, key, year in cols)
+    monthly = _ppr_metrics("ppm_m", "CAST(month AS VARCHAR)")
+    totals = _ppr_metrics("ppm_m", "time_period")
+    w = "OVER (PARTITION BY g.h_id, g.species, g.report_name ORDER BY g.column_order)"
+
+    def pc(m):
+        l1, l2 = f"lag(v.{m}, 1) {w}", f"lag(v.{m}, 2) {w}"
+        chg = (f"CASE WHEN {l2} = 0 THEN 0.0 WHEN {l1} IS NULL OR {l1} = 0 THEN -1.0 "
+               f"ELSE {ratio_round(f'{l1} - {l2}', l2, 3, 2, when_null=None)} END")
+        return (f"coalesce(CASE WHEN g.column_order IN (3, 6, 9, 12) THEN {chg} "
+                f"ELSE coalesce(CAST(v.{m} AS DOUBLE), 0.0) END, 0.0) AS {m}")
+
+    final = f"""SELECT g.h_id, g.species, g.report_name,
+  CASE WHEN g.column_order <= 3 THEN 'Summary Totals: ' || g.descr ELSE g.descr END AS report_month,
+  g.column_order, {', '.join(pc(m) for m in METRICS)}, g.report_year_desc, {d(ctx.end_date)} AS end_date
+FROM (SELECT c.h_id, s.species, mk.report_name, rc.column_order, rc.descr, rc.col_key, rc.report_year_desc
+      FROM clinics c, (VALUES ('Canine'), ('Feline')) s(species), (VALUES ('Flea/Tick'), ('Heartworm')) mk(report_name),
+           (VALUES {vals}) rc(column_order, descr, col_key, report_year_desc)) g
+LEFT JOIN (SELECT *, CASE WHEN vi_species_id = 3 THEN 'Canine' ELSE 'Feline' END AS species
+           FROM ({monthly} UNION ALL {totals})) v
+  ON v.h_id = g.h_id AND v.species = g.species AND v.report_name = g.report_name AND v.col_key = g.col_key"""
+    return with_ctes(*ppr_ctes(ctx), final=final)
+
+
+def ppr_patient_period_cte(ctx: RunContext) -> str:
+    return """ppp AS (
+  SELECT time_period, substr(time_period, 7, 4) AS report_year, g.h_id, patient_id,
+    CASE WHEN vi_species_id = 3 THEN 'Canine' ELSE 'Feline' END AS species, report_name, doses, rev, rec,
+    CASE WHEN rec - doses < 0 THEN 0 WHEN rec - doses > rec THEN rec ELSE rec - doses END AS missed_doses,
+    rec > doses AS non_compliant
+  FROM (SELECT m.time_period, m.h_id, m.patient_id, m.vi_species_id, m.report_name,
+          sum(coalesce(m.doses, 0)) AS doses, sum(m.rev) AS rev,
+          coalesce(CASE WHEN m.report_name = 'Heartworm' THEN CASE WHEN m.vi_species_id = 3 THEN c.dose_rec_hw_dog ELSE c.dose_rec_hw_cat END
+                        ELSE CASE WHEN m.vi_species_id = 3 THEN c.dose_rec_ft_dog ELSE c.dose_rec_ft_cat END END, 0) AS rec
+        FROM ppm_m m LEFT JOIN clinics c ON c.h_id = m.h_id
+        GROUP BY m.time_period, m.h_id, m.patient_id, m.vi_species_id, m.report_name, rec) g)"""
+
+
+def ppr_t2(ctx: RunContext) -> str:
+    years = ", ".join(f"('{p[0][6:10]}')" for p in ppr_periods(ctx))
+    rec = ("coalesce(CASE WHEN g.report_name = 'Heartworm' THEN CASE WHEN g.species = 'Canine' THEN c.dose_rec_hw_dog ELSE c.dose_rec_hw_cat END "
+           "ELSE CASE WHEN g.species = 'Canine' THEN c.dose_rec_ft_dog ELSE c.dose_rec_ft_cat END END, 0)")
+    final = f"""SELECT g.h_id, g.species, g.report_name, g.report_year, CAST(g.doses_received AS BIGINT) AS doses_received,
+  CAST(CASE WHEN {rec} - g.doses_received < 0 THEN 0 ELSE {rec} - g.doses_received END AS BIGINT) AS missed_doses,
+  coalesce(a.unique_patients, 0) AS unique_patients, CAST(coalesce(a.total_missed_doses, 0) AS BIGINT) AS total_missed_doses
+FROM (SELECT c.h_id, s.species, mk.report_name, y.report_year, dr.doses_received
+      FROM clinics c, (VALUES ('Canine'), ('Feline')) s(species), (VALUES ('Flea/Tick'), ('Heartworm')) mk(report_name),
+           (VALUES {years}) y(report_year), range(14) dr(doses_received)) g
+JOIN clinics c ON c.h_id = g.h_id
+LEFT JOIN (SELECT h_id, species, report_name, report_year,
+             CASE WHEN doses < 0 THEN 0 WHEN doses <= 12 THEN doses ELSE 13 END AS doses_received,
+             count(DISTINCT patient_id) AS unique_patients, sum(missed_doses) AS total_missed_doses
+           FROM ppp GROUP BY 1, 2, 3, 4, 5) a
+  ON a.h_id = g.h_id AND a.species = g.species AND a.report_name = g.report_name AND a.report_year = g.report_year
+  AND a.doses_received = g.doses_received"""
+    return with_ctes(*ppr_ctes(ctx), ppr_patient_period_cte(ctx), final=final)
+
+
+def ppr_t4(ctx: RunContext) -> str:
+    years = ", ".join(f"('{p[0][6:10]}')" for p in ppr_periods(ctx))
+    final = f"""SELECT g.h_id, g.report_year AS time_period, g.species, g.report_name, 'Total ' || g.report_year AS report_time_period,
+  coalesce(count(DISTINCT CASE WHEN p.non_compliant THEN p.patient_id END), 0) AS non_compliant_patients,
+  CAST(coalesce(sum(p.missed_doses), 0) AS BIGINT) AS total_missed_doses,
+  {ratio_round('sum(p.rev)', 'sum(p.doses)', 2, 2)} AS avg_price_per_dose,
+  {ratio_round('sum(p.missed_doses) * sum(p.rev)', 'sum(p.doses)', 2, 2)} AS pot_addl_rev,
+  CAST(coalesce(sum(p.rev), 0) AS DOUBLE) AS actual_rev
+FROM (SELECT c.h_id, y.report_year, s.species, mk.report_name
+      FROM clinics c, (VALUES {years}) y(report_year), (VALUES ('Canine'), ('Feline')) s(species),
+           (VALUES ('Flea/Tick'), ('Heartworm')) mk(report_name)) g
+LEFT JOIN ppp p ON p.h_id = g.h_id AND p.report_year = g.report_year AND p.species = g.species AND p.report_name = g.report_name
+GROUP BY 1, 2, 3, 4, 5"""
+    return with_ctes(*ppr_ctes(ctx), ppr_patient_period_cte(ctx), final=final)
+
+
+def ppr_t5(ctx: RunContext) -> str:
+    src = """SELECT h_id, 'Heartworm' AS report_name, CASE WHEN vi_species_id = 3 THEN 'Canine' ELSE 'Feline' END AS species,
+      time_period, family_name, doses FROM ppm2 WHERE type IN ('fh', 'h')
+    UNION ALL
+    SELECT h_id, 'Flea/Tick', CASE WHEN vi_species_id = 3 THEN 'Canine' ELSE 'Feline' END, time_period, family_name, doses
+    FROM ppm2 WHERE type IN ('fh', 'ft')"""
+    cell = "h_id, report_name, species, time_period"
+    fam = f"""SELECT {cell}, family_name, qty,
+      {sr('qty', f'CASE WHEN sum(qty) OVER (PARTITION BY {cell}) = 0 THEN 1 ELSE sum(qty) OVER (PARTITION BY {cell}) END', 3)} AS pct
+    FROM (SELECT {cell}, family_name, sum(doses) AS qty FROM ({src}) GROUP BY {cell}, family_name)"""
+    r1 = f"dense_rank() OVER (PARTITION BY {cell} ORDER BY CASE WHEN family_name IN {PRIO} THEN 1 ELSE 2 END, qty DESC, family_name)"
+    r2 = f"dense_rank() OVER (PARTITION BY {cell} ORDER BY qty DESC, family_name)"
+    ranked = f"""SELECT {cell}, pct, CASE WHEN {r1} >= 6 THEN 'Other ' || report_name ELSE family_name END AS fam,
+      least({r1}, 6) AS row_order, least({r2}, 6) AS mrank FROM ({fam})"""
+    g = f"SELECT {cell}, fam, sum(pct) AS units, min(row_order) AS row_order, min(mrank) AS mrank FROM ({ranked}) GROUP BY {cell}, fam"
+    s = f"sum(units) OVER (PARTITION BY {cell})"
+    final = f"""SELECT {cell}, CASE WHEN fam LIKE 'Other%' THEN fam ELSE upper(fam) || '®' END AS product_name,
+  CAST(row_order AS BIGINT) AS row_order,
+  (CASE WHEN mrank = 1 AND {s} <> 1000 THEN units + (1000 - {s}) ELSE units END) / 1000.0 AS dose_pct
+FROM ({g})"""
+    return with_ctes(*ppr_ctes(ctx), ppr_pm2_cte(ctx), final=final)

@@ -149,3 +149,28 @@ for _name, _fn, _oracle in [
     ("nsaid_purchase_file", nsaid.nsaid_purchase_file, O.nsaid_purchase_file),
 ]:
     register(_name, _oracle(CTX))((lambda f: lambda spark, sf_dir: f(_t(spark, sf_dir), CTX))(_fn))
+
+
+# ------------------------------------------------------------------ PPR
+from . import ppr  # noqa: E402
+
+
+@register("ppr_patient_master", O.ppr_patient_master(CTX))
+def q_ppr_patient_master(spark, sf_dir):
+    pm = ppr.patient_master(_t(spark, sf_dir), CTX)
+    return pm.select(
+        "time_period", "h_id", "patient_id", "vi_species_id", "month",
+        F.col("ft_doses").cast("long").alias("ft_doses"), F.col("hw_doses").cast("long").alias("hw_doses"),
+        F.col("ft_rev").cast("double").alias("ft_rev"), F.col("hw_rev").cast("double").alias("hw_rev"),
+        "visits", "ft_visits", "hw_visits", F.col("wellness_care").cast("long").alias("wellness_care"))
+
+
+for _name, _fn, _oracle in [
+    ("ppr_product_master", ppr.product_master, O.ppr_product_master),
+    ("ppr_t1_pre", ppr.t1_pre, O.ppr_t1_pre),
+    ("ppr_t1_trend", ppr.t1_trend, O.ppr_t1),
+    ("ppr_t2_histogram", ppr.t2_histogram, O.ppr_t2),
+    ("ppr_t4_revenue", ppr.t4_revenue, O.ppr_t4),
+    ("ppr_t5_dose_share", ppr.t5_dose_share, O.ppr_t5),
+]:
+    register(_name, _oracle(CTX))((lambda f: lambda spark, sf_dir: f(_t(spark, sf_dir), CTX))(_fn))
