@@ -1251,3 +1251,149 @@ def ppr_t5(ctx: RunContext) -> str:
   (CASE WHEN mrank = 1 AND {s} <> 1000 THEN units + (1000 - {s}) ELSE units END) / 1000.0 AS dose_pct
 FROM ({g})"""
     return with_ctes(*ppr_ctes(ctx), ppr_pm2_cte(ctx), final=final)
+
+
+# ------------------------------------------------------------ LAST DOSE
+def ld_ctes(ctx: RunContext) -> list[str]:
+    from ..operators import contact as cl
+
+    flag = ctx.end_date.year - 1995
+    fallback = add_months(ctx.end_date, -12)
+    name = lambda c: f"coalesce({_strip(_strip(c, RE_NAME_JUNK), RE_NAME_CHARS)}, 'None Given')"
+    addr = lambda c: _strip(_strip(c, RE_ADDR_JUNK), RE_CNTRL)
+
+    def isin(c, vals):
+        return f"upper({c}) IN ({', '.join(_q(v) for v in vals)})"
+
+    def infix(c, parts):
+        return "(" + " OR ".join(f"contains(upper({c}), {_q(p)})" for p in parts) + ")"
+
+    more = cl.EXTRA_PLACEHOLDERS
+    deny = " OR ".join([
+        isin("first_name", cl.FIRST_NAME_EXACT), infix("first_name", cl.NAME_INFIX),
+        isin("last_name", cl.LAST_NAME_EXACT + more), infix("last_name", cl.NAME_INFIX),
+        isin("address1", cl.ADDRESS1_EXACT + more), "contains(upper(address1), '*')",
+        isin("address2", cl.ADDRESS2_EXACT + cl.EXTRA_ADDRESS2), infix("address2", cl.ADDRESS2_INFIX),
+        "(upper(first_name) = 'CASH' AND upper(last_name) IN ('CLIENT', 'CASH'))",
+    ])
+    fams = ", ".join(str(x) for x in b.EXCUSED_SURGERY_FAMILIES)
+    prods = ", ".join(_q(x) for x in b.NSAID_PRODUCTS)
+    end_excl = add_months(ctx.end_date, 1)
+    return [
+        pw_cte(ctx, dogs_only=False, max_weight=500, months_active=24, code_filter=True, name="ldp"),
+        f"""hist AS (
+  SELECT p.h_id, p.h_id * 100 + (year(l.invoice_date) - 1995) AS run_id, year(l.invoice_date) - 1995 AS update_flag,
+         l.client_id, l.patient_id, p.vi_species_id, l.invoice_date
+  FROM lines l JOIN patients p ON p.patient_id = l.patient_id
+  WHERE l.invoice_date < {d(ctx.end_date.replace(month=1, day=1))} AND NOT l.voided AND l.quantity_norm <> 0
+    AND l.service_id IN (SELECT service_id FROM products WHERE type IS NOT NULL))""",
+        f"""ld_start AS (
+  SELECT c.h_id, coalesce(r.last_delivered + 1, {d(fallback)}) AS start_date
+  FROM clinics c LEFT JOIN (
+    SELECT h_id, max(invoice_date) AS last_delivered FROM hist
+    WHERE run_id = (SELECT max(run_id) FROM hist h2 WHERE h2.h_id = hist.h_id AND h2.update_flag < {flag})
+    GROUP BY h_id) r ON r.h_id = c.h_id)""",
+        f"""ld_cli AS (
+  SELECT * FROM (
+    SELECT c.client_id, c.h_id, {name('c.first_name')} AS first_name, {name('c.last_name')} AS last_name,
+      {_strip('c.title', RE_CNTRL)} AS prefix,
+      coalesce({addr('c.address1')}, 'None Given') AS address1, {addr('c.address2')} AS address2,
+      {_strip('c.city', RE_CNTRL)} AS city, {_strip('c.state', RE_CNTRL)} AS state,
+      {_strip("lpad(substr(CASE WHEN regexp_matches(c.postal_code, '[^0-9]') THEN nullif(regexp_replace(c.postal_code, '[^0-9]', '', 'g'), '') ELSE c.postal_code END, 1, 9), 30, ' ')", RE_CNTRL)} AS postal_code,
+      {_strip("substr(CASE WHEN regexp_matches(c.phone1, '[^0-9]') THEN nullif(regexp_replace(c.phone1, '[^0-9]', '', 'g'), '') ELSE c.phone1 END, 1, 10)", RE_CNTRL)} AS phone1,
+      replace({_strip('c.primary_email', RE_NAME_CHARS)}, chr(10), ' ') AS primary_email,
+      h.dogs_over_6, CAST(h.dogs_over_4 AS BIGINT) AS dogs_over_4, h.puppy, h.canines, h.felines, h.first_visit
+    FROM clients c JOIN (
+      SELECT client_id, max(dogs_over_6) AS dogs_over_6, sum(dogs_over_4) AS dogs_over_4, max(puppy) AS puppy,
+        count(DISTINCT CASE WHEN vi_species_id = 3 THEN patient_id END) AS canines,
+        count(DISTINCT CASE WHEN vi_species_id = 7 THEN patient_id END) AS felines,
+        min(first_active) AS first_visit
+      FROM ldp GROUP BY client_id) h ON h.client_id = c.client_id)
+  WHERE NOT coalesce(state IS NULL OR city IS NULL
+      OR regexp_matches(upper(state), '^(AB|BC|MB|NB|NL|NT|NS|NU|ON|PE|QC|SK|YT|PR)')
+      OR postal_code IS NULL OR postal_code LIKE '%0000%' OR postal_code IN ('000000', '0', '00', '000')
+      OR {deny}, false))""",
+        f"""ld_pur AS (
+  SELECT l.l_orderkey AS lineitem_id, l.patient_id, p.client_id, p.h_id, l.invoice_date, pr.family_name AS product,
+    CAST(l.quantity_norm AS DECIMAL(18,4)) AS quantity, CAST(l.cost AS DECIMAL(18,4)) AS cost,
+    CAST(NULL AS DECIMAL(18,4)) AS pills,
+    CASE WHEN EXISTS (SELECT 1 FROM appointments a WHERE a.patient_id = l.patient_id AND a.appointment_date = l.invoice_date)
+         THEN 'Y' ELSE 'N' END AS appointment_flag, pr.type
+  FROM lines l JOIN products pr ON pr.service_id = l.service_id AND pr.type IS NOT NULL
+  JOIN ldp p ON p.patient_id = l.patient_id JOIN ld_start s ON s.h_id = p.h_id
+  WHERE NOT l.voided AND l.quantity_norm <> 0 AND l.invoice_date < {d(end_excl)}
+    AND l.invoice_date >= CAST(date_trunc('month', s.start_date) AS DATE)
+  UNION ALL
+  SELECT n.lineitem_id, n.patient_id, p.client_id, p.h_id, n.invoice_date, n.product,
+    CAST(CASE WHEN n.quantity IS NULL OR n.quantity = 0 THEN 1 ELSE n.quantity END AS DECIMAL(18,4)),
+    CAST(n.cost AS DECIMAL(18,4)),
+    CAST(CASE WHEN round(CAST(CASE WHEN n.quantity IS NULL OR n.quantity = 0 THEN 1 ELSE n.quantity END AS DECIMAL(18,4)) / CAST(n.dosage_volume AS DECIMAL(18,4)), 1) = 0 THEN 1
+              ELSE round(CAST(CASE WHEN n.quantity IS NULL OR n.quantity = 0 THEN 1 ELSE n.quantity END AS DECIMAL(18,4)) / CAST(n.dosage_volume AS DECIMAL(18,4)), 1) END AS DECIMAL(18,4)),
+    CASE WHEN EXISTS (SELECT 1 FROM appointments a WHERE a.patient_id = n.patient_id AND a.appointment_date = n.invoice_date)
+         THEN 'Y' ELSE 'N' END, 'NSAID'
+  FROM nsaid_sales n JOIN ldp p ON p.patient_id = n.patient_id JOIN ld_start s ON s.h_id = p.h_id
+  WHERE NOT n.voided AND n.invoice_date < {d(end_excl)} AND n.product IN ({prods})
+    AND n.invoice_date >= CAST(date_trunc('month', s.start_date) AS DATE)
+    AND NOT ({_pills_below_sql('n.quantity', 'n.dosage_volume', 10)} AND EXISTS (
+      SELECT 1 FROM surgeries g WHERE g.patient_id = n.patient_id AND g.surgery_family IN ({fams}) AND g.cost > 0
+        AND n.invoice_date BETWEEN g.surgery_date - 5 AND g.surgery_date + 5)))""",
+    ]
+
+
+def last_dose_start(ctx: RunContext) -> str:
+    return with_ctes(*ld_ctes(ctx), final="SELECT * FROM ld_start")
+
+
+def last_dose_clients(ctx: RunContext) -> str:
+    return with_ctes(*ld_ctes(ctx), final="SELECT * FROM ld_cli")
+
+
+def last_dose_file(ctx: RunContext) -> str:
+    mb = months_between(d(ctx.end_date), "pa.dob")
+    detail = f"""SELECT DISTINCT '2DT' AS record_type,
+    CAST(CASE WHEN u.lineitem_id < 1 THEN 4294967297 - u.lineitem_id ELSE u.lineitem_id END AS VARCHAR) AS lineitem_id,
+    CAST(c.client_id AS VARCHAR) AS client_id, substr(c.first_name, 1, 30) AS first_name, substr(c.last_name, 1, 30) AS last_name,
+    substr(c.address1, 1, 40) AS address1, substr(c.address2, 1, 40) AS address2, substr(c.city, 1, 30) AS city,
+    substr(c.state, 1, 2) AS state, trim(c.postal_code) AS postal_code,
+    CASE WHEN regexp_matches(c.primary_email, {_q('(?i)^[A-Z0-9._%+-]+@[A-Z0-9.-]+[.][A-Z]{2,4}$')}) THEN c.primary_email END AS primary_email,
+    CAST(c.canines AS BIGINT) AS canines, CAST(c.felines AS BIGINT) AS felines,
+    {_mdy('u.invoice_date')} AS invoice_date,
+    CASE WHEN u.type IN ('fh', 'fth') THEN 'COMBO' WHEN u.type IN ('f', 'ft') THEN 'FLEATICK' WHEN u.type = 'h' THEN 'HEARTWORM' ELSE u.type END AS product_category,
+    u.product AS family_name,
+    CAST(round(CASE WHEN u.type <> 'NSAID' THEN u.quantity ELSE u.pills END, 1) AS DOUBLE) AS quantity_norm,
+    {_money('u.cost')} AS cost_norm, u.appointment_flag AS appointment, c.h_id,
+    CAST(CASE WHEN pa.vi_species_id = 3 AND u.product = 'Previcox' THEN u.pills END AS DOUBLE) AS pills,
+    CAST(CASE WHEN pa.vi_species_id = 3 THEN least(greatest(floor({mb} / 12), 0), 99) END AS BIGINT) AS age_years,
+    CAST(CASE WHEN pa.vi_species_id = 3 THEN round(p.weight, 0) END AS DOUBLE) AS weight,
+    CAST(c.dogs_over_4 AS BIGINT) AS dogs_over_4
+  FROM ld_cli c JOIN ld_pur u ON u.client_id = c.client_id
+  JOIN ldp p ON p.patient_id = u.patient_id JOIN patients pa ON pa.patient_id = u.patient_id"""
+    cols = ["record_type", "lineitem_id", "client_id", "first_name", "last_name", "address1", "address2", "city",
+            "state", "postal_code", "primary_email", "canines", "felines", "invoice_date", "product_category",
+            "family_name", "quantity_norm", "cost_norm", "appointment", "h_id", "pills", "age_years", "weight",
+            "dogs_over_4"]
+    types = {"canines": "BIGINT", "felines": "BIGINT", "quantity_norm": "DOUBLE", "pills": "DOUBLE",
+             "age_years": "BIGINT", "weight": "DOUBLE", "dogs_over_4": "BIGINT"}
+
+    def row(vals):
+        return ", ".join(f"{vals.get(c, 'CAST(NULL AS ' + types.get(c, 'VARCHAR') + ')')} AS {c}" for c in cols)
+
+    head = {"record_type": "'1HD'", "lineitem_id": f"'{ctx.end_date.year - 1995 + 1}'", "client_id": "account_number",
+            "first_name": "CAST(location_number AS VARCHAR)", "last_name": "substr(clinic_name, 1, 40)", "h_id": "h_id"}
+    trail = {"record_type": "'3TR'", "lineitem_id": "CAST(coalesce(n.n, 0) + 2 AS VARCHAR)", "h_id": "c.h_id"}
+    final = f"""SELECT * FROM ({detail})
+UNION ALL SELECT {row(head)} FROM clinics
+UNION ALL SELECT {row(trail)} FROM clinics c LEFT JOIN (SELECT h_id, count(*) AS n FROM ({detail}) GROUP BY h_id) n ON n.h_id = c.h_id"""
+    return with_ctes(*ld_ctes(ctx), final=final)
+
+
+def newly_inactive(ctx: RunContext) -> str:
+    flag = ctx.end_date.year - 1995
+    final = f"""SELECT b.h_id, c.location_number, b.client_id, {ctx.end_date.year} AS report_year
+FROM (SELECT DISTINCT h.h_id, h.client_id FROM hist h
+      WHERE h.update_flag < {flag} AND h.vi_species_id = 3
+        AND h.run_id = (SELECT max(run_id) FROM hist x WHERE x.h_id = h.h_id AND x.update_flag = h.update_flag)) b
+JOIN clinics c ON c.h_id = b.h_id
+WHERE NOT EXISTS (SELECT 1 FROM ld_pur u JOIN ldp p ON p.patient_id = u.patient_id AND p.vi_species_id = 3
+                  WHERE u.h_id = b.h_id AND u.client_id = b.client_id)"""
+    return with_ctes(*ld_ctes(ctx), final=final)

@@ -98,14 +98,21 @@ def _contains_any(c: Column, parts) -> Column:
     return F.upper(c).rlike("(?:" + _alternation(parts) + ")")
 
 
-def denied_client(first: Column, last: Column, addr1: Column, addr2: Column) -> Column:
+# The last-dose extract denies a few more placeholder names.
+EXTRA_PLACEHOLDERS = ["PAPERCHART", "TNC CLIENT", "EMPLOYEE", "NM", "SEE ALERT", "PAY AS GOES"]
+EXTRA_ADDRESS2 = ["BROTHERS"]
+
+
+def denied_client(first: Column, last: Column, addr1: Column, addr2: Column, extended: bool = False) -> Column:
     """DN1: true when the client is a placeholder, an institution or carries
-    a do-not-contact note. NULL comparisons count as 'not denied'."""
+    a do-not-contact note. NULL comparisons count as 'not denied'.
+    ``extended`` adds the last-dose extract's extra placeholders."""
+    more = EXTRA_PLACEHOLDERS if extended else []
     cond = (
         _isin(first, FIRST_NAME_EXACT) | _contains_any(first, NAME_INFIX)
-        | _isin(last, LAST_NAME_EXACT) | _contains_any(last, NAME_INFIX)
-        | _isin(addr1, ADDRESS1_EXACT) | F.upper(addr1).contains("*")
-        | _isin(addr2, ADDRESS2_EXACT) | _contains_any(addr2, ADDRESS2_INFIX)
+        | _isin(last, LAST_NAME_EXACT + more) | _contains_any(last, NAME_INFIX)
+        | _isin(addr1, ADDRESS1_EXACT + more) | F.upper(addr1).contains("*")
+        | _isin(addr2, ADDRESS2_EXACT + (EXTRA_ADDRESS2 if extended else [])) | _contains_any(addr2, ADDRESS2_INFIX)
         | ((F.upper(first) == "CASH") & F.upper(last).isin("CLIENT", "CASH"))
     )
     return F.coalesce(cond, F.lit(False))

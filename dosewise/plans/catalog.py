@@ -174,3 +174,15 @@ for _name, _fn, _oracle in [
     ("ppr_t5_dose_share", ppr.t5_dose_share, O.ppr_t5),
 ]:
     register(_name, _oracle(CTX))((lambda f: lambda spark, sf_dir: f(_t(spark, sf_dir), CTX))(_fn))
+
+
+# ------------------------------------------------------------ LAST DOSE
+from . import last_dose  # noqa: E402
+
+for _name, _fn, _oracle in [
+    ("last_dose_start", last_dose.incremental_start, O.last_dose_start),
+    ("last_dose_clients", last_dose.last_dose_clients, O.last_dose_clients),
+    ("last_dose_file", last_dose.last_dose_file, O.last_dose_file),
+    ("last_dose_newly_inactive", last_dose.newly_inactive, O.newly_inactive),
+]:
+    register(_name, _oracle(CTX))((lambda f: lambda spark, sf_dir: f(_t(spark, sf_dir), CTX))(_fn))
