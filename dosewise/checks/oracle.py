@@ -1397,3 +1397,117 @@ JOIN clinics c ON c.h_id = b.h_id
 WHERE NOT EXISTS (SELECT 1 FROM ld_pur u JOIN ldp p ON p.patient_id = u.patient_id AND p.vi_species_id = 3
                   WHERE u.h_id = b.h_id AND u.client_id = b.client_id)"""
     return with_ctes(*ld_ctes(ctx), final=final)
+
+
+# ---------------------------------------------------------- dims / text
+def merge_enrollment(ctx: RunContext) -> str:
+    t = """SELECT s_suppkey AS location_number, s_name AS account_name, CAST(s_nationkey AS BIGINT) AS nation_key,
+    CAST(CASE WHEN s_suppkey % 11 = 0 THEN NULL ELSE s_acctbal END AS DECIMAL(18,2)) AS balance,
+    DATE '2000-01-01' AS last_update FROM supplier WHERE s_suppkey % 4 <> 3"""
+    s = """SELECT s_suppkey AS location_number,
+    CASE WHEN s_suppkey % 5 = 0 THEN s_name || ' v2' ELSE s_name END AS account_name,
+    CAST(CASE WHEN s_suppkey % 13 = 0 THEN (s_nationkey + 1) % 25 ELSE s_nationkey END AS BIGINT) AS nation_key,
+    CAST(CASE WHEN s_suppkey % 7 = 0 THEN NULL ELSE s_acctbal END AS DECIMAL(18,2)) AS balance
+  FROM supplier WHERE s_suppkey % 4 <> 0"""
+    chg = " OR ".join(f"coalesce(t.{c} <> s.{c}, false)" for c in ("account_name", "nation_key", "balance"))
+    return f"""WITH t AS ({t}), s AS ({s})
+SELECT coalesce(t.location_number, s.location_number) AS location_number,
+  CASE WHEN t.location_number IS NULL OR (s.location_number IS NOT NULL AND ({chg})) THEN s.account_name ELSE t.account_name END AS account_name,
+  CASE WHEN t.location_number IS NULL OR (s.location_number IS NOT NULL AND ({chg})) THEN s.nation_key ELSE t.nation_key END AS nation_key,
+  CAST(CASE WHEN t.location_number IS NULL OR (s.location_number IS NOT NULL AND ({chg})) THEN s.balance ELSE t.balance END AS DOUBLE) AS balance,
+  CASE WHEN t.location_number IS NULL OR (s.location_number IS NOT NULL AND ({chg})) THEN {d(ctx.as_of)} ELSE t.last_update END AS last_update,
+  CASE WHEN t.location_number IS NULL THEN 'insert' WHEN s.location_number IS NULL THEN 'keep'
+       WHEN {chg} THEN 'update' ELSE 'keep' END AS action
+FROM t FULL OUTER JOIN s ON t.location_number = s.location_number"""
+
+
+def run_states(ctx: RunContext) -> str:
+    return """WITH log AS (
+  SELECT user_id AS run_id,
+    CASE event_type WHEN 'signup' THEN 'RUNID' WHEN 'view' THEN 'STARTED' WHEN 'purchase' THEN 'SUCCESS'
+                    WHEN 'error' THEN 'ERROR' ELSE 'INFO' END AS flag,
+    'RUN_CLINIC' AS process, CAST(ts AS DATE) AS end_date, value FROM events),
+open_runs AS (SELECT DISTINCT run_id FROM (
+  SELECT run_id, process, end_date FROM log WHERE flag = 'STARTED'
+  EXCEPT SELECT run_id, process, end_date FROM log WHERE flag IN ('SUCCESS', 'ERROR', 'INFO')))
+SELECT c_custkey AS run_id,
+  CASE WHEN c_custkey NOT IN (SELECT run_id FROM log WHERE flag = 'RUNID') THEN 'unknown'
+       WHEN c_custkey IN (SELECT run_id FROM log WHERE flag = 'SUCCESS' AND value > 45) THEN 'already_run'
+       WHEN c_custkey IN (SELECT run_id FROM open_runs) THEN 'in_progress'
+       ELSE 'ok' END AS state
+FROM customer"""
+
+
+def readiness(ctx: RunContext, months_back: int = 12) -> str:
+    lo, hi = ctx.months_window(-(months_back - 1), 0)
+    ratio = ratio_round("g.cats_dogs_total", "g.total_patients", 4)
+    share = ratio_round("g.patient_0", "g.total_rows", 4, when_zero="NULL")
+    return with_ctes(final=f"""SELECT c.h_id,
+  CAST(CASE WHEN {months_back} - coalesce(g.month_count, 0) > 0 THEN {months_back} - coalesce(g.month_count, 0) END AS BIGINT) AS missing_months,
+  CASE WHEN coalesce(g.total_patients, 0) = 0 THEN 0.0 WHEN {ratio} > 0.5 THEN NULL ELSE {ratio} END AS missing_species,
+  CASE WHEN {share} < 0.2 THEN NULL ELSE {share} END AS pat_id_0
+FROM clinics c LEFT JOIN (
+  SELECT p.h_id, count(DISTINCT date_trunc('month', l.invoice_date)) AS month_count,
+    count(DISTINCT CASE WHEN p.vi_species_id IN (3, 7) THEN p.patient_id END) AS cats_dogs_total,
+    count(DISTINCT p.patient_id) AS total_patients,
+    sum(CASE WHEN l.patient_id = 0 THEN 1 ELSE 0 END) AS patient_0, count(*) AS total_rows
+  FROM lines l JOIN patients p ON p.patient_id = l.patient_id
+  WHERE l.invoice_date >= {d(lo)} AND l.invoice_date < {d(hi)}
+  GROUP BY p.h_id) g ON g.h_id = c.h_id""")
+
+
+def _kw(c: str, terms) -> str:
+    from ..operators.keywords import alternation
+
+    return f"regexp_matches(lower(regexp_replace({c}, {_q(chr(92) + '{.*' + chr(92) + '}')}, '', 'g')), {_q(alternation(terms))})"
+
+
+def wellness_by_keywords(ctx: RunContext) -> str:
+    from ..operators.keywords import EXCLUDE_TERMS, INCLUDE_TERMS
+
+    inc = f"(coalesce({_kw('handle', INCLUDE_TERMS)}, false) OR coalesce({_kw('descr', INCLUDE_TERMS)}, false))"
+    exc = f"(coalesce({_kw('handle', EXCLUDE_TERMS)}, false) OR coalesce({_kw('descr', EXCLUDE_TERMS)}, false))"
+    return f"""SELECT hid, count(*) AS services, count(CASE WHEN {inc} AND NOT {exc} THEN 1 END) AS wellness_services,
+  count(CASE WHEN {_kw('descr', INCLUDE_TERMS)} THEN 1 END) AS include_hits
+FROM (SELECT doc_id AS id, doc_id % 25 AS hid, concat_ws(' ', lang, source) AS handle, text AS descr FROM documents)
+GROUP BY hid"""
+
+
+def pii_shapes(ctx: RunContext) -> str:
+    from ..operators import contact as cl
+
+    email = "regexp_extract(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{2,4}', 0)"
+    return f"""SELECT source, count(*) AS docs,
+  count(CASE WHEN coalesce(regexp_matches(text, {_q(cl.PHONE_SHAPE)}), false) THEN 1 END) AS with_phone,
+  count(CASE WHEN coalesce(regexp_matches(text, {_q(cl.CARD_SHAPE)}), false) THEN 1 END) AS with_card,
+  count(CASE WHEN coalesce(regexp_matches(text, {_q(cl.DIGIT_RUN)}), false) THEN 1 END) AS with_digit_run,
+  count(CASE WHEN regexp_matches({email}, {_q('(?i)^[A-Z0-9._%+-]+@[A-Z0-9.-]+[.][A-Z]{2,4}$')}) THEN 1 END) AS with_email
+FROM documents GROUP BY source"""
+
+
+def recipient_lists(ctx: RunContext) -> str:
+    return """SELECT project, string_agg(email_addr, ',' ORDER BY email_addr) AS email_list
+FROM (SELECT 'conv-' || CAST(conv_id AS VARCHAR) AS project,
+        role || '.' || CAST(turn AS VARCHAR) || '@example.com' AS email_addr,
+        CASE WHEN turn % 3 <> 2 THEN 'Y' ELSE 'N' END AS active_ind FROM conversations)
+WHERE active_ind = 'Y' GROUP BY project"""
+
+
+def token_profile(ctx: RunContext) -> str:
+    delim = ("CASE WHEN instr(trim(text), ',') > 0 THEN ',' WHEN instr(trim(text), '|') > 0 THEN '|' "
+             "WHEN instr(trim(text), ' ') > 0 THEN ' ' END")
+    parts = (f"CASE WHEN text IS NULL OR trim(text) = '' THEN CAST([] AS VARCHAR[]) "
+             f"WHEN {delim} = ',' THEN string_split(trim(text), ',') WHEN {delim} = '|' THEN string_split(trim(text), '|') "
+             f"WHEN {delim} = ' ' THEN regexp_split_to_array(trim(text), ' +') ELSE [trim(text)] END")
+    return f"""WITH src AS (
+  SELECT 'benchmark' AS src, item_id AS id, text FROM benchmark
+  UNION ALL SELECT 'documents', doc_id, text FROM documents),
+a AS (SELECT src, id, {delim} AS delimiter, list_transform({parts}, lambda x: trim(x)) AS t FROM src),
+b AS (SELECT src, id, delimiter,
+        list_transform(CASE WHEN len(t) > 1 AND t[len(t)] = '' THEN list_slice(t, 1, len(t) - 1) ELSE t END,
+                       lambda x: nullif(x, '')) AS tokens FROM a)
+SELECT src, id, coalesce(delimiter, 'none') AS delimiter, CAST(len(tokens) AS BIGINT) AS n_tokens,
+  CAST(len(list_filter(tokens, lambda x: x IS NULL)) AS BIGINT) AS n_empty,
+  CAST(coalesce(list_max(list_transform(tokens, lambda x: length(x))), 0) AS BIGINT) AS max_token_len,
+  tokens[1] AS first_token
+FROM b"""

@@ -186,3 +186,18 @@ for _name, _fn, _oracle in [
     ("last_dose_newly_inactive", last_dose.newly_inactive, O.newly_inactive),
 ]:
     register(_name, _oracle(CTX))((lambda f: lambda spark, sf_dir: f(_t(spark, sf_dir), CTX))(_fn))
+
+
+# ---------------------------------------------------------- dims / text
+from . import admin, text  # noqa: E402
+
+for _name, _fn, _oracle in [
+    ("merge_enrollment", admin.merge_enrollment, O.merge_enrollment),
+    ("run_states", admin.run_states, O.run_states),
+    ("readiness_profile", admin.readiness, O.readiness),
+    ("wellness_by_keywords", text.wellness_by_keywords, O.wellness_by_keywords),
+    ("pii_shapes", text.pii_shapes, O.pii_shapes),
+    ("recipient_lists", text.recipient_lists, O.recipient_lists),
+    ("token_profile", text.token_profile, O.token_profile),
+]:
+    register(_name, _oracle(CTX))((lambda f: lambda spark, sf_dir: f(_t(spark, sf_dir), CTX))(_fn))
