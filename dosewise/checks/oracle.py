@@ -1511,3 +1511,88 @@ SELECT src, id, coalesce(delimiter, 'none') AS delimiter, CAST(len(tokens) AS BI
   CAST(coalesce(list_max(list_transform(tokens, lambda x: length(x))), 0) AS BIGINT) AS max_token_len,
   tokens[1] AS first_token
 FROM b"""
+
+
+# -------------------------------------------------------------- CONTROL
+def control_cte(ctx: RunContext) -> str:
+    end, as_of = ctx.end_date, ctx.as_of
+    lo = max(add_months(end, -24), add_months(as_of, -24))
+    hi = min(add_months(end, 1), as_of)
+    return f"""ctl AS (
+  SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.patient_id, l.client_id, l.invoice_date,
+    l.quantity_norm, l.cost, p.h_id, p.vi_species_id, pr.product, pr.family_name, pr.type, pr.service_kind,
+    pr.product_info, c.start_date
+  FROM lines l JOIN patients p ON p.patient_id = l.patient_id
+  LEFT JOIN products pr ON pr.service_id = l.service_id JOIN clinics c ON c.h_id = p.h_id
+  WHERE NOT l.voided AND l.client_id IS NOT NULL AND l.invoice_date >= {d(lo)} AND l.invoice_date < {d(hi)})"""
+
+
+CONTROL_TAG_SQL = {
+    "combo": "type IN ('fh', 'fth')",
+    "hg": "product LIKE 'Heartgard%'",
+    "fl": "product LIKE 'Frontline%' AND product NOT LIKE 'Frontline Tritak%'",
+    "flt": "product LIKE 'Frontline Tritak%'",
+    "ce": "product LIKE 'Certifect%'",
+    "nex": "product LIKE 'NexGard%'",
+    "comp_hg": "type = 'h' AND product NOT LIKE 'Heartgard%'",
+    "comp_fl": "type IN ('f', 'ft') AND product NOT LIKE 'Frontline%' AND product NOT LIKE 'NexGard%' AND product NOT LIKE 'Certifect%'",
+}
+
+
+def control_product_metrics(ctx: RunContext) -> str:
+    camp = f"invoice_date BETWEEN start_date AND {d(ctx.as_of - timedelta(days=1))}"
+    w12, w24 = ctx.trailing(0), ctx.trailing(1)
+    base = "SELECT * FROM ctl WHERE type IS NOT NULL AND quantity_norm IS NOT NULL AND quantity_norm <> 0 AND vi_species_id IN (3, 7)"
+    subs, cols = [], []
+    for tag, pred in CONTROL_TAG_SQL.items():
+        subs.append(f"""LEFT JOIN (
+    SELECT client_id, max(invoice_date) AS last_{tag}_purch,
+      count(DISTINCT CASE WHEN {camp} THEN (l_orderkey, l_linenumber, l_partkey, l_suppkey) END) AS {tag}_purch_camp,
+      sum(CASE WHEN {camp} THEN cost END) AS {tag}_rev_camp,
+      sum(CASE WHEN {camp} THEN quantity_norm END) AS {tag}_doses_camp,
+      last(vi_species_id ORDER BY {LINE_ORDER}) AS {tag}_last_pet_species
+    FROM ({base}) WHERE {pred} GROUP BY client_id) s_{tag} ON s_{tag}.client_id = c.client_id""")
+        cols += [f"s_{tag}.last_{tag}_purch", f"coalesce(s_{tag}.{tag}_purch_camp, 0) AS {tag}_purch_camp",
+                 f"CAST(s_{tag}.{tag}_rev_camp AS DOUBLE) AS {tag}_rev_camp",
+                 f"CAST(s_{tag}.{tag}_doses_camp AS BIGINT) AS {tag}_doses_camp", f"s_{tag}.{tag}_last_pet_species"]
+    other = f"""LEFT JOIN (SELECT client_id,
+      sum(CASE WHEN product LIKE 'Interceptor%' AND {_between('invoice_date', w12)} THEN quantity_norm ELSE 0 END) AS int_doses_12,
+      sum(CASE WHEN product LIKE 'Interceptor%' AND {_between('invoice_date', w24)} THEN quantity_norm ELSE 0 END) AS int_doses_24,
+      sum(CASE WHEN product LIKE 'Interceptor%' AND {camp} THEN quantity_norm ELSE 0 END) AS int_doses_camp,
+      sum(CASE WHEN family_name = 'Trifexis' AND {camp} THEN quantity_norm ELSE 0 END) AS trif_doses,
+      sum(CASE WHEN family_name = 'Revolution' AND {camp} THEN quantity_norm ELSE 0 END) AS rev_doses,
+      sum(CASE WHEN family_name = 'Advantage Multi' AND {camp} THEN quantity_norm ELSE 0 END) AS adv_doses
+    FROM ({base}) GROUP BY client_id) s_o ON s_o.client_id = c.client_id"""
+    cols += [f"CAST(s_o.{x} AS BIGINT) AS {x}" for x in
+             ("int_doses_12", "int_doses_24", "int_doses_camp", "trif_doses", "rev_doses", "adv_doses")]
+    final = (f"SELECT c.client_id, {', '.join(cols)}\nFROM (SELECT DISTINCT client_id FROM ({base})) c\n"
+             + "\n".join(subs) + "\n" + other)
+    return with_ctes(control_cte(ctx), final=final)
+
+
+def control_service_metrics(ctx: RunContext) -> str:
+    end = ctx.end_date
+    camp = f"invoice_date BETWEEN start_date AND {d(ctx.as_of - timedelta(days=1))}"
+    tags = {
+        "pm": "service_kind = 'nsaid'",
+        "dental": "service_kind = 'general' AND product_info = 'Surgery - dental'",
+        "surg": "service_kind = 'general' AND product_info LIKE 'Surgery%' AND product_info <> 'Surgery - dental'",
+        "vacc": "service_kind = 'vaccine'",
+        "board": "service_kind = 'general' AND lower(product_info) = 'service - boarding'",
+        "groom": "service_kind = 'general' AND lower(product_info) = 'service - grooming'",
+        "other": "NOT coalesce(service_kind IN ('general', 'diet', 'fth', 'nsaid', 'vaccine'), false)",
+    }
+    subs, cols = [], []
+    for tag, pred in tags.items():
+        subs.append(f"""LEFT JOIN (SELECT client_id, count(CASE WHEN {camp} THEN 1 END) AS n, max(invoice_date) AS last,
+      sum(CASE WHEN {camp} THEN cost ELSE 0 END) AS dollars FROM ctl WHERE {pred} GROUP BY client_id) s_{tag}
+    ON s_{tag}.client_id = c.client_id""")
+        cols += [f"coalesce(s_{tag}.n, 0) AS num_{tag}_purch", f"s_{tag}.last AS last_{tag}_purch",
+                 f"CAST(coalesce(s_{tag}.dollars, 0) AS DOUBLE) AS dollar_{tag}_purch"]
+    final = f"""SELECT c.client_id, {', '.join(cols)}, c.num_visits, c.last_active, c.first_active
+FROM (SELECT client_id,
+        count(DISTINCT CASE WHEN invoice_date BETWEEN {d(add_months(end, -12))} AND {d(end)} THEN invoice_date END) AS num_visits,
+        max(invoice_date) AS last_active, min(invoice_date) AS first_active
+      FROM ctl GROUP BY client_id) c
+""" + "\n".join(subs)
+    return with_ctes(control_cte(ctx), final=final)

@@ -22,9 +22,13 @@ def latest_by(value: Column, *order: Column) -> Column:
     return F.max_by(value, F.struct(*order))
 
 
-def in_window(d: Column, bounds: tuple[date, date]) -> Column:
+def in_window(d: Column, bounds) -> Column:
+    """Inclusive window; bounds are dates or per-row columns (e.g. each
+    clinic's campaign start)."""
     lo, hi = bounds
-    return d.between(F.lit(lo), F.lit(hi))
+    lo = lo if isinstance(lo, Column) else F.lit(lo)
+    hi = hi if isinstance(hi, Column) else F.lit(hi)
+    return d.between(lo, hi)
 
 
 def tagged_metrics(

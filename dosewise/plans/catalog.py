@@ -201,3 +201,13 @@ for _name, _fn, _oracle in [
     ("token_profile", text.token_profile, O.token_profile),
 ]:
     register(_name, _oracle(CTX))((lambda f: lambda spark, sf_dir: f(_t(spark, sf_dir), CTX))(_fn))
+
+
+# -------------------------------------------------------------- CONTROL
+from . import control  # noqa: E402
+
+for _name, _fn, _oracle in [
+    ("control_product_metrics", control.control_product_metrics, O.control_product_metrics),
+    ("control_service_metrics", control.control_service_metrics, O.control_service_metrics),
+]:
+    register(_name, _oracle(CTX))((lambda f: lambda spark, sf_dir: f(_t(spark, sf_dir), CTX))(_fn))
