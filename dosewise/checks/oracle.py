@@ -1596,3 +1596,86 @@ FROM (SELECT client_id,
       FROM ctl GROUP BY client_id) c
 """ + "\n".join(subs)
     return with_ctes(control_cte(ctx), final=final)
+
+
+# --------------------------------------------------- call list / dental
+def _dg(c: str) -> str:
+    return f"nullif(regexp_replace({c}, '[^0-9]+', '', 'g'), '')"
+
+
+def dental_purchases(ctx: RunContext) -> str:
+    from ..plans.calllist import DENTAL, dental_matrix_rows
+
+    lo, hi = ctx.months_window(-11, 0)
+    vals = ", ".join(f"({_q(p)}, {_q(s)}, {_q(v)}, {c})" for p, s, v, c in dental_matrix_rows())
+    svc = f"""SELECT service_id, product_info,
+      CASE WHEN package_size % 4 = 0 THEN CAST(package_size AS VARCHAR)
+           WHEN package_size % 4 = 1 THEN CAST(package_size AS VARCHAR) || ' ct' END AS package_quantity,
+      CASE WHEN package_size % 3 = 0 THEN 'small' WHEN package_size % 3 = 1 THEN 'large' END AS pkg_size,
+      CASE WHEN package_size % 5 < 3 THEN CAST(package_size % 7 + 1 AS VARCHAR) || CASE WHEN package_size % 2 = 0 THEN ' oz' ELSE '' END END AS pkg_volume
+    FROM products WHERE product_info = {_q(DENTAL)}"""
+    uniq = "(SELECT CASE WHEN count(*) = 1 THEN max(m.package_count) END FROM m WHERE {cond})"
+    t2 = uniq.format(cond=f"m.product = x.product_info AND {_dg('m.package_volume')} = {_dg('x.pkg_volume')} AND m.treat_size = x.pkg_size")
+    t3 = uniq.format(cond=(f"m.product = x.product_info AND {_dg('m.package_volume')} = {_dg('x.pkg_volume')} AND "
+                           f"(SELECT count(*) FROM m i WHERE i.product = x.product_info AND i.package_volume = {_dg('x.pkg_volume')}) = 1"))
+    t4 = uniq.format(cond="m.product = x.product_info AND m.treat_size = x.pkg_size")
+    q = "x.quantity"
+    doses = f"""CASE WHEN x.package_quantity IS NOT NULL THEN
+        CASE WHEN x.package_quantity = CAST({q} AS VARCHAR) THEN CAST({_dg('x.package_quantity')} AS DECIMAL(18,4))
+             WHEN TRY_CAST(x.package_quantity AS DECIMAL(18,4)) IS NOT NULL THEN TRY_CAST(x.package_quantity AS DECIMAL(18,4)) * {q}
+             ELSE {q} END
+      WHEN x.pkg_size IS NOT NULL AND x.pkg_volume IS NOT NULL AND {_dg('x.pkg_volume')} IS NOT NULL THEN coalesce({t2} * {q}, {q})
+      WHEN {_dg('x.pkg_volume')} IS NOT NULL THEN coalesce({t3} * {q}, {q})
+      WHEN x.pkg_size IS NOT NULL THEN coalesce({t4} * {q}, {q})
+      ELSE {q} END"""
+    final = f"""SELECT client_id, count(*) AS dental_lines, CAST(sum(doses) AS DOUBLE) AS dental_doses,
+  CAST(sum(cost) AS DOUBLE) AS dental_spend
+FROM (SELECT x.client_id, x.cost, {doses} AS doses
+      FROM (SELECT l.client_id, CAST(l.quantity_norm AS BIGINT) AS quantity, l.cost, s.*
+            FROM lines l JOIN ({svc}) s ON s.service_id = l.service_id
+            WHERE NOT l.voided AND l.invoice_date >= {d(lo)} AND l.invoice_date < {d(hi)}) x)
+GROUP BY client_id"""
+    return with_ctes(f"m AS (SELECT * FROM (VALUES {vals}) v(product, treat_size, package_volume, package_count))", final=final)
+
+
+def call_list(ctx: RunContext) -> str:
+    from datetime import timedelta as _td
+
+    end = ctx.end_date
+    lo, hi = ctx.months_window(-11, 0)
+    period = add_months(end, -11).strftime("%d-%b-%y") + " - " + (add_months(end, 1) - _td(days=1)).strftime("%d-%b-%y")
+    phone = "regexp_replace(c.phone, '[() \\-]', '', 'g')"
+    ctes = f"""up AS (SELECT patient_id, client_id, h_id, vi_species_id FROM patients
+              WHERE is_active AND vi_species_id IN (3, 7) AND patient_id > 0),
+fth AS (SELECT l.patient_id, up.client_id, up.vi_species_id, l.invoice_date, l.quantity_norm, pr.type
+        FROM lines l JOIN products pr ON pr.service_id = l.service_id AND pr.type IS NOT NULL
+        JOIN up ON up.patient_id = l.patient_id
+        WHERE NOT l.voided AND l.cost <> 0 AND l.invoice_date >= {d(lo)} AND l.invoice_date < {d(hi)}),
+cli AS (SELECT c.client_id, c.h_id,
+          coalesce({_strip('c.first_name', RE_NAME_JUNK)}, 'None Given') AS first_name,
+          coalesce({_strip('c.last_name', RE_NAME_JUNK)}, 'None Given') AS last_name,
+          h.canines, h.felines, CASE WHEN c.primary_email = '0' THEN NULL ELSE c.primary_email END AS primary_email,
+          substr(CASE WHEN regexp_matches(c.phone1, '[^0-9]') THEN nullif(regexp_replace(c.phone1, '[^0-9]', '', 'g'), '') ELSE c.phone1 END, 1, 10) AS phone
+        FROM clients c JOIN (SELECT client_id, count(DISTINCT CASE WHEN vi_species_id = 3 THEN patient_id END) AS canines,
+                                    count(DISTINCT CASE WHEN vi_species_id = 7 THEN patient_id END) AS felines
+                             FROM up GROUP BY client_id) h ON h.client_id = c.client_id),
+good AS (SELECT DISTINCT up.client_id FROM up LEFT JOIN (
+           SELECT patient_id, sum(CASE WHEN type IN ('f','ft','fth','fh') THEN quantity_norm ELSE 0 END) AS ft,
+                  sum(CASE WHEN type IN ('h','fth','fh') THEN quantity_norm ELSE 0 END) AS hw
+           FROM fth GROUP BY patient_id) a ON a.patient_id = up.patient_id
+         WHERE coalesce(a.ft, 0) < 6 OR coalesce(a.hw, 0) < 12),
+lp AS (SELECT client_id,
+         max(CASE WHEN vi_species_id = 3 AND type IN ('f','ft','fth','fh') THEN invoice_date END) AS ft_canine,
+         max(CASE WHEN vi_species_id = 7 AND type IN ('f','ft','fth','fh') THEN invoice_date END) AS ft_feline,
+         max(CASE WHEN vi_species_id = 3 AND type IN ('h','fth','fh') THEN invoice_date END) AS hw_canine,
+         max(CASE WHEN vi_species_id = 7 AND type IN ('h','fth','fh') THEN invoice_date END) AS hw_feline
+       FROM fth WHERE quantity_norm <> 0 GROUP BY client_id)"""
+    final = f"""SELECT substr(c.last_name, 1, 30) AS last_name, substr(c.first_name, 1, 30) AS first_name,
+  CASE WHEN length({phone}) = 10 THEN {phone} END AS phone,
+  CASE WHEN regexp_matches(c.primary_email, {_q('(?i)^[A-Z0-9._%+-]+@[A-Z0-9.-]+[.][A-Z]{2,4}$')}) THEN c.primary_email END AS primary_email,
+  c.canines AS canine_count, {_mdy('lp.ft_canine')} AS last_purch_ft_canine, {_mdy('lp.hw_canine')} AS last_purch_hw_canine,
+  c.felines AS feline_count, {_mdy('lp.ft_feline')} AS last_purch_ft_feline, {_mdy('lp.hw_feline')} AS last_purch_hw_feline,
+  c.client_id, c.h_id, k.account_number, k.location_number, {_q(period)} AS time_period, k.clinic_name
+FROM cli c JOIN good g ON g.client_id = c.client_id LEFT JOIN lp ON lp.client_id = c.client_id
+JOIN clinics k ON k.h_id = c.h_id"""
+    return with_ctes(ctes, final=final)

@@ -211,3 +211,13 @@ for _name, _fn, _oracle in [
     ("control_service_metrics", control.control_service_metrics, O.control_service_metrics),
 ]:
     register(_name, _oracle(CTX))((lambda f: lambda spark, sf_dir: f(_t(spark, sf_dir), CTX))(_fn))
+
+
+# --------------------------------------------------- call list / dental
+from . import calllist  # noqa: E402
+
+for _name, _fn, _oracle in [
+    ("dental_purchases", calllist.dental_purchases, O.dental_purchases),
+    ("call_list", calllist.call_list, O.call_list),
+]:
+    register(_name, _oracle(CTX))((lambda f: lambda spark, sf_dir: f(_t(spark, sf_dir), CTX))(_fn))
