@@ -52,6 +52,14 @@ def tagged_metrics(
     Column names: ``last_{tag}_purch``, ``{tag}_purch_{w}``, ``{tag}_rev_{w}``,
     ``{tag}_doses_{w}``, ``{tag}_{last_name}``.
     """
+    aggs = tagged_aggs(tags, windows, date_col, count_of, revenue, doses, last_value, order_key, last_name)
+    return df.groupBy(*keys).agg(*aggs, *extra)
+
+
+def tagged_aggs(tags, windows, date_col="invoice_date", count_of=None, revenue=None, doses=None,
+                last_value=None, order_key=(), last_name="last_pet_species") -> list:
+    """The aggregate expressions of ``tagged_metrics`` (to combine several
+    stages into one ``groupBy``)."""
     d = F.col(date_col)
     cnt = count_of if count_of is not None else d
     aggs = []
@@ -67,7 +75,7 @@ def tagged_metrics(
         if last_value is not None:
             aggs.append(F.max_by(F.when(pred, last_value), F.when(pred, F.struct(d, *order_key)))
                         .alias(f"{tag}_{last_name}"))
-    return df.groupBy(*keys).agg(*aggs, *extra)
+    return aggs
 
 
 def category_metrics(
