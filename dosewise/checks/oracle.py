@@ -878,7 +878,7 @@ def _money(c: str) -> str:
 
 
 def consumer_report(ctx: RunContext) -> str:
-    cols = ["'2DT' AS record_type", "c.client_id", "c.h_id", "c.prefix", "c.first_name", "c.last_name",
+    cols = ["'1DT' AS record_type", "c.client_id", "c.h_id", "c.prefix", "c.first_name", "c.last_name",
             "c.address1", "c.address2", "c.city", "c.state", "c.postal_code", "c.phone1",
             f"CASE WHEN regexp_matches(c.primary_email, {_q('(?i)^[A-Z0-9._%+-]+@[A-Z0-9.-]+[.][A-Z]{2,4}$')}) THEN c.primary_email END AS email",
             "c.canines", "c.felines", "c.dogs_over_6", "c.dogs_over_4", "c.puppy", f"{_mdy('c.first_visit')} AS first_visit"]
@@ -1679,3 +1679,47 @@ lp AS (SELECT client_id,
 FROM cli c JOIN good g ON g.client_id = c.client_id LEFT JOIN lp ON lp.client_id = c.client_id
 JOIN clinics k ON k.h_id = c.h_id"""
     return with_ctes(ctes, final=final)
+
+
+
+def consumer_file(ctx: RunContext) -> str:
+    from ..plans.consumer import ADDRESS2_NOTE_WORDS
+
+    base = consumer_report(ctx)
+    i = base.index("SELECT '1DT' AS record_type")
+    ctes, detail_sql = base[:i], base[i:]
+    # raw (unformatted) metrics for the exclusions
+    j = detail_sql.index("\nFROM cons_clients c")
+    raw = "SELECT c.*, pm.*, sm.*" + detail_sql[j:]
+    z = lambda c: f"coalesce({c}, 0) = 0"
+    only_bg = " AND ".join([
+        z("flt_rev_12"), "last_vacc_purch IS NULL", "last_pain_purch IS NULL", "last_dental_purch IS NULL",
+        "last_surg_purch IS NULL", "last_other_purch IS NULL", z("combo_rev_12"), z("combo_rev_24"),
+        z("comp_hg_rev_12"), z("comp_hg_rev_24"), z("hg_rev_12"), z("hg_rev_24"), z("comp_fl_rev_12"),
+        z("comp_fl_rev_24"), z("fl_rev_12"), z("fl_rev_24"), z("ce_rev_12"),
+        "(last_board_purch IS NOT NULL OR last_groom_purch IS NOT NULL)"])
+    words = " OR ".join(f"contains(upper(address2), {_q(w)})" for w in ADDRESS2_NOTE_WORDS)
+    dig = "length(regexp_replace(address2, '[^0-9]', '', 'g'))"
+    card = "'[0-9]{16}|[0-9]{4}\\s[0-9]{4}\\s[0-9]{4}\\s[0-9]{4}|[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{4}'"
+    phone = "'[0-9]{10}|[0-9]{3}\\s[0-9]{3}\\s[0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4}'"
+    bad = (f"first_name = 'None Given' OR last_name = 'None Given' OR address1 = ' ' OR address1 = 'None Given' "
+           f"OR contains(address1, '*') OR contains(address2, '*') OR {words} OR {dig} IN (10, 16) "
+           f"OR regexp_matches(address2, {card}) OR regexp_matches(address2, {phone}) "
+           f"OR (upper(first_name) = 'CASH' AND upper(last_name) IN ('CLIENT', 'CASH'))")
+    kept_ids = f"SELECT client_id FROM ({raw}) WHERE NOT coalesce({only_bg}, false) AND NOT coalesce({bad}, false)"
+    detail = detail_sql.replace("\nFROM cons_clients c", f"\nFROM (SELECT * FROM cons_clients WHERE client_id IN ({kept_ids})) c", 1)
+    lo, hi = ctx.trailing(0)
+    pc = f"""SELECT c.h_id,
+      count(DISTINCT CASE WHEN c.vi_species_id = 3 AND p.type IN ('ft', 'f') THEN c.patient_id END) AS ft_canine_patients,
+      count(DISTINCT CASE WHEN c.vi_species_id = 7 AND p.type IN ('ft', 'f') THEN c.patient_id END) AS ft_feline_patients,
+      count(DISTINCT CASE WHEN c.vi_species_id = 3 AND p.type = 'h' THEN c.patient_id END) AS hw_canine_patients
+    FROM (SELECT * FROM cons_lines WHERE is_fth AND invoice_date BETWEEN {d(lo)} AND {d(hi)}) p
+    RIGHT JOIN cons_pat c ON c.patient_id = p.patient_id GROUP BY c.h_id"""
+    head = f"""SELECT '1HD' AS record_type, '{ctx.as_of.strftime('%Y/%m/%d')}' AS first_name,
+      CAST(n.n + 1 AS VARCHAR) AS last_name, k.account_number AS prefix, CAST(k.location_number AS VARCHAR) AS address1,
+      substr(k.clinic_name, 1, 40) AS address2, k.state,
+      CAST(pc.ft_canine_patients AS VARCHAR) AS last_hg_purch, CAST(pc.hw_canine_patients AS VARCHAR) AS last_ce_purch,
+      CAST(pc.ft_feline_patients AS VARCHAR) AS last_fl_purch, k.h_id
+    FROM clinics k JOIN (SELECT h_id, count(*) AS n FROM ({detail}) GROUP BY h_id) n ON n.h_id = k.h_id
+    LEFT JOIN ({pc}) pc ON pc.h_id = k.h_id"""
+    return ctes + f"SELECT * FROM ({detail}) UNION ALL BY NAME ({head})"

@@ -221,3 +221,8 @@ for _name, _fn, _oracle in [
     ("call_list", calllist.call_list, O.call_list),
 ]:
     register(_name, _oracle(CTX))((lambda f: lambda spark, sf_dir: f(_t(spark, sf_dir), CTX))(_fn))
+
+
+@register("consumer_file", O.consumer_file(CTX))
+def q_consumer_file(spark, sf_dir):
+    return consumer.consumer_file(_t(spark, sf_dir), CTX)

@@ -248,10 +248,7 @@ def consumer_clients(t: Tables, ctx: RunContext, cp: DataFrame | None = None) ->
 
 
 # ------------------------------------------------------------------ CO30
-def consumer_report(t: Tables, ctx: RunContext) -> DataFrame:
-    """Detail rows of the consumer file: cleansed client, household counts,
-    product-set and service-category metrics; counts default to 0, money
-    as text with two decimals, dates as mm/dd/yyyy, email only if valid."""
+def _report_base(t: Tables, ctx: RunContext) -> DataFrame:
     cp = consumer_patients(t, ctx)
     lines = consumer_lines(t, ctx, cp)
     cli = consumer_clients(t, ctx, cp)
@@ -263,9 +260,19 @@ def consumer_report(t: Tables, ctx: RunContext) -> DataFrame:
         {k: fth & v for k, v in product_tags().items()}, {"12": ctx.trailing(0), "24": ctx.trailing(1)},
         revenue=F.when(q.isNull(), F.lit(0)).otherwise(F.col("cost")), doses=F.when(q.isNull(), F.lit(1)).otherwise(q))
     metrics = lines.groupBy("client_id").agg(*prod, *service_aggs(ctx, within=F.col("is_trans")))
-    r = cli.join(metrics, "client_id", "left")
+    return cli.join(metrics, "client_id", "left")
+
+
+def consumer_report(t: Tables, ctx: RunContext) -> DataFrame:
+    """Detail rows of the consumer file: cleansed client, household counts,
+    product-set and service-category metrics; counts default to 0, money
+    as text with two decimals, dates as mm/dd/yyyy, email only if valid."""
+    return _format_detail(_report_base(t, ctx))
+
+
+def _format_detail(r: DataFrame) -> DataFrame:
     cols = [
-        F.lit("2DT").alias("record_type"), "client_id", "h_id", "prefix", "first_name", "last_name",
+        F.lit("1DT").alias("record_type"), "client_id", "h_id", "prefix", "first_name", "last_name",
         "address1", "address2", "city", "state", "postal_code", "phone1",
         cl.valid_email(F.col("primary_email")).alias("email"),
         "canines", "felines", "dogs_over_6", "dogs_over_4", "puppy", mdy("first_visit").alias("first_visit"),
@@ -288,3 +295,63 @@ def consumer_report(t: Tables, ctx: RunContext) -> DataFrame:
         ]
     cols += [F.coalesce(F.col("num_visits"), F.lit(0)).alias("num_visits"), mdy("last_visit").alias("last_visit")]
     return r.select(*cols)
+
+
+# ------------------------------------------------------------ CO31-CO33
+ADDRESS2_NOTE_WORDS = [
+    "SEND", "BROTHER", "DON'T", "INVOICE", "SISTER", "CASH", "EMERGENCY", "LAND LINE", "TEMPORARY", "CELL",
+    "EMPLOYEE", "MAIL", "UNABLE", "CHANGE", "FATHER", "MESSAGE", "UNDELIVERABLE", "CHECK", "FAX", "MOM",
+    "UPDATE", "COLLECTIONS", "FILE", "MOTHER", "VERIFY", "CONFIRM", "FORWARD", "NEED", "WIFE", "HUSBAND",
+    "DISCARDED", "!",
+]
+CARD_IN_TEXT = r"[0-9]{16}|[0-9]{4}\s[0-9]{4}\s[0-9]{4}\s[0-9]{4}|[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{4}"
+PHONE_IN_TEXT = r"[0-9]{10}|[0-9]{3}\s[0-9]{3}\s[0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4}"
+
+
+def _zero(c: str):
+    return F.coalesce(F.col(c), F.lit(0)) == 0
+
+
+def consumer_file(t: Tables, ctx: RunContext) -> DataFrame:
+    """The consumer file: detail rows after exclusion A (clients whose only
+    activity is boarding or grooming) and exclusion B (placeholder names
+    and addresses, do-not-contact notes, phone or card numbers in address
+    line 2), plus one '1HD' header per clinic whose record count is
+    details + 1 and which carries the clinic's patient counts."""
+    r = _report_base(t, ctx)
+    only_board_groom = (
+        _zero("flt_rev_12") & F.col("last_vacc_purch").isNull() & F.col("last_pain_purch").isNull()
+        & F.col("last_dental_purch").isNull() & F.col("last_surg_purch").isNull() & F.col("last_other_purch").isNull()
+        & _zero("combo_rev_12") & _zero("combo_rev_24") & _zero("comp_hg_rev_12") & _zero("comp_hg_rev_24")
+        & _zero("hg_rev_12") & _zero("hg_rev_24") & _zero("comp_fl_rev_12") & _zero("comp_fl_rev_24")
+        & _zero("fl_rev_12") & _zero("fl_rev_24") & _zero("ce_rev_12")
+        & (F.col("last_board_purch").isNotNull() | F.col("last_groom_purch").isNotNull())
+    )
+    a1, a2 = F.col("address1"), F.col("address2")
+    a2_digits = F.length(F.regexp_replace(a2, "[^0-9]", ""))
+    bad_contact = (
+        (F.col("first_name") == cl.NONE_GIVEN) | (F.col("last_name") == cl.NONE_GIVEN)
+        | (a1 == " ") | (a1 == cl.NONE_GIVEN) | a1.contains("*") | a2.contains("*")
+        | cl._contains_any(a2, ADDRESS2_NOTE_WORDS)
+        | a2_digits.isin(10, 16) | a2.rlike(CARD_IN_TEXT) | a2.rlike(PHONE_IN_TEXT)
+        | ((F.upper(F.col("first_name")) == "CASH") & F.upper(F.col("last_name")).isin("CLIENT", "CASH"))
+    )
+    kept = r.where(~F.coalesce(only_board_groom, F.lit(False)) & ~F.coalesce(bad_contact, F.lit(False)))
+    detail = _format_detail(kept)
+    counts = patient_counts(t, ctx)
+    clin = maybe_broadcast(b.clinics(t).select("h_id", "account_number", "location_number", "clinic_name", "state"))
+    n = detail.groupBy("h_id").agg(F.count(F.lit(1)).alias("_n"))
+    heads = clin.join(n, "h_id").join(counts, "h_id", "left").select(
+        F.lit("1HD").alias("record_type"),
+        F.lit(ctx.as_of.strftime("%Y/%m/%d")).alias("first_name"),
+        (F.col("_n") + 1).cast("string").alias("last_name"),
+        F.col("account_number").alias("prefix"),
+        F.col("location_number").cast("string").alias("address1"),
+        F.substring("clinic_name", 1, 40).alias("address2"),
+        F.col("state"),
+        F.col("ft_canine_patients").cast("string").alias("last_hg_purch"),
+        F.col("hw_canine_patients").cast("string").alias("last_ce_purch"),
+        F.col("ft_feline_patients").cast("string").alias("last_fl_purch"),
+        "h_id",
+    )
+    return detail.unionByName(heads, allowMissingColumns=True)
