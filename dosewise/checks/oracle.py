@@ -1723,3 +1723,54 @@ def consumer_file(ctx: RunContext) -> str:
     FROM clinics k JOIN (SELECT h_id, count(*) AS n FROM ({detail}) GROUP BY h_id) n ON n.h_id = k.h_id
     LEFT JOIN ({pc}) pc ON pc.h_id = k.h_id"""
     return ctes + f"SELECT * FROM ({detail}) UNION ALL BY NAME ({head})"
+
+
+def ppr_t3(ctx: RunContext) -> str:
+    periods_ = ", ".join(f"('{p[0]}')" for p in ppr_periods(ctx))
+    rec = ("coalesce(CASE WHEN mk.report_name = 'Heartworm' THEN CASE WHEN s.species = 'Canine' THEN c.dose_rec_hw_dog ELSE c.dose_rec_hw_cat END "
+           "ELSE CASE WHEN s.species = 'Canine' THEN c.dose_rec_ft_dog ELSE c.dose_rec_ft_cat END END, 0)")
+    r = "g.rec"
+    lbl = f"""CASE pos.p WHEN 1 THEN '0 Doses'
+      WHEN 2 THEN CASE WHEN {r} = 0 THEN '0+ Doses' WHEN {r} = 1 THEN '1+ Doses' ELSE '1 Dose' END
+      WHEN 3 THEN CASE WHEN {r} <= 1 THEN NULL WHEN {r} = 2 THEN '2+ Doses' WHEN {r} = 3 THEN '2 Doses'
+                       ELSE '2-' || CAST({r} - 1 AS VARCHAR) || ' Doses' END
+      ELSE CASE WHEN {r} <= 2 THEN NULL WHEN {r} = 3 THEN '3+ Doses' ELSE CAST({r} AS VARCHAR) || '+ Doses' END END"""
+    dd, rr = "doses", "rec"
+    label = f"""CASE WHEN {dd} = 0 THEN '0 Doses' WHEN {rr} = 0 AND {dd} >= 1 THEN '0+ Doses'
+      WHEN {rr} = 1 AND {dd} >= 1 THEN '1+ Doses' WHEN {rr} > 1 AND {dd} = 1 THEN '1 Dose'
+      WHEN {rr} = 3 AND {dd} = 2 THEN '2 Doses'
+      WHEN {rr} > 3 AND {dd} BETWEEN 2 AND {rr} - 1 THEN '2-' || CAST({rr} - 1 AS VARCHAR) || ' Doses'
+      ELSE CAST({rr} AS VARCHAR) || '+ Doses' END"""
+    part = "PARTITION BY h_id, time_period, report_name, species"
+    base = f"""SELECT d.h_id, d.time_period, d.report_name, d.species, d.doses, d.order_number,
+    coalesce(a.patients, 0) AS patients,
+    CASE WHEN sum(coalesce(a.patients, 0)) OVER (PARTITION BY d.h_id, d.time_period, d.report_name, d.species) = 0 THEN 0
+         ELSE {sr('coalesce(a.patients, 0)', 'sum(coalesce(a.patients, 0)) OVER (PARTITION BY d.h_id, d.time_period, d.report_name, d.species)', 2)} END AS u
+  FROM (SELECT * FROM (SELECT g.h_id, g.time_period, g.report_name, g.species, pos.p AS order_number, {lbl} AS doses
+        FROM (SELECT c.h_id, tp.time_period, s.species, mk.report_name, {rec} AS rec
+              FROM clinics c, (VALUES {periods_}) tp(time_period), (VALUES ('Canine'), ('Feline')) s(species),
+                   (VALUES ('Flea/Tick'), ('Heartworm')) mk(report_name)) g, (VALUES (1), (2), (3), (4)) pos(p))
+        WHERE doses IS NOT NULL) d
+  LEFT JOIN (SELECT h_id, time_period, report_name, species, {label} AS doses, count(DISTINCT patient_id) AS patients
+             FROM ppp GROUP BY 1, 2, 3, 4, 5) a
+    ON a.h_id = d.h_id AND a.time_period = d.time_period AND a.report_name = d.report_name
+   AND a.species = d.species AND a.doses = d.doses"""
+    s_, mx = f"sum(u) OVER ({part})", f"max(u) OVER ({part})"
+    final = f"""SELECT h_id, time_period, report_name, species, 'Total ' || substr(time_period, 7, 4) AS report_time_period,
+  doses, CAST(patients AS BIGINT) AS total_patients,
+  (CASE WHEN {s_} <> 100 AND u = {mx} THEN u + (100 - {s_}) ELSE u END) / 100.0 AS percent_patients,
+  CAST(order_number AS BIGINT) AS order_number
+FROM ({base})"""
+    return with_ctes(*ppr_ctes(ctx), ppr_patient_period_cte(ctx), final=final)
+
+
+def newly_inactive_file(ctx: RunContext) -> str:
+    nic = newly_inactive(ctx)
+    i = nic.index("SELECT b.h_id, c.location_number")
+    ctes, body = nic[:i], nic[i:]
+    final = f"""SELECT '2DT' AS record_type, h_id, CAST(location_number AS VARCHAR) AS location_number,
+    CAST(client_id AS VARCHAR) AS client_id, CAST(report_year AS VARCHAR) AS report_year FROM ({body})
+UNION ALL SELECT '1HD', h_id, CAST(location_number AS VARCHAR), '{ctx.as_of.strftime('%m/%d/%Y')}', '{ctx.end_date.year}' FROM clinics
+UNION ALL SELECT '3TR', c.h_id, NULL, CAST(coalesce(n.n, 0) + 2 AS VARCHAR), NULL FROM clinics c
+  LEFT JOIN (SELECT h_id, count(*) AS n FROM ({body}) GROUP BY h_id) n ON n.h_id = c.h_id"""
+    return ctes + final

@@ -226,3 +226,7 @@ for _name, _fn, _oracle in [
 @register("consumer_file", O.consumer_file(CTX))
 def q_consumer_file(spark, sf_dir):
     return consumer.consumer_file(_t(spark, sf_dir), CTX)
+
+register("ppr_t3_rec_histogram", O.ppr_t3(CTX))(lambda spark, sf_dir: ppr.t3_rec_histogram(_t(spark, sf_dir), CTX))
+register("last_dose_nic_file", O.newly_inactive_file(CTX))(
+    lambda spark, sf_dir: last_dose.newly_inactive_file(_t(spark, sf_dir), CTX))

@@ -202,3 +202,20 @@ def newly_inactive(t: Tables, ctx: RunContext) -> DataFrame:
     clin = maybe_broadcast(b.clinics(t).select("h_id", "location_number"))
     return lapsed.join(clin, "h_id").select("h_id", "location_number", "client_id",
                                             F.lit(ctx.end_date.year).alias("report_year"))
+
+
+# ------------------------------------------------------------- NI2-NI4
+def newly_inactive_file(t: Tables, ctx: RunContext) -> DataFrame:
+    """The newly-inactive list as a file: header (creation date) per
+    clinic, detail rows, trailer = details + 2."""
+    from ..operators import events as ev2
+
+    nic = newly_inactive(t, ctx)
+    detail = nic.select(F.lit("2DT").alias("record_type"), "h_id",
+                        F.col("location_number").cast("string").alias("location_number"),
+                        F.col("client_id").cast("string").alias("client_id"),
+                        F.col("report_year").cast("string").alias("report_year"))
+    heads = maybe_broadcast(b.clinics(t)).select(
+        F.lit("1HD").alias("record_type"), "h_id", F.col("location_number").cast("string").alias("location_number"),
+        F.lit(ctx.as_of.strftime("%m/%d/%Y")).alias("client_id"), F.lit(str(ctx.end_date.year)).alias("report_year"))
+    return ev2.with_header_trailer(detail, heads, "h_id", trailer_offset=2, count_col="client_id")

@@ -330,3 +330,32 @@ def t5_dose_share(t: Tables, ctx: RunContext, pm2: DataFrame | None = None) -> D
         F.concat(F.upper(F.col("family_name")), F.lit("®")))
     return g.select(*cell, name.alias("product_name"), F.col("row_order").cast("long").alias("row_order"),
                     (units / 1000.0).alias("dose_pct"))
+
+
+# ------------------------------------------------------------------ PP6
+def t3_rec_histogram(t: Tables, ctx: RunContext, pm: DataFrame | None = None) -> DataFrame:
+    """Per period, market and species: patients by dose label relative to
+    the recommendation; rounded shares, residual to every maximum."""
+    from ..operators import histogram as hb
+
+    pm = pm if pm is not None else patient_master(t, ctx)
+    pp = _patient_period(t, ctx, pm)
+    cell = ["h_id", "time_period", "report_name", "species"]
+    agg = pp.groupBy(*cell, hb.rec_label(F.col("doses"), F.col("rec")).alias("doses")).agg(
+        F.countDistinct("patient_id").alias("patients"))
+    clin = maybe_broadcast(b.clinics(t).select("h_id", "dose_rec_ft_dog", "dose_rec_hw_dog", "dose_rec_ft_cat", "dose_rec_hw_cat"))
+    grid = spine(clin, "time_period", [p[0] for p in periods(ctx)], ("species", SPECIES_NAMES),
+                 ("report_name", ["Flea/Tick", "Heartworm"]))
+    dog = F.col("species") == "Canine"
+    rec = F.coalesce(F.when(F.col("report_name") == "Heartworm",
+                            F.when(dog, F.col("dose_rec_hw_dog")).otherwise(F.col("dose_rec_hw_cat")))
+                     .otherwise(F.when(dog, F.col("dose_rec_ft_dog")).otherwise(F.col("dose_rec_ft_cat"))), F.lit(0))
+    grid = grid.select(*cell, F.posexplode(hb.rec_label_list(rec)).alias("pos", "doses"))
+    g = grid.join(agg, cell + ["doses"], "left").withColumn("patients", F.coalesce(F.col("patients"), F.lit(0)))
+    w = Window.partitionBy(*cell)
+    total = F.sum("patients").over(w)
+    g = g.withColumn("u", F.when(total == 0, F.lit(0)).otherwise(scaled_round(F.col("patients"), total, 2)))
+    u = sh.reconcile_maxima(cell, "u", 2)
+    return g.select(*cell, F.concat(F.lit("Total "), F.substring("time_period", 7, 4)).alias("report_time_period"),
+                    "doses", F.col("patients").cast("long").alias("total_patients"),
+                    (u / 100.0).alias("percent_patients"), (F.col("pos") + 1).cast("long").alias("order_number"))
