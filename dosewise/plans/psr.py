@@ -5,7 +5,8 @@ Shape of the plan: one pass over the window's invoice lines builds the
 patient master (PS1); every T-table is an aggregate of that master in
 "patient x market" long form, left-joined onto the clinic x market x species
 grid. The master is the one DataFrame worth persisting when several
-T-tables are produced together (see ``PsrRun``).
+T-tables are produced together (see ``plans.runs.psr_tables``, which
+checkpoints it once into the shared checkpoint folder).
 """
 
 from __future__ import annotations
