@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..context import RunContext, add_months
@@ -118,10 +118,11 @@ def product_metrics(t: Tables, ctx: RunContext, lines: DataFrame | None = None)
 
 
 # ------------------------------------------------------------------ CO8
-def patient_counts(t: Tables, ctx: RunContext, lines: DataFrame | None = None) -> DataFrame:
+def patient_counts(t: Tables, ctx: RunContext, lines: DataFrame | None = None,
+                   cp: DataFrame | None = None) -> DataFrame:
     """Distinct dog/cat patients with flea/tick or heartworm purchases in
     the last 12 months, per clinic of the patient."""
-    cp = consumer_patients(t, ctx)
+    cp = cp if cp is not None else consumer_patients(t, ctx)
     x = lines if lines is not None else consumer_lines(t, ctx, cp)
     lo, hi = ctx.trailing(0)
     f = x.where(F.col("is_fth") & F.col("invoice_date").between(F.lit(lo), F.lit(hi))).select(
@@ -138,22 +139,25 @@ def patient_counts(t: Tables, ctx: RunContext, lines: DataFrame | None = None) -
 # ------------------------------------------------------------ CO18-19
 def competitor_products(t: Tables, ctx: RunContext, lines: DataFrame | None = None) -> DataFrame:
     """Competitor flea/tick and heartworm products per client in the last
-    12 months, ranked by (doses, last date, last line) ascending."""
+    12 months, ranked by (doses, last date, last line) ascending. One pass:
+    the market is a row attribute (the two product sets are disjoint)."""
     x = lines if lines is not None else consumer_lines(t, ctx)
     lo, hi = ctx.trailing(0)
     p, typ = F.col("product"), F.col("type")
-    x = x.where(F.col("is_fth") & F.col("invoice_date").between(F.lit(lo), F.lit(hi)))
+    market = (F.when(~p.startswith("Frontline") & ~p.startswith("Certifect") & typ.isin("ft", "f"), F.lit("FL"))
+              .when(~p.startswith("Heartgard") & (typ == "h"), F.lit("HG")))
+    x = x.where(F.col("is_fth") & F.col("invoice_date").between(F.lit(lo), F.lit(hi))).withColumn("market", market)
+    x = x.where(F.col("market").isNotNull())
     q = F.col("quantity_norm")
     doses = F.when(q.isNull() | (q == 0), F.lit(1)).otherwise(q)
-    fl = x.where(~p.startswith("Frontline") & ~p.startswith("Certifect") & typ.isin("ft", "f")).withColumn("market", F.lit("FL"))
-    hg = x.where(~p.startswith("Heartgard") & (typ == "h")).withColumn("market", F.lit("HG"))
-    both = fl.unionByName(hg)
-    r = tm.rank_products(both, ["market", "client_id"], "product", doses, "invoice_date", LINE_ID)
-    fam = both.select("product", "family_name").distinct()
-    return r.join(fam, "product").select(
-        "market", "client_id", F.col("family_name").alias("product"),
-        F.col("product").alias("product_detail"), F.col("doses").cast("long").alias("doses"),
-        "last_date", F.col("product_order").cast("long").alias("product_order"),
+    g = x.groupBy("market", "client_id", "product").agg(
+        F.sum(doses).alias("doses"), F.max("invoice_date").alias("last_date"),
+        F.max(F.struct(*[F.col(c) for c in LINE_ID])).alias("last_id"),
+        F.max("family_name").alias("family_name"))  # product -> family is functional
+    w = Window.partitionBy("market", "client_id").orderBy("doses", "last_date", "last_id")
+    return g.select(
+        "market", "client_id", F.col("family_name").alias("product"), F.col("product").alias("product_detail"),
+        F.col("doses").cast("long").alias("doses"), "last_date", F.rank().over(w).cast("long").alias("product_order"),
     )
 
 
@@ -248,9 +252,9 @@ def consumer_clients(t: Tables, ctx: RunContext, cp: DataFrame | None = None) ->
 
 
 # ------------------------------------------------------------------ CO30
-def _report_base(t: Tables, ctx: RunContext) -> DataFrame:
-    cp = consumer_patients(t, ctx)
-    lines = consumer_lines(t, ctx, cp)
+def _report_base(t: Tables, ctx: RunContext, cp: DataFrame | None = None, lines: DataFrame | None = None) -> DataFrame:
+    cp = cp if cp is not None else consumer_patients(t, ctx)
+    lines = lines if lines is not None else consumer_lines(t, ctx, cp)
     cli = consumer_clients(t, ctx, cp)
     # product-set and service-category stages fused: one scan of the lines,
     # one shuffle on client_id, one aggregate row per client
@@ -318,7 +322,9 @@ def consumer_file(t: Tables, ctx: RunContext) -> DataFrame:
     and addresses, do-not-contact notes, phone or card numbers in address
     line 2), plus one '1HD' header per clinic whose record count is
     details + 1 and which carries the clinic's patient counts."""
-    r = _report_base(t, ctx)
+    cp = consumer_patients(t, ctx)
+    lines = consumer_lines(t, ctx, cp)
+    r = _report_base(t, ctx, cp, lines)
     only_board_groom = (
         _zero("flt_rev_12") & F.col("last_vacc_purch").isNull() & F.col("last_pain_purch").isNull()
         & F.col("last_dental_purch").isNull() & F.col("last_surg_purch").isNull() & F.col("last_other_purch").isNull()
@@ -338,7 +344,7 @@ def consumer_file(t: Tables, ctx: RunContext) -> DataFrame:
     )
     kept = r.where(~F.coalesce(only_board_groom, F.lit(False)) & ~F.coalesce(bad_contact, F.lit(False)))
     detail = _format_detail(kept)
-    counts = patient_counts(t, ctx)
+    counts = patient_counts(t, ctx, lines, cp)
     clin = maybe_broadcast(b.clinics(t).select("h_id", "account_number", "location_number", "clinic_name", "state"))
     n = detail.groupBy("h_id").agg(F.count(F.lit(1)).alias("_n"))
     heads = clin.join(n, "h_id").join(counts, "h_id", "left").select(

@@ -307,10 +307,11 @@ def t5_dose_share(t: Tables, ctx: RunContext, pm2: DataFrame | None = None) -> D
     plus 'Other', three decimals, reconciled on the largest family; names
     upper-cased with a registered mark."""
     pm2 = pm2 if pm2 is not None else product_master(t, ctx)
-    parts = []
-    for market, types in PPR_MARKET_TYPES.items():
-        parts.append(pm2.where(F.col("type").isin(*types)).withColumn("report_name", F.lit(market)))
-    x = parts[0].unionByName(parts[1]).withColumn("species", _species_name(F.col("vi_species_id")))
+    # a combination product counts in both markets: explode the market list
+    markets = F.filter(
+        F.array(*[F.when(F.col("type").isin(*types), F.lit(m)) for m, types in PPR_MARKET_TYPES.items()]),
+        lambda m: m.isNotNull())
+    x = pm2.withColumn("report_name", F.explode(markets)).withColumn("species", _species_name(F.col("vi_species_id")))
     cell = ["h_id", "report_name", "species", "time_period"]
     fam = x.groupBy(*cell, "family_name").agg(F.sum("doses").alias("qty"))
     tot = F.sum("qty").over(Window.partitionBy(*cell))

@@ -506,19 +506,28 @@ def _with_location(t: Tables, df: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ T5
-def t5_dose_share(t: Tables, ctx: RunContext, pm2: DataFrame | None = None, digits: int = 2) -> DataFrame:
-    """Share of doses by product family, top five (priority families
-    first) plus 'Other', reconciled to 100 % on the largest family."""
-    pm2 = pm2 if pm2 is not None else product_master(t, ctx)
-    x = _pm2_market(pm2)
-    fam = x.groupBy(*PCELL, "family_name").agg(F.sum("doses").alias("qty"))
+def _family_totals(pm2: DataFrame) -> DataFrame:
+    """Per cell and family: doses and (summed) patients of the families
+    with market revenue; shared by T5 and T6 so the plan reuses it."""
+    return _pm2_market(pm2).groupBy(*PCELL, "family_name").agg(
+        F.sum("doses").alias("qty"), F.sum("patients").alias("patients"))
+
+
+def _t5_units(fam: DataFrame, digits: int = 2) -> DataFrame:
     fam = fam.withColumn("total_qty", F.sum("qty").over(Window.partitionBy(*PCELL)))
     fam = fam.where(F.when(F.col("total_qty") == 0, F.lit(0)).otherwise(scaled_round(F.col("qty"), F.col("total_qty"), digits)) > 0)
     top = sh.topn_other(fam, PCELL, "family_name", "qty", "total_qty", digits=digits)
-    one = 10 ** digits
     units = sh.reconcile_leader(top, PCELL, "share_units", F.col("measure_rank") == 1, digits)
+    return top.select(*PCELL, "family_name", "row_order", units.alias("units"))
+
+
+def t5_dose_share(t: Tables, ctx: RunContext, pm2: DataFrame | None = None, digits: int = 2) -> DataFrame:
+    """Share of doses by product family, top five (priority families
+    first) plus 'Other', reconciled to 100 % on the largest family."""
+    pm2 = pm2 if pm2 is not None else product_master(t, ctx)
+    top = _t5_units(_family_totals(pm2), digits)
     out = top.select(*PCELL, F.col("family_name").alias("product_name"), "row_order",
-                     (units / float(one)).alias("dose_pct"))
+                     (F.col("units") / float(10 ** digits)).alias("dose_pct"))
     return _with_location(t, out).withColumn("end_date", F.lit(ctx.end_date))
 
 
@@ -526,11 +535,9 @@ def t5_dose_share(t: Tables, ctx: RunContext, pm2: DataFrame | None = None, digi
 def t6_doses_per_patient(t: Tables, ctx: RunContext, pm2: DataFrame | None = None) -> DataFrame:
     """Doses per patient for the named (non-Other) families of T5."""
     pm2 = pm2 if pm2 is not None else product_master(t, ctx)
-    t5 = t5_dose_share(t, ctx, pm2).where(F.col("row_order") < 6).select(
-        *PCELL, F.col("product_name").alias("family_name"), "row_order")
-    x = _pm2_market(pm2)
-    fam = x.groupBy(*PCELL, "family_name").agg(F.sum("doses").alias("qty"), F.sum("patients").alias("patients"))
-    out = t5.join(fam, PCELL + ["family_name"]).select(
+    fam = _family_totals(pm2)
+    top = _t5_units(fam).where(F.col("row_order") < 6).select(*PCELL, "family_name", "row_order")
+    out = top.join(fam, PCELL + ["family_name"]).select(
         *PCELL, F.col("family_name").alias("product_name"), "row_order",
         ratio_round(F.col("qty"), F.col("patients"), 1).alias("doses_pat"),
     )
