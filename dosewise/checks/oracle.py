@@ -1774,3 +1774,45 @@ UNION ALL SELECT '1HD', h_id, CAST(location_number AS VARCHAR), '{ctx.as_of.strf
 UNION ALL SELECT '3TR', c.h_id, NULL, CAST(coalesce(n.n, 0) + 2 AS VARCHAR), NULL FROM clinics c
   LEFT JOIN (SELECT h_id, count(*) AS n FROM ({body}) GROUP BY h_id) n ON n.h_id = c.h_id"""
     return ctes + final
+
+
+# ------------------------------------------------------------- accounts
+def _status_sql() -> str:
+    return """cstat AS (
+  SELECT *, CASE WHEN h_id % 6 = 5 THEN 'Pending' ELSE 'HID Validated (R2)' END AS status,
+    CASE WHEN h_id % 7 = 3 THEN 'No' ELSE 'Yes' END AS final_approval, h_id % 5 AS status_vi_portal FROM clinics)"""
+
+
+def accounts(ctx: RunContext) -> str:
+    return with_ctes(_status_sql(), final="""SELECT DISTINCT h_id AS hid, location_number, clinic_name, state AS ship_state,
+  dose_rec_ft_dog, dose_rec_hw_dog, dose_rec_ft_cat, dose_rec_hw_cat, account_number
+FROM cstat WHERE status = 'HID Validated (R2)' AND final_approval = 'Yes' AND status_vi_portal NOT IN (0)""")
+
+
+def ppr_accounts(ctx: RunContext) -> str:
+    per = ", ".join(f"('{p[0]}')" for p in ppr_periods(ctx))
+    return with_ctes(_status_sql(), final=f"""SELECT h_id AS hid, location_number, clinic_name, dose_rec_ft_dog, dose_rec_hw_dog,
+  dose_rec_ft_cat, dose_rec_hw_cat, account_number, pp.period_desc, {d(ctx.end_date)} AS end_date
+FROM cstat, (VALUES {per}) pp(period_desc)
+WHERE status = 'HID Validated (R2)' AND final_approval = 'Yes' AND status_vi_portal NOT IN (0, 11, 12, 16, 20)""")
+
+
+def psr_meta(ctx: RunContext) -> str:
+    acc = accounts(ctx)
+    i = acc.index("SELECT DISTINCT h_id AS hid")
+    return (ld_ctes_prefix(ctx) + ", " + _status_sql() + ", acc AS (" + acc[i:] + ")\n" +
+            """SELECT r.run_id, r.h_id, a.account_number, a.location_number, r.end_date,
+  strftime(r.end_date - INTERVAL 11 MONTH, '%b ''%y') || ' - ' || strftime(r.end_date, '%b ''%y') AS report_period,
+  a.clinic_name, a.ship_state AS clinic_state
+FROM (SELECT DISTINCT h_id, run_id, update_flag, make_date(CAST(update_flag + 1995 AS BIGINT), 12, 1) AS end_date FROM hist) r
+JOIN acc a ON a.hid = r.h_id""")
+
+
+def ld_ctes_prefix(ctx: RunContext) -> str:
+    return "WITH " + ",\n".join(binding_ctes() + ld_ctes(ctx))
+
+
+def wellness_services(ctx: RunContext) -> str:
+    return with_ctes(final="""SELECT w.service_id, CASE WHEN p.service_kind = 'vaccine' THEN 'vaccine'
+  WHEN p.service_kind = 'test' THEN 'heartworm test' ELSE 'spay/neuter' END AS reason
+FROM wellness w JOIN products p ON p.service_id = w.service_id""")

@@ -230,3 +230,15 @@ def q_consumer_file(spark, sf_dir):
 register("ppr_t3_rec_histogram", O.ppr_t3(CTX))(lambda spark, sf_dir: ppr.t3_rec_histogram(_t(spark, sf_dir), CTX))
 register("last_dose_nic_file", O.newly_inactive_file(CTX))(
     lambda spark, sf_dir: last_dose.newly_inactive_file(_t(spark, sf_dir), CTX))
+
+
+# ------------------------------------------------------------- accounts
+from . import accounts  # noqa: E402
+
+for _name, _fn, _oracle in [
+    ("accounts", accounts.accounts, O.accounts),
+    ("ppr_accounts", accounts.ppr_accounts, O.ppr_accounts),
+    ("psr_meta", accounts.psr_meta, O.psr_meta),
+    ("psr_wellness_services", accounts.wellness_services, O.wellness_services),
+]:
+    register(_name, _oracle(CTX))((lambda f: lambda spark, sf_dir: f(_t(spark, sf_dir), CTX))(_fn))
