@@ -1816,3 +1816,58 @@ def wellness_services(ctx: RunContext) -> str:
     return with_ctes(final="""SELECT w.service_id, CASE WHEN p.service_kind = 'vaccine' THEN 'vaccine'
   WHEN p.service_kind = 'test' THEN 'heartworm test' ELSE 'spay/neuter' END AS reason
 FROM wellness w JOIN products p ON p.service_id = w.service_id""")
+
+
+def control_file(ctx: RunContext) -> str:
+    mb = months_between(d(ctx.end_date), "p.dob")
+    camp = f"invoice_date BETWEEN start_date AND {d(ctx.as_of - timedelta(days=1))}"
+    cli = f"""ccli AS (
+  SELECT c.client_id, c.h_id, coalesce({_strip('c.first_name', RE_NAME_JUNK)}, 'None Given') AS first_name,
+    coalesce({_strip('c.last_name', RE_NAME_JUNK)}, 'None Given') AS last_name, c.title AS prefix,
+    coalesce({_strip(_strip('c.address1', RE_ADDR_JUNK), RE_CNTRL)}, 'None Given') AS address1,
+    {_strip(_strip('c.address2', RE_ADDR_JUNK), RE_CNTRL)} AS address2,
+    {_strip('c.city', RE_CNTRL)} AS city, {_strip('c.state', RE_CNTRL)} AS state,
+    trim({_strip("lpad(substr(CASE WHEN regexp_matches(c.postal_code, '[^0-9]') THEN nullif(regexp_replace(c.postal_code, '[^0-9]', '', 'g'), '') ELSE c.postal_code END, 1, 9), 30, ' ')", RE_CNTRL)}) AS postal_code,
+    {_strip("substr(CASE WHEN regexp_matches(c.phone1, '[^0-9]') THEN nullif(regexp_replace(c.phone1, '[^0-9]', '', 'g'), '') ELSE c.phone1 END, 1, 10)", RE_CNTRL)} AS phone1,
+    CASE WHEN regexp_matches(c.primary_email, {_q('(?i)^[A-Z0-9._%+-]+@[A-Z0-9.-]+[.][A-Z]{2,4}$')}) THEN c.primary_email END AS primary_email,
+    h.dogs_over_5, h.dogs_over_4, h.first_visit
+  FROM clients c
+  JOIN (SELECT p.client_id, max(CASE WHEN {mb} > 60 AND p.vi_species_id = 3 THEN 1 ELSE 0 END) AS dogs_over_5,
+          CAST(sum(CASE WHEN {mb} > 48 AND p.vi_species_id = 3 THEN 1 ELSE 0 END) AS BIGINT) AS dogs_over_4,
+          min(a.first_active) AS first_visit
+        FROM patients p JOIN activity a ON a.patient_id = p.patient_id
+        WHERE p.is_active AND NOT p.is_deceased AND p.vi_species_id IN (3, 7) GROUP BY p.client_id) h ON h.client_id = c.client_id
+  WHERE EXISTS (SELECT 1 FROM ctl WHERE ctl.h_id = c.h_id AND ctl.client_id = c.client_id))"""
+    base = "SELECT * FROM ctl WHERE type IS NOT NULL AND quantity_norm IS NOT NULL AND quantity_norm <> 0 AND vi_species_id IN (3, 7)"
+    subs, cols = [], []
+    for tag, pred in CONTROL_TAG_SQL.items():
+        subs.append(f"""LEFT JOIN (SELECT client_id, max(invoice_date) AS last_p,
+      count(DISTINCT CASE WHEN {camp} THEN (l_orderkey, l_linenumber, l_partkey, l_suppkey) END) AS n,
+      sum(CASE WHEN {camp} THEN cost END) AS rev, sum(CASE WHEN {camp} THEN quantity_norm END) AS doses
+    FROM ({base}) WHERE {pred} GROUP BY client_id) p_{tag} ON p_{tag}.client_id = c.client_id""")
+        cols += [f"{_mdy(f'p_{tag}.last_p')} AS last_{tag}_purch", f"coalesce(p_{tag}.n, 0) AS {tag}_purch_camp",
+                 f"{_money(f'p_{tag}.rev')} AS {tag}_rev_camp", f"CAST(coalesce(p_{tag}.doses, 0) AS BIGINT) AS {tag}_doses_camp"]
+    svc = {
+        "pm": "service_kind = 'nsaid'", "dental": "service_kind = 'general' AND product_info = 'Surgery - dental'",
+        "surg": "service_kind = 'general' AND product_info LIKE 'Surgery%' AND product_info <> 'Surgery - dental'",
+        "vacc": "service_kind = 'vaccine'", "board": "service_kind = 'general' AND lower(product_info) = 'service - boarding'",
+        "groom": "service_kind = 'general' AND lower(product_info) = 'service - grooming'",
+    }
+    for tag, pred in svc.items():
+        subs.append(f"""LEFT JOIN (SELECT client_id, count(CASE WHEN {camp} THEN 1 END) AS n, max(invoice_date) AS last,
+      sum(CASE WHEN {camp} THEN cost ELSE 0 END) AS dollars FROM ctl WHERE {pred} GROUP BY client_id) s_{tag}
+    ON s_{tag}.client_id = c.client_id""")
+        cols += [f"coalesce(s_{tag}.n, 0) AS num_{tag}_purch", f"{_mdy(f's_{tag}.last')} AS last_{tag}_purch",
+                 f"{_money(f's_{tag}.dollars')} AS dollar_{tag}_purch"]
+    detail = f"""SELECT '1DT' AS record_type, c.client_id, c.h_id, c.first_name, c.last_name, c.prefix, c.address1, c.address2,
+  c.city, c.state, c.postal_code, c.phone1, c.primary_email, c.dogs_over_5, c.dogs_over_4,
+  {_mdy('c.first_visit')} AS first_visit, {_mdy('la.last_active')} AS last_active, {', '.join(cols)}
+FROM ccli c LEFT JOIN (SELECT client_id, max(invoice_date) AS last_active FROM ctl GROUP BY client_id) la ON la.client_id = c.client_id
+{chr(10).join(subs)}
+WHERE c.state NOT IN ('AB','BC','MB','NB','NL','NT','NS','NU','ON','PE','QC','SK','YT','PR')
+  AND NOT (c.first_name = 'None Given' OR c.last_name = 'None Given' OR c.address1 = 'None Given')
+  AND c.first_visit IS NOT NULL"""
+    head = f"""SELECT '1HD' AS record_type, '{ctx.as_of.strftime('%m/%d/%Y')}' AS first_name, CAST(n.n + 1 AS VARCHAR) AS last_name,
+  k.account_number AS prefix, CAST(k.location_number AS VARCHAR) AS address1, substr(k.clinic_name, 1, 40) AS address2, k.h_id
+FROM clinics k JOIN (SELECT h_id, count(*) AS n FROM ({detail}) GROUP BY h_id) n ON n.h_id = k.h_id"""
+    return with_ctes(control_cte(ctx), cli, final=f"SELECT * FROM ({detail}) UNION ALL BY NAME ({head})")

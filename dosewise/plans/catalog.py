@@ -242,3 +242,5 @@ for _name, _fn, _oracle in [
     ("psr_wellness_services", accounts.wellness_services, O.wellness_services),
 ]:
     register(_name, _oracle(CTX))((lambda f: lambda spark, sf_dir: f(_t(spark, sf_dir), CTX))(_fn))
+
+register("control_file", O.control_file(CTX))(lambda spark, sf_dir: control.control_file(_t(spark, sf_dir), CTX))

@@ -114,3 +114,89 @@ def control_service_metrics(t: Tables, ctx: RunContext) -> DataFrame:
         F.max(d).alias("last_active"), F.min(d).alias("first_active"),
     ]
     return x.groupBy("client_id").agg(*aggs)
+
+
+# ------------------------------------------------------------ CT4-CT5
+def control_clients(t: Tables, ctx: RunContext, lines: DataFrame | None = None) -> DataFrame:
+    """Clients with a line in the control window (same clinic), with their
+    active living dogs and cats rolled up (HH1) and names cleansed (first
+    pass only, as in the reference)."""
+    from ..operators import contact as cl
+
+    x = lines if lines is not None else control_lines(t, ctx)
+    temp = x.select("h_id", "client_id").distinct()
+    pats = b.patients(t).join(b.patient_activity(t), "patient_id").where(
+        F.col("is_active") & ~F.col("is_deceased") & F.col("vi_species_id").isin(3, 7))
+    months = F.months_between(F.lit(ctx.end_date), F.col("dob"), False)
+    dog = F.col("vi_species_id") == 3
+    hh = pats.groupBy("client_id").agg(
+        F.max(F.when((months > 60) & dog, 1).otherwise(0)).alias("dogs_over_5"),
+        F.sum(F.when((months > 48) & dog, 1).otherwise(0)).cast("long").alias("dogs_over_4"),
+        F.min("first_active").alias("first_visit"))
+    c = b.clients(t).join(temp, ["h_id", "client_id"], "left_semi").join(hh, "client_id")
+    return c.select(
+        "client_id", "h_id",
+        F.coalesce(cl._strip(F.col("first_name"), cl.NAME_JUNK), F.lit(cl.NONE_GIVEN)).alias("first_name"),
+        F.coalesce(cl._strip(F.col("last_name"), cl.NAME_JUNK), F.lit(cl.NONE_GIVEN)).alias("last_name"),
+        F.col("title").alias("prefix"),
+        cl.clean_address(F.col("address1"), cl.NONE_GIVEN).alias("address1"),
+        cl.clean_address(F.col("address2")).alias("address2"),
+        cl.clean_control(F.col("city")).alias("city"), cl.clean_control(F.col("state")).alias("state"),
+        F.trim(cl.clean_zip(F.col("postal_code"))).alias("postal_code"), cl.clean_phone(F.col("phone1")).alias("phone1"),
+        cl.valid_email(F.col("primary_email")).alias("primary_email"),
+        "dogs_over_5", "dogs_over_4", "first_visit")
+
+
+# ----------------------------------------------------------- CT27-CT29
+def control_file(t: Tables, ctx: RunContext) -> DataFrame:
+    """Detail row per client (product-set and service metrics fused into
+    one aggregation pass), excluded regions (a NULL state is dropped too),
+    placeholder names and clients without a first visit removed; one
+    '1HD' header per clinic with details, record count = details + 1."""
+    from ..functions.semantics import mdy, money_text
+    from ..operators import contact as cl
+
+    x = control_lines(t, ctx)
+    cli = control_clients(t, ctx, x)
+    ok = F.col("type").isNotNull() & F.col("quantity_norm").isNotNull() & (F.col("quantity_norm") != 0) & F.col("vi_species_id").isin(3, 7)
+    camp = (F.col("start_date"), F.lit(ctx.as_of - timedelta(days=1)))
+    q = F.col("quantity_norm")
+    prod = tm.tagged_aggs({k: ok & v for k, v in control_tags().items()}, {"camp": camp}, revenue=F.col("cost"), doses=q)
+    d = F.col("invoice_date")
+    info, kind = F.col("product_info"), F.col("service_kind")
+    svc_tags = {
+        "pm": kind == "nsaid", "dental": (kind == "general") & (info == "Surgery - dental"),
+        "surg": (kind == "general") & info.like("Surgery%") & (info != "Surgery - dental"), "vacc": kind == "vaccine",
+        "board": (kind == "general") & (F.lower(info) == "service - boarding"),
+        "groom": (kind == "general") & (F.lower(info) == "service - grooming"),
+    }
+    svc = []
+    for tag, pred in svc_tags.items():
+        hit = pred & tm.in_window(d, camp)
+        svc += [F.count(F.when(hit, F.lit(1))).alias(f"num_{tag}_purch"), F.max(F.when(pred, d)).alias(f"last_{tag}_purch"),
+                F.coalesce(F.sum(F.when(hit, F.col("cost"))), F.lit(0)).alias(f"dollar_{tag}_purch")]
+    metrics = x.groupBy("client_id").agg(*prod, *svc, F.max(d).alias("last_active"))
+    r = cli.join(metrics, "client_id", "left").where(
+        ~F.col("state").isin(*cl.REGION_PREFIXES)
+        & ~((F.col("first_name") == cl.NONE_GIVEN) | (F.col("last_name") == cl.NONE_GIVEN) | (F.col("address1") == cl.NONE_GIVEN))
+        & F.col("first_visit").isNotNull())
+    cols = [F.lit("1DT").alias("record_type"), "client_id", "h_id", "first_name", "last_name", "prefix", "address1",
+            "address2", "city", "state", "postal_code", "phone1", "primary_email", "dogs_over_5", "dogs_over_4",
+            mdy("first_visit").alias("first_visit"), mdy("last_active").alias("last_active")]
+    for tag in control_tags():
+        cols += [mdy(f"last_{tag}_purch").alias(f"last_{tag}_purch"),
+                 F.coalesce(F.col(f"{tag}_purch_camp"), F.lit(0)).alias(f"{tag}_purch_camp"),
+                 money_text(F.coalesce(F.col(f"{tag}_rev_camp"), F.lit(0))).alias(f"{tag}_rev_camp"),
+                 F.coalesce(F.col(f"{tag}_doses_camp"), F.lit(0)).cast("long").alias(f"{tag}_doses_camp")]
+    for tag in svc_tags:
+        cols += [F.coalesce(F.col(f"num_{tag}_purch"), F.lit(0)).alias(f"num_{tag}_purch"),
+                 mdy(f"last_{tag}_purch").alias(f"last_{tag}_purch"),
+                 money_text(F.coalesce(F.col(f"dollar_{tag}_purch"), F.lit(0))).alias(f"dollar_{tag}_purch")]
+    detail = r.select(*cols)
+    n = detail.groupBy("h_id").agg(F.count(F.lit(1)).alias("_n"))
+    clin = maybe_broadcast(b.clinics(t).select("h_id", "account_number", "location_number", "clinic_name"))
+    heads = clin.join(n, "h_id").select(
+        F.lit("1HD").alias("record_type"), F.lit(ctx.as_of.strftime("%m/%d/%Y")).alias("first_name"),
+        (F.col("_n") + 1).cast("string").alias("last_name"), F.col("account_number").alias("prefix"),
+        F.col("location_number").cast("string").alias("address1"), F.substring("clinic_name", 1, 40).alias("address2"), "h_id")
+    return detail.unionByName(heads, allowMissingColumns=True)
