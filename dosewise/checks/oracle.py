@@ -1024,7 +1024,7 @@ def nsaid_clients(ctx: RunContext) -> str:
 
 def nsaid_purchase_file(ctx: RunContext) -> str:
     end = ctx.end_date
-    start = add_months(end, -12)
+    start = add_months(end, -11)
     prods = ", ".join(_q(x) for x in b.NSAID_PRODUCTS)
     detail = f"""SELECT '2DT' AS record_type,
     CAST(CASE WHEN s.lineitem_id < 1 THEN 4294967297 - s.lineitem_id ELSE s.lineitem_id END AS VARCHAR) AS lineitem_id,
@@ -1871,3 +1871,11 @@ WHERE c.state NOT IN ('AB','BC','MB','NB','NL','NT','NS','NU','ON','PE','QC','SK
   k.account_number AS prefix, CAST(k.location_number AS VARCHAR) AS address1, substr(k.clinic_name, 1, 40) AS address2, k.h_id
 FROM clinics k JOIN (SELECT h_id, count(*) AS n FROM ({detail}) GROUP BY h_id) n ON n.h_id = k.h_id"""
     return with_ctes(control_cte(ctx), cli, final=f"SELECT * FROM ({detail}) UNION ALL BY NAME ({head})")
+
+
+def clinic_xref_check(ctx: RunContext) -> str:
+    acc = accounts(ctx)
+    i = acc.index("SELECT DISTINCT h_id AS hid")
+    return with_ctes(_status_sql(), f"acc AS ({acc[i:]})", final="""SELECT r.h_id, r.location_number,
+  CASE WHEN EXISTS (SELECT 1 FROM acc WHERE acc.hid = r.h_id AND acc.location_number = r.location_number) THEN 1 ELSE -20004 END AS xref_status
+FROM (SELECT h_id, location_number FROM clinics UNION ALL SELECT h_id, location_number + 1 FROM clinics) r""")

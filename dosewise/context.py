@@ -76,3 +76,36 @@ class RunContext:
 
 
 DEFAULT_CONTEXT = RunContext()
+
+
+# fixed values: report types the run initialiser accepts
+REPORT_TYPES = ("PSR", "PSR-B", "CONSUMER", "CONTROL", "LAST DOSE", "NSAID", "PPR", "UPL")
+
+
+class InvalidReportType(ValueError):
+    pass
+
+
+class MissingEndDate(ValueError):
+    pass
+
+
+def make_run(report_type: str, end_date: date | None = None, as_of: date | None = None,
+             run_id: int = 1, update_flag: int = 0, location_number: int | None = None) -> RunContext:
+    """AP2: validate the report type and settle the end date.
+
+    Without an end date, CONSUMER and LAST DOSE default to two days before
+    ``as_of``; every other type is refused. The reports' windows are
+    calendar months, so the context keeps the end month; the exact end day
+    (kept untruncated for LAST DOSE by the reference) is in
+    ``extra['end_day']``."""
+    rt = report_type.upper()
+    if rt not in REPORT_TYPES:
+        raise InvalidReportType(report_type)
+    as_of = as_of or DEFAULT_CONTEXT.as_of
+    if end_date is None:
+        if rt not in ("CONSUMER", "LAST DOSE"):
+            raise MissingEndDate(report_type)
+        end_date = as_of - timedelta(days=2)
+    return RunContext(end_date=end_date, as_of=as_of, run_id=run_id, update_flag=update_flag,
+                      location_number=location_number, report_type=rt, extra={"end_day": end_date})

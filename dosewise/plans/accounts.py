@@ -73,3 +73,18 @@ def wellness_services(t: Tables, ctx: RunContext) -> DataFrame:
     return w.select("service_id", F.when(F.col("service_kind") == "vaccine", F.lit("vaccine"))
                     .when(F.col("service_kind") == "test", F.lit("heartworm test"))
                     .otherwise(F.lit("spay/neuter")).alias("reason"))
+
+
+XREF_OK, XREF_MISSING = 1, -20004
+
+
+def clinic_xref_check(t: Tables, ctx: RunContext) -> DataFrame:
+    """AP1 as a set job: for every requested (clinic, location) pair, 1 when
+    it is an approved account, -20004 otherwise. Requests are each clinic's
+    own location and its neighbour's (one of them must fail)."""
+    c = b.clinics(t).select("h_id", "location_number")
+    req = c.unionByName(c.select("h_id", (F.col("location_number") + 1).alias("location_number")))
+    acc = maybe_broadcast(accounts(t, ctx).select(F.col("hid").alias("h_id"), "location_number", F.lit(True).alias("_ok")))
+    return req.join(acc, ["h_id", "location_number"], "left").select(
+        "h_id", "location_number",
+        F.when(F.col("_ok").isNotNull(), F.lit(XREF_OK)).otherwise(F.lit(XREF_MISSING)).alias("xref_status"))

@@ -244,3 +244,5 @@ for _name, _fn, _oracle in [
     register(_name, _oracle(CTX))((lambda f: lambda spark, sf_dir: f(_t(spark, sf_dir), CTX))(_fn))
 
 register("control_file", O.control_file(CTX))(lambda spark, sf_dir: control.control_file(_t(spark, sf_dir), CTX))
+
+register("clinic_xref_check", O.clinic_xref_check(CTX))(lambda spark, sf_dir: accounts.clinic_xref_check(_t(spark, sf_dir), CTX))

@@ -153,7 +153,7 @@ def nsaid_purchase_file(t: Tables, ctx: RunContext) -> DataFrame:
     """Header '1HD', detail '2DT' and trailer '3TR' rows per clinic. The
     trailer counts the rows written before it (header + details) + 1."""
     end = ctx.end_date
-    start = add_months(end, -12)
+    start = add_months(end, -11)  # the run's start date for NSAID files
     pats = patients_with_weight(t, ctx)
     cli = nsaid_clients(t, ctx, pats)
     q, dv = F.col("quantity"), F.col("dosage_volume")
