@@ -9,7 +9,7 @@ run is the run context's year.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..context import RunContext, add_months
@@ -46,6 +46,16 @@ def run_history(t: Tables, ctx: RunContext) -> DataFrame:
                     "client_id", "patient_id", "vi_species_id", "invoice_date")
 
 
+def run_summary(t: Tables, ctx: RunContext) -> DataFrame:
+    """History aggregated to (clinic, run, flag, client): last delivered
+    invoice day and whether a dog was involved. Both the incremental start
+    and the lapsed-client list derive from this one aggregate, so a plan
+    that needs both shuffles the history once."""
+    return run_history(t, ctx).groupBy("h_id", "run_id", "update_flag", "client_id").agg(
+        F.max("invoice_date").alias("last_invoice"),
+        F.max(F.col("vi_species_id") == DOG).alias("has_dog"))
+
+
 # ------------------------------------------------------------------ IN1
 def incremental_start(t: Tables, ctx: RunContext, update_flag: int | None = None,
                       hist: DataFrame | None = None) -> DataFrame:
@@ -57,9 +67,9 @@ def incremental_start(t: Tables, ctx: RunContext, update_flag: int | None = None
     clin = maybe_broadcast(b.clinics(t).select("h_id"))
     if flag == FULL_YEAR_FLAG:
         return clin.select("h_id", F.lit(fallback).alias("start_date"))
-    hist = hist if hist is not None else run_history(t, ctx)
+    hist = hist if hist is not None else run_summary(t, ctx)
     per_run = hist.where(F.col("update_flag") < flag).groupBy("h_id", "run_id").agg(
-        F.max("invoice_date").alias("last_delivered"))
+        F.max("last_invoice").alias("last_delivered"))
     latest = per_run.groupBy("h_id").agg(F.max_by("last_delivered", "run_id").alias("last_delivered"))
     return clin.join(latest, "h_id", "left").select(
         "h_id", F.coalesce(F.date_add("last_delivered", 1), F.lit(fallback)).alias("start_date"))
@@ -187,11 +197,12 @@ def last_dose_file(t: Tables, ctx: RunContext) -> DataFrame:
 def newly_inactive(t: Tables, ctx: RunContext) -> DataFrame:
     """Clients of households with dogs in the latest run of every earlier
     update flag who have no dog purchase in the current run (NC1)."""
-    hist = run_history(t, ctx)
+    hist = run_summary(t, ctx)
     flag = current_flag(ctx)
     earlier = hist.where(F.col("update_flag") < flag)
-    latest = earlier.groupBy("h_id", "update_flag").agg(F.max("run_id").alias("run_id"))
-    dogs = earlier.where(F.col("vi_species_id") == DOG).join(latest, ["h_id", "update_flag", "run_id"], "left_semi")
+    # J12: the latest run of every earlier flag (window max, no self join)
+    latest = F.max("run_id").over(Window.partitionBy("h_id", "update_flag"))
+    dogs = earlier.withColumn("_latest", latest).where((F.col("run_id") == F.col("_latest")) & F.col("has_dog"))
     before = dogs.select("h_id", "client_id").distinct()
     pats = last_dose_patients(t, ctx)
     starts = incremental_start(t, ctx, hist=hist)
