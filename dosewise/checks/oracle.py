@@ -1879,3 +1879,10 @@ def clinic_xref_check(ctx: RunContext) -> str:
     return with_ctes(_status_sql(), f"acc AS ({acc[i:]})", final="""SELECT r.h_id, r.location_number,
   CASE WHEN EXISTS (SELECT 1 FROM acc WHERE acc.hid = r.h_id AND acc.location_number = r.location_number) THEN 1 ELSE -20004 END AS xref_status
 FROM (SELECT h_id, location_number FROM clinics UNION ALL SELECT h_id, location_number + 1 FROM clinics) r""")
+
+
+def consumer_clients_split(ctx: RunContext) -> str:
+    base = consumer_clients(ctx)
+    return base.replace("SELECT * FROM cons_clients", """SELECT c.* FROM cons_clients c
+WHERE NOT EXISTS (SELECT 1 FROM clients s WHERE s.h_id % 5 = 0 AND s.client_id % 4 = 0 AND s.h_id = c.h_id)
+   OR (c.h_id % 5 = 0 AND c.client_id % 4 = 0)""")

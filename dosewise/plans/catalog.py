@@ -246,3 +246,6 @@ for _name, _fn, _oracle in [
 register("control_file", O.control_file(CTX))(lambda spark, sf_dir: control.control_file(_t(spark, sf_dir), CTX))
 
 register("clinic_xref_check", O.clinic_xref_check(CTX))(lambda spark, sf_dir: accounts.clinic_xref_check(_t(spark, sf_dir), CTX))
+
+register("consumer_clients_split", O.consumer_clients_split(CTX))(
+    lambda spark, sf_dir: consumer.consumer_clients_split(_t(spark, sf_dir), CTX))

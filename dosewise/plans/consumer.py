@@ -216,9 +216,12 @@ def service_metrics(t: Tables, ctx: RunContext, lines: DataFrame | None = None)
 
 
 # ------------------------------------------------------------ CO2-CO5
-def consumer_clients(t: Tables, ctx: RunContext, cp: DataFrame | None = None) -> DataFrame:
+def consumer_clients(t: Tables, ctx: RunContext, cp: DataFrame | None = None,
+                     split: DataFrame | None = None) -> DataFrame:
     """Clients of the consumer patients: household roll-up (HH1), cleansed
-    contact fields (CL1), minus the deny list (DN1) and excluded regions."""
+    contact fields (CL1), minus the deny list (DN1) and excluded regions.
+    With a split list (CO2), a clinic that has one keeps only its listed
+    clients; clinics without a list keep all."""
     cp = cp if cp is not None else consumer_patients(t, ctx)
     s, pid = F.col("vi_species_id"), F.col("patient_id")
     hh = tm.household(cp, ["client_id"], [
@@ -230,6 +233,11 @@ def consumer_clients(t: Tables, ctx: RunContext, cp: DataFrame | None = None) ->
         F.min("first_active").alias("first_visit"),
     ])
     c = b.clients(t).join(hh, "client_id")
+    if split is not None:
+        has_list = maybe_broadcast(split.select("h_id").distinct().withColumn("_split", F.lit(True)))
+        listed = split.select("h_id", F.col("pms_client_id").alias("client_id"), F.lit(True).alias("_listed"))
+        c = (c.join(has_list, "h_id", "left").join(listed, ["h_id", "client_id"], "left")
+             .where(F.col("_split").isNull() | F.col("_listed").isNotNull()).drop("_split", "_listed"))
     out = c.select(
         "client_id", "h_id",
         cl.clean_name(F.col("first_name")).alias("first_name"),
@@ -361,3 +369,8 @@ def consumer_file(t: Tables, ctx: RunContext) -> DataFrame:
         "h_id",
     )
     return detail.unionByName(heads, allowMissingColumns=True)
+
+
+def consumer_clients_split(t: Tables, ctx: RunContext) -> DataFrame:
+    """CO2: the split-location variant of the consumer client list."""
+    return consumer_clients(t, ctx, split=b.split_clients(t))

@@ -315,3 +315,12 @@ def vitals(t: Tables) -> DataFrame:
         _event_ts().alias("visit_date"),
         F.col("event_id").alias("vital_id"),
     )
+
+
+# ------------------------------------------------------------ split lists
+def split_clients(t: Tables) -> DataFrame:
+    """Clinics whose location is split keep only listed clients: clinics
+    with key % 5 = 0 list their clients with id % 4 = 0."""
+    c = clients(t)
+    return c.where(((F.col("h_id") % 5) == 0) & ((F.col("client_id") % 4) == 0)).select(
+        (F.lit(1000) + F.col("h_id")).alias("location_number"), "h_id", F.col("client_id").alias("pms_client_id"))
