@@ -18,7 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from ..context import RunContext
 from ..session import ensure_checkpoint_dir
 from ..sources.tables import Tables
-from . import consumer, ppr, psr
+from pyspark.sql import functions as F
+
+from . import calllist, consumer, control, last_dose, nsaid, ppr, psr
 
 
 def shared(df: DataFrame) -> DataFrame:
@@ -67,22 +69,61 @@ def ppr_tables(t: Tables, ctx: RunContext) -> dict[str, DataFrame]:
 
 
 def consumer_tables(t: Tables, ctx: RunContext) -> dict[str, DataFrame]:
-    return {"consumer_file": consumer.consumer_file(t, ctx)}
+    return {"consumer_report": consumer.consumer_file(t, ctx)}
+
+
+def control_tables(t: Tables, ctx: RunContext) -> dict[str, DataFrame]:
+    return {"control_report": control.control_file(t, ctx)}
+
+
+def last_dose_tables(t: Tables, ctx: RunContext) -> dict[str, DataFrame]:
+    out = {"last_dose_report": last_dose.last_dose_file(t, ctx)}
+    if ctx.update_flag > 1:  # the lapsed-client list follows later deliveries only
+        out["last_dose_nic_report"] = last_dose.newly_inactive_file(t, ctx)
+    return out
+
+
+def nsaid_tables(t: Tables, ctx: RunContext) -> dict[str, DataFrame]:
+    return {"nsaid_purch_report": nsaid.nsaid_purchase_file(t, ctx)}
+
+
+def upl_tables(t: Tables, ctx: RunContext) -> dict[str, DataFrame]:
+    return {"upl_report": calllist.call_list(t, ctx)}
 
 
 REPORTS: dict[str, Callable[[Tables, RunContext], dict[str, DataFrame]]] = {
-    "PSR": psr_tables, "PPR": ppr_tables, "CONSUMER": consumer_tables,
+    "PSR": psr_tables, "PPR": ppr_tables, "CONSUMER": consumer_tables, "CONTROL": control_tables,
+    "LAST DOSE": last_dose_tables, "NSAID": nsaid_tables, "UPL": upl_tables,
 }
 
 
 def run_report(spark: SparkSession, sf_dir: str, out_dir: str, report: str = "PSR",
-               ctx: RunContext | None = None) -> dict[str, str]:
-    """Build and write every table of ``report``; returns name -> path."""
+               ctx: RunContext | None = None, append: bool = False, publish: bool = False) -> dict[str, str]:
+    """Build and write every table of ``report``; returns name -> path.
+
+    ``append=True`` keeps earlier runs: rows carry ``run_id`` and the
+    tables are partitioned by it (one folder per run, written atomically
+    per partition). ``publish=True`` registers each table as a temp view,
+    file-shaped tables ordered header, detail, trailer on read."""
     ctx = ctx or RunContext()
     t = Tables(spark, sf_dir)
     paths = {}
-    for name, df in REPORTS[report](t, ctx).items():
+    for name, df in REPORTS[report.upper()](t, ctx).items():
         path = os.path.join(out_dir, name)
-        df.write.mode("overwrite").parquet(path)
+        if append:
+            df.withColumn("run_id", F.lit(ctx.run_id)).write.mode("append").partitionBy("run_id").parquet(path)
+        else:
+            df.write.mode("overwrite").parquet(path)
         paths[name] = path
+        if publish:
+            publish_view(spark, name, path)
     return paths
+
+
+def publish_view(spark: SparkSession, name: str, path: str) -> None:
+    """SK6: a read view over a written table; header/detail/trailer files
+    read back in file order (record type first)."""
+    df = spark.read.parquet(path)
+    if "record_type" in df.columns:
+        df = df.orderBy("record_type")
+    df.createOrReplaceTempView(name)

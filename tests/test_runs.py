@@ -12,3 +12,13 @@ def test_psr_run_writes_every_table(spark):
     assert len(paths) == 16
     t14 = spark.read.parquet(paths["psr_t14"])
     assert t14.count() == 100  # 25 clinics x 2 markets x 2 species
+
+
+def test_file_reports_append_and_publish(spark):
+    out = tempfile.mkdtemp(prefix="files-", dir="/tmp")
+    for report in ("NSAID", "UPL", "CONTROL"):
+        paths = run_report(spark, SMOKE, out, report, RunContext(run_id=7), append=True, publish=True)
+        for name, p in paths.items():
+            df = spark.read.parquet(p)
+            assert "run_id" in df.columns and df.where("run_id = 7").count() == df.count()
+            assert spark.table(name).count() == df.count()
