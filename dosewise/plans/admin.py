@@ -96,7 +96,7 @@ def readiness(t: Tables, ctx: RunContext, months_back: int = 12) -> DataFrame:
     here the denominator is all patients of the clinic's lines."""
     lo, hi = ctx.months_window(-(months_back - 1), 0)
     pats = b.patients(t).select("patient_id", "h_id", "vi_species_id")
-    x = b.lines(t, lo, hi).select("patient_id", "invoice_date").join(pats, "patient_id")
+    x = b.lines(t, lo, hi, pats).select("patient_id", "h_id", "vi_species_id", "invoice_date")
     g = x.groupBy("h_id").agg(
         F.countDistinct(F.trunc("invoice_date", "MM")).alias("month_count"),
         F.countDistinct(F.when(F.col("vi_species_id").isin(3, 7), F.col("patient_id"))).alias("cats_dogs_total"),

@@ -87,9 +87,9 @@ def call_list(t: Tables, ctx: RunContext) -> DataFrame:
     )
     lo, hi = ctx.months_window(-11, 0)
     prod = maybe_broadcast(b.products(t).where(F.col("type").isNotNull()).select("service_id", "type"))
-    fth = (b.lines(t, lo, hi).where(~F.col("voided") & (F.col("cost") != 0))
-           .select("patient_id", "invoice_date", "service_id", "quantity_norm").join(prod, "service_id")
-           .join(pats.select("patient_id", "client_id", "vi_species_id"), "patient_id"))
+    fth = (b.lines(t, lo, hi, pats.select("patient_id", "vi_species_id")).where(~F.col("voided") & (F.col("cost") != 0))
+           .select("patient_id", "client_id", "vi_species_id", "invoice_date", "service_id", "quantity_norm")
+           .join(prod, "service_id"))
     typ, q = F.col("type"), F.col("quantity_norm")
     per_pat = pats.select("patient_id", "client_id").join(
         fth.groupBy("patient_id").agg(

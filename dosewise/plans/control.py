@@ -33,9 +33,10 @@ def control_lines(t: Tables, ctx: RunContext) -> DataFrame:
     prod = maybe_broadcast(b.products(t).select("service_id", "product", "family_name", "type", "service_kind", "product_info"))
     clin = maybe_broadcast(b.clinics(t).select("h_id", "start_date"))
     return (
-        b.lines(t, lo, hi).where(~F.col("voided") & F.col("client_id").isNotNull())
-        .select(*LINE_ID, "patient_id", "client_id", "invoice_date", "service_id", "quantity_norm", "cost")
-        .join(pats, "patient_id").join(prod, "service_id", "left").join(clin, "h_id")
+        b.lines(t, lo, hi, pats).where(~F.col("voided") & F.col("client_id").isNotNull())
+        .select(*LINE_ID, "patient_id", "client_id", "h_id", "vi_species_id", "invoice_date", "service_id",
+                "quantity_norm", "cost")
+        .join(prod, "service_id", "left").join(clin, "h_id")
     )
 
 

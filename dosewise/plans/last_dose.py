@@ -38,9 +38,9 @@ def run_history(t: Tables, ctx: RunContext) -> DataFrame:
     hi = ctx.end_date.replace(month=1, day=1)
     pats = b.patients(t).select("patient_id", "h_id", "vi_species_id")
     prod = maybe_broadcast(b.products(t).where(F.col("type").isNotNull()).select("service_id"))
-    x = (b.lines(t, None, hi).where(~F.col("voided") & (F.col("quantity_norm") != 0))
-         .select("patient_id", "client_id", "invoice_date", "service_id")
-         .join(prod, "service_id", "left_semi").join(pats, "patient_id"))
+    x = (b.lines(t, None, hi, pats).where(~F.col("voided") & (F.col("quantity_norm") != 0))
+         .select("patient_id", "client_id", "h_id", "vi_species_id", "invoice_date", "service_id")
+         .join(prod, "service_id", "left_semi"))
     flag = (F.year("invoice_date") - FIRST_YEAR).cast("int")
     return x.select("h_id", (F.col("h_id") * 100 + flag).alias("run_id"), flag.alias("update_flag"),
                     "client_id", "patient_id", "vi_species_id", "invoice_date")
@@ -119,9 +119,9 @@ def last_dose_purchases(t: Tables, ctx: RunContext, pats: DataFrame, starts: Dat
     p = pats.select("patient_id", "client_id", "h_id")
     prod = maybe_broadcast(b.products(t).where(F.col("type").isNotNull()).select("service_id", "type", "family_name"))
     fth = (
-        b.lines(t, lo, end_excl).where(~F.col("voided") & (F.col("quantity_norm") != 0))
-        .select(*b.LINE_KEY, "patient_id", "invoice_date", "service_id", "quantity_norm", "cost")
-        .join(prod, "service_id").join(p, "patient_id").join(st, "h_id")
+        b.lines(t, lo, end_excl, p.select("patient_id", "h_id")).where(~F.col("voided") & (F.col("quantity_norm") != 0))
+        .select(*b.LINE_KEY, "patient_id", "client_id", "h_id", "invoice_date", "service_id", "quantity_norm", "cost")
+        .join(prod, "service_id").join(st, "h_id")
         .where(F.col("invoice_date") >= F.col("start_month"))
     )
     fth = ev.same_day_flag(fth, b.appointments(t), ["patient_id"], "invoice_date", "appointment_date")

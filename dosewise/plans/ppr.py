@@ -55,9 +55,9 @@ def patient_master(t: Tables, ctx: RunContext) -> DataFrame:
         ((F.col("service_kind") == "vaccine") | (F.col("product_info") == "Surgery - spay")
          | (F.col("service_kind") == "test")).alias("is_wellness")))
     x = (
-        b.lines(t, lo, hi).where(~F.col("voided"))
-        .select("patient_id", "invoice_date", "service_id", "quantity_norm", "cost")
-        .join(pats, "patient_id").join(prod, "service_id", "left")
+        b.lines(t, lo, hi, pats).where(~F.col("voided"))
+        .select("patient_id", "h_id", "vi_species_id", "invoice_date", "service_id", "quantity_norm", "cost")
+        .join(prod, "service_id", "left")
         .withColumn("month", F.trunc("invoice_date", "MM"))
         .withColumn("time_period", _period_of(F.col("month"), ctx))
         .where(F.col("time_period").isNotNull())
@@ -115,10 +115,10 @@ def product_master(t: Tables, ctx: RunContext, pm: DataFrame | None = None) -> D
     pats = b.patients(t).where(F.col("vi_species_id").isin(DOG, CAT)).select("patient_id", "h_id", "vi_species_id")
     prod = maybe_broadcast(b.products(t).where(F.col("type").isNotNull()).select("service_id", "type", "family_name"))
     x = (
-        b.lines(t, lo, hi).where(~F.col("voided") & F.col("quantity_norm").isNotNull()
-                                 & (F.col("quantity_norm") != 0) & (F.col("cost") != 0))
-        .select("patient_id", "invoice_date", "service_id", "quantity_norm")
-        .join(prod, "service_id").join(pats, "patient_id")
+        b.lines(t, lo, hi, pats).where(~F.col("voided") & F.col("quantity_norm").isNotNull()
+                                       & (F.col("quantity_norm") != 0) & (F.col("cost") != 0))
+        .select("patient_id", "h_id", "vi_species_id", "invoice_date", "service_id", "quantity_norm")
+        .join(prod, "service_id")
         .withColumn("time_period", _period_of(F.trunc("invoice_date", "MM"), ctx))
         .where(F.col("time_period").isNotNull())
         .join(who, ["time_period", "h_id", "patient_id"], "left_semi")

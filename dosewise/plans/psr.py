@@ -39,9 +39,10 @@ def wellness_services(t: Tables) -> DataFrame:
     ).select("service_id", F.lit(1).alias("is_wellness"))
 
 
-def _window_lines(t: Tables, ctx: RunContext, first: int = -11, last: int = 0) -> DataFrame:
+def _window_lines(t: Tables, ctx: RunContext, first: int = -11, last: int = 0,
+                  patients: DataFrame | None = None) -> DataFrame:
     lo, hi = ctx.months_window(first, last)
-    return b.lines(t, lo, hi).where(~F.col("voided"))
+    return b.lines(t, lo, hi, patients).where(~F.col("voided"))
 
 
 def _product_attrs(t: Tables) -> DataFrame:
@@ -68,9 +69,8 @@ def patient_master(t: Tables, ctx: RunContext, first: int = -11, last: int = 0)
         "patient_id", "h_id", "vi_species_id", "dob"
     )
     x = (
-        _window_lines(t, ctx, first, last)
-        .select("patient_id", "invoice_date", "service_id", "quantity_norm", "cost")
-        .join(pats, "patient_id")
+        _window_lines(t, ctx, first, last, pats)
+        .select("patient_id", "h_id", "vi_species_id", "dob", "invoice_date", "service_id", "quantity_norm", "cost")
         .join(_product_attrs(t), "service_id", "left")
     )
     typ = F.col("type")
@@ -467,11 +467,10 @@ def product_master(t: Tables, ctx: RunContext, pm: DataFrame | None = None) -> D
     pats = b.patients(t).where(F.col("vi_species_id").isin(DOG, CAT)).select("patient_id", "h_id", "vi_species_id")
     prod = maybe_broadcast(b.products(t).where(F.col("type").isNotNull()).select("service_id", "type", "family_name"))
     x = (
-        _window_lines(t, ctx)
+        _window_lines(t, ctx, patients=pats)
         .where((F.col("cost") != 0) & F.col("quantity_norm").isNotNull() & (F.col("quantity_norm") != 0))
-        .select("patient_id", "service_id", "quantity_norm", "cost")
+        .select("patient_id", "h_id", "vi_species_id", "service_id", "quantity_norm", "cost")
         .join(prod, "service_id")
-        .join(pats, "patient_id")
         .join(well, ["h_id", "patient_id"], "left_semi")
     )
     typ = F.col("type")
@@ -578,9 +577,8 @@ def month_master(t: Tables, ctx: RunContext, pm: DataFrame | None = None) -> Dat
     pats = b.patients(t).where(F.col("vi_species_id").isin(DOG, CAT)).select("patient_id", "h_id", "vi_species_id")
     prod = _product_attrs(t).select("service_id", "type")
     x = (
-        _window_lines(t, ctx)
-        .select("patient_id", "invoice_date", "service_id", "quantity_norm", "cost")
-        .join(pats, "patient_id")
+        _window_lines(t, ctx, patients=pats)
+        .select("patient_id", "h_id", "vi_species_id", "invoice_date", "service_id", "quantity_norm", "cost")
         .join(well, ["h_id", "patient_id"], "left_semi")
         .join(prod, "service_id", "left")
     )

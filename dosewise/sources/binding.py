@@ -226,19 +226,31 @@ def orders_in(t: Tables, lo: date | None = None, hi: date | None = None) -> Data
     return o
 
 
-def lines(t: Tables, lo: date | None = None, hi: date | None = None) -> DataFrame:
+def lines(t: Tables, lo: date | None = None, hi: date | None = None,
+          patients: DataFrame | None = None) -> DataFrame:
     """Invoice lines: lineitem joined to its order (patient, day).
 
     ``lo``/``hi`` restrict the invoice day to [lo, hi). The runtime bloom
     filter carries the order-date restriction over to the lineitem scan.
+
+    ``patients`` (keyed by ``patient_id``) is joined to the *orders* before
+    the lineitem join and its columns are carried along: at scale the line
+    rows are then shuffled once (by order key) instead of a second time by
+    patient, and a restrictive patient set shrinks the orders side first.
     """
     o = orders_in(t, lo, hi).select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus"
     )
+    extra: list[str] = []
+    if patients is not None:
+        extra = [c for c in patients.columns if c not in ("patient_id", "client_id")]
+        p = patients.select(F.col("patient_id").alias("o_custkey"), *extra)
+        o = o.join(p, "o_custkey")
     li = t.lineitem.select(
         *LINE_KEY, "l_quantity", "l_extendedprice", "l_discount", "l_returnflag"
     )
     return li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        *extra,
         *LINE_KEY,
         F.col("o_custkey").alias("patient_id"),
         F.floor(F.col("o_custkey") / 3).cast("long").alias("client_id"),
