@@ -1886,3 +1886,10 @@ def consumer_clients_split(ctx: RunContext) -> str:
     return base.replace("SELECT * FROM cons_clients", """SELECT c.* FROM cons_clients c
 WHERE NOT EXISTS (SELECT 1 FROM clients s WHERE s.h_id % 5 = 0 AND s.client_id % 4 = 0 AND s.h_id = c.h_id)
    OR (c.h_id % 5 = 0 AND c.client_id % 4 = 0)""")
+
+
+def last_dose_clients_split(ctx: RunContext) -> str:
+    base = last_dose_clients(ctx)
+    return base.replace("SELECT * FROM ld_cli", """SELECT c.* FROM ld_cli c
+WHERE NOT EXISTS (SELECT 1 FROM clients s WHERE s.h_id % 5 = 0 AND s.client_id % 4 = 0 AND s.h_id = c.h_id)
+   OR (c.h_id % 5 = 0 AND c.client_id % 4 = 0)""")

@@ -23,8 +23,22 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def maybe_broadcast(df: DataFrame, cap: int = DEFAULT_BROADCAST_CAP) -> DataFrame:
+CAP_CONF = "spark.dosewise.broadcastCapBytes"
+
+
+def broadcast_cap(df: DataFrame) -> int:
+    """The cap from the session (``spark.dosewise.broadcastCapBytes``),
+    else the default."""
+    try:
+        v = df.sparkSession.conf.get(CAP_CONF, None)
+        return int(v) if v else DEFAULT_BROADCAST_CAP
+    except Exception:  # pragma: no cover
+        return DEFAULT_BROADCAST_CAP
+
+
+def maybe_broadcast(df: DataFrame, cap: int | None = None) -> DataFrame:
     """Broadcast hint only if the estimated size is known and below ``cap``."""
+    cap = broadcast_cap(df) if cap is None else cap
     size = estimated_bytes(df)
     if size is not None and size <= cap:
         return F.broadcast(df)

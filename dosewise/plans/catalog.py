@@ -249,3 +249,6 @@ register("clinic_xref_check", O.clinic_xref_check(CTX))(lambda spark, sf_dir: ac
 
 register("consumer_clients_split", O.consumer_clients_split(CTX))(
     lambda spark, sf_dir: consumer.consumer_clients_split(_t(spark, sf_dir), CTX))
+
+register("last_dose_clients_split", O.last_dose_clients_split(CTX))(
+    lambda spark, sf_dir: last_dose.last_dose_clients_split(_t(spark, sf_dir), CTX))

@@ -234,10 +234,7 @@ def consumer_clients(t: Tables, ctx: RunContext, cp: DataFrame | None = None,
     ])
     c = b.clients(t).join(hh, "client_id")
     if split is not None:
-        has_list = maybe_broadcast(split.select("h_id").distinct().withColumn("_split", F.lit(True)))
-        listed = split.select("h_id", F.col("pms_client_id").alias("client_id"), F.lit(True).alias("_listed"))
-        c = (c.join(has_list, "h_id", "left").join(listed, ["h_id", "client_id"], "left")
-             .where(F.col("_split").isNull() | F.col("_listed").isNotNull()).drop("_split", "_listed"))
+        c = apply_split(c, split)
     out = c.select(
         "client_id", "h_id",
         cl.clean_name(F.col("first_name")).alias("first_name"),
@@ -259,6 +256,15 @@ def consumer_clients(t: Tables, ctx: RunContext, cp: DataFrame | None = None,
     )
 
 
+def apply_split(clients: DataFrame, split: DataFrame) -> DataFrame:
+    """CO2 / LD3: a clinic with a split list keeps only its listed clients;
+    clinics without a list keep all."""
+    has_list = maybe_broadcast(split.select("h_id").distinct().withColumn("_split", F.lit(True)))
+    listed = split.select("h_id", F.col("pms_client_id").alias("client_id"), F.lit(True).alias("_listed"))
+    return (clients.join(has_list, "h_id", "left").join(listed, ["h_id", "client_id"], "left")
+            .where(F.col("_split").isNull() | F.col("_listed").isNotNull()).drop("_split", "_listed"))
+
+
 # ------------------------------------------------------------------ CO30
 def _report_base(t: Tables, ctx: RunContext, cp: DataFrame | None = None, lines: DataFrame | None = None) -> DataFrame:
     cp = cp if cp is not None else consumer_patients(t, ctx)

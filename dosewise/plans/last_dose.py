@@ -76,7 +76,11 @@ def incremental_start(t: Tables, ctx: RunContext, update_flag: int | None = None
 
 
 # ------------------------------------------------------------------ LD2-LD4
-def last_dose_clients(t: Tables, ctx: RunContext, pats: DataFrame | None = None) -> DataFrame:
+def last_dose_clients(t: Tables, ctx: RunContext, pats: DataFrame | None = None,
+                      split: DataFrame | None = None) -> DataFrame:
+    """LD2-LD4: clients of the run's patients, cleansed, minus missing
+    state/city, excluded regions, bad zips and the extended deny list;
+    with a split list (LD3) only listed clients of split clinics stay."""
     pats = pats if pats is not None else last_dose_patients(t, ctx)
     s, pid = F.col("vi_species_id"), F.col("patient_id")
     hh = tm.household(pats, ["client_id"], [
@@ -87,7 +91,12 @@ def last_dose_clients(t: Tables, ctx: RunContext, pats: DataFrame | None = None)
         F.min("first_active").alias("first_visit"),
     ])
     email = F.regexp_replace(cl._strip(F.col("primary_email"), cl.NAME_CHARS), "\n", " ")
-    c = b.clients(t).join(hh, "client_id").select(
+    c = b.clients(t).join(hh, "client_id")
+    if split is not None:
+        from .consumer import apply_split
+
+        c = apply_split(c, split)
+    c = c.select(
         "client_id", "h_id",
         cl.clean_name(F.col("first_name")).alias("first_name"), cl.clean_name(F.col("last_name")).alias("last_name"),
         cl.clean_control(F.col("title")).alias("prefix"),
@@ -230,3 +239,8 @@ def newly_inactive_file(t: Tables, ctx: RunContext) -> DataFrame:
         F.lit("1HD").alias("record_type"), "h_id", F.col("location_number").cast("string").alias("location_number"),
         F.lit(ctx.as_of.strftime("%m/%d/%Y")).alias("client_id"), F.lit(str(ctx.end_date.year)).alias("report_year"))
     return ev2.with_header_trailer(detail, heads, "h_id", trailer_offset=2, count_col="client_id")
+
+
+def last_dose_clients_split(t: Tables, ctx: RunContext) -> DataFrame:
+    """LD3: the split-location variant of the last-dose client list."""
+    return last_dose_clients(t, ctx, split=b.split_clients(t))

@@ -81,3 +81,17 @@ def test_qa_conservation_codes(spark):
     p = b.patients(_t(spark, "/root/testdata/sf0.001"))
     ok = F.coalesce(F.col("pms_code"), F.lit(2)).isin(2, 3, 4)
     assert p.where(ok).count() + p.where(~ok).count() == p.count()
+
+
+def test_size_checked_broadcast(spark):
+    from dosewise.operators.sizing import CAP_CONF, maybe_broadcast
+
+    small = spark.range(10)
+    hinted = maybe_broadcast(small)._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" in hinted.lower()
+    spark.conf.set(CAP_CONF, "1")
+    try:
+        plain = maybe_broadcast(small)._jdf.queryExecution().analyzed().toString()
+        assert "broadcast" not in plain.lower()
+    finally:
+        spark.conf.unset(CAP_CONF)
