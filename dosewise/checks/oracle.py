@@ -1445,7 +1445,8 @@ def readiness(ctx: RunContext, months_back: int = 12) -> str:
     return with_ctes(final=f"""SELECT c.h_id,
   CAST(CASE WHEN {months_back} - coalesce(g.month_count, 0) > 0 THEN {months_back} - coalesce(g.month_count, 0) END AS BIGINT) AS missing_months,
   CASE WHEN coalesce(g.total_patients, 0) = 0 THEN 0.0 WHEN {ratio} > 0.5 THEN NULL ELSE {ratio} END AS missing_species,
-  CASE WHEN {share} < 0.2 THEN NULL ELSE {share} END AS pat_id_0
+  CASE WHEN {share} < 0.2 THEN NULL ELSE {share} END AS pat_id_0,
+  CAST(CASE WHEN c.h_id % 5 <> 1 THEN c.h_id % 5 END AS BIGINT) AS status_not_1
 FROM clinics c LEFT JOIN (
   SELECT p.h_id, count(DISTINCT date_trunc('month', l.invoice_date)) AS month_count,
     count(DISTINCT CASE WHEN p.vi_species_id IN (3, 7) THEN p.patient_id END) AS cats_dogs_total,
@@ -1603,6 +1604,74 @@ def _dg(c: str) -> str:
     return f"nullif(regexp_replace({c}, '[^0-9]+', '', 'g'), '')"
 
 
+def _pkg_sql(where: str) -> str:
+    return f"""SELECT service_id, product_info,
+      CASE WHEN package_size % 4 = 0 THEN CAST(package_size AS VARCHAR)
+           WHEN package_size % 4 = 1 THEN CAST(package_size AS VARCHAR) || ' ct' END AS package_quantity,
+      CASE WHEN package_size % 3 = 0 THEN 'small' WHEN package_size % 3 = 1 THEN 'large' END AS pkg_size,
+      CASE WHEN package_size % 5 < 3 THEN CAST(package_size % 7 + 1 AS VARCHAR) || CASE WHEN package_size % 2 = 0 THEN ' oz' ELSE '' END END AS pkg_volume
+    FROM products WHERE {where}"""
+
+
+def _doses_sql(q: str = "x.quantity") -> str:
+    uniq = "(SELECT CASE WHEN count(*) = 1 THEN max(m.package_count) END FROM m WHERE {cond})"
+    t2 = uniq.format(cond=f"m.product = x.product_info AND {_dg('m.package_volume')} = {_dg('x.pkg_volume')} AND m.treat_size = x.pkg_size")
+    t3 = uniq.format(cond=(f"m.product = x.product_info AND {_dg('m.package_volume')} = {_dg('x.pkg_volume')} AND "
+                           f"(SELECT count(*) FROM m i WHERE i.product = x.product_info AND i.package_volume = {_dg('x.pkg_volume')}) = 1"))
+    t4 = uniq.format(cond="m.product = x.product_info AND m.treat_size = x.pkg_size")
+    return f"""CASE WHEN x.package_quantity IS NOT NULL THEN
+        CASE WHEN x.package_quantity = CAST({q} AS VARCHAR) THEN CAST({_dg('x.package_quantity')} AS DECIMAL(18,4))
+             WHEN TRY_CAST(x.package_quantity AS DECIMAL(18,4)) IS NOT NULL THEN TRY_CAST(x.package_quantity AS DECIMAL(18,4)) * {q}
+             ELSE {q} END
+      WHEN x.pkg_size IS NOT NULL AND x.pkg_volume IS NOT NULL AND {_dg('x.pkg_volume')} IS NOT NULL THEN coalesce({t2} * {q}, {q})
+      WHEN {_dg('x.pkg_volume')} IS NOT NULL THEN coalesce({t3} * {q}, {q})
+      WHEN x.pkg_size IS NOT NULL THEN coalesce({t4} * {q}, {q})
+      ELSE {q} END"""
+
+
+def _matrix_cte() -> str:
+    from ..plans.calllist import dental_matrix_rows
+
+    vals = ", ".join(f"({_q(p)}, {_q(s)}, {_q(v)}, {c})" for p, s, v, c in dental_matrix_rows())
+    return f"m AS (SELECT * FROM (VALUES {vals}) v(product, treat_size, package_volume, package_count))"
+
+
+def control_nsaid(ctx: RunContext) -> str:
+    lo, hi = ctx.months_window(-23, 0)
+    camp = f"s.invoice_date BETWEEN c.start_date AND {d(ctx.as_of - timedelta(days=1))}"
+    p100 = sr("s.quantity", "s.dosage_volume", 2)
+    return with_ctes(final=f"""SELECT p.h_id, s.client_id,
+  count(CASE WHEN {camp} THEN s.lineitem_id END) AS num_prev_purch, max(s.invoice_date) AS last_prev_purch,
+  CAST(coalesce(sum(CASE WHEN {camp} THEN s.cost END), 0) AS DOUBLE) AS dollar_prev_purch,
+  coalesce(sum(CASE WHEN {camp} THEN {p100} END), 0) / 100.0 AS prev_pills,
+  count(DISTINCT CASE WHEN {camp} AND p.vi_species_id = 3 THEN s.patient_id END) AS num_dogs
+FROM nsaid_sales s JOIN patients p ON p.patient_id = s.patient_id JOIN clinics c ON c.h_id = p.h_id
+WHERE s.product = 'Previcox' AND NOT s.voided AND s.cost <> 0 AND s.quantity IS NOT NULL AND s.quantity <> 0
+  AND s.invoice_date >= {d(lo)} AND s.invoice_date < {d(hi)}
+  AND p.is_active AND NOT p.is_deceased AND p.vi_species_id IN (3, 7)
+GROUP BY p.h_id, s.client_id""")
+
+
+def control_dental_hygiene(ctx: RunContext) -> str:
+    from ..plans.control import DENTAL_HYG_GROUPS
+
+    grp = _case("x.product_info", DENTAL_HYG_GROUPS)
+    infos = ", ".join(_q(k) for k in DENTAL_HYG_GROUPS)
+    camp = f"x.invoice_date BETWEEN x.start_date AND {d(ctx.as_of - timedelta(days=1))}"
+    cols = []
+    for name, g in (("oravet", "Oravet"), ("dental_hyg", "Competitive")):
+        cols += [f"max(CASE WHEN grp = '{g}' THEN invoice_date END) AS last_{name}_purch",
+                 f"count(CASE WHEN grp = '{g}' AND camp THEN 1 END) AS num_{name}_purch",
+                 f"CAST(coalesce(sum(CASE WHEN grp = '{g}' AND camp THEN cost END), 0) AS DOUBLE) AS dollar_{name}_purch",
+                 f"CAST(coalesce(sum(CASE WHEN grp = '{g}' AND camp THEN doses END), 0) AS DOUBLE) AS doses_{name}_purch"]
+    return with_ctes(control_cte(ctx), _matrix_cte(), final=f"""SELECT h_id, client_id, {', '.join(cols)}
+FROM (SELECT x.h_id, x.client_id, x.invoice_date, x.cost, {grp} AS grp, {camp} AS camp, {_doses_sql()} AS doses
+      FROM (SELECT ctl.*, CAST(ctl.quantity_norm AS BIGINT) AS quantity, pk.package_quantity, pk.pkg_size, pk.pkg_volume
+            FROM ctl JOIN ({_pkg_sql('product_info IS NOT NULL')}) pk ON pk.service_id = ctl.l_partkey
+            WHERE ctl.cost <> 0 AND ctl.product_info IN ({infos})) x)
+GROUP BY h_id, client_id""")
+
+
 def dental_purchases(ctx: RunContext) -> str:
     from ..plans.calllist import DENTAL, dental_matrix_rows
 

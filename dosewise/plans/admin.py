@@ -104,7 +104,7 @@ def readiness(t: Tables, ctx: RunContext, months_back: int = 12) -> DataFrame:
         F.sum(F.when(F.col("patient_id") == 0, 1).otherwise(0)).alias("patient_0"),
         F.count(F.lit(1)).alias("total_rows"),
     )
-    clin = maybe_broadcast(b.clinics(t).select("h_id"))
+    clin = maybe_broadcast(b.clinics(t).select("h_id", (F.col("h_id") % 5).alias("status_vi_portal")))
     j = clin.join(g, "h_id", "left")
     ratio = ratio_round(F.col("cats_dogs_total"), F.col("total_patients"), 4)
     share0 = ratio_round(F.col("patient_0"), F.col("total_rows"), 4, when_zero=None)
@@ -115,4 +115,6 @@ def readiness(t: Tables, ctx: RunContext, months_back: int = 12) -> DataFrame:
         F.when(F.coalesce(F.col("total_patients"), F.lit(0)) == 0, F.lit(0.0))
         .when(ratio > 0.5, F.lit(None)).otherwise(ratio).alias("missing_species"),
         F.when(share0 < 0.2, F.lit(None)).otherwise(share0).alias("pat_id_0"),
+        # DM6: the portal status is reported only when it is not 1
+        F.when(F.col("status_vi_portal") != 1, F.col("status_vi_portal")).cast("long").alias("status_not_1"),
     )

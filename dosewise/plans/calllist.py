@@ -39,9 +39,10 @@ def dental_matrix(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(dental_matrix_rows(), "product string, treat_size string, package_volume string, package_count long")
 
 
-def dental_services(t: Tables) -> DataFrame:
+def package_fields(t: Tables) -> DataFrame:
+    """Package quantity / size / volume of every service part (by rule)."""
     s = F.col("package_size")
-    return b.products(t).where(F.col("product_info") == DENTAL).select(
+    return b.products(t).where(F.col("product_info").isNotNull()).select(
         "service_id", "product_info",
         F.when(s % 4 == 0, s.cast("string")).when(s % 4 == 1, F.concat(s.cast("string"), F.lit(" ct"))).alias("package_quantity"),
         F.when(s % 3 == 0, F.lit("small")).when(s % 3 == 1, F.lit("large")).alias("package_size"),
@@ -50,6 +51,10 @@ def dental_services(t: Tables) -> DataFrame:
     )
 
 
+def dental_services(t: Tables) -> DataFrame:
+    return package_fields(t).where(F.col("product_info") == DENTAL)
+
+
 def dental_purchases(t: Tables, ctx: RunContext) -> DataFrame:
     """Dental lines of the last 12 calendar months with doses from the
     package matrix (MX1), summed per client."""

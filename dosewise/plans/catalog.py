@@ -252,3 +252,7 @@ register("consumer_clients_split", O.consumer_clients_split(CTX))(
 
 register("last_dose_clients_split", O.last_dose_clients_split(CTX))(
     lambda spark, sf_dir: last_dose.last_dose_clients_split(_t(spark, sf_dir), CTX))
+
+register("control_nsaid", O.control_nsaid(CTX))(lambda spark, sf_dir: control.control_nsaid(_t(spark, sf_dir), CTX))
+register("control_dental_hygiene", O.control_dental_hygiene(CTX))(
+    lambda spark, sf_dir: control.control_dental_hygiene(_t(spark, sf_dir), CTX))

@@ -201,3 +201,62 @@ def control_file(t: Tables, ctx: RunContext) -> DataFrame:
         (F.col("_n") + 1).cast("string").alias("last_name"), F.col("account_number").alias("prefix"),
         F.col("location_number").cast("string").alias("address1"), F.substring("clinic_name", 1, 40).alias("address2"), "h_id")
     return detail.unionByName(heads, allowMissingColumns=True)
+
+
+# ----------------------------------------------------------------- CT0
+def require_control_clinic(t: Tables, h_id: int) -> None:
+    """CT0: a CONTROL run is refused for a clinic without a campaign start."""
+    from ..operators.guards import NotInControlFile, require_rows
+
+    require_rows(b.clinics(t).where(F.col("h_id") == h_id).where(F.col("start_date").isNotNull()), NotInControlFile)
+
+
+# ----------------------------------------------------------------- CT19
+def control_nsaid(t: Tables, ctx: RunContext) -> DataFrame:
+    """Per client: Previcox purchases since the campaign start, last
+    purchase, spend, pills and distinct dogs (months end-23..end)."""
+    lo, hi = ctx.months_window(-23, 0)
+    clin = maybe_broadcast(b.clinics(t).select("h_id", "start_date"))
+    pats = b.patients(t).where(F.col("is_active") & ~F.col("is_deceased") & F.col("vi_species_id").isin(3, 7)).select(
+        "patient_id", "h_id", "vi_species_id")
+    s = (b.nsaid_sales(t).where((F.col("product") == "Previcox") & ~F.col("voided") & (F.col("cost") != 0)
+                                & F.col("quantity").isNotNull() & (F.col("quantity") != 0)
+                                & (F.col("invoice_date") >= F.lit(lo)) & (F.col("invoice_date") < F.lit(hi)))
+         .join(pats, "patient_id").join(clin, "h_id"))
+    camp = tm.in_window(F.col("invoice_date"), (F.col("start_date"), F.lit(ctx.as_of - timedelta(days=1))))
+    from ..functions.semantics import scaled_round
+
+    pills100 = scaled_round(F.col("quantity"), F.col("dosage_volume"), 2)
+    return s.groupBy("h_id", "client_id").agg(
+        F.count(F.when(camp, F.col("lineitem_id"))).alias("num_prev_purch"),
+        F.max("invoice_date").alias("last_prev_purch"),
+        F.coalesce(F.sum(F.when(camp, F.col("cost"))), F.lit(0)).cast("double").alias("dollar_prev_purch"),
+        (F.coalesce(F.sum(F.when(camp, pills100)), F.lit(0)) / 100.0).alias("prev_pills"),
+        F.countDistinct(F.when(camp & (F.col("vi_species_id") == 3), F.col("patient_id"))).alias("num_dogs"),
+    )
+
+
+# ----------------------------------------------------------------- CT21
+# fixed values of the binding: dental-hygiene product groups by service
+DENTAL_HYG_GROUPS = {"Surgery - dental": "Oravet", "Service - Grooming": "Competitive"}
+
+
+def control_dental_hygiene(t: Tables, ctx: RunContext) -> DataFrame:
+    """Own-brand vs competitive dental hygiene per client since the
+    campaign start: last purchase, purchases, spend and doses (MX1)."""
+    from ..operators.matrix import dental_doses
+    from .calllist import dental_matrix, package_fields
+
+    x = control_lines(t, ctx).where((F.col("cost") != 0) & F.col("product_info").isin(*DENTAL_HYG_GROUPS))
+    grp = b._map(F.col("product_info"), DENTAL_HYG_GROUPS)
+    x = x.withColumn("product_group", grp).join(maybe_broadcast(package_fields(t).drop("product_info")), "service_id")
+    x = dental_doses(x.withColumn("quantity", F.col("quantity_norm").cast("long")), dental_matrix(t.spark))
+    camp = tm.in_window(F.col("invoice_date"), (F.col("start_date"), F.lit(ctx.as_of - timedelta(days=1))))
+    aggs = []
+    for name, g in (("oravet", "Oravet"), ("dental_hyg", "Competitive")):
+        is_g = F.col("product_group") == g
+        aggs += [F.max(F.when(is_g, F.col("invoice_date"))).alias(f"last_{name}_purch"),
+                 F.count(F.when(is_g & camp, F.lit(1))).alias(f"num_{name}_purch"),
+                 F.coalesce(F.sum(F.when(is_g & camp, F.col("cost"))), F.lit(0)).cast("double").alias(f"dollar_{name}_purch"),
+                 F.coalesce(F.sum(F.when(is_g & camp, F.col("doses"))), F.lit(0)).cast("double").alias(f"doses_{name}_purch")]
+    return x.groupBy("h_id", "client_id").agg(*aggs)
