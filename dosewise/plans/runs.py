@@ -127,3 +127,35 @@ def publish_view(spark: SparkSession, name: str, path: str) -> None:
     if "record_type" in df.columns:
         df = df.orderBy("record_type")
     df.createOrReplaceTempView(name)
+
+
+def run_clinic(spark: SparkSession, sf_dir: str, out_dir: str, report: str, ctx: RunContext) -> dict[str, str]:
+    """AP3 for one clinic: check the cross-reference (AP1), guard the
+    stages the reference guards (CT0, CO1/LD12 no patients, LD12 no
+    details), then write the clinic's slice of every table. The clinic
+    filter is a predicate on a grouping key, so Catalyst pushes it below
+    the aggregations to the scans."""
+    from ..operators.guards import NoDetails, NoPatients, NotInXref, require_rows
+    from . import accounts as acc
+
+    if ctx.location_number is None:
+        raise ValueError("run_clinic needs ctx.location_number")
+    t = Tables(spark, sf_dir)
+    xref = acc.accounts(t, ctx).where(F.col("location_number") == ctx.location_number)
+    require_rows(xref, NotInXref, str(ctx.location_number))
+    h_id = xref.select("hid").first()[0]
+    rt = report.upper()
+    if rt == "CONTROL":
+        control.require_control_clinic(t, h_id)
+    if rt in ("CONSUMER", "LAST DOSE"):
+        pats = (consumer.consumer_patients(t, ctx) if rt == "CONSUMER" else nsaid.last_dose_patients(t, ctx))
+        require_rows(pats.where(F.col("h_id") == h_id), NoPatients, str(h_id))
+    paths = {}
+    for name, df in REPORTS[rt](t, ctx).items():
+        part = df.where(F.col("h_id") == h_id) if "h_id" in df.columns else df
+        if rt == "LAST DOSE" and name == "last_dose_report":
+            require_rows(part.where(F.col("record_type") == "2DT"), NoDetails, str(h_id))
+        path = os.path.join(out_dir, f"{name}_{ctx.location_number}")
+        part.write.mode("overwrite").parquet(path)
+        paths[name] = path
+    return paths

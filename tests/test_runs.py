@@ -22,3 +22,21 @@ def test_file_reports_append_and_publish(spark):
             df = spark.read.parquet(p)
             assert "run_id" in df.columns and df.where("run_id = 7").count() == df.count()
             assert spark.table(name).count() == df.count()
+
+
+def test_run_clinic_guards(spark):
+    import pytest
+
+    from dosewise.operators.guards import NotInXref
+
+    out = tempfile.mkdtemp(prefix="clinic-", dir="/tmp")
+    ok = run_clinic_for(spark, out, 1001)
+    assert spark.read.parquet(ok["nsaid_purch_report"]).select("h_id").distinct().count() <= 1
+    with pytest.raises(NotInXref):
+        run_clinic_for(spark, out, 99999)
+
+
+def run_clinic_for(spark, out, location):
+    from dosewise.plans.runs import run_clinic
+
+    return run_clinic(spark, SMOKE, out, "NSAID", RunContext(location_number=location))
