@@ -1313,7 +1313,20 @@ def ld_ctes(ctx: RunContext) -> list[str]:
       OR regexp_matches(upper(state), '^(AB|BC|MB|NB|NL|NT|NS|NU|ON|PE|QC|SK|YT|PR)')
       OR postal_code IS NULL OR postal_code LIKE '%0000%' OR postal_code IN ('000000', '0', '00', '000')
       OR {deny}, false))""",
+        _matrix_cte(),
         f"""ld_pur AS (
+  SELECT x.l_orderkey AS lineitem_id, x.patient_id, x.client_id, x.h_id, x.invoice_date, x.product_info AS product,
+    CAST({_doses_sql()} AS DECIMAL(18,4)) AS quantity, CAST(x.cost AS DECIMAL(18,4)) AS cost,
+    CAST({_doses_sql()} AS DECIMAL(18,4)) AS pills,
+    CASE WHEN EXISTS (SELECT 1 FROM appointments a WHERE a.patient_id = x.patient_id AND a.appointment_date = x.invoice_date)
+         THEN 'Y' ELSE 'N' END AS appointment_flag, 'DENTALHYGIENE' AS type
+  FROM (SELECT l.l_orderkey, l.patient_id, l.client_id, l.invoice_date, l.cost, p.h_id, CAST(l.quantity AS BIGINT) AS quantity,
+               pk.product_info, pk.package_quantity, pk.pkg_size, pk.pkg_volume
+        FROM lines l JOIN ({_pkg_sql("product_info IN ('Surgery - dental', 'Service - Grooming')")}) pk ON pk.service_id = l.service_id
+        JOIN ldp p ON p.patient_id = l.patient_id JOIN ld_start s ON s.h_id = p.h_id
+        WHERE NOT l.voided AND l.quantity_norm <> 0 AND l.invoice_date < {d(end_excl)}
+          AND l.invoice_date >= CAST(date_trunc('month', s.start_date) AS DATE)) x
+  UNION ALL
   SELECT l.l_orderkey AS lineitem_id, l.patient_id, p.client_id, p.h_id, l.invoice_date, pr.family_name AS product,
     CAST(l.quantity_norm AS DECIMAL(18,4)) AS quantity, CAST(l.cost AS DECIMAL(18,4)) AS cost,
     CAST(NULL AS DECIMAL(18,4)) AS pills,
@@ -1521,7 +1534,7 @@ def control_cte(ctx: RunContext) -> str:
     hi = min(add_months(end, 1), as_of)
     return f"""ctl AS (
   SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.patient_id, l.client_id, l.invoice_date,
-    l.quantity_norm, l.cost, p.h_id, p.vi_species_id, pr.product, pr.family_name, pr.type, pr.service_kind,
+    l.quantity_norm, l.quantity AS line_quantity, l.cost, p.h_id, p.vi_species_id, pr.product, pr.family_name, pr.type, pr.service_kind,
     pr.product_info, c.start_date
   FROM lines l JOIN patients p ON p.patient_id = l.patient_id
   LEFT JOIN products pr ON pr.service_id = l.service_id JOIN clinics c ON c.h_id = p.h_id
@@ -1666,7 +1679,7 @@ def control_dental_hygiene(ctx: RunContext) -> str:
                  f"CAST(coalesce(sum(CASE WHEN grp = '{g}' AND camp THEN doses END), 0) AS DOUBLE) AS doses_{name}_purch"]
     return with_ctes(control_cte(ctx), _matrix_cte(), final=f"""SELECT h_id, client_id, {', '.join(cols)}
 FROM (SELECT x.h_id, x.client_id, x.invoice_date, x.cost, {grp} AS grp, {camp} AS camp, {_doses_sql()} AS doses
-      FROM (SELECT ctl.*, CAST(ctl.quantity_norm AS BIGINT) AS quantity, pk.package_quantity, pk.pkg_size, pk.pkg_volume
+      FROM (SELECT ctl.*, CAST(ctl.line_quantity AS BIGINT) AS quantity, pk.package_quantity, pk.pkg_size, pk.pkg_volume
             FROM ctl JOIN ({_pkg_sql('product_info IS NOT NULL')}) pk ON pk.service_id = ctl.l_partkey
             WHERE ctl.cost <> 0 AND ctl.product_info IN ({infos})) x)
 GROUP BY h_id, client_id""")
@@ -1700,7 +1713,7 @@ def dental_purchases(ctx: RunContext) -> str:
     final = f"""SELECT client_id, count(*) AS dental_lines, CAST(sum(doses) AS DOUBLE) AS dental_doses,
   CAST(sum(cost) AS DOUBLE) AS dental_spend
 FROM (SELECT x.client_id, x.cost, {doses} AS doses
-      FROM (SELECT l.client_id, CAST(l.quantity_norm AS BIGINT) AS quantity, l.cost, s.*
+      FROM (SELECT l.client_id, CAST(l.quantity AS BIGINT) AS quantity, l.cost, s.*
             FROM lines l JOIN ({svc}) s ON s.service_id = l.service_id
             WHERE NOT l.voided AND l.invoice_date >= {d(lo)} AND l.invoice_date < {d(hi)}) x)
 GROUP BY client_id"""

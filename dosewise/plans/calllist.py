@@ -61,7 +61,7 @@ def dental_purchases(t: Tables, ctx: RunContext) -> DataFrame:
     lo, hi = ctx.months_window(-11, 0)
     svc = maybe_broadcast(dental_services(t))
     x = (b.lines(t, lo, hi).where(~F.col("voided"))
-         .select("client_id", "service_id", F.col("quantity_norm").cast("long").alias("quantity"), "cost")
+         .select("client_id", "service_id", F.col("quantity").cast("long").alias("quantity"), "cost")
          .join(svc, "service_id"))
     x = dental_doses(x, dental_matrix(t.spark))
     return x.groupBy("client_id").agg(

@@ -35,7 +35,7 @@ def control_lines(t: Tables, ctx: RunContext) -> DataFrame:
     return (
         b.lines(t, lo, hi, pats).where(~F.col("voided") & F.col("client_id").isNotNull())
         .select(*LINE_ID, "patient_id", "client_id", "h_id", "vi_species_id", "invoice_date", "service_id",
-                "quantity_norm", "cost")
+                "quantity", "quantity_norm", "cost")
         .join(prod, "service_id", "left").join(clin, "h_id")
     )
 
@@ -250,7 +250,7 @@ def control_dental_hygiene(t: Tables, ctx: RunContext) -> DataFrame:
     x = control_lines(t, ctx).where((F.col("cost") != 0) & F.col("product_info").isin(*DENTAL_HYG_GROUPS))
     grp = b._map(F.col("product_info"), DENTAL_HYG_GROUPS)
     x = x.withColumn("product_group", grp).join(maybe_broadcast(package_fields(t).drop("product_info")), "service_id")
-    x = dental_doses(x.withColumn("quantity", F.col("quantity_norm").cast("long")), dental_matrix(t.spark))
+    x = dental_doses(x.withColumn("quantity", F.col("quantity").cast("long")), dental_matrix(t.spark))
     camp = tm.in_window(F.col("invoice_date"), (F.col("start_date"), F.lit(ctx.as_of - timedelta(days=1))))
     aggs = []
     for name, g in (("oravet", "Oravet"), ("dental_hyg", "Competitive")):

@@ -126,19 +126,33 @@ def last_dose_purchases(t: Tables, ctx: RunContext, pats: DataFrame, starts: Dat
     lo = lo.replace(day=1) if lo is not None else add_months(ctx.end_date, -12)
     st = maybe_broadcast(starts.select("h_id", F.trunc("start_date", "MM").alias("start_month")))
     p = pats.select("patient_id", "client_id", "h_id")
-    prod = maybe_broadcast(b.products(t).where(F.col("type").isNotNull()).select("service_id", "type", "family_name"))
-    fth = (
+    from ..operators.matrix import dental_doses
+    from .calllist import dental_matrix, package_fields
+    from .control import DENTAL_HYG_GROUPS
+
+    # FTH products and dental-hygiene services: one line frame, split by kind
+    prod = maybe_broadcast(
+        b.products(t).where(F.col("type").isNotNull() | F.col("product_info").isin(*DENTAL_HYG_GROUPS))
+        .select("service_id", "type", "family_name", "product_info")
+        .join(package_fields(t).drop("product_info"), "service_id", "left"))
+    x = (
         b.lines(t, lo, end_excl, p.select("patient_id", "h_id")).where(~F.col("voided") & (F.col("quantity_norm") != 0))
-        .select(*b.LINE_KEY, "patient_id", "client_id", "h_id", "invoice_date", "service_id", "quantity_norm", "cost")
+        .select(*b.LINE_KEY, "patient_id", "client_id", "h_id", "invoice_date", "service_id", "quantity",
+                "quantity_norm", "cost")
         .join(prod, "service_id").join(st, "h_id")
         .where(F.col("invoice_date") >= F.col("start_month"))
     )
-    fth = ev.same_day_flag(fth, b.appointments(t), ["patient_id"], "invoice_date", "appointment_date")
-    fth = fth.select(
+    x = ev.same_day_flag(x, b.appointments(t), ["patient_id"], "invoice_date", "appointment_date")
+    # the dose function takes the raw line quantity (not the normalised one)
+    x = dental_doses(x.withColumn("quantity", F.col("quantity").cast("long")), dental_matrix(t.spark))
+    is_fth = F.col("type").isNotNull()
+    fth = x.select(
         F.col("l_orderkey").alias("lineitem_id"), "patient_id", "client_id", "h_id", "invoice_date",
-        F.col("family_name").alias("product"), F.col("quantity_norm").cast("decimal(18,4)").alias("quantity"),
-        F.col("cost").cast("decimal(18,4)").alias("cost"), F.lit(None).cast("decimal(18,4)").alias("pills"),
-        "appointment_flag", "type",
+        F.when(is_fth, F.col("family_name")).otherwise(F.col("product_info")).alias("product"),
+        F.when(is_fth, F.col("quantity_norm").cast("decimal(18,4)")).otherwise(F.col("doses")).cast("decimal(18,4)").alias("quantity"),
+        F.col("cost").cast("decimal(18,4)").alias("cost"),
+        F.when(is_fth, F.lit(None)).otherwise(F.col("doses")).cast("decimal(18,4)").alias("pills"),
+        "appointment_flag", F.coalesce(F.col("type"), F.lit("DENTALHYGIENE")).alias("type"),
     )
     q, dv = F.col("quantity"), F.col("dosage_volume")
     ns = (
