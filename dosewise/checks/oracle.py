@@ -1975,3 +1975,17 @@ def last_dose_clients_split(ctx: RunContext) -> str:
     return base.replace("SELECT * FROM ld_cli", """SELECT c.* FROM ld_cli c
 WHERE NOT EXISTS (SELECT 1 FROM clients s WHERE s.h_id % 5 = 0 AND s.client_id % 4 = 0 AND s.h_id = c.h_id)
    OR (c.h_id % 5 = 0 AND c.client_id % 4 = 0)""")
+
+
+def legacy_wellness_services(ctx: RunContext) -> str:
+    from ..operators.keywords import EXCLUDE_TERMS, INCLUDE_TERMS
+
+    inc = f"(coalesce({_kw('handle', INCLUDE_TERMS)}, false) OR coalesce({_kw('descr', INCLUDE_TERMS)}, false))"
+    exc = f"(coalesce({_kw('handle', EXCLUDE_TERMS)}, false) OR coalesce({_kw('descr', EXCLUDE_TERMS)}, false))"
+    return with_ctes(final=f"""SELECT service_id FROM (
+  SELECT p_partkey AS service_id, p_name AS handle, concat_ws(' ', p_type, p_brand) AS descr FROM part) l
+WHERE NOT EXISTS (SELECT 1 FROM products x WHERE x.service_id = l.service_id
+                  AND (x.service_kind IN ('nsaid', 'fth', 'test') OR x.product_info = 'Service - test'))
+  AND {inc} AND NOT {exc}
+UNION
+SELECT service_id FROM wellness""")

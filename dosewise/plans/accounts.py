@@ -88,3 +88,21 @@ def clinic_xref_check(t: Tables, ctx: RunContext) -> DataFrame:
     return req.join(acc, ["h_id", "location_number"], "left").select(
         "h_id", "location_number",
         F.when(F.col("_ok").isNotNull(), F.lit(XREF_OK)).otherwise(F.lit(XREF_MISSING)).alias("xref_status"))
+
+
+def legacy_wellness_services(t: Tables, ctx: RunContext) -> DataFrame:
+    """BK2: services classified as wellness by the keyword lists (the
+    service lookup is the part list: handle = name, descr = type and brand;
+    medications, tests and 'Service - test' lines excluded), united
+    (distinct) with the coded vaccines, spay/neuter surgeries and tests."""
+    from ..operators.keywords import keyword_classify
+
+    p = b.products(t)
+    lookup = t.part.select(F.col("p_partkey").alias("service_id"), F.col("p_name").alias("handle"),
+                           F.concat_ws(" ", F.col("p_type"), F.col("p_brand")).alias("descr"))
+    excl = p.where(F.col("service_kind").isin("nsaid", "fth", "test")
+                   | (F.col("product_info") == "Service - test")).select("service_id")
+    by_words = (lookup.join(excl, "service_id", "left_anti")
+                .where(keyword_classify(F.col("handle"), F.col("descr"))).select("service_id"))
+    coded = psr.wellness_services(t).select("service_id")
+    return by_words.unionByName(coded).distinct()

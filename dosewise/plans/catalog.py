@@ -256,3 +256,6 @@ register("last_dose_clients_split", O.last_dose_clients_split(CTX))(
 register("control_nsaid", O.control_nsaid(CTX))(lambda spark, sf_dir: control.control_nsaid(_t(spark, sf_dir), CTX))
 register("control_dental_hygiene", O.control_dental_hygiene(CTX))(
     lambda spark, sf_dir: control.control_dental_hygiene(_t(spark, sf_dir), CTX))
+
+register("legacy_wellness_services", O.legacy_wellness_services(CTX))(
+    lambda spark, sf_dir: accounts.legacy_wellness_services(_t(spark, sf_dir), CTX))
