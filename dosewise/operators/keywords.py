@@ -56,17 +56,54 @@ def alternation(terms) -> str:
     return "(?:" + "|".join(_esc(t.lower()) for t in terms) + ")"
 
 
+def trie_regex(terms) -> str:
+    """The same language as ``alternation(terms)``, written as a prefix
+    trie: ``(?:fe(?:lv|l-o-vax)|...)``. A backtracking engine then tests
+    one branch per character instead of every term at every position."""
+    trie: dict = {}
+    for term in {t.lower() for t in terms}:
+        node = trie
+        for ch in term:
+            node = node.setdefault(ch, {})
+        node[""] = {}  # end of a term
+
+    def emit(node: dict) -> str:
+        ends = "" in node
+        branches = [_esc(ch) + emit(child) for ch, child in sorted(node.items()) if ch != ""]
+        if not branches:
+            return ""
+        body = branches[0] if len(branches) == 1 else "(?:" + "|".join(branches) + ")"
+        if ends:  # a term ends here; longer terms may continue
+            return "(?:" + body + ")?"
+        return body
+
+    return "(?:" + emit(trie) + ")"
+
+
 def strip_braces(c: Column) -> Column:
     return F.regexp_replace(c, BRACES, "")
 
 
+def clean_text(c: Column) -> Column:
+    """Lower-cased text without brace annotations (compute once per row)."""
+    return F.lower(strip_braces(c))
+
+
+def matches_clean(clean: Column, terms) -> Column:
+    return clean.rlike(trie_regex(terms))
+
+
 def matches_any(c: Column, terms) -> Column:
-    return F.lower(strip_braces(c)).rlike(alternation(terms))
+    return matches_clean(clean_text(c), terms)
 
 
-def keyword_classify(handle: Column, descr: Column, include=INCLUDE_TERMS, exclude=EXCLUDE_TERMS) -> Column:
+def keyword_classify(handle: Column, descr: Column, include=INCLUDE_TERMS, exclude=EXCLUDE_TERMS,
+                     cleaned: bool = False) -> Column:
     """True when either text holds an include term and neither holds an
-    exclude term (NULL texts: a NULL side neither includes nor excludes)."""
-    inc = F.coalesce(matches_any(handle, include), F.lit(False)) | F.coalesce(matches_any(descr, include), F.lit(False))
-    exc = F.coalesce(matches_any(handle, exclude), F.lit(False)) | F.coalesce(matches_any(descr, exclude), F.lit(False))
+    exclude term (NULL texts: a NULL side neither includes nor excludes).
+    With ``cleaned=True`` the inputs are already ``clean_text`` columns."""
+    h = handle if cleaned else clean_text(handle)
+    d = descr if cleaned else clean_text(descr)
+    inc = F.coalesce(matches_clean(h, include), F.lit(False)) | F.coalesce(matches_clean(d, include), F.lit(False))
+    exc = F.coalesce(matches_clean(h, exclude), F.lit(False)) | F.coalesce(matches_clean(d, exclude), F.lit(False))
     return inc & ~exc

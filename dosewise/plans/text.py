@@ -28,11 +28,13 @@ def service_lookup(t: Tables) -> DataFrame:
 def wellness_by_keywords(t: Tables, ctx: RunContext) -> DataFrame:
     """TX1: services classified as wellness by the include/exclude lists,
     counted per clinic with the number of texts screened."""
-    s = service_lookup(t).withColumn("is_wellness", kw.keyword_classify(F.col("handle"), F.col("descr")))
+    s = service_lookup(t).select("hid", kw.clean_text(F.col("handle")).alias("h"), kw.clean_text(F.col("descr")).alias("d"))
+    s = s.select("hid", kw.keyword_classify(F.col("h"), F.col("d"), cleaned=True).alias("is_wellness"),
+                 kw.matches_clean(F.col("d"), kw.INCLUDE_TERMS).alias("descr_hit"))
     return s.groupBy("hid").agg(
         F.count(F.lit(1)).alias("services"),
         F.count(F.when(F.col("is_wellness"), 1)).alias("wellness_services"),
-        F.count(F.when(kw.matches_any(F.col("descr"), kw.INCLUDE_TERMS), 1)).alias("include_hits"),
+        F.count(F.when(F.col("descr_hit"), 1)).alias("include_hits"),
     )
 
 

@@ -37,3 +37,16 @@ def test_money_scale(spark, values):
     got = [r[0] for r in df.select(scaled_round(F.col("v"), F.lit(3), 2, scale=4)).collect()]
     exp = [half_away(Fraction(str(v)) / 3, 2) for v in values]
     assert got == exp
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.sampled_from(["rabies", "fiv", "fip ", "felv", "fel-o-vax", "lab", "r/o", "the", "vet", " ", "fe", "ra"]),
+                min_size=0, max_size=12))
+def test_trie_regex_equals_alternation(words):
+    import re
+
+    from dosewise.operators.keywords import EXCLUDE_TERMS, INCLUDE_TERMS, alternation, trie_regex
+
+    text = "".join(words)
+    for terms in (INCLUDE_TERMS, EXCLUDE_TERMS):
+        assert bool(re.search(alternation(terms), text)) == bool(re.search(trie_regex(terms), text))
