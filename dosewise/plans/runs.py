@@ -98,22 +98,26 @@ REPORTS: dict[str, Callable[[Tables, RunContext], dict[str, DataFrame]]] = {
 
 
 def run_report(spark: SparkSession, sf_dir: str, out_dir: str, report: str = "PSR",
-               ctx: RunContext | None = None, append: bool = False, publish: bool = False) -> dict[str, str]:
+               ctx: RunContext | None = None, append: bool = False, publish: bool = False,
+               by_clinic: bool = False) -> dict[str, str]:
     """Build and write every table of ``report``; returns name -> path.
 
     ``append=True`` keeps earlier runs: rows carry ``run_id`` and the
     tables are partitioned by it (one folder per run, written atomically
-    per partition). ``publish=True`` registers each table as a temp view,
-    file-shaped tables ordered header, detail, trailer on read."""
+    per partition). ``by_clinic=True`` also partitions by ``h_id``, so each
+    clinic's file is its own folder. ``publish=True`` registers each table
+    as a temp view, file-shaped tables ordered header, detail, trailer on
+    read."""
     ctx = ctx or RunContext()
     t = Tables(spark, sf_dir)
     paths = {}
     for name, df in REPORTS[report.upper()](t, ctx).items():
         path = os.path.join(out_dir, name)
+        parts = (["run_id"] if append else []) + (["h_id"] if by_clinic and "h_id" in df.columns else [])
         if append:
-            df.withColumn("run_id", F.lit(ctx.run_id)).write.mode("append").partitionBy("run_id").parquet(path)
-        else:
-            df.write.mode("overwrite").parquet(path)
+            df = df.withColumn("run_id", F.lit(ctx.run_id))
+        w = df.write.mode("append" if append else "overwrite")
+        (w.partitionBy(*parts) if parts else w).parquet(path)
         paths[name] = path
         if publish:
             publish_view(spark, name, path)

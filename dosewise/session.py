@@ -25,6 +25,38 @@ SQL_DEFAULTS = {
 }
 
 
+# Starting points for a large cluster (~100 TB of lines). Shuffle partitions
+# are an upper bound that AQE coalesces down; 256 MB input splits and
+# advisory partitions keep tasks in the seconds-to-a-minute range; skew-join
+# thresholds split partitions five times the median and above 512 MB.
+CLUSTER_DEFAULTS = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.dosewise.broadcastCapBytes": str(256 * 1024 * 1024),
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+}
+
+
+def apply_cluster_defaults(spark: SparkSession, overrides: dict | None = None) -> None:
+    """Apply ``CLUSTER_DEFAULTS`` (plus overrides) to a running session.
+    Operator-owned settings given at launch (present in the SparkConf) are
+    left untouched."""
+    launch = spark.sparkContext.getConf()
+    for k, v in {**CLUSTER_DEFAULTS, **(overrides or {})}.items():
+        if k not in (overrides or {}) and k in _CLUSTER_OWNED and launch.contains(k):
+            continue
+        spark.conf.set(k, v)
+
+
+# settings a cluster operator typically owns; never overwritten when set
+_CLUSTER_OWNED = {"spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"}
+
+
 def get_session(app: str = "dosewise", cpus: int | str = "*", shuffle_partitions: int = 8,
                 driver_memory: str = "8g") -> SparkSession:
     builder = (

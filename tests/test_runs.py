@@ -40,3 +40,23 @@ def run_clinic_for(spark, out, location):
     from dosewise.plans.runs import run_clinic
 
     return run_clinic(spark, SMOKE, out, "NSAID", RunContext(location_number=location))
+
+
+def test_by_clinic_partitioning(spark):
+    out = tempfile.mkdtemp(prefix="byclinic-", dir="/tmp")
+    paths = run_report(spark, SMOKE, out, "NSAID", RunContext(), by_clinic=True)
+    import os
+
+    assert any(d.startswith("h_id=") for d in os.listdir(paths["nsaid_purch_report"]))
+
+
+def test_cluster_defaults_respect_operator(spark):
+    from dosewise.session import apply_cluster_defaults
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    apply_cluster_defaults(spark)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before  # operator-owned, left alone
+    assert spark.conf.get("spark.sql.adaptive.skewJoin.skewedPartitionFactor") == "5"
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "5")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+    spark.conf.unset("spark.dosewise.broadcastCapBytes")
