@@ -1147,7 +1147,8 @@ def _ppr_metrics(src: str, key: str) -> str:
 def ppr_t1_pre(ctx: RunContext) -> str:
     body = _ppr_metrics("ppm_m", "time_period").replace("AS col_key", "AS time_period")
     return with_ctes(*ppr_ctes(ctx), final=f"""SELECT h_id, vi_species_id, report_name, time_period, unique_patients,
-  unique_pat_no_prod, unique_pat_with_prod, prod_doses, trans, prod_doses_per_trans, CAST(rev AS DOUBLE) AS rev
+  unique_pat_no_prod, unique_pat_with_prod, CAST(prod_doses AS BIGINT) AS prod_doses, CAST(trans AS BIGINT) AS trans,
+  prod_doses_per_trans, CAST(rev AS DOUBLE) AS rev
 FROM ({body})""")
 
 

@@ -41,8 +41,8 @@ def topn_other(df: DataFrame, cell: Sequence[str], name: str, measure: str, tota
     ranked = df.select(
         *cell, total, measure,
         F.when(r1 >= cap, F.concat(F.lit(other_prefix), F.col(market_col))).otherwise(F.col(name)).alias(name),
-        F.least(r1, F.lit(cap)).alias("row_order"),
-        F.least(r2, F.lit(cap)).alias("measure_rank"),
+        F.least(r1, F.lit(cap)).cast("long").alias("row_order"),
+        F.least(r2, F.lit(cap)).cast("long").alias("measure_rank"),
     )
     g = ranked.groupBy(*cell, name).agg(
         F.sum(measure).alias(measure),

@@ -155,7 +155,8 @@ def t1_pre(t: Tables, ctx: RunContext, pm: DataFrame | None = None) -> DataFrame
     pm = pm if pm is not None else patient_master(t, ctx)
     m = _by_market(pm)
     out = _metrics(m, ["h_id", "vi_species_id", "report_name", "time_period"])
-    return out.withColumn("rev", F.col("rev").cast("double"))
+    return (out.withColumn("rev", F.col("rev").cast("double"))
+            .withColumn("prod_doses", F.col("prod_doses").cast("long")).withColumn("trans", F.col("trans").cast("long")))
 
 
 METRICS = ["unique_patients", "unique_pat_no_prod", "unique_pat_with_prod", "prod_doses", "trans",

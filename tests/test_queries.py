@@ -49,3 +49,19 @@ def test_trailer_counts(spark):
     tr = f.where("record_type = '3TR'").select("h_id", F.col("lineitem_id").try_cast("long").alias("t"))
     bad = tr.join(det, "h_id", "left").where(F.col("t") != F.coalesce(F.col("count"), F.lit(0)) + 2)
     assert bad.count() == 0
+
+
+_SPARK_T = {"LongType()": "int64", "IntegerType()": "int32", "DoubleType()": "double", "StringType()": "str",
+            "DateType()": "date", "BooleanType()": "bool"}
+_DUCK_T = {"BIGINT": "int64", "INTEGER": "int32", "DOUBLE": "double", "VARCHAR": "str", "DATE": "date",
+           "BOOLEAN": "bool"}
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_output_types_match_oracle(spark, con, name):
+    """Same column types on both sides (binding only, no execution)."""
+    df = E.queries()[name](spark, SMOKE)
+    s = {f.name: _SPARK_T.get(str(f.dataType), str(f.dataType)) for f in df.schema.fields}
+    rel = con.sql(E.oracle_sql()[name])
+    o = {c: _DUCK_T.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+    assert s == o
