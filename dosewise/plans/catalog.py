@@ -38,7 +38,9 @@ _TABLES: dict = {}
 def _t(spark, sf_dir) -> Tables:
     """One reader set per (session, folder): Parquet footers and file
     listings are resolved once and shared by all queries."""
-    key = (id(spark), sf_dir)
+    # the application id changes when a stopped context is recreated, so a
+    # recycled session object never gets readers bound to a dead context
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
     if key not in _TABLES:
         _TABLES[key] = Tables(spark, sf_dir)
     return _TABLES[key]
