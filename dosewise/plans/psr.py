@@ -532,11 +532,18 @@ def t5_dose_share(t: Tables, ctx: RunContext, pm2: DataFrame | None = None, digi
 
 # ------------------------------------------------------------------ T6
 def t6_doses_per_patient(t: Tables, ctx: RunContext, pm2: DataFrame | None = None) -> DataFrame:
-    """Doses per patient for the named (non-Other) families of T5."""
+    """Doses per patient for the named (non-Other) families of T5.
+
+    The named families of T5 are exactly the family rows whose priority
+    rank is below 6, so this is one window over the family aggregate - no
+    join back to T5."""
     pm2 = pm2 if pm2 is not None else product_master(t, ctx)
     fam = _family_totals(pm2)
-    top = _t5_units(fam).where(F.col("row_order") < 6).select(*PCELL, "family_name", "row_order")
-    out = top.join(fam, PCELL + ["family_name"]).select(
+    w = Window.partitionBy(*PCELL)
+    fam = fam.withColumn("total_qty", F.sum("qty").over(w))
+    fam = fam.where(F.when(F.col("total_qty") == 0, F.lit(0)).otherwise(scaled_round(F.col("qty"), F.col("total_qty"), 2)) > 0)
+    r1 = F.dense_rank().over(w.orderBy(sh.priority(F.col("family_name")), F.col("qty").desc(), F.col("family_name")))
+    out = fam.withColumn("row_order", r1.cast("long")).where(F.col("row_order") < 6).select(
         *PCELL, F.col("family_name").alias("product_name"), "row_order",
         ratio_round(F.col("qty"), F.col("patients"), 1).alias("doses_pat"),
     )
