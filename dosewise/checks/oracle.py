@@ -1280,6 +1280,7 @@ def ld_ctes(ctx: RunContext) -> list[str]:
     fams = ", ".join(str(x) for x in b.EXCUSED_SURGERY_FAMILIES)
     prods = ", ".join(_q(x) for x in b.NSAID_PRODUCTS)
     end_excl = add_months(ctx.end_date, 1)
+    mdvv = _case("n.product", b.NSAID_MIN_DVV)
     return [
         pw_cte(ctx, dogs_only=False, max_weight=500, months_active=24, code_filter=True, name="ldp"),
         f"""hist AS (
@@ -1340,15 +1341,16 @@ def ld_ctes(ctx: RunContext) -> list[str]:
   UNION ALL
   SELECT n.lineitem_id, n.patient_id, p.client_id, p.h_id, n.invoice_date, n.product,
     CAST(CASE WHEN n.quantity IS NULL OR n.quantity = 0 THEN 1 ELSE n.quantity END AS DECIMAL(18,4)),
-    CAST(n.cost AS DECIMAL(18,4)),
-    CAST(CASE WHEN round(CAST(CASE WHEN n.quantity IS NULL OR n.quantity = 0 THEN 1 ELSE n.quantity END AS DECIMAL(18,4)) / CAST(n.dosage_volume AS DECIMAL(18,4)), 1) = 0 THEN 1
-              ELSE round(CAST(CASE WHEN n.quantity IS NULL OR n.quantity = 0 THEN 1 ELSE n.quantity END AS DECIMAL(18,4)) / CAST(n.dosage_volume AS DECIMAL(18,4)), 1) END AS DECIMAL(18,4)),
+    CAST(CASE WHEN n.cost IS NULL THEN n.cost WHEN n.cost = 0 THEN 1 ELSE n.cost END AS DECIMAL(18,4)),
+    CAST(CASE WHEN coalesce({sr('n.quantity', 'CASE WHEN n.dosage_volume IS NULL OR n.dosage_volume = 0 THEN 1 ELSE n.dosage_volume END', 0)}, 1) = 0 THEN 1
+              ELSE coalesce({sr('n.quantity', 'CASE WHEN n.dosage_volume IS NULL OR n.dosage_volume = 0 THEN 1 ELSE n.dosage_volume END', 0)}, 1) END AS DECIMAL(18,4)),
     CASE WHEN EXISTS (SELECT 1 FROM appointments a WHERE a.patient_id = n.patient_id AND a.appointment_date = n.invoice_date)
          THEN 'Y' ELSE 'N' END, 'NSAID'
   FROM nsaid_sales n JOIN ldp p ON p.patient_id = n.patient_id JOIN ld_start s ON s.h_id = p.h_id
-  WHERE NOT n.voided AND n.invoice_date < {d(end_excl)} AND n.product IN ({prods})
+  WHERE NOT n.voided AND n.invoice_date < {d(end_excl)} AND n.product IN ({prods}) AND n.cost <> 0
+    AND (({mdvv} <> 0 AND n.quantity IS NOT NULL AND n.quantity <> 0) OR {mdvv} = 0)
     AND n.invoice_date >= CAST(date_trunc('month', s.start_date) AS DATE)
-    AND NOT ({_pills_below_sql('n.quantity', 'n.dosage_volume', 10)} AND EXISTS (
+    AND NOT ((n.quantity IS NULL OR n.quantity < 10 * CASE WHEN n.dosage_volume IS NULL OR n.dosage_volume = 0 THEN 1 ELSE n.dosage_volume END) AND EXISTS (
       SELECT 1 FROM surgeries g WHERE g.patient_id = n.patient_id AND g.surgery_family IN ({fams}) AND g.cost > 0
         AND n.invoice_date BETWEEN g.surgery_date - 5 AND g.surgery_date + 5)))""",
     ]

@@ -155,21 +155,29 @@ def last_dose_purchases(t: Tables, ctx: RunContext, pats: DataFrame, starts: Dat
         "appointment_flag", F.coalesce(F.col("type"), F.lit("DENTALHYGIENE")).alias("type"),
     )
     q, dv = F.col("quantity"), F.col("dosage_volume")
+    min_dvv = b._map(F.col("product"), b.NSAID_MIN_DVV)
     ns = (
         b.nsaid_sales(t).where(~F.col("voided") & (F.col("invoice_date") >= F.lit(lo))
-                               & (F.col("invoice_date") < F.lit(end_excl)) & F.col("product").isin(*b.NSAID_PRODUCTS))
+                               & (F.col("invoice_date") < F.lit(end_excl)) & F.col("product").isin(*b.NSAID_PRODUCTS)
+                               & (F.col("cost") != 0))
+        .where(((min_dvv != 0) & q.isNotNull() & (q != 0)) | (min_dvv == 0))
         .drop("client_id").join(p, "patient_id").join(st, "h_id")
         .where(F.col("invoice_date") >= F.col("start_month"))
     )
     ns = ev.same_day_flag(ns, b.appointments(t), ["patient_id"], "invoice_date", "appointment_date")
     surg = b.surgeries(t).where(F.col("surgery_family").isin(*b.EXCUSED_SURGERY_FAMILIES) & (F.col("cost") > 0))
-    ns = ev.exclude_near(ns, surg, ["patient_id"], "invoice_date", "surgery_date", 5,
-                         when=_pills_below(ns["quantity"], ns["dosage_volume"], 10))
     qn = F.when(q.isNull() | (q == 0), F.lit(1)).otherwise(q)
-    pills = F.round(qn.cast("decimal(18,4)") / dv.cast("decimal(18,4)"), 1)
+    dvn = F.when(dv.isNull() | (dv == 0), F.lit(1)).otherwise(dv)
+    # pills = quantity / dosage volume (a NULL quantity counts as 1 pill);
+    # short courses (< 10 pills) near a surgery are dropped; the file keeps
+    # whole pills, 0 shown as 1
+    short = F.when(q.isNull(), F.lit(True)).otherwise(_pills_below(ns["quantity"], dvn, 10))
+    ns = ev.exclude_near(ns, surg, ["patient_id"], "invoice_date", "surgery_date", 5, when=short)
+    pills = F.when(q.isNull(), qn.cast("double")).otherwise(ratio_round(q, dvn, 0))
+    cost = F.when(F.col("cost").isNull(), F.col("cost")).when(F.col("cost") == 0, F.lit(1)).otherwise(F.col("cost"))
     ns = ns.select(
         "lineitem_id", "patient_id", "client_id", "h_id", "invoice_date", "product",
-        qn.cast("decimal(18,4)").alias("quantity"), F.col("cost").cast("decimal(18,4)").alias("cost"),
+        qn.cast("decimal(18,4)").alias("quantity"), cost.cast("decimal(18,4)").alias("cost"),
         F.when(pills == 0, F.lit(1)).otherwise(pills).cast("decimal(18,4)").alias("pills"),
         "appointment_flag", F.lit("NSAID").alias("type"),
     )

@@ -75,6 +75,10 @@ NSAID_PRODUCTS = [
     "Rimadyl Caplet", "Rimadyl Chewable Tablet", "Carprofen",
 ]
 NSAID_EXTRA_PRODUCT = "Metacam"
+# Binding rule for the last-dose NSAID product list: a product with a
+# non-zero minimum dosage volume needs a non-zero quantity; here every
+# second product of the list (by position) has min_dvv = 1.
+NSAID_MIN_DVV = {p: (i % 2) for i, p in enumerate(NSAID_PRODUCTS)}
 # Surgery families (k % 10 of the event) that excuse short NSAID courses.
 EXCUSED_SURGERY_FAMILIES = [0, 1, 2, 3, 4, 5, 6]
 
