@@ -95,7 +95,9 @@ def binding_ctes() -> list[str]:
          '(555) ' || lpad(CAST({k} % 1000 AS VARCHAR), 3, '0') || '-' || lpad(CAST({k} % 10000 AS VARCHAR), 4, '0') AS phone1,
          CASE WHEN {k} % 11 = 0 THEN 'client' || CAST({k} AS VARCHAR) || '.example.com'
               ELSE 'client' || CAST({k} AS VARCHAR) || '@example.com' END AS primary_email,
-         c_acctbal AS balance, c_mktsegment AS segment
+         c_acctbal AS balance, c_mktsegment AS segment,
+         CASE WHEN {k} % 13 = 0 THEN '0' ELSE '1' END AS enabled,
+         CASE WHEN {k} % 9 = 0 THEN NULL ELSE {k} % 5 END AS pms_client_code
   FROM customer WHERE c_custkey % 3 = 0)""",
         """activity AS (
   SELECT o_custkey AS patient_id, CAST(min(o_orderdate) AS DATE) AS first_active,
@@ -1310,7 +1312,8 @@ def ld_ctes(ctx: RunContext) -> list[str]:
         count(DISTINCT CASE WHEN vi_species_id = 3 THEN patient_id END) AS canines,
         count(DISTINCT CASE WHEN vi_species_id = 7 THEN patient_id END) AS felines,
         min(first_active) AS first_visit
-      FROM ldp GROUP BY client_id) h ON h.client_id = c.client_id)
+      FROM ldp GROUP BY client_id) h ON h.client_id = c.client_id
+    WHERE c.enabled = '1' AND coalesce(c.pms_client_code, 2) IN (2, 3, 4))
   WHERE NOT coalesce(state IS NULL OR city IS NULL
       OR regexp_matches(upper(state), '^(AB|BC|MB|NB|NL|NT|NS|NU|ON|PE|QC|SK|YT|PR)')
       OR postal_code IS NULL OR postal_code LIKE '%0000%' OR postal_code IN ('000000', '0', '00', '000')

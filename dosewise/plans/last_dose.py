@@ -91,7 +91,8 @@ def last_dose_clients(t: Tables, ctx: RunContext, pats: DataFrame | None = None,
         F.min("first_active").alias("first_visit"),
     ])
     email = F.regexp_replace(cl._strip(F.col("primary_email"), cl.NAME_CHARS), "\n", " ")
-    c = b.clients(t).join(hh, "client_id")
+    c = b.clients(t).where((F.col("enabled") == "1") & F.coalesce(F.col("pms_client_code"), F.lit(2)).isin(2, 3, 4))
+    c = c.join(hh, "client_id")
     if split is not None:
         from .consumer import apply_split
 

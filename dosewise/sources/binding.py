@@ -181,6 +181,8 @@ def clients(t: Tables) -> DataFrame:
         .otherwise(F.concat(F.lit("client"), k.cast("string"), F.lit("@example.com"))).alias("primary_email"),
         F.col("c_acctbal").alias("balance"),
         F.col("c_mktsegment").alias("segment"),
+        F.when((k % 13) == 0, F.lit("0")).otherwise(F.lit("1")).alias("enabled"),
+        F.when((k % 9) == 0, F.lit(None).cast("long")).otherwise(k % 5).alias("pms_client_code"),
     )
 
 
