@@ -806,6 +806,10 @@ GROUP BY c.h_id""")
 
 
 def consumer_competitor_products(ctx: RunContext) -> str:
+    return with_ctes(*consumer_ctes(ctx), final=competitor_sql(ctx))
+
+
+def competitor_sql(ctx: RunContext) -> str:
     lo, hi = ctx.trailing(0)
     base = f"SELECT * FROM cons_lines WHERE is_fth AND invoice_date BETWEEN {d(lo)} AND {d(hi)}"
     def one(market: str, pred: str) -> str:
@@ -817,9 +821,8 @@ def consumer_competitor_products(ctx: RunContext) -> str:
           max(invoice_date) AS last_date,
           max((l_orderkey, l_linenumber, l_partkey, l_suppkey)) AS last_id
         FROM ({base}) WHERE {pred} GROUP BY client_id, product)"""
-    return with_ctes(*consumer_ctes(ctx), final=(
-        one("FL", "product NOT LIKE 'Frontline%' AND product NOT LIKE 'Certifect%' AND type IN ('ft', 'f')")
-        + "\nUNION ALL\n" + one("HG", "product NOT LIKE 'Heartgard%' AND type = 'h'")))
+    return (one("FL", "product NOT LIKE 'Frontline%' AND product NOT LIKE 'Certifect%' AND type IN ('ft', 'f')")
+            + "\nUNION ALL\n" + one("HG", "product NOT LIKE 'Heartgard%' AND type = 'h'"))
 
 
 def clients_clean_cte(ctx: RunContext) -> str:
@@ -894,6 +897,7 @@ def consumer_report(ctx: RunContext) -> str:
             f"CAST(greatest(coalesce(pm.{tag}_doses_12, 0), 0) AS BIGINT) AS {tag}_doses_12",
             f"CAST(greatest(coalesce(pm.{tag}_doses_24, 0), 0) AS BIGINT) AS {tag}_doses_24",
         ]
+        cols.append(f"pm.{tag}_last_pet_species")
     for tag in SERVICE_TAG_SQL:
         cols += [
             f"coalesce(sm.num_{tag}_purch, 0) AS num_{tag}_purch",
@@ -901,11 +905,23 @@ def consumer_report(ctx: RunContext) -> str:
             f"{_money(f'sm.dollar_{tag}_purch')} AS dollar_{tag}_purch",
         ]
     cols += ["coalesce(sm.num_visits, 0) AS num_visits", f"{_mdy('sm.last_visit')} AS last_visit"]
+    cols += [f"CAST(coalesce(pm.{x}, 0) AS BIGINT) AS {x}"
+             for x in ("int_doses_12", "int_doses_24", "trif_doses", "rev_doses", "adv_doses")]
+    cols += ["cp.comp_fl_product", "cp.comp_hg_product", f"{_mdy('pv.last_prev_purch')} AS last_prev_purch"]
+    cols += [f"CAST(coalesce(pv.{x}, 0) AS BIGINT) AS {x}"
+             for x in ("prev_purch_12", "prev_purch_24", "prev_doses_12", "prev_doses_24", "prev_pats_12")]
+    cols += [f"{_money(f'pv.{x}')} AS {x}" for x in ("prev_rev_12", "prev_rev_24")]
+    cols += [f"CAST(coalesce(pv.{x}, 0) AS DOUBLE) AS {x}" for x in ("prev_pills_12", "prev_pills_24")]
+    cols.append("pv.prev_last_pet_species")
     final = f"""SELECT {', '.join(cols)}
 FROM cons_clients c
 LEFT JOIN ({product_metrics_sql(ctx)}) pm ON pm.client_id = c.client_id
-LEFT JOIN ({service_metrics_sql(ctx)}) sm ON sm.client_id = c.client_id"""
-    return with_ctes(*consumer_ctes(ctx), clients_clean_cte(ctx), final=final)
+LEFT JOIN ({service_metrics_sql(ctx)}) sm ON sm.client_id = c.client_id
+LEFT JOIN (SELECT client_id, max(CASE WHEN market = 'FL' THEN product END) AS comp_fl_product,
+                  max(CASE WHEN market = 'HG' THEN product END) AS comp_hg_product
+           FROM ({competitor_sql(ctx)}) WHERE product_order = 1 GROUP BY client_id) cp ON cp.client_id = c.client_id
+LEFT JOIN ({nsaid_metrics_sql(ctx)}) pv ON pv.client_id = c.client_id"""
+    return with_ctes(*consumer_ctes(ctx), clients_clean_cte(ctx), consumer_nsaid_cte(ctx), final=final)
 
 
 # ---------------------------------------------------------------- NSAID
@@ -937,6 +953,10 @@ def consumer_nsaid(ctx: RunContext) -> str:
 
 
 def consumer_nsaid_metrics(ctx: RunContext) -> str:
+    return with_ctes(*consumer_ctes(ctx), consumer_nsaid_cte(ctx), final=nsaid_metrics_sql(ctx))
+
+
+def nsaid_metrics_sql(ctx: RunContext) -> str:
     w12, w24 = ctx.trailing(0), ctx.trailing(1)
     p100 = sr("quantity", "dosage_volume", 2)
     final = f"""SELECT client_id, max(invoice_date) AS last_prev_purch,
@@ -951,7 +971,7 @@ def consumer_nsaid_metrics(ctx: RunContext) -> str:
   sum(CASE WHEN {_between('invoice_date', w12)} THEN coalesce({p100}, 100) END) / 100.0 AS prev_pills_12,
   sum(CASE WHEN {_between('invoice_date', w24)} THEN coalesce({p100}, 100) END) / 100.0 AS prev_pills_24
 FROM cons_nsaid GROUP BY client_id"""
-    return with_ctes(*consumer_ctes(ctx), consumer_nsaid_cte(ctx), final=final)
+    return final
 
 
 def weight_sql(w: str, u: str) -> str:

@@ -87,6 +87,23 @@ def product_tags() -> dict:
     }
 
 
+def other_fth_aggs(ctx: RunContext, within=None) -> list:
+    """CO15: Interceptor doses (12 m, 24 m) and three named families' doses."""
+    q = F.col("quantity_norm")
+    ok = within if within is not None else F.lit(True)
+    w12, w24 = ctx.trailing(0), ctx.trailing(1)
+    d = F.col("invoice_date")
+    fam = F.col("family_name")
+    inter = F.col("product").startswith("Interceptor")
+    return [
+        F.sum(F.when(ok & inter & tm.in_window(d, w12), q).otherwise(0)).alias("int_doses_12"),
+        F.sum(F.when(ok & inter & tm.in_window(d, w24), q).otherwise(0)).alias("int_doses_24"),
+        F.sum(F.when(ok & (fam == "Trifexis") & tm.in_window(d, w12), q).otherwise(0)).alias("trif_doses"),
+        F.sum(F.when(ok & (fam == "Revolution") & tm.in_window(d, w12), q).otherwise(0)).alias("rev_doses"),
+        F.sum(F.when(ok & (fam == "Advantage Multi") & tm.in_window(d, w12), q).otherwise(0)).alias("adv_doses"),
+    ]
+
+
 def product_metrics(t: Tables, ctx: RunContext, lines: DataFrame | None = None) -> DataFrame:
     """Per client and product set: last purchase, purchases, revenue and
     doses in the last 12 months and the 12 before, species of the pet at
@@ -96,15 +113,7 @@ def product_metrics(t: Tables, ctx: RunContext, lines: DataFrame | None = None)
     x = x.where(F.col("is_fth"))
     q = F.col("quantity_norm")
     w12, w24 = ctx.trailing(0), ctx.trailing(1)
-    d = F.col("invoice_date")
-    fam = F.col("family_name")
-    extra = [
-        F.sum(F.when(F.col("product").startswith("Interceptor") & tm.in_window(d, w12), q).otherwise(0)).alias("int_doses_12"),
-        F.sum(F.when(F.col("product").startswith("Interceptor") & tm.in_window(d, w24), q).otherwise(0)).alias("int_doses_24"),
-        F.sum(F.when((fam == "Trifexis") & tm.in_window(d, w12), q).otherwise(0)).alias("trif_doses"),
-        F.sum(F.when((fam == "Revolution") & tm.in_window(d, w12), q).otherwise(0)).alias("rev_doses"),
-        F.sum(F.when((fam == "Advantage Multi") & tm.in_window(d, w12), q).otherwise(0)).alias("adv_doses"),
-    ]
+    extra = other_fth_aggs(ctx)
     out = tm.tagged_metrics(
         x, ["client_id"], product_tags(), {"12": w12, "24": w24},
         revenue=F.when(q.isNull(), F.lit(0)).otherwise(F.col("cost")),
@@ -276,9 +285,18 @@ def _report_base(t: Tables, ctx: RunContext, cp: DataFrame | None = None, lines:
     q = F.col("quantity_norm")
     prod = tm.tagged_aggs(
         {k: fth & v for k, v in product_tags().items()}, {"12": ctx.trailing(0), "24": ctx.trailing(1)},
-        revenue=F.when(q.isNull(), F.lit(0)).otherwise(F.col("cost")), doses=F.when(q.isNull(), F.lit(1)).otherwise(q))
-    metrics = lines.groupBy("client_id").agg(*prod, *service_aggs(ctx, within=F.col("is_trans")))
-    return cli.join(metrics, "client_id", "left")
+        revenue=F.when(q.isNull(), F.lit(0)).otherwise(F.col("cost")), doses=F.when(q.isNull(), F.lit(1)).otherwise(q),
+        last_value=F.col("vi_species_id"), order_key=[F.col(c) for c in LINE_ID])
+    metrics = lines.groupBy("client_id").agg(*prod, *other_fth_aggs(ctx, within=fth),
+                                             *service_aggs(ctx, within=F.col("is_trans")))
+    # rank-1 competitor products (one per market: line ids make ranks unique)
+    comp = competitor_products(t, ctx, lines).where(F.col("product_order") == 1).groupBy("client_id").agg(
+        F.max(F.when(F.col("market") == "FL", F.col("product"))).alias("comp_fl_product"),
+        F.max(F.when(F.col("market") == "HG", F.col("product"))).alias("comp_hg_product"))
+    from .nsaid import consumer_nsaid_metrics
+
+    prev = consumer_nsaid_metrics(t, ctx)
+    return cli.join(metrics, "client_id", "left").join(comp, "client_id", "left").join(prev, "client_id", "left")
 
 
 def consumer_report(t: Tables, ctx: RunContext) -> DataFrame:
@@ -305,6 +323,7 @@ def _format_detail(r: DataFrame) -> DataFrame:
             F.greatest(F.coalesce(F.col(f"{tag}_doses_12"), F.lit(0)), F.lit(0)).cast("long").alias(f"{tag}_doses_12"),
             F.greatest(F.coalesce(F.col(f"{tag}_doses_24"), F.lit(0)), F.lit(0)).cast("long").alias(f"{tag}_doses_24"),
         ]
+        cols.append(F.col(f"{tag}_last_pet_species").alias(f"{tag}_last_pet_species"))
     for tag in service_tags():
         cols += [
             F.coalesce(F.col(f"num_{tag}_purch"), F.lit(0)).alias(f"num_{tag}_purch"),
@@ -312,6 +331,14 @@ def _format_detail(r: DataFrame) -> DataFrame:
             money_text(F.coalesce(F.col(f"dollar_{tag}_purch"), F.lit(0.0))).alias(f"dollar_{tag}_purch"),
         ]
     cols += [F.coalesce(F.col("num_visits"), F.lit(0)).alias("num_visits"), mdy("last_visit").alias("last_visit")]
+    cols += [F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
+             for c in ("int_doses_12", "int_doses_24", "trif_doses", "rev_doses", "adv_doses")]
+    cols += ["comp_fl_product", "comp_hg_product", mdy("last_prev_purch").alias("last_prev_purch")]
+    cols += [F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
+             for c in ("prev_purch_12", "prev_purch_24", "prev_doses_12", "prev_doses_24", "prev_pats_12")]
+    cols += [money_text(F.coalesce(F.col(c), F.lit(0.0))).alias(c) for c in ("prev_rev_12", "prev_rev_24")]
+    cols += [F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in ("prev_pills_12", "prev_pills_24")]
+    cols.append("prev_last_pet_species")
     return r.select(*cols)
 
 
