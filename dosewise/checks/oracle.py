@@ -1676,10 +1676,15 @@ def _matrix_cte() -> str:
 
 
 def control_nsaid(ctx: RunContext) -> str:
+    return with_ctes(final=control_nsaid_sql(ctx))
+
+
+def control_nsaid_sql(ctx: RunContext, per_client: bool = False) -> str:
     lo, hi = ctx.months_window(-23, 0)
     camp = f"s.invoice_date BETWEEN c.start_date AND {d(ctx.as_of - timedelta(days=1))}"
     p100 = sr("s.quantity", "s.dosage_volume", 2)
-    return with_ctes(final=f"""SELECT p.h_id, s.client_id,
+    keys = "s.client_id" if per_client else "p.h_id, s.client_id"
+    return f"""SELECT {keys},
   count(CASE WHEN {camp} THEN s.lineitem_id END) AS num_prev_purch, max(s.invoice_date) AS last_prev_purch,
   CAST(coalesce(sum(CASE WHEN {camp} THEN s.cost END), 0) AS DOUBLE) AS dollar_prev_purch,
   coalesce(sum(CASE WHEN {camp} THEN {p100} END), 0) / 100.0 AS prev_pills,
@@ -1688,10 +1693,14 @@ FROM nsaid_sales s JOIN patients p ON p.patient_id = s.patient_id JOIN clinics c
 WHERE s.product = 'Previcox' AND NOT s.voided AND s.cost <> 0 AND s.quantity IS NOT NULL AND s.quantity <> 0
   AND s.invoice_date >= {d(lo)} AND s.invoice_date < {d(hi)}
   AND p.is_active AND NOT p.is_deceased AND p.vi_species_id IN (3, 7)
-GROUP BY p.h_id, s.client_id""")
+GROUP BY {keys}"""
 
 
 def control_dental_hygiene(ctx: RunContext) -> str:
+    return with_ctes(control_cte(ctx), _matrix_cte(), final=control_dental_hygiene_sql(ctx))
+
+
+def control_dental_hygiene_sql(ctx: RunContext, per_client: bool = False) -> str:
     from ..plans.control import DENTAL_HYG_GROUPS
 
     grp = _case("x.product_info", DENTAL_HYG_GROUPS)
@@ -1703,12 +1712,13 @@ def control_dental_hygiene(ctx: RunContext) -> str:
                  f"count(CASE WHEN grp = '{g}' AND camp THEN 1 END) AS num_{name}_purch",
                  f"CAST(coalesce(sum(CASE WHEN grp = '{g}' AND camp THEN cost END), 0) AS DOUBLE) AS dollar_{name}_purch",
                  f"CAST(coalesce(sum(CASE WHEN grp = '{g}' AND camp THEN doses END), 0) AS DOUBLE) AS doses_{name}_purch"]
-    return with_ctes(control_cte(ctx), _matrix_cte(), final=f"""SELECT h_id, client_id, {', '.join(cols)}
+    keys = "client_id" if per_client else "h_id, client_id"
+    return f"""SELECT {keys}, {', '.join(cols)}
 FROM (SELECT x.h_id, x.client_id, x.invoice_date, x.cost, {grp} AS grp, {camp} AS camp, {_doses_sql()} AS doses
       FROM (SELECT ctl.*, CAST(ctl.line_quantity AS BIGINT) AS quantity, pk.package_quantity, pk.pkg_size, pk.pkg_volume
             FROM ctl JOIN ({_pkg_sql('product_info IS NOT NULL')}) pk ON pk.service_id = ctl.l_partkey
             WHERE ctl.cost <> 0 AND ctl.product_info IN ({infos})) x)
-GROUP BY h_id, client_id""")
+GROUP BY {keys}"""
 
 
 def dental_purchases(ctx: RunContext) -> str:
@@ -1951,10 +1961,12 @@ def control_file(ctx: RunContext) -> str:
     for tag, pred in CONTROL_TAG_SQL.items():
         subs.append(f"""LEFT JOIN (SELECT client_id, max(invoice_date) AS last_p,
       count(DISTINCT CASE WHEN {camp} THEN (l_orderkey, l_linenumber, l_partkey, l_suppkey) END) AS n,
-      sum(CASE WHEN {camp} THEN cost END) AS rev, sum(CASE WHEN {camp} THEN quantity_norm END) AS doses
+      sum(CASE WHEN {camp} THEN cost END) AS rev, sum(CASE WHEN {camp} THEN quantity_norm END) AS doses,
+      last(vi_species_id ORDER BY {LINE_ORDER}) AS sp
     FROM ({base}) WHERE {pred} GROUP BY client_id) p_{tag} ON p_{tag}.client_id = c.client_id""")
         cols += [f"{_mdy(f'p_{tag}.last_p')} AS last_{tag}_purch", f"coalesce(p_{tag}.n, 0) AS {tag}_purch_camp",
-                 f"{_money(f'p_{tag}.rev')} AS {tag}_rev_camp", f"CAST(coalesce(p_{tag}.doses, 0) AS BIGINT) AS {tag}_doses_camp"]
+                 f"{_money(f'p_{tag}.rev')} AS {tag}_rev_camp", f"CAST(coalesce(p_{tag}.doses, 0) AS BIGINT) AS {tag}_doses_camp",
+                 f"p_{tag}.sp AS {tag}_last_pet_species"]
     svc = {
         "pm": "service_kind = 'nsaid'", "dental": "service_kind = 'general' AND product_info = 'Surgery - dental'",
         "surg": "service_kind = 'general' AND product_info LIKE 'Surgery%' AND product_info <> 'Surgery - dental'",
@@ -1967,6 +1979,32 @@ def control_file(ctx: RunContext) -> str:
     ON s_{tag}.client_id = c.client_id""")
         cols += [f"coalesce(s_{tag}.n, 0) AS num_{tag}_purch", f"{_mdy(f's_{tag}.last')} AS last_{tag}_purch",
                  f"{_money(f's_{tag}.dollars')} AS dollar_{tag}_purch"]
+    w12, w24 = ctx.trailing(0), ctx.trailing(1)
+    camp2 = f"invoice_date BETWEEN start_date AND {d(ctx.as_of - timedelta(days=1))}"
+    subs.append(f"""LEFT JOIN (SELECT client_id,
+      sum(CASE WHEN product LIKE 'Interceptor%' AND {_between('invoice_date', w12)} THEN quantity_norm ELSE 0 END) AS int_doses_12,
+      sum(CASE WHEN product LIKE 'Interceptor%' AND {_between('invoice_date', w24)} THEN quantity_norm ELSE 0 END) AS int_doses_24,
+      sum(CASE WHEN product LIKE 'Interceptor%' AND {camp2} THEN quantity_norm ELSE 0 END) AS int_doses_camp,
+      sum(CASE WHEN family_name = 'Trifexis' AND {camp2} THEN quantity_norm ELSE 0 END) AS trif_doses,
+      sum(CASE WHEN family_name = 'Revolution' AND {camp2} THEN quantity_norm ELSE 0 END) AS rev_doses,
+      sum(CASE WHEN family_name = 'Advantage Multi' AND {camp2} THEN quantity_norm ELSE 0 END) AS adv_doses
+    FROM ({base}) GROUP BY client_id) ox ON ox.client_id = c.client_id""")
+    subs.append(f"""LEFT JOIN (SELECT client_id, count(DISTINCT CASE WHEN invoice_date BETWEEN {d(add_months(ctx.end_date, -12))} AND {d(ctx.end_date)} THEN invoice_date END) AS num_visits
+    FROM ctl GROUP BY client_id) nv ON nv.client_id = c.client_id""")
+    subs.append(f"LEFT JOIN ({control_nsaid_sql(ctx, per_client=True)}) pv ON pv.client_id = c.client_id")
+    subs.append(f"LEFT JOIN ({control_dental_hygiene_sql(ctx, per_client=True)}) hy ON hy.client_id = c.client_id")
+    cols += [f"CAST(coalesce(ox.{x}, 0) AS BIGINT) AS {x}" for x in
+             ("int_doses_12", "int_doses_24", "int_doses_camp", "trif_doses", "rev_doses", "adv_doses")]
+    cols += ["CAST(coalesce(nv.num_visits, 0) AS BIGINT) AS num_visits"]
+    cols += [f"CAST(coalesce(pv.{x}, 0) AS BIGINT) AS {x}" for x in ("num_prev_purch", "num_dogs")]
+    cols += [f"CAST(coalesce(hy.{x}, 0) AS BIGINT) AS {x}" for x in ("num_oravet_purch", "num_dental_hyg_purch")]
+    cols += [f"{_mdy('pv.last_prev_purch')} AS last_prev_purch", f"{_mdy('hy.last_oravet_purch')} AS last_oravet_purch",
+             f"{_mdy('hy.last_dental_hyg_purch')} AS last_dental_hyg_purch"]
+    cols += [f"{_money('pv.dollar_prev_purch')} AS dollar_prev_purch", f"{_money('hy.dollar_oravet_purch')} AS dollar_oravet_purch",
+             f"{_money('hy.dollar_dental_hyg_purch')} AS dollar_dental_hyg_purch"]
+    cols += [f"CAST(coalesce(pv.prev_pills, 0) AS DOUBLE) AS prev_pills",
+             f"CAST(coalesce(hy.doses_oravet_purch, 0) AS DOUBLE) AS doses_oravet_purch",
+             f"CAST(coalesce(hy.doses_dental_hyg_purch, 0) AS DOUBLE) AS doses_dental_hyg_purch"]
     detail = f"""SELECT '1DT' AS record_type, c.client_id, c.h_id, c.first_name, c.last_name, c.prefix, c.address1, c.address2,
   c.city, c.state, c.postal_code, c.phone1, c.primary_email, c.dogs_over_5, c.dogs_over_4,
   {_mdy('c.first_visit')} AS first_visit, {_mdy('la.last_active')} AS last_active, {', '.join(cols)}
@@ -1978,7 +2016,7 @@ WHERE c.state NOT IN ('AB','BC','MB','NB','NL','NT','NS','NU','ON','PE','QC','SK
     head = f"""SELECT '1HD' AS record_type, '{ctx.as_of.strftime('%m/%d/%Y')}' AS first_name, CAST(n.n + 1 AS VARCHAR) AS last_name,
   k.account_number AS prefix, CAST(k.location_number AS VARCHAR) AS address1, substr(k.clinic_name, 1, 40) AS address2, k.h_id
 FROM clinics k JOIN (SELECT h_id, count(*) AS n FROM ({detail}) GROUP BY h_id) n ON n.h_id = k.h_id"""
-    return with_ctes(control_cte(ctx), cli, final=f"SELECT * FROM ({detail}) UNION ALL BY NAME ({head})")
+    return with_ctes(control_cte(ctx), cli, _matrix_cte(), final=f"SELECT * FROM ({detail}) UNION ALL BY NAME ({head})")
 
 
 def clinic_xref_check(ctx: RunContext) -> str:

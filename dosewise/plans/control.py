@@ -162,8 +162,20 @@ def control_file(t: Tables, ctx: RunContext) -> DataFrame:
     ok = F.col("type").isNotNull() & F.col("quantity_norm").isNotNull() & (F.col("quantity_norm") != 0) & F.col("vi_species_id").isin(3, 7)
     camp = (F.col("start_date"), F.lit(ctx.as_of - timedelta(days=1)))
     q = F.col("quantity_norm")
-    prod = tm.tagged_aggs({k: ok & v for k, v in control_tags().items()}, {"camp": camp}, revenue=F.col("cost"), doses=q)
+    prod = tm.tagged_aggs({k: ok & v for k, v in control_tags().items()}, {"camp": camp}, revenue=F.col("cost"), doses=q,
+                          last_value=F.col("vi_species_id"), order_key=[F.col(c) for c in LINE_ID])
     d = F.col("invoice_date")
+    w12, w24 = ctx.trailing(0), ctx.trailing(1)
+    inter, fam = F.col("product").startswith("Interceptor"), F.col("family_name")
+    extra = [
+        F.sum(F.when(ok & inter & tm.in_window(d, w12), q).otherwise(0)).alias("int_doses_12"),
+        F.sum(F.when(ok & inter & tm.in_window(d, w24), q).otherwise(0)).alias("int_doses_24"),
+        F.sum(F.when(ok & inter & tm.in_window(d, camp), q).otherwise(0)).alias("int_doses_camp"),
+        F.sum(F.when(ok & (fam == "Trifexis") & tm.in_window(d, camp), q).otherwise(0)).alias("trif_doses"),
+        F.sum(F.when(ok & (fam == "Revolution") & tm.in_window(d, camp), q).otherwise(0)).alias("rev_doses"),
+        F.sum(F.when(ok & (fam == "Advantage Multi") & tm.in_window(d, camp), q).otherwise(0)).alias("adv_doses"),
+        F.countDistinct(F.when(d.between(F.lit(add_months(ctx.end_date, -12)), F.lit(ctx.end_date)), d)).alias("num_visits"),
+    ]
     info, kind = F.col("product_info"), F.col("service_kind")
     svc_tags = {
         "pm": kind == "nsaid", "dental": (kind == "general") & (info == "Surgery - dental"),
@@ -176,8 +188,11 @@ def control_file(t: Tables, ctx: RunContext) -> DataFrame:
         hit = pred & tm.in_window(d, camp)
         svc += [F.count(F.when(hit, F.lit(1))).alias(f"num_{tag}_purch"), F.max(F.when(pred, d)).alias(f"last_{tag}_purch"),
                 F.coalesce(F.sum(F.when(hit, F.col("cost"))), F.lit(0)).alias(f"dollar_{tag}_purch")]
-    metrics = x.groupBy("client_id").agg(*prod, *svc, F.max(d).alias("last_active"))
-    r = cli.join(metrics, "client_id", "left").where(
+    metrics = x.groupBy("client_id").agg(*prod, *extra, *svc, F.max(d).alias("last_active"))
+    # client-level stages for the client-level row
+    prev = control_nsaid(t, ctx, keys=("client_id",))
+    hyg = control_dental_hygiene(t, ctx, keys=("client_id",))
+    r = (cli.join(metrics, "client_id", "left").join(prev, "client_id", "left").join(hyg, "client_id", "left")).where(
         ~F.col("state").isin(*cl.REGION_PREFIXES)
         & ~((F.col("first_name") == cl.NONE_GIVEN) | (F.col("last_name") == cl.NONE_GIVEN) | (F.col("address1") == cl.NONE_GIVEN))
         & F.col("first_visit").isNotNull())
@@ -189,10 +204,18 @@ def control_file(t: Tables, ctx: RunContext) -> DataFrame:
                  F.coalesce(F.col(f"{tag}_purch_camp"), F.lit(0)).alias(f"{tag}_purch_camp"),
                  money_text(F.coalesce(F.col(f"{tag}_rev_camp"), F.lit(0))).alias(f"{tag}_rev_camp"),
                  F.coalesce(F.col(f"{tag}_doses_camp"), F.lit(0)).cast("long").alias(f"{tag}_doses_camp")]
+        cols.append(F.col(f"{tag}_last_pet_species"))
     for tag in svc_tags:
         cols += [F.coalesce(F.col(f"num_{tag}_purch"), F.lit(0)).alias(f"num_{tag}_purch"),
                  mdy(f"last_{tag}_purch").alias(f"last_{tag}_purch"),
                  money_text(F.coalesce(F.col(f"dollar_{tag}_purch"), F.lit(0))).alias(f"dollar_{tag}_purch")]
+    cols += [F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in
+             ("int_doses_12", "int_doses_24", "int_doses_camp", "trif_doses", "rev_doses", "adv_doses", "num_visits",
+              "num_prev_purch", "num_dogs", "num_oravet_purch", "num_dental_hyg_purch")]
+    cols += [mdy(c).alias(c) for c in ("last_prev_purch", "last_oravet_purch", "last_dental_hyg_purch")]
+    cols += [money_text(F.coalesce(F.col(c), F.lit(0))).alias(c) for c in
+             ("dollar_prev_purch", "dollar_oravet_purch", "dollar_dental_hyg_purch")]
+    cols += [F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in ("prev_pills", "doses_oravet_purch", "doses_dental_hyg_purch")]
     detail = r.select(*cols)
     n = detail.groupBy("h_id").agg(F.count(F.lit(1)).alias("_n"))
     clin = maybe_broadcast(b.clinics(t).select("h_id", "account_number", "location_number", "clinic_name"))
@@ -212,7 +235,7 @@ def require_control_clinic(t: Tables, h_id: int) -> None:
 
 
 # ----------------------------------------------------------------- CT19
-def control_nsaid(t: Tables, ctx: RunContext) -> DataFrame:
+def control_nsaid(t: Tables, ctx: RunContext, keys: tuple = ("h_id", "client_id")) -> DataFrame:
     """Per client: Previcox purchases since the campaign start, last
     purchase, spend, pills and distinct dogs (months end-23..end)."""
     lo, hi = ctx.months_window(-23, 0)
@@ -227,7 +250,7 @@ def control_nsaid(t: Tables, ctx: RunContext) -> DataFrame:
     from ..functions.semantics import scaled_round
 
     pills100 = scaled_round(F.col("quantity"), F.col("dosage_volume"), 2)
-    return s.groupBy("h_id", "client_id").agg(
+    return s.groupBy(*keys).agg(
         F.count(F.when(camp, F.col("lineitem_id"))).alias("num_prev_purch"),
         F.max("invoice_date").alias("last_prev_purch"),
         F.coalesce(F.sum(F.when(camp, F.col("cost"))), F.lit(0)).cast("double").alias("dollar_prev_purch"),
@@ -241,7 +264,7 @@ def control_nsaid(t: Tables, ctx: RunContext) -> DataFrame:
 DENTAL_HYG_GROUPS = {"Surgery - dental": "Oravet", "Service - Grooming": "Competitive"}
 
 
-def control_dental_hygiene(t: Tables, ctx: RunContext) -> DataFrame:
+def control_dental_hygiene(t: Tables, ctx: RunContext, keys: tuple = ("h_id", "client_id")) -> DataFrame:
     """Own-brand vs competitive dental hygiene per client since the
     campaign start: last purchase, purchases, spend and doses (MX1)."""
     from ..operators.matrix import dental_doses
@@ -259,4 +282,4 @@ def control_dental_hygiene(t: Tables, ctx: RunContext) -> DataFrame:
                  F.count(F.when(is_g & camp, F.lit(1))).alias(f"num_{name}_purch"),
                  F.coalesce(F.sum(F.when(is_g & camp, F.col("cost"))), F.lit(0)).cast("double").alias(f"dollar_{name}_purch"),
                  F.coalesce(F.sum(F.when(is_g & camp, F.col("doses"))), F.lit(0)).cast("double").alias(f"doses_{name}_purch")]
-    return x.groupBy("h_id", "client_id").agg(*aggs)
+    return x.groupBy(*keys).agg(*aggs)

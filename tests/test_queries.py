@@ -65,3 +65,15 @@ def test_output_types_match_oracle(spark, con, name):
     rel = con.sql(E.oracle_sql()[name])
     o = {c: _DUCK_T.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
     assert s == o
+
+
+@pytest.mark.parametrize("name", ["consumer_report", "consumer_file", "control_file", "consumer_clients",
+                                  "last_dose_clients", "nsaid_clients", "consumer_product_metrics",
+                                  "consumer_service_metrics", "control_product_metrics", "control_service_metrics"])
+def test_client_level_outputs_are_unique_per_client(spark, name):
+    """The oracle shares the binding, so grain mistakes (a stage keyed finer
+    than the row it joins) must be caught by an invariant instead."""
+    df = E.queries()[name](spark, SMOKE)
+    if "record_type" in df.columns:
+        df = df.where(F.col("record_type").isin("1DT", "2DT"))
+    assert df.count() == df.select("client_id").distinct().count()
