@@ -1898,7 +1898,8 @@ UNION ALL SELECT '3TR', c.h_id, NULL, CAST(coalesce(n.n, 0) + 2 AS VARCHAR), NUL
 def _status_sql() -> str:
     return """cstat AS (
   SELECT *, CASE WHEN h_id % 6 = 5 THEN 'Pending' ELSE 'HID Validated (R2)' END AS status,
-    CASE WHEN h_id % 7 = 3 THEN 'No' ELSE 'Yes' END AS final_approval, h_id % 5 AS status_vi_portal FROM clinics)"""
+    CASE WHEN h_id % 7 = 3 THEN 'No' ELSE 'Yes' END AS final_approval, h_id % 5 AS status_vi_portal FROM clinics
+  WHERE h_id IN (SELECT DISTINCT h_id FROM patients))"""
 
 
 def accounts(ctx: RunContext) -> str:

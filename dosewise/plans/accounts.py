@@ -24,9 +24,16 @@ from . import last_dose, ppr, psr
 VALIDATED = "HID Validated (R2)"
 
 
+def enrolled_clinics(t: Tables) -> DataFrame:
+    """The enrollment side of the account view: clinics with at least one
+    enrolled patient (a distinct over the patient table)."""
+    return b.patients(t).select("h_id").distinct()
+
+
 def clinic_status(t: Tables) -> DataFrame:
+    """Cross-reference rows of the enrolled clinics with their status fields."""
     n = F.col("h_id")
-    return b.clinics(t).select(
+    return b.clinics(t).join(enrolled_clinics(t), "h_id", "left_semi").select(
         "*",
         F.when(n % 6 == 5, F.lit("Pending")).otherwise(F.lit(VALIDATED)).alias("status"),
         F.when(n % 7 == 3, F.lit("No")).otherwise(F.lit("Yes")).alias("final_approval"),
