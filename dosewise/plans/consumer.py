@@ -31,7 +31,7 @@ LINE_ID = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 def consumer_patients(t: Tables, ctx: RunContext) -> DataFrame:
     """Active, living dogs and cats seen in the last 23 months, with age flags."""
     end = ctx.end_date
-    p = b.patients(t).join(b.patient_activity(t), "patient_id")
+    p = b.patients(t, species=(DOG, CAT)).join(b.patient_activity(t), "patient_id")
     months = F.months_between(F.lit(end), F.col("dob"), False)
     dog = F.col("vi_species_id") == DOG
     return p.where(

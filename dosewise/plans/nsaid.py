@@ -86,8 +86,8 @@ def patients_with_weight(t: Tables, ctx: RunContext, dogs_only: bool = True, max
     """Active living patients seen within ``months_active`` months with the
     converted weight of their latest vitals row (WU1 + LB1)."""
     end = ctx.end_date
-    p = b.patients(t).join(b.patient_activity(t), "patient_id")
     species = [DOG] if dogs_only else [3, 7]
+    p = b.patients(t, species=tuple(species)).join(b.patient_activity(t), "patient_id")
     p = p.where(
         (F.col("last_active") > F.lit(add_months(end, -months_active)))
         & F.col("is_active") & ~F.col("is_deceased")

@@ -49,7 +49,7 @@ def patient_master(t: Tables, ctx: RunContext) -> DataFrame:
     (doses <= 0 -> NULL, revenue rounded to cents), visits; patients without
     a wellness visit in the period are removed."""
     lo, hi = ctx.month(-14), ctx.month(1)
-    pats = b.patients(t).where(F.col("vi_species_id").isin(DOG, CAT)).select("patient_id", "h_id", "vi_species_id")
+    pats = b.patients(t, species=(DOG, CAT)).where(F.col("vi_species_id").isin(DOG, CAT)).select("patient_id", "h_id", "vi_species_id")
     prod = maybe_broadcast(b.products(t).select(
         "service_id", "type",
         ((F.col("service_kind") == "vaccine") | (F.col("product_info") == "Surgery - spay")
@@ -112,7 +112,7 @@ def product_master(t: Tables, ctx: RunContext, pm: DataFrame | None = None) -> D
     pm = pm if pm is not None else patient_master(t, ctx)
     who = pm.select("time_period", "h_id", "patient_id").distinct()
     lo, hi = ctx.month(-14), ctx.month(1)
-    pats = b.patients(t).where(F.col("vi_species_id").isin(DOG, CAT)).select("patient_id", "h_id", "vi_species_id")
+    pats = b.patients(t, species=(DOG, CAT)).where(F.col("vi_species_id").isin(DOG, CAT)).select("patient_id", "h_id", "vi_species_id")
     prod = maybe_broadcast(b.products(t).where(F.col("type").isNotNull()).select("service_id", "type", "family_name"))
     x = (
         b.lines(t, lo, hi, pats).where(~F.col("voided") & F.col("quantity_norm").isNotNull()

@@ -65,7 +65,7 @@ def patient_master(t: Tables, ctx: RunContext, first: int = -11, last: int = 0)
     """One row per (clinic, patient) of species dog/cat with any unvoided
     line in the window: doses, revenue, opportunity per market, visits,
     wellness, baby flag, tests."""
-    pats = b.patients(t).where(F.col("vi_species_id").isin(DOG, CAT)).select(
+    pats = b.patients(t, species=(DOG, CAT)).where(F.col("vi_species_id").isin(DOG, CAT)).select(
         "patient_id", "h_id", "vi_species_id", "dob"
     )
     x = (
@@ -464,7 +464,7 @@ def product_master(t: Tables, ctx: RunContext, pm: DataFrame | None = None) -> D
     wellness patients, doses and market revenue."""
     pm = pm if pm is not None else patient_master(t, ctx)
     well = pm.where(F.col("wellness_care").isNotNull()).select("h_id", "patient_id")
-    pats = b.patients(t).where(F.col("vi_species_id").isin(DOG, CAT)).select("patient_id", "h_id", "vi_species_id")
+    pats = b.patients(t, species=(DOG, CAT)).where(F.col("vi_species_id").isin(DOG, CAT)).select("patient_id", "h_id", "vi_species_id")
     prod = maybe_broadcast(b.products(t).where(F.col("type").isNotNull()).select("service_id", "type", "family_name"))
     x = (
         _window_lines(t, ctx, patients=pats)
@@ -581,7 +581,7 @@ def month_master(t: Tables, ctx: RunContext, pm: DataFrame | None = None) -> Dat
     positive. Wellness patients only."""
     pm = pm if pm is not None else patient_master(t, ctx)
     well = pm.where(F.col("wellness_care").isNotNull()).select("h_id", "patient_id")
-    pats = b.patients(t).where(F.col("vi_species_id").isin(DOG, CAT)).select("patient_id", "h_id", "vi_species_id")
+    pats = b.patients(t, species=(DOG, CAT)).where(F.col("vi_species_id").isin(DOG, CAT)).select("patient_id", "h_id", "vi_species_id")
     prod = _product_attrs(t).select("service_id", "type")
     x = (
         _window_lines(t, ctx, patients=pats)

@@ -130,10 +130,16 @@ def species_of(segment: Column) -> Column:
     return _map(segment, SPECIES_BY_SEGMENT, 5).cast("int")
 
 
-def patients(t: Tables) -> DataFrame:
-    """patient_ref: one row per customer."""
+def patients(t: Tables, species: tuple | None = None) -> DataFrame:
+    """patient_ref: one row per customer. ``species`` restricts to those
+    species ids through a filter on the raw segment column, so the
+    restriction reaches the Parquet scan."""
     k = F.col("c_custkey")
-    return t.customer.select(
+    c = t.customer
+    if species is not None:
+        segs = [s for s, sp in SPECIES_BY_SEGMENT.items() if sp in species]
+        c = c.where(F.col("c_mktsegment").isin(*segs)) if 5 not in species else c
+    return c.select(
         k.alias("patient_id"),
         F.floor(k / 3).cast("long").alias("client_id"),
         F.col("c_nationkey").cast("long").alias("h_id"),
