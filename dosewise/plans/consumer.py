@@ -295,7 +295,7 @@ def _report_base(t: Tables, ctx: RunContext, cp: DataFrame | None = None, lines:
         F.max(F.when(F.col("market") == "HG", F.col("product"))).alias("comp_hg_product"))
     from .nsaid import consumer_nsaid_metrics
 
-    prev = consumer_nsaid_metrics(t, ctx)
+    prev = consumer_nsaid_metrics(t, ctx, cp=cp)
     return cli.join(metrics, "client_id", "left").join(comp, "client_id", "left").join(prev, "client_id", "left")
 
 

@@ -29,12 +29,12 @@ def _pills_below(q, dv, n: int):
 
 
 # ------------------------------------------------------------------ CO28
-def consumer_nsaid(t: Tables, ctx: RunContext, product: str = "Previcox") -> DataFrame:
+def consumer_nsaid(t: Tables, ctx: RunContext, product: str = "Previcox", cp: DataFrame | None = None) -> DataFrame:
     """NSAID purchases of consumer patients in the last 12 months with a
     same-day appointment flag; purchases of fewer than 10 pills within
     +-5 days of a surgery are dropped."""
     end = ctx.end_date
-    cp = consumer_patients(t, ctx).select("patient_id", "client_id", "h_id", "vi_species_id")
+    cp = (cp if cp is not None else consumer_patients(t, ctx)).select("patient_id", "client_id", "h_id", "vi_species_id")
     q, dv = F.col("quantity"), F.col("dosage_volume")
     s = (
         b.nsaid_sales(t)
@@ -58,11 +58,11 @@ def consumer_nsaid(t: Tables, ctx: RunContext, product: str = "Previcox") -> Dat
 
 
 # ------------------------------------------------------------------ CO29
-def consumer_nsaid_metrics(t: Tables, ctx: RunContext) -> DataFrame:
+def consumer_nsaid_metrics(t: Tables, ctx: RunContext, cp: DataFrame | None = None) -> DataFrame:
     """Per client: NSAID purchases, revenue, doses and pills in the last 12
     months and the 12 before, patients treated, pet species at the last
     purchase (TM1)."""
-    x = consumer_nsaid(t, ctx)
+    x = consumer_nsaid(t, ctx, cp=cp)
     w12, w24 = ctx.trailing(0), ctx.trailing(1)
     d = F.col("invoice_date")
     pills100 = scaled_round(F.col("quantity"), F.col("dosage_volume"), 2)
