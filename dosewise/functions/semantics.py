@@ -65,11 +65,6 @@ def ratio_round(num, den, digits: int = 2, scale: int = 0, when_zero=0.0, when_n
     return F.when(b.isNull() | (b == 0), zero).when(col(num).isNull(), nul).otherwise(out)
 
 
-def round_half(c, digits: int = 0) -> Column:
-    """Half-away-from-zero rounding of an exact decimal column, as double."""
-    return F.round(col(c), digits).cast("double")
-
-
 def ceil_long(c) -> Column:
     return F.ceil(col(c)).cast("long")
 
@@ -86,13 +81,6 @@ def species_name(species_id, dog: str = "Dog", cat: str = "Cat") -> Column:
     return F.when(col(species_id) == 3, F.lit(dog)).otherwise(F.lit(cat))
 
 
-def digits_only(c, max_len: int | None = None) -> Column:
-    out = F.regexp_replace(col(c), r"[^0-9]", "")
-    if max_len is not None:
-        out = F.substring(out, 1, max_len)
-    return empty_to_null(out)
-
-
 def id_remap(c) -> Column:
     """Ids below 1 are moved above the 32-bit range: 2^32 + 1 - id."""
     c = col(c)
@@ -109,6 +97,3 @@ def mdy(c) -> Column:
     return F.date_format(col(c), "MM/dd/yyyy")
 
 
-def concat_text(*cols) -> Column:
-    """Oracle-style || : NULL parts act as empty strings."""
-    return F.concat_ws("", *[col(c) for c in cols])

@@ -62,10 +62,10 @@ def weight_in_pounds(weight: Column, unit: Column) -> Column:
 def latest_weight(vitals: DataFrame, keys: Sequence[str] = ("patient_id",)) -> DataFrame:
     """LB1 over vitals: converted weight of the latest visit per key
     (ties on the visit time broken by the vitals row id)."""
+    from .trailing import latest_by
+
     conv = weight_in_pounds(F.col("weight"), F.col("weight_unit"))
-    return vitals.groupBy(*keys).agg(
-        F.max_by(conv, F.struct(F.col("visit_date"), F.col("vital_id"))).alias("weight")
-    )
+    return vitals.groupBy(*keys).agg(latest_by(conv, F.col("visit_date"), F.col("vital_id")).alias("weight"))
 
 
 # --- HT1 -------------------------------------------------------------------

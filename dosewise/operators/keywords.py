@@ -93,10 +93,6 @@ def matches_clean(clean: Column, terms) -> Column:
     return clean.rlike(trie_regex(terms))
 
 
-def matches_any(c: Column, terms) -> Column:
-    return matches_clean(clean_text(c), terms)
-
-
 def keyword_classify(handle: Column, descr: Column, include=INCLUDE_TERMS, exclude=EXCLUDE_TERMS,
                      cleaned: bool = False) -> Column:
     """True when either text holds an include term and neither holds an

@@ -45,7 +45,3 @@ def maybe_broadcast(df: DataFrame, cap: int | None = None) -> DataFrame:
     return df
 
 
-def fixed_broadcast(df: DataFrame) -> DataFrame:
-    """Broadcast for control tables whose row count is fixed by the code
-    (market x species grid, dose buckets, month spine)."""
-    return F.broadcast(df)

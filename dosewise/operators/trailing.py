@@ -78,30 +78,6 @@ def tagged_aggs(tags, windows, date_col="invoice_date", count_of=None, revenue=N
     return aggs
 
 
-def category_metrics(
-    df: DataFrame,
-    keys: Sequence[str],
-    tags: Mapping[str, Column],
-    count_window: tuple[date, date],
-    date_col: str = "invoice_date",
-    amount: str = "cost",
-    count_of: Column | None = None,
-) -> DataFrame:
-    """Service-category form of TM1: per tag, number and spend of lines in
-    ``count_window`` and the last date over all rows."""
-    d = F.col(date_col)
-    cnt = count_of if count_of is not None else d
-    aggs = []
-    for tag, pred in tags.items():
-        hit = pred & in_window(d, count_window)
-        aggs += [
-            F.count(F.when(hit, cnt)).alias(f"num_{tag}_purch"),
-            F.max(F.when(pred, d)).alias(f"last_{tag}_purch"),
-            F.coalesce(F.sum(F.when(hit, F.col(amount))), F.lit(0)).alias(f"dollar_{tag}_purch"),
-        ]
-    return df.groupBy(*keys).agg(*aggs)
-
-
 def rank_products(df: DataFrame, keys: Sequence[str], product: str, doses: Column,
                   date_col: str, id_cols: Sequence[str], descending: bool = False) -> DataFrame:
     """RK1: per key and product, total doses, last date and last line id,
