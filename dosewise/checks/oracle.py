@@ -981,8 +981,14 @@ def weight_sql(w: str, u: str) -> str:
             f"WHEN upper({u}) = 'GRAMS' THEN {num} * 0.0022 ELSE {num} END")
 
 
-def pw_cte(ctx: RunContext, dogs_only=True, max_weight=None, months_active=23, code_filter=False, name="pw") -> str:
+def pw_cte(ctx: RunContext, dogs_only=True, max_weight=None, months_active=23, code_filter=False, name="pw",
+           age_digits: int = 3) -> str:
     end = ctx.end_date
+    e = d(end)
+    units = (f"(((year({e}) - year(p.dob)) * 12 + (month({e}) - month(p.dob))) * 31 + "
+             f"CASE WHEN day({e}) = day(p.dob) OR ({e} = last_day({e}) AND p.dob = last_day(p.dob)) THEN 0 "
+             f"ELSE day({e}) - day(p.dob) END)")
+    age = ratio_round(units, "372", age_digits, when_zero="NULL")
     mb = months_between(d(end), "p.dob")
     species = "(3)" if dogs_only else "(3, 7)"
     wfilter = f"WHERE weight < {max_weight}" if max_weight is not None else ""
@@ -994,7 +1000,7 @@ def pw_cte(ctx: RunContext, dogs_only=True, max_weight=None, months_active=23, c
     FROM vitals) WHERE rn = 1),
 {name} AS (
   SELECT p.patient_id, p.client_id, p.h_id, p.vi_species_id, a.first_active, a.last_active, p.pms_code,
-    CAST(w.weight AS DOUBLE) AS weight,
+    CAST(w.weight AS DOUBLE) AS weight, {age} AS age_years,
     CASE WHEN {mb} > 60 AND p.vi_species_id = 3 THEN 1 ELSE 0 END AS dogs_over_5,
     CASE WHEN {mb} > 72 AND p.vi_species_id = 3 THEN 1 ELSE 0 END AS dogs_over_6,
     CASE WHEN {mb} < 12 AND p.vi_species_id = 3 THEN 1 ELSE 0 END AS puppy,
@@ -1010,7 +1016,7 @@ def nsaid_patients(ctx: RunContext) -> str:
 
 
 def last_dose_patients(ctx: RunContext) -> str:
-    return with_ctes(pw_cte(ctx, dogs_only=False, max_weight=500, months_active=24, code_filter=True),
+    return with_ctes(pw_cte(ctx, dogs_only=False, max_weight=500, months_active=24, code_filter=True, age_digits=6),
                      final="SELECT * FROM pw")
 
 
@@ -1304,7 +1310,7 @@ def ld_ctes(ctx: RunContext) -> list[str]:
     end_excl = add_months(ctx.end_date, 1)
     mdvv = _case("n.product", b.NSAID_MIN_DVV)
     return [
-        pw_cte(ctx, dogs_only=False, max_weight=500, months_active=24, code_filter=True, name="ldp"),
+        pw_cte(ctx, dogs_only=False, max_weight=500, months_active=24, code_filter=True, name="ldp", age_digits=6),
         f"""hist AS (
   SELECT p.h_id, p.h_id * 100 + (year(l.invoice_date) - 1995) AS run_id, year(l.invoice_date) - 1995 AS update_flag,
          l.client_id, l.patient_id, p.vi_species_id, l.invoice_date

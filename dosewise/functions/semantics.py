@@ -97,3 +97,18 @@ def mdy(c) -> Column:
     return F.date_format(col(c), "MM/dd/yyyy")
 
 
+
+
+def months_between_31(end, dob) -> Column:
+    """31 x months_between(end, dob) as an exact integer: whole months, plus
+    the day difference unless the days match or both dates are month ends
+    (the reference database's rule, also Spark's for dates)."""
+    e, b = col(end), col(dob)
+    whole = (F.year(e) - F.year(b)) * 12 + (F.month(e) - F.month(b))
+    same = (F.dayofmonth(e) == F.dayofmonth(b)) | ((F.last_day(e) == e) & (F.last_day(b) == b))
+    return (whole * 31 + F.when(same, F.lit(0)).otherwise(F.dayofmonth(e) - F.dayofmonth(b))).cast("long")
+
+
+def age_years(end, dob, digits: int = 3) -> Column:
+    """months_between(end, dob) / 12 rounded to ``digits``, exactly."""
+    return ratio_round(months_between_31(end, dob), F.lit(31 * 12), digits, when_zero=None)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..context import RunContext, add_months
-from ..functions.semantics import id_remap, mdy, money_text, ratio_round, scaled_round
+from ..functions.semantics import age_years, id_remap, mdy, money_text, ratio_round, scaled_round
 from ..operators import contact as cl
 from ..operators import events as ev
 from ..operators import trailing as tm
@@ -82,7 +82,7 @@ def consumer_nsaid_metrics(t: Tables, ctx: RunContext, cp: DataFrame | None = No
 
 # --------------------------------------------------------------- NS1 / LD1
 def patients_with_weight(t: Tables, ctx: RunContext, dogs_only: bool = True, max_weight=None,
-                         months_active: int = 23, code_filter: bool = False) -> DataFrame:
+                         months_active: int = 23, code_filter: bool = False, age_digits: int = 3) -> DataFrame:
     """Active living patients seen within ``months_active`` months with the
     converted weight of their latest vitals row (WU1 + LB1)."""
     end = ctx.end_date
@@ -104,6 +104,7 @@ def patients_with_weight(t: Tables, ctx: RunContext, dogs_only: bool = True, max
     return p.join(w, "patient_id", "left").select(
         "patient_id", "client_id", "h_id", "vi_species_id", "first_active", "last_active", "pms_code",
         F.col("weight").cast("double").alias("weight"),
+        age_years(F.lit(end), F.col("dob"), age_digits).alias("age_years"),
         F.when((months > 60) & dog, 1).otherwise(0).alias("dogs_over_5"),
         F.when((months > 72) & dog, 1).otherwise(0).alias("dogs_over_6"),
         F.when((months < 12) & dog, 1).otherwise(0).alias("puppy"),
@@ -198,4 +199,5 @@ def nsaid_purchase_file(t: Tables, ctx: RunContext) -> DataFrame:
 def last_dose_patients(t: Tables, ctx: RunContext) -> DataFrame:
     """Dogs and cats active in the last 24 months with an allowed patient
     code and their latest weight in pounds when below 500."""
-    return patients_with_weight(t, ctx, dogs_only=False, max_weight=500, months_active=24, code_filter=True)
+    return patients_with_weight(t, ctx, dogs_only=False, max_weight=500, months_active=24, code_filter=True,
+                                age_digits=6)

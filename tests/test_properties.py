@@ -50,3 +50,16 @@ def test_trie_regex_equals_alternation(words):
     text = "".join(words)
     for terms in (INCLUDE_TERMS, EXCLUDE_TERMS):
         assert bool(re.search(alternation(terms), text)) == bool(re.search(trie_regex(terms), text))
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.tuples(st.dates(min_value=__import__("datetime").date(1980, 1, 1), max_value=__import__("datetime").date(2030, 12, 31)),
+                          st.dates(min_value=__import__("datetime").date(1980, 1, 1), max_value=__import__("datetime").date(2030, 12, 31))),
+                min_size=1, max_size=30))
+def test_months_between_31_is_exact(spark, pairs):
+    from dosewise.functions.semantics import months_between_31
+
+    df = spark.createDataFrame(pairs, "e date, b date")
+    got = df.select(months_between_31(F.col("e"), F.col("b")).alias("u"),
+                    (F.months_between("e", "b", False) * 31).alias("m")).collect()
+    assert all(abs(r.u - r.m) < 1e-6 for r in got)
