@@ -357,14 +357,15 @@ def _zero(c: str):
     return F.coalesce(F.col(c), F.lit(0)) == 0
 
 
-def consumer_file(t: Tables, ctx: RunContext) -> DataFrame:
+def consumer_file(t: Tables, ctx: RunContext, cp: DataFrame | None = None,
+                  lines: DataFrame | None = None) -> DataFrame:
     """The consumer file: detail rows after exclusion A (clients whose only
     activity is boarding or grooming) and exclusion B (placeholder names
     and addresses, do-not-contact notes, phone or card numbers in address
     line 2), plus one '1HD' header per clinic whose record count is
     details + 1 and which carries the clinic's patient counts."""
-    cp = consumer_patients(t, ctx)
-    lines = consumer_lines(t, ctx, cp)
+    cp = cp if cp is not None else consumer_patients(t, ctx)
+    lines = lines if lines is not None else consumer_lines(t, ctx, cp)
     r = _report_base(t, ctx, cp, lines)
     only_board_groom = (
         _zero("flt_rev_12") & F.col("last_vacc_purch").isNull() & F.col("last_pain_purch").isNull()

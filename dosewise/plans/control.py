@@ -149,7 +149,7 @@ def control_clients(t: Tables, ctx: RunContext, lines: DataFrame | None = None)
 
 
 # ----------------------------------------------------------- CT27-CT29
-def control_file(t: Tables, ctx: RunContext) -> DataFrame:
+def control_file(t: Tables, ctx: RunContext, lines: DataFrame | None = None) -> DataFrame:
     """Detail row per client (product-set and service metrics fused into
     one aggregation pass), excluded regions (a NULL state is dropped too),
     placeholder names and clients without a first visit removed; one
@@ -157,7 +157,7 @@ def control_file(t: Tables, ctx: RunContext) -> DataFrame:
     from ..functions.semantics import mdy, money_text
     from ..operators import contact as cl
 
-    x = control_lines(t, ctx)
+    x = lines if lines is not None else control_lines(t, ctx)
     cli = control_clients(t, ctx, x)
     ok = F.col("type").isNotNull() & F.col("quantity_norm").isNotNull() & (F.col("quantity_norm") != 0) & F.col("vi_species_id").isin(3, 7)
     camp = (F.col("start_date"), F.lit(ctx.as_of - timedelta(days=1)))
@@ -191,7 +191,7 @@ def control_file(t: Tables, ctx: RunContext) -> DataFrame:
     metrics = x.groupBy("client_id").agg(*prod, *extra, *svc, F.max(d).alias("last_active"))
     # client-level stages for the client-level row
     prev = control_nsaid(t, ctx, keys=("client_id",))
-    hyg = control_dental_hygiene(t, ctx, keys=("client_id",))
+    hyg = control_dental_hygiene(t, ctx, keys=("client_id",), lines=x)
     r = (cli.join(metrics, "client_id", "left").join(prev, "client_id", "left").join(hyg, "client_id", "left")).where(
         ~F.col("state").isin(*cl.REGION_PREFIXES)
         & ~((F.col("first_name") == cl.NONE_GIVEN) | (F.col("last_name") == cl.NONE_GIVEN) | (F.col("address1") == cl.NONE_GIVEN))
@@ -264,13 +264,15 @@ def control_nsaid(t: Tables, ctx: RunContext, keys: tuple = ("h_id", "client_id"
 DENTAL_HYG_GROUPS = {"Surgery - dental": "Oravet", "Service - Grooming": "Competitive"}
 
 
-def control_dental_hygiene(t: Tables, ctx: RunContext, keys: tuple = ("h_id", "client_id")) -> DataFrame:
+def control_dental_hygiene(t: Tables, ctx: RunContext, keys: tuple = ("h_id", "client_id"),
+                           lines: DataFrame | None = None) -> DataFrame:
     """Own-brand vs competitive dental hygiene per client since the
     campaign start: last purchase, purchases, spend and doses (MX1)."""
     from ..operators.matrix import dental_doses
     from .calllist import dental_matrix, package_fields
 
-    x = control_lines(t, ctx).where((F.col("cost") != 0) & F.col("product_info").isin(*DENTAL_HYG_GROUPS))
+    x = (lines if lines is not None else control_lines(t, ctx)).where(
+        (F.col("cost") != 0) & F.col("product_info").isin(*DENTAL_HYG_GROUPS))
     grp = b._map(F.col("product_info"), DENTAL_HYG_GROUPS)
     x = x.withColumn("product_group", grp).join(maybe_broadcast(package_fields(t).drop("product_info")), "service_id")
     x = dental_doses(x.withColumn("quantity", F.col("quantity").cast("long")), dental_matrix(t.spark))

@@ -69,11 +69,17 @@ def ppr_tables(t: Tables, ctx: RunContext) -> dict[str, DataFrame]:
 
 
 def consumer_tables(t: Tables, ctx: RunContext) -> dict[str, DataFrame]:
-    return {"consumer_report": consumer.consumer_file(t, ctx)}
+    # the 24-month line frame feeds four stages of different grain (client
+    # metrics, competitor ranks, header counts, NSAID clients): materialise
+    # it once instead of re-joining lineitem for each
+    cp = shared(consumer.consumer_patients(t, ctx))
+    lines = shared(consumer.consumer_lines(t, ctx, cp))
+    return {"consumer_report": consumer.consumer_file(t, ctx, cp, lines)}
 
 
 def control_tables(t: Tables, ctx: RunContext) -> dict[str, DataFrame]:
-    return {"control_report": control.control_file(t, ctx)}
+    lines = shared(control.control_lines(t, ctx))
+    return {"control_report": control.control_file(t, ctx, lines)}
 
 
 def last_dose_tables(t: Tables, ctx: RunContext) -> dict[str, DataFrame]:

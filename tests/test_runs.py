@@ -16,7 +16,7 @@ def test_psr_run_writes_every_table(spark):
 
 def test_file_reports_append_and_publish(spark):
     out = tempfile.mkdtemp(prefix="files-", dir="/tmp")
-    for report in ("NSAID", "UPL", "CONTROL"):
+    for report in ("NSAID", "UPL", "CONTROL", "CONSUMER"):
         paths = run_report(spark, SMOKE, out, report, RunContext(run_id=7), append=True, publish=True)
         for name, p in paths.items():
             df = spark.read.parquet(p)
