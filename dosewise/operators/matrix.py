@@ -41,11 +41,16 @@ def dental_doses(df: DataFrame, matrix: DataFrame, qty: str = "quantity", info:
         m.join(inner3.select("product", F.col("package_volume").alias("dv")), ["product", "dv"], "left_semi"),
         ["product", "dv"], "package_count", "c3"))
     t4 = maybe_broadcast(_unique(m, ["product", "treat_size"], "package_count", "c4"))
+    # matrix key columns get private names, so the input may carry columns
+    # called ``product`` / ``treat_size`` of its own
+    t2 = t2.select(F.col("product").alias("_p2"), F.col("dv").alias("_v2"), F.col("treat_size").alias("_s2"), "c2")
+    t3 = t3.select(F.col("product").alias("_p3"), F.col("dv").alias("_v3"), "c3")
+    t4 = t4.select(F.col("product").alias("_p4"), F.col("treat_size").alias("_s4"), "c4")
     x = df.withColumn("_dv", digits(F.col(vol)))
-    x = (x.join(t2, (x[info] == t2["product"]) & (x["_dv"] == t2["dv"]) & (x[size] == t2["treat_size"]), "left")
-         .drop("product", "dv", "treat_size"))
-    x = x.join(t3, (x[info] == t3["product"]) & (x["_dv"] == t3["dv"]), "left").drop("product", "dv")
-    x = x.join(t4, (x[info] == t4["product"]) & (x[size] == t4["treat_size"]), "left").drop("product", "treat_size")
+    x = x.join(t2, (F.col(info) == F.col("_p2")) & (F.col("_dv") == F.col("_v2")) & (F.col(size) == F.col("_s2")), "left")
+    x = x.join(t3, (F.col(info) == F.col("_p3")) & (F.col("_dv") == F.col("_v3")), "left")
+    x = x.join(t4, (F.col(info) == F.col("_p4")) & (F.col(size) == F.col("_s4")), "left")
+    x = x.drop("_p2", "_v2", "_s2", "_p3", "_v3", "_p4", "_s4")
     q, pq = F.col(qty), F.col(pkg_qty)
     pq_num = pq.try_cast("decimal(18,4)")
     doses = (

@@ -188,11 +188,24 @@ def control_file(t: Tables, ctx: RunContext, lines: DataFrame | None = None) ->
         hit = pred & tm.in_window(d, camp)
         svc += [F.count(F.when(hit, F.lit(1))).alias(f"num_{tag}_purch"), F.max(F.when(pred, d)).alias(f"last_{tag}_purch"),
                 F.coalesce(F.sum(F.when(hit, F.col("cost"))), F.lit(0)).alias(f"dollar_{tag}_purch")]
-    metrics = x.groupBy("client_id").agg(*prod, *extra, *svc, F.max(d).alias("last_active"))
-    # client-level stages for the client-level row
+    # dental hygiene (CT21) in the same pass: matrix doses on the line frame
+    from ..operators.matrix import dental_doses
+    from .calllist import dental_matrix, package_fields
+
+    grp = b._map(F.col("product_info"), DENTAL_HYG_GROUPS)
+    xd = x.join(maybe_broadcast(package_fields(t).drop("product_info")), "service_id", "left")
+    xd = dental_doses(xd.withColumn("qty_raw", F.col("quantity").cast("long")), dental_matrix(t.spark), qty="qty_raw")
+    hyg = []
+    for name, g in (("oravet", "Oravet"), ("dental_hyg", "Competitive")):
+        is_g = (grp == g) & (F.col("cost") != 0)
+        hyg += [F.max(F.when(is_g, d)).alias(f"last_{name}_purch"),
+                F.count(F.when(is_g & tm.in_window(d, camp), F.lit(1))).alias(f"num_{name}_purch"),
+                F.coalesce(F.sum(F.when(is_g & tm.in_window(d, camp), F.col("cost"))), F.lit(0)).cast("double").alias(f"dollar_{name}_purch"),
+                F.coalesce(F.sum(F.when(is_g & tm.in_window(d, camp), F.col("doses"))), F.lit(0)).cast("double").alias(f"doses_{name}_purch")]
+    metrics = xd.groupBy("client_id").agg(*prod, *extra, *svc, *hyg, F.max(d).alias("last_active"))
+    # client-level NSAID stage for the client-level row
     prev = control_nsaid(t, ctx, keys=("client_id",))
-    hyg = control_dental_hygiene(t, ctx, keys=("client_id",), lines=x)
-    r = (cli.join(metrics, "client_id", "left").join(prev, "client_id", "left").join(hyg, "client_id", "left")).where(
+    r = (cli.join(metrics, "client_id", "left").join(prev, "client_id", "left")).where(
         ~F.col("state").isin(*cl.REGION_PREFIXES)
         & ~((F.col("first_name") == cl.NONE_GIVEN) | (F.col("last_name") == cl.NONE_GIVEN) | (F.col("address1") == cl.NONE_GIVEN))
         & F.col("first_visit").isNotNull())
