@@ -201,3 +201,11 @@ def test_tx1_classifier(spark):
     df = spark.createDataFrame(rows, "h string, d string")
     got = [r[0] for r in df.select(keyword_classify(F.col("h"), F.col("d"))).collect()]
     assert got == [True, False, False, True]
+
+
+def test_pc1_null_two_back(spark):
+    # lag2 NULL: lag1 0 -> -1, lag1 non-zero -> (l1 - NULL) / NULL -> NULL -> 0
+    rows = [(1, None), (2, 0), (3, None), (4, None), (5, 5), (6, None)]
+    df = spark.createDataFrame(rows, "column_order int, v long").withColumn("g", F.lit(1))
+    got = dict(df.select("column_order", pct_change("v", "column_order", ["g"]).alias("x")).collect())
+    assert got[3] == -1.0 and got[6] == 0.0
