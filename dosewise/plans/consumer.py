@@ -358,7 +358,7 @@ def _zero(c: str):
 
 
 def consumer_file(t: Tables, ctx: RunContext, cp: DataFrame | None = None,
-                  lines: DataFrame | None = None) -> DataFrame:
+                  lines: DataFrame | None = None, materialize=None) -> DataFrame:
     """The consumer file: detail rows after exclusion A (clients whose only
     activity is boarding or grooming) and exclusion B (placeholder names
     and addresses, do-not-contact notes, phone or card numbers in address
@@ -386,6 +386,8 @@ def consumer_file(t: Tables, ctx: RunContext, cp: DataFrame | None = None,
     )
     kept = r.where(~F.coalesce(only_board_groom, F.lit(False)) & ~F.coalesce(bad_contact, F.lit(False)))
     detail = _format_detail(kept)
+    if materialize is not None:  # report runs: compute the detail once, count from it
+        detail = materialize(detail)
     counts = patient_counts(t, ctx, lines, cp)
     clin = maybe_broadcast(b.clinics(t).select("h_id", "account_number", "location_number", "clinic_name", "state"))
     n = detail.groupBy("h_id").agg(F.count(F.lit(1)).alias("_n"))

@@ -149,7 +149,7 @@ def control_clients(t: Tables, ctx: RunContext, lines: DataFrame | None = None)
 
 
 # ----------------------------------------------------------- CT27-CT29
-def control_file(t: Tables, ctx: RunContext, lines: DataFrame | None = None) -> DataFrame:
+def control_file(t: Tables, ctx: RunContext, lines: DataFrame | None = None, materialize=None) -> DataFrame:
     """Detail row per client (product-set and service metrics fused into
     one aggregation pass), excluded regions (a NULL state is dropped too),
     placeholder names and clients without a first visit removed; one
@@ -230,6 +230,8 @@ def control_file(t: Tables, ctx: RunContext, lines: DataFrame | None = None) ->
              ("dollar_prev_purch", "dollar_oravet_purch", "dollar_dental_hyg_purch")]
     cols += [F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in ("prev_pills", "doses_oravet_purch", "doses_dental_hyg_purch")]
     detail = r.select(*cols)
+    if materialize is not None:  # report runs: compute the detail once, count from it
+        detail = materialize(detail)
     n = detail.groupBy("h_id").agg(F.count(F.lit(1)).alias("_n"))
     clin = maybe_broadcast(b.clinics(t).select("h_id", "account_number", "location_number", "clinic_name"))
     heads = clin.join(n, "h_id").select(

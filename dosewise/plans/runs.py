@@ -74,12 +74,12 @@ def consumer_tables(t: Tables, ctx: RunContext) -> dict[str, DataFrame]:
     # it once instead of re-joining lineitem for each
     cp = shared(consumer.consumer_patients(t, ctx))
     lines = shared(consumer.consumer_lines(t, ctx, cp))
-    return {"consumer_report": consumer.consumer_file(t, ctx, cp, lines)}
+    return {"consumer_report": consumer.consumer_file(t, ctx, cp, lines, materialize=shared)}
 
 
 def control_tables(t: Tables, ctx: RunContext) -> dict[str, DataFrame]:
     lines = shared(control.control_lines(t, ctx))
-    return {"control_report": control.control_file(t, ctx, lines)}
+    return {"control_report": control.control_file(t, ctx, lines, materialize=shared)}
 
 
 def last_dose_tables(t: Tables, ctx: RunContext) -> dict[str, DataFrame]:
