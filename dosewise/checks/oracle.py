@@ -2060,3 +2060,23 @@ WHERE NOT EXISTS (SELECT 1 FROM products x WHERE x.service_id = l.service_id
   AND {inc} AND NOT {exc}
 UNION
 SELECT service_id FROM wellness""")
+
+
+def newly_inactive_merged(ctx: RunContext) -> str:
+    prev_ctx = ctx.with_(end_date=ctx.end_date.replace(year=ctx.end_date.year - 1),
+                         as_of=ctx.as_of.replace(year=ctx.as_of.year - 1))
+    def body(c):
+        s = newly_inactive(c)
+        i = s.index("SELECT b.h_id, c.location_number")
+        return s[:i], s[i:]
+    pc, pb = body(prev_ctx)
+    cc, cb = body(ctx)
+    # two independent WITH blocks: inline each as a subquery
+    prev_sql = pc + pb
+    cur_sql = cc + cb
+    return f"""SELECT coalesce(p.h_id, c.h_id) AS h_id, coalesce(p.client_id, c.client_id) AS client_id,
+  CAST(coalesce(p.location_number, c.location_number) AS BIGINT) AS location_number,
+  CAST(coalesce(p.report_year, c.report_year) AS BIGINT) AS report_year,
+  CASE WHEN p.client_id IS NULL THEN {d(ctx.as_of)} ELSE {d(prev_ctx.as_of)} END AS last_update,
+  CASE WHEN p.client_id IS NULL THEN 'insert' ELSE 'keep' END AS action
+FROM ({prev_sql}) p FULL OUTER JOIN ({cur_sql}) c ON p.h_id = c.h_id AND p.client_id = c.client_id"""

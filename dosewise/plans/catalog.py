@@ -261,3 +261,6 @@ register("control_dental_hygiene", O.control_dental_hygiene(CTX))(
 
 register("legacy_wellness_services", O.legacy_wellness_services(CTX))(
     lambda spark, sf_dir: accounts.legacy_wellness_services(_t(spark, sf_dir), CTX))
+
+register("last_dose_nic_merged", O.newly_inactive_merged(CTX))(
+    lambda spark, sf_dir: last_dose.newly_inactive_merged(_t(spark, sf_dir), CTX))

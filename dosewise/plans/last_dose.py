@@ -267,3 +267,21 @@ def newly_inactive_file(t: Tables, ctx: RunContext) -> DataFrame:
 def last_dose_clients_split(t: Tables, ctx: RunContext) -> DataFrame:
     """LD3: the split-location variant of the last-dose client list."""
     return last_dose_clients(t, ctx, split=b.split_clients(t))
+
+
+# ------------------------------------------------------------------ DM1
+def newly_inactive_merged(t: Tables, ctx: RunContext) -> DataFrame:
+    """NI1 as the reference stores it: the current lapsed clients merged
+    insert-only into the list kept from the previous year's run (rows
+    already present keep their original report year)."""
+    from ..operators.upsert import upsert
+
+    prev_ctx = ctx.with_(end_date=ctx.end_date.replace(year=ctx.end_date.year - 1),
+                         as_of=ctx.as_of.replace(year=ctx.as_of.year - 1))
+    prev = newly_inactive(t, prev_ctx).select(
+        "h_id", "client_id", "location_number", "report_year",
+        F.lit(prev_ctx.as_of).alias("last_update"))
+    cur = newly_inactive(t, ctx).select("h_id", "client_id", "location_number", "report_year")
+    out = upsert(prev, cur, ["h_id", "client_id"], ["location_number", "report_year"], ctx.as_of, mode="insert_only")
+    return out.select("h_id", "client_id", F.col("location_number").cast("long").alias("location_number"),
+                      F.col("report_year").cast("long").alias("report_year"), "last_update", "action")
