@@ -28,7 +28,7 @@ import itertools
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_map, cut
@@ -291,3 +291,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     by_fp = named.select("fp", "root").join(least, "root").select("fp", "component_id")
     return fp.join(by_fp, "fp").select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """docs without the documents that are near-duplicates of one kept: of
+    each component the row with the least doc_id stays, whole. Of rows with
+    the same doc_id the first by text stays; rows without a doc_id can't be
+    named as copies and stay."""
+    found = cut(near_duplicates(docs).select("doc_id", "component_id").where("doc_id IS NOT NULL"))
+    by_id = found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("first"), F.count("*").alias("times"))
+    gone = by_id.where(~F.col("first")).select(F.col("doc_id").alias("_gone"))
+    kept = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    twice = by_id.where(F.col("first") & (F.col("times") > 1)).select(F.col("doc_id").alias("_twice"))
+    if twice.isEmpty():
+        return kept
+    order = Window.partitionBy("_doc.doc_id").orderBy(*(F.col(f"_doc.`{c}`") for c in ("text", *(c for c in docs.columns if c not in ("doc_id", "text")))))
+    repeated = kept.join(twice, kept["doc_id"] == twice["_twice"], "left_semi").select(F.struct(*docs.columns).alias("_doc"))
+    repeated = repeated.withColumn("_n", F.row_number().over(order)).where("_n = 1").select("_doc.*")
+    return kept.join(twice, kept["doc_id"] == twice["_twice"], "left_anti").unionByName(repeated)
