@@ -153,8 +153,12 @@ def digest(found: DataFrame) -> DataFrame:
     """The contract's columns from ``find_personal_data``: counts, the hash of the base spans, all spans."""
     name = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
     base = F.filter("found", lambda s: s["kind"].isin(*BASE))
+
+    def count(kind: str):
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     return found.select(
-        "doc_id", *(F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE),
+        "doc_id", *map(count, BASE),
         F.sha2(F.concat_ws(",", F.transform(base, name)), 256).alias("base_sha256"),
         F.concat_ws(",", F.transform("found", name)).alias("spans"),
     )
