@@ -958,7 +958,7 @@ def consumer_nsaid_metrics(ctx: RunContext) -> str:
 
 def nsaid_metrics_sql(ctx: RunContext) -> str:
     w12, w24 = ctx.trailing(0), ctx.trailing(1)
-    p100 = sr("quantity", "dosage_volume", 2)
+    p9 = sr("quantity", "dosage_volume", 9)
     final = f"""SELECT client_id, max(invoice_date) AS last_prev_purch,
   count(CASE WHEN {_between('invoice_date', w12)} THEN invoice_date END) AS prev_purch_12,
   CAST(sum(CASE WHEN {_between('invoice_date', w12)} THEN cost END) AS DOUBLE) AS prev_rev_12,
@@ -968,8 +968,8 @@ def nsaid_metrics_sql(ctx: RunContext) -> str:
   CAST(sum(CASE WHEN {_between('invoice_date', w24)} THEN coalesce(quantity, 1) END) AS BIGINT) AS prev_doses_24,
   last(vi_species_id ORDER BY invoice_date, lineitem_id) AS prev_last_pet_species,
   count(DISTINCT CASE WHEN {_between('invoice_date', w12)} THEN patient_id END) AS prev_pats_12,
-  sum(CASE WHEN {_between('invoice_date', w12)} THEN coalesce({p100}, 100) END) / 100.0 AS prev_pills_12,
-  sum(CASE WHEN {_between('invoice_date', w24)} THEN coalesce({p100}, 100) END) / 100.0 AS prev_pills_24
+  {sr(f"sum(CASE WHEN {_between('invoice_date', w12)} THEN coalesce({p9}, 1000000000) END)", '1000000000', 2)} / 100.0 AS prev_pills_12,
+  {sr(f"sum(CASE WHEN {_between('invoice_date', w24)} THEN coalesce({p9}, 1000000000) END)", '1000000000', 2)} / 100.0 AS prev_pills_24
 FROM cons_nsaid GROUP BY client_id"""
     return final
 
@@ -1567,7 +1567,7 @@ def control_cte(ctx: RunContext) -> str:
     return f"""ctl AS (
   SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.patient_id, l.client_id, l.invoice_date,
     l.quantity_norm, l.quantity AS line_quantity, l.cost, p.h_id, p.vi_species_id, pr.product, pr.family_name, pr.type, pr.service_kind,
-    pr.product_info, c.start_date
+    pr.product_info, c.start_date, coalesce(p.is_active AND NOT p.is_deceased AND p.vi_species_id IN (3, 7), false) AS in_control
   FROM lines l JOIN patients p ON p.patient_id = l.patient_id
   LEFT JOIN products pr ON pr.service_id = l.service_id JOIN clinics c ON c.h_id = p.h_id
   WHERE NOT l.voided AND l.client_id IS NOT NULL AND l.invoice_date >= {d(lo)} AND l.invoice_date < {d(hi)})"""
@@ -1585,10 +1585,32 @@ CONTROL_TAG_SQL = {
 }
 
 
+def _last_product(base: str, tag: str, camp: str) -> str:
+    return f"""LEFT JOIN (SELECT client_id, arg_max(CASE WHEN {camp} THEN product ELSE '' END, row_no) AS p, nullif(p, '') AS prod
+    FROM (SELECT *, row_number() OVER (PARTITION BY client_id ORDER BY {LINE_ORDER}) AS row_no FROM ({base}) WHERE {CONTROL_TAG_SQL[tag]})
+    GROUP BY client_id) q_{tag} ON q_{tag}.client_id = c.client_id"""
+
+
+# written from the reference's stages: every one joins the control clients' patients, all but medication need a cost
+CONTROL_SERVICE_SQL = {
+    "pm": "in_control AND service_kind = 'nsaid'",
+    "dental": "in_control AND cost <> 0 AND service_kind = 'general' AND product_info = 'Surgery - dental'",
+    "surg": "in_control AND cost <> 0 AND service_kind = 'general' AND product_info LIKE 'Surgery%' AND product_info <> 'Surgery - dental'",
+    "vacc": "in_control AND cost <> 0 AND service_kind = 'vaccine'",
+    "board": "in_control AND cost <> 0 AND service_kind = 'general' AND lower(product_info) = 'service - boarding'",
+    "groom": "in_control AND cost <> 0 AND service_kind = 'general' AND lower(product_info) = 'service - grooming'",
+    "other": """in_control AND cost <> 0
+      AND NOT coalesce(service_kind = 'general' AND (product_info LIKE 'Surgery%' OR lower(product_info) LIKE '%dental%'
+        OR lower(product_info) IN ('service - boarding', 'service - grooming')), false)
+      AND coalesce(service_kind, '') NOT IN ('diet', 'vaccine', 'nsaid')
+      AND NOT coalesce(type IS NOT NULL AND quantity_norm <> 0, false)""",
+}
+
+
 def control_product_metrics(ctx: RunContext) -> str:
     camp = f"invoice_date BETWEEN start_date AND {d(ctx.as_of - timedelta(days=1))}"
     w12, w24 = ctx.trailing(0), ctx.trailing(1)
-    base = "SELECT * FROM ctl WHERE type IS NOT NULL AND quantity_norm IS NOT NULL AND quantity_norm <> 0 AND vi_species_id IN (3, 7)"
+    base = "SELECT * FROM ctl WHERE in_control AND type IS NOT NULL AND quantity_norm IS NOT NULL AND quantity_norm <> 0"
     subs, cols = [], []
     for tag, pred in CONTROL_TAG_SQL.items():
         subs.append(f"""LEFT JOIN (
@@ -1611,6 +1633,9 @@ def control_product_metrics(ctx: RunContext) -> str:
     FROM ({base}) GROUP BY client_id) s_o ON s_o.client_id = c.client_id"""
     cols += [f"CAST(s_o.{x} AS BIGINT) AS {x}" for x in
              ("int_doses_12", "int_doses_24", "int_doses_camp", "trif_doses", "rev_doses", "adv_doses")]
+    for tag in ("comp_hg", "comp_fl"):
+        cols.append(f"q_{tag}.prod AS {tag}_prod")
+        subs.append(_last_product(base, tag, camp))
     final = (f"SELECT c.client_id, {', '.join(cols)}\nFROM (SELECT DISTINCT client_id FROM ({base})) c\n"
              + "\n".join(subs) + "\n" + other)
     return with_ctes(control_cte(ctx), final=final)
@@ -1619,15 +1644,7 @@ def control_product_metrics(ctx: RunContext) -> str:
 def control_service_metrics(ctx: RunContext) -> str:
     end = ctx.end_date
     camp = f"invoice_date BETWEEN start_date AND {d(ctx.as_of - timedelta(days=1))}"
-    tags = {
-        "pm": "service_kind = 'nsaid'",
-        "dental": "service_kind = 'general' AND product_info = 'Surgery - dental'",
-        "surg": "service_kind = 'general' AND product_info LIKE 'Surgery%' AND product_info <> 'Surgery - dental'",
-        "vacc": "service_kind = 'vaccine'",
-        "board": "service_kind = 'general' AND lower(product_info) = 'service - boarding'",
-        "groom": "service_kind = 'general' AND lower(product_info) = 'service - grooming'",
-        "other": "NOT coalesce(service_kind IN ('general', 'diet', 'fth', 'nsaid', 'vaccine'), false)",
-    }
+    tags = CONTROL_SERVICE_SQL
     subs, cols = [], []
     for tag, pred in tags.items():
         subs.append(f"""LEFT JOIN (SELECT client_id, count(CASE WHEN {camp} THEN 1 END) AS n, max(invoice_date) AS last,
@@ -1688,12 +1705,12 @@ def control_nsaid(ctx: RunContext) -> str:
 def control_nsaid_sql(ctx: RunContext, per_client: bool = False) -> str:
     lo, hi = ctx.months_window(-23, 0)
     camp = f"s.invoice_date BETWEEN c.start_date AND {d(ctx.as_of - timedelta(days=1))}"
-    p100 = sr("s.quantity", "s.dosage_volume", 2)
+    p9 = sr("s.quantity", "s.dosage_volume", 9)
     keys = "s.client_id" if per_client else "p.h_id, s.client_id"
     return f"""SELECT {keys},
   count(CASE WHEN {camp} THEN s.lineitem_id END) AS num_prev_purch, max(s.invoice_date) AS last_prev_purch,
   CAST(coalesce(sum(CASE WHEN {camp} THEN s.cost END), 0) AS DOUBLE) AS dollar_prev_purch,
-  coalesce(sum(CASE WHEN {camp} THEN {p100} END), 0) / 100.0 AS prev_pills,
+  coalesce({sr(f'sum(CASE WHEN {camp} THEN {p9} END)', '1000000000', 2)}, 0) / 100.0 AS prev_pills,
   count(DISTINCT CASE WHEN {camp} AND p.vi_species_id = 3 THEN s.patient_id END) AS num_dogs
 FROM nsaid_sales s JOIN patients p ON p.patient_id = s.patient_id JOIN clinics c ON c.h_id = p.h_id
 WHERE s.product = 'Previcox' AND NOT s.voided AND s.cost <> 0 AND s.quantity IS NOT NULL AND s.quantity <> 0
@@ -1723,7 +1740,7 @@ def control_dental_hygiene_sql(ctx: RunContext, per_client: bool = False) -> str
 FROM (SELECT x.h_id, x.client_id, x.invoice_date, x.cost, {grp} AS grp, {camp} AS camp, {_doses_sql()} AS doses
       FROM (SELECT ctl.*, CAST(ctl.line_quantity AS BIGINT) AS quantity, pk.package_quantity, pk.pkg_size, pk.pkg_volume
             FROM ctl JOIN ({_pkg_sql('product_info IS NOT NULL')}) pk ON pk.service_id = ctl.l_partkey
-            WHERE ctl.cost <> 0 AND ctl.product_info IN ({infos})) x)
+            WHERE ctl.in_control AND ctl.cost <> 0 AND ctl.product_info IN ({infos})) x)
 GROUP BY {keys}"""
 
 
@@ -1955,15 +1972,17 @@ def control_file(ctx: RunContext) -> str:
     trim({_strip("lpad(substr(CASE WHEN regexp_matches(c.postal_code, '[^0-9]') THEN nullif(regexp_replace(c.postal_code, '[^0-9]', '', 'g'), '') ELSE c.postal_code END, 1, 9), 30, ' ')", RE_CNTRL)}) AS postal_code,
     {_strip("substr(CASE WHEN regexp_matches(c.phone1, '[^0-9]') THEN nullif(regexp_replace(c.phone1, '[^0-9]', '', 'g'), '') ELSE c.phone1 END, 1, 10)", RE_CNTRL)} AS phone1,
     CASE WHEN regexp_matches(c.primary_email, {_q('(?i)^[A-Z0-9._%+-]+@[A-Z0-9.-]+[.][A-Z]{2,4}$')}) THEN c.primary_email END AS primary_email,
-    h.dogs_over_5, h.dogs_over_4, h.first_visit
+    h.dogs_over_5, h.dogs_over_4, h.canine_count, h.feline_count, h.first_visit
   FROM clients c
   JOIN (SELECT p.client_id, max(CASE WHEN {mb} > 60 AND p.vi_species_id = 3 THEN 1 ELSE 0 END) AS dogs_over_5,
           CAST(sum(CASE WHEN {mb} > 48 AND p.vi_species_id = 3 THEN 1 ELSE 0 END) AS BIGINT) AS dogs_over_4,
+          count(DISTINCT CASE WHEN p.vi_species_id = 3 THEN p.patient_id END) AS canine_count,
+          count(DISTINCT CASE WHEN p.vi_species_id = 7 THEN p.patient_id END) AS feline_count,
           min(a.first_active) AS first_visit
         FROM patients p JOIN activity a ON a.patient_id = p.patient_id
         WHERE p.is_active AND NOT p.is_deceased AND p.vi_species_id IN (3, 7) GROUP BY p.client_id) h ON h.client_id = c.client_id
   WHERE EXISTS (SELECT 1 FROM ctl WHERE ctl.h_id = c.h_id AND ctl.client_id = c.client_id))"""
-    base = "SELECT * FROM ctl WHERE type IS NOT NULL AND quantity_norm IS NOT NULL AND quantity_norm <> 0 AND vi_species_id IN (3, 7)"
+    base = "SELECT * FROM ctl WHERE in_control AND type IS NOT NULL AND quantity_norm IS NOT NULL AND quantity_norm <> 0"
     subs, cols = [], []
     for tag, pred in CONTROL_TAG_SQL.items():
         subs.append(f"""LEFT JOIN (SELECT client_id, max(invoice_date) AS last_p,
@@ -1972,20 +1991,18 @@ def control_file(ctx: RunContext) -> str:
       last(vi_species_id ORDER BY {LINE_ORDER}) AS sp
     FROM ({base}) WHERE {pred} GROUP BY client_id) p_{tag} ON p_{tag}.client_id = c.client_id""")
         cols += [f"{_mdy(f'p_{tag}.last_p')} AS last_{tag}_purch", f"coalesce(p_{tag}.n, 0) AS {tag}_purch_camp",
-                 f"{_money(f'p_{tag}.rev')} AS {tag}_rev_camp", f"CAST(coalesce(p_{tag}.doses, 0) AS BIGINT) AS {tag}_doses_camp",
+                 f"{_money(f'p_{tag}.rev')} AS {tag}_rev_camp", f"CAST(greatest(coalesce(p_{tag}.doses, 0), 0) AS BIGINT) AS {tag}_doses_camp",
                  f"p_{tag}.sp AS {tag}_last_pet_species"]
-    svc = {
-        "pm": "service_kind = 'nsaid'", "dental": "service_kind = 'general' AND product_info = 'Surgery - dental'",
-        "surg": "service_kind = 'general' AND product_info LIKE 'Surgery%' AND product_info <> 'Surgery - dental'",
-        "vacc": "service_kind = 'vaccine'", "board": "service_kind = 'general' AND lower(product_info) = 'service - boarding'",
-        "groom": "service_kind = 'general' AND lower(product_info) = 'service - grooming'",
-    }
-    for tag, pred in svc.items():
+    for tag, pred in CONTROL_SERVICE_SQL.items():
+        out = "unk" if tag == "other" else tag
         subs.append(f"""LEFT JOIN (SELECT client_id, count(CASE WHEN {camp} THEN 1 END) AS n, max(invoice_date) AS last,
       sum(CASE WHEN {camp} THEN cost ELSE 0 END) AS dollars FROM ctl WHERE {pred} GROUP BY client_id) s_{tag}
     ON s_{tag}.client_id = c.client_id""")
-        cols += [f"coalesce(s_{tag}.n, 0) AS num_{tag}_purch", f"{_mdy(f's_{tag}.last')} AS last_{tag}_purch",
-                 f"{_money(f's_{tag}.dollars')} AS dollar_{tag}_purch"]
+        cols += [f"coalesce(s_{tag}.n, 0) AS num_{out}_purch", f"{_mdy(f's_{tag}.last')} AS last_{out}_purch",
+                 f"{_money(f's_{tag}.dollars')} AS dollar_{out}_purch"]
+    for tag in ("comp_hg", "comp_fl"):
+        cols.append(f"q_{tag}.prod AS {tag}_prod")
+        subs.append(_last_product(base, tag, camp))
     w12, w24 = ctx.trailing(0), ctx.trailing(1)
     camp2 = f"invoice_date BETWEEN start_date AND {d(ctx.as_of - timedelta(days=1))}"
     subs.append(f"""LEFT JOIN (SELECT client_id,
@@ -2000,7 +2017,7 @@ def control_file(ctx: RunContext) -> str:
     FROM ctl GROUP BY client_id) nv ON nv.client_id = c.client_id""")
     subs.append(f"LEFT JOIN ({control_nsaid_sql(ctx, per_client=True)}) pv ON pv.client_id = c.client_id")
     subs.append(f"LEFT JOIN ({control_dental_hygiene_sql(ctx, per_client=True)}) hy ON hy.client_id = c.client_id")
-    cols += [f"CAST(coalesce(ox.{x}, 0) AS BIGINT) AS {x}" for x in
+    cols += [f"CAST(greatest(coalesce(ox.{x}, 0), 0) AS BIGINT) AS {x}" for x in
              ("int_doses_12", "int_doses_24", "int_doses_camp", "trif_doses", "rev_doses", "adv_doses")]
     cols += ["CAST(coalesce(nv.num_visits, 0) AS BIGINT) AS num_visits"]
     cols += [f"CAST(coalesce(pv.{x}, 0) AS BIGINT) AS {x}" for x in ("num_prev_purch", "num_dogs")]
@@ -2009,12 +2026,12 @@ def control_file(ctx: RunContext) -> str:
              f"{_mdy('hy.last_dental_hyg_purch')} AS last_dental_hyg_purch"]
     cols += [f"{_money('pv.dollar_prev_purch')} AS dollar_prev_purch", f"{_money('hy.dollar_oravet_purch')} AS dollar_oravet_purch",
              f"{_money('hy.dollar_dental_hyg_purch')} AS dollar_dental_hyg_purch"]
-    cols += [f"CAST(coalesce(pv.prev_pills, 0) AS DOUBLE) AS prev_pills",
-             f"CAST(coalesce(hy.doses_oravet_purch, 0) AS DOUBLE) AS doses_oravet_purch",
-             f"CAST(coalesce(hy.doses_dental_hyg_purch, 0) AS DOUBLE) AS doses_dental_hyg_purch"]
+    cols += [f"CAST(greatest(coalesce(pv.prev_pills, 0), 0) AS DOUBLE) AS prev_pills",
+             f"CAST(greatest(coalesce(hy.doses_oravet_purch, 0), 0) AS DOUBLE) AS doses_oravet_purch",
+             f"CAST(greatest(coalesce(hy.doses_dental_hyg_purch, 0), 0) AS DOUBLE) AS doses_dental_hyg_purch"]
     detail = f"""SELECT '1DT' AS record_type, c.client_id, c.h_id, c.first_name, c.last_name, c.prefix, c.address1, c.address2,
   c.city, c.state, c.postal_code, c.phone1, c.primary_email, c.dogs_over_5, c.dogs_over_4,
-  {_mdy('c.first_visit')} AS first_visit, {_mdy('la.last_active')} AS last_active, {', '.join(cols)}
+  c.canine_count, c.feline_count, {_mdy('c.first_visit')} AS first_visit, {_mdy('la.last_active')} AS last_active, {', '.join(cols)}
 FROM ccli c LEFT JOIN (SELECT client_id, max(invoice_date) AS last_active FROM ctl GROUP BY client_id) la ON la.client_id = c.client_id
 {chr(10).join(subs)}
 WHERE c.state NOT IN ('AB','BC','MB','NB','NL','NT','NS','NU','ON','PE','QC','SK','YT','PR')

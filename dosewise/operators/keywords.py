@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 INCLUDE_TERMS = [
     "adenovirus", "dpv", "hcpp", "lvk", "cvk", "dapp", "da2", "felv", "dhp", "dhl", "fvr", "fip ",
     "fiv", "fcv", "nobivac", "duramune", "galaxy", "fevaxyn", "felocell", "continuum", "fel-o-vax",
-    "felovax", "solo-jec", "solojec", "progard", "rabdomun", "eclipse", "univac", "vanguard",
+    "felovax", "solo-jec", "solojec", "progard", "rabdomun", "imrab", "eclipse", "univac", "vanguard",
     "recombitek", "calicivirus ", "chlamydiosis ", "coronavirus ", "distemper", "distemper combos",
     "feline immunodeficiency virus", "feline infectious peritonitis(fip)", "feline viral rhinotracheitis ",
     "hepatitis", "leptospirosis ", "leukemia", "lyme", "panleukopenia(feline distemper)", "parainfluenza ",
@@ -36,7 +36,7 @@ EXCLUDE_TERMS = [
     "bite release", "blood", "c6 lyme", "catheter", "cert", "cet", "chem", "cite", "consult", "crem",
     "d/d", "decline", "dehorn", "diagnostic", "dip", "drip", "duplicate", "dyp", "euth", "export", "favn",
     "five", "fluid", "gland", "head removal", "Health Care Plan", "Health Check Plus", "Health Chek Plus",
-    "healthcare", "HealthChek Plus", "hills", "hosp", "hydro", "hypo", "idx", "ifa", "igg", "in house",
+    "healthcare", "HealthChek Plus", "hills", "hill's", "hosp", "hydro", "hypo", "idx", "ifa", "igg", "in house",
     "inhouse", "In-House", "ivet", "lab", "Lyme C6", "Multiplex", "observ", "overhead", "polymend",
     "polymer", "pseudo", "purina", "quant", "rabies bite", "renal", "sedat", "send out", "snap", "soap",
     "solva", "sonic", "specimen", "spray", "suture", "treatment", "urine", "venison", "western",

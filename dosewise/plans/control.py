@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..context import RunContext, add_months
@@ -25,16 +25,19 @@ LINE_ID = b.LINE_KEY
 def control_lines(t: Tables, ctx: RunContext) -> DataFrame:
     """Unvoided lines with a client, calendar months [end-24, end] and
     [as_of-24m, as_of); patient species, product attributes and the
-    clinic's campaign start attached."""
+    clinic's campaign start attached. ``in_control`` marks the lines of the
+    control clients' patients (active, living dogs and cats): every stage but
+    the activity dates and visits (CT2, CT3) counts those only."""
     end, as_of = ctx.end_date, ctx.as_of
     lo = max(add_months(end, -24), add_months(as_of, -24))
     hi = min(add_months(end, 1), as_of)
-    pats = b.patients(t).select("patient_id", "h_id", "vi_species_id")
+    ours = F.col("is_active") & ~F.col("is_deceased") & F.col("vi_species_id").isin(3, 7)
+    pats = b.patients(t).select("patient_id", "h_id", "vi_species_id", F.coalesce(ours, F.lit(False)).alias("in_control"))
     prod = maybe_broadcast(b.products(t).select("service_id", "product", "family_name", "type", "service_kind", "product_info"))
     clin = maybe_broadcast(b.clinics(t).select("h_id", "start_date"))
     return (
         b.lines(t, lo, hi, pats).where(~F.col("voided") & F.col("client_id").isNotNull())
-        .select(*LINE_ID, "patient_id", "client_id", "h_id", "vi_species_id", "invoice_date", "service_id",
+        .select(*LINE_ID, "patient_id", "client_id", "h_id", "vi_species_id", "in_control", "invoice_date", "service_id",
                 "quantity", "quantity_norm", "cost")
         .join(prod, "service_id", "left").join(clin, "h_id")
     )
@@ -54,27 +57,69 @@ def control_tags() -> dict:
     }
 
 
+def is_purchase() -> Column:
+    """A flea, tick or heartworm purchase of a control client's patient."""
+    q = F.col("quantity_norm")
+    return F.col("in_control") & F.col("type").isNotNull() & q.isNotNull() & (q != 0)
+
+
+def product_extras(ctx: RunContext, camp) -> list:
+    """Interceptor doses (12 m, 24 m, campaign), three families' campaign
+    doses, and the last competitor product (none if bought before the start)."""
+    q, d, fam, ok = F.col("quantity_norm"), F.col("invoice_date"), F.col("family_name"), is_purchase()
+    inter = F.col("product").startswith("Interceptor")
+    doses = {
+        "int_doses_12": inter & tm.in_window(d, ctx.trailing(0)), "int_doses_24": inter & tm.in_window(d, ctx.trailing(1)),
+        "int_doses_camp": inter & tm.in_window(d, camp), "trif_doses": (fam == "Trifexis") & tm.in_window(d, camp),
+        "rev_doses": (fam == "Revolution") & tm.in_window(d, camp), "adv_doses": (fam == "Advantage Multi") & tm.in_window(d, camp),
+    }
+    order = F.struct(d, *(F.col(c) for c in LINE_ID))
+    return [F.sum(F.when(ok & hit, q).otherwise(0)).alias(name) for name, hit in doses.items()] + [
+        F.max_by(F.when(tm.in_window(d, camp), F.col("product")), F.when(ok & control_tags()[tag], order)).alias(f"{tag}_prod")
+        for tag in ("comp_hg", "comp_fl")]
+
+
+def service_tags() -> dict:
+    """Categories of the control patients' lines; all but medication skip
+    lines without cost. ``other`` is what is in none of the named general
+    services, diets, flea/tick/heartworm purchases, medications and vaccines."""
+    info, kind, low = F.col("product_info"), F.col("service_kind"), F.lower(F.col("product_info"))
+    paid, general = F.col("in_control") & (F.col("cost") != 0), kind == "general"
+    named = general & (info.like("Surgery%") | low.like("%dental%") | low.isin("service - boarding", "service - grooming"))
+    return {
+        "pm": F.col("in_control") & (kind == "nsaid"),
+        "dental": paid & general & (info == "Surgery - dental"),
+        "surg": paid & general & info.like("Surgery%") & (info != "Surgery - dental"),
+        "vacc": paid & (kind == "vaccine"),
+        "board": paid & general & (low == "service - boarding"),
+        "groom": paid & general & (low == "service - grooming"),
+        "other": paid & ~F.coalesce(named, F.lit(False)) & ~F.coalesce(kind.isin("diet", "nsaid", "vaccine"), F.lit(False))
+        & ~F.coalesce(is_purchase(), F.lit(False)),
+    }
+
+
+def service_aggs(camp) -> list:
+    """Per category: purchases and spend since the campaign start, last purchase."""
+    d, aggs = F.col("invoice_date"), []
+    for tag, pred in service_tags().items():
+        hit = pred & tm.in_window(d, camp)
+        aggs += [
+            F.count(F.when(hit, F.lit(1))).alias(f"num_{tag}_purch"),
+            F.max(F.when(pred, d)).alias(f"last_{tag}_purch"),
+            F.coalesce(F.sum(F.when(hit, F.col("cost"))), F.lit(0)).cast("double").alias(f"dollar_{tag}_purch"),
+        ]
+    return aggs
+
+
 def control_product_metrics(t: Tables, ctx: RunContext) -> DataFrame:
     """Per client and product set: last purchase; purchases, revenue and
     doses since the campaign start; pet species at the last purchase.
     Plus Interceptor doses (12 m, 24 m, campaign) and three named
     families' doses since the start (CT8-CT17)."""
-    x = control_lines(t, ctx).where(
-        F.col("type").isNotNull() & F.col("quantity_norm").isNotNull() & (F.col("quantity_norm") != 0)
-        & F.col("vi_species_id").isin(3, 7))
+    x = control_lines(t, ctx).where(is_purchase())
     camp = (F.col("start_date"), F.lit(ctx.as_of - timedelta(days=1)))
     q = F.col("quantity_norm")
-    d = F.col("invoice_date")
-    w12, w24 = ctx.trailing(0), ctx.trailing(1)
-    fam = F.col("family_name")
-    extra = [
-        F.sum(F.when(F.col("product").startswith("Interceptor") & tm.in_window(d, w12), q).otherwise(0)).alias("int_doses_12"),
-        F.sum(F.when(F.col("product").startswith("Interceptor") & tm.in_window(d, w24), q).otherwise(0)).alias("int_doses_24"),
-        F.sum(F.when(F.col("product").startswith("Interceptor") & tm.in_window(d, camp), q).otherwise(0)).alias("int_doses_camp"),
-        F.sum(F.when((fam == "Trifexis") & tm.in_window(d, camp), q).otherwise(0)).alias("trif_doses"),
-        F.sum(F.when((fam == "Revolution") & tm.in_window(d, camp), q).otherwise(0)).alias("rev_doses"),
-        F.sum(F.when((fam == "Advantage Multi") & tm.in_window(d, camp), q).otherwise(0)).alias("adv_doses"),
-    ]
+    extra = product_extras(ctx, camp)
     out = tm.tagged_metrics(
         x, ["client_id"], control_tags(), {"camp": camp}, revenue=F.col("cost"), doses=q,
         last_value=F.col("vi_species_id"), order_key=[F.col(c) for c in LINE_ID], extra=extra,
@@ -85,31 +130,13 @@ def control_product_metrics(t: Tables, ctx: RunContext) -> DataFrame:
 def control_service_metrics(t: Tables, ctx: RunContext) -> DataFrame:
     """Per client: purchases and spend since the campaign start and the
     last purchase, for medication, dental, surgery, vaccine, boarding,
-    grooming and uncategorised lines (diet counts as categorised here);
+    grooming and uncategorised lines;
     visits in the last 12 months; first and last activity (CT2, CT3,
     CT18-CT26)."""
     x = control_lines(t, ctx)
     end = ctx.end_date
     d = F.col("invoice_date")
-    info, kind = F.col("product_info"), F.col("service_kind")
-    camp = (F.col("start_date"), F.lit(ctx.as_of - timedelta(days=1)))
-    tags = {
-        "pm": kind == "nsaid",
-        "dental": (kind == "general") & (info == "Surgery - dental"),
-        "surg": (kind == "general") & info.like("Surgery%") & (info != "Surgery - dental"),
-        "vacc": kind == "vaccine",
-        "board": (kind == "general") & (F.lower(info) == "service - boarding"),
-        "groom": (kind == "general") & (F.lower(info) == "service - grooming"),
-        "other": ~F.coalesce(kind.isin("general", "diet", "fth", "nsaid", "vaccine"), F.lit(False)),
-    }
-    aggs = []
-    for tag, pred in tags.items():
-        hit = pred & tm.in_window(d, camp)
-        aggs += [
-            F.count(F.when(hit, F.lit(1))).alias(f"num_{tag}_purch"),
-            F.max(F.when(pred, d)).alias(f"last_{tag}_purch"),
-            F.coalesce(F.sum(F.when(hit, F.col("cost"))), F.lit(0)).cast("double").alias(f"dollar_{tag}_purch"),
-        ]
+    aggs = service_aggs((F.col("start_date"), F.lit(ctx.as_of - timedelta(days=1))))
     aggs += [
         F.countDistinct(F.when(d.between(F.lit(add_months(end, -12)), F.lit(end)), d)).alias("num_visits"),
         F.max(d).alias("last_active"), F.min(d).alias("first_active"),
@@ -133,6 +160,8 @@ def control_clients(t: Tables, ctx: RunContext, lines: DataFrame | None = None)
     hh = pats.groupBy("client_id").agg(
         F.max(F.when((months > 60) & dog, 1).otherwise(0)).alias("dogs_over_5"),
         F.sum(F.when((months > 48) & dog, 1).otherwise(0)).cast("long").alias("dogs_over_4"),
+        F.sum(F.when(dog, 1).otherwise(0)).cast("long").alias("canine_count"),
+        F.sum(F.when(F.col("vi_species_id") == 7, 1).otherwise(0)).cast("long").alias("feline_count"),
         F.min("first_active").alias("first_visit"))
     c = b.clients(t).join(temp, ["h_id", "client_id"], "left_semi").join(hh, "client_id")
     return c.select(
@@ -145,10 +174,15 @@ def control_clients(t: Tables, ctx: RunContext, lines: DataFrame | None = None)
         cl.clean_control(F.col("city")).alias("city"), cl.clean_control(F.col("state")).alias("state"),
         F.trim(cl.clean_zip(F.col("postal_code"))).alias("postal_code"), cl.clean_phone(F.col("phone1")).alias("phone1"),
         cl.valid_email(F.col("primary_email")).alias("primary_email"),
-        "dogs_over_5", "dogs_over_4", "first_visit")
+        "dogs_over_5", "dogs_over_4", "canine_count", "feline_count", "first_visit")
 
 
 # ----------------------------------------------------------- CT27-CT29
+def at_least_0(name: str) -> Column:
+    """Doses of the file: returns may make a sum negative, which is shown as 0."""
+    return F.greatest(F.coalesce(F.col(name), F.lit(0)), F.lit(0))
+
+
 def control_file(t: Tables, ctx: RunContext, lines: DataFrame | None = None, materialize=None) -> DataFrame:
     """Detail row per client (product-set and service metrics fused into
     one aggregation pass), excluded regions (a NULL state is dropped too),
@@ -159,35 +193,15 @@ def control_file(t: Tables, ctx: RunContext, lines: DataFrame | None = None, mat
 
     x = lines if lines is not None else control_lines(t, ctx)
     cli = control_clients(t, ctx, x)
-    ok = F.col("type").isNotNull() & F.col("quantity_norm").isNotNull() & (F.col("quantity_norm") != 0) & F.col("vi_species_id").isin(3, 7)
+    ok = is_purchase()
     camp = (F.col("start_date"), F.lit(ctx.as_of - timedelta(days=1)))
     q = F.col("quantity_norm")
     prod = tm.tagged_aggs({k: ok & v for k, v in control_tags().items()}, {"camp": camp}, revenue=F.col("cost"), doses=q,
                           last_value=F.col("vi_species_id"), order_key=[F.col(c) for c in LINE_ID])
     d = F.col("invoice_date")
-    w12, w24 = ctx.trailing(0), ctx.trailing(1)
-    inter, fam = F.col("product").startswith("Interceptor"), F.col("family_name")
-    extra = [
-        F.sum(F.when(ok & inter & tm.in_window(d, w12), q).otherwise(0)).alias("int_doses_12"),
-        F.sum(F.when(ok & inter & tm.in_window(d, w24), q).otherwise(0)).alias("int_doses_24"),
-        F.sum(F.when(ok & inter & tm.in_window(d, camp), q).otherwise(0)).alias("int_doses_camp"),
-        F.sum(F.when(ok & (fam == "Trifexis") & tm.in_window(d, camp), q).otherwise(0)).alias("trif_doses"),
-        F.sum(F.when(ok & (fam == "Revolution") & tm.in_window(d, camp), q).otherwise(0)).alias("rev_doses"),
-        F.sum(F.when(ok & (fam == "Advantage Multi") & tm.in_window(d, camp), q).otherwise(0)).alias("adv_doses"),
-        F.countDistinct(F.when(d.between(F.lit(add_months(ctx.end_date, -12)), F.lit(ctx.end_date)), d)).alias("num_visits"),
-    ]
-    info, kind = F.col("product_info"), F.col("service_kind")
-    svc_tags = {
-        "pm": kind == "nsaid", "dental": (kind == "general") & (info == "Surgery - dental"),
-        "surg": (kind == "general") & info.like("Surgery%") & (info != "Surgery - dental"), "vacc": kind == "vaccine",
-        "board": (kind == "general") & (F.lower(info) == "service - boarding"),
-        "groom": (kind == "general") & (F.lower(info) == "service - grooming"),
-    }
-    svc = []
-    for tag, pred in svc_tags.items():
-        hit = pred & tm.in_window(d, camp)
-        svc += [F.count(F.when(hit, F.lit(1))).alias(f"num_{tag}_purch"), F.max(F.when(pred, d)).alias(f"last_{tag}_purch"),
-                F.coalesce(F.sum(F.when(hit, F.col("cost"))), F.lit(0)).alias(f"dollar_{tag}_purch")]
+    extra = product_extras(ctx, camp) + [
+        F.countDistinct(F.when(d.between(F.lit(add_months(ctx.end_date, -12)), F.lit(ctx.end_date)), d)).alias("num_visits")]
+    svc = service_aggs(camp)
     # dental hygiene (CT21) in the same pass: matrix doses on the line frame
     from ..operators.matrix import dental_doses
     from .calllist import dental_matrix, package_fields
@@ -197,7 +211,7 @@ def control_file(t: Tables, ctx: RunContext, lines: DataFrame | None = None, mat
     xd = dental_doses(xd.withColumn("qty_raw", F.col("quantity").cast("long")), dental_matrix(t.spark), qty="qty_raw")
     hyg = []
     for name, g in (("oravet", "Oravet"), ("dental_hyg", "Competitive")):
-        is_g = (grp == g) & (F.col("cost") != 0)
+        is_g = F.col("in_control") & (grp == g) & (F.col("cost") != 0)
         hyg += [F.max(F.when(is_g, d)).alias(f"last_{name}_purch"),
                 F.count(F.when(is_g & tm.in_window(d, camp), F.lit(1))).alias(f"num_{name}_purch"),
                 F.coalesce(F.sum(F.when(is_g & tm.in_window(d, camp), F.col("cost"))), F.lit(0)).cast("double").alias(f"dollar_{name}_purch"),
@@ -211,24 +225,27 @@ def control_file(t: Tables, ctx: RunContext, lines: DataFrame | None = None, mat
         & F.col("first_visit").isNotNull())
     cols = [F.lit("1DT").alias("record_type"), "client_id", "h_id", "first_name", "last_name", "prefix", "address1",
             "address2", "city", "state", "postal_code", "phone1", "primary_email", "dogs_over_5", "dogs_over_4",
-            mdy("first_visit").alias("first_visit"), mdy("last_active").alias("last_active")]
+            "canine_count", "feline_count", mdy("first_visit").alias("first_visit"), mdy("last_active").alias("last_active")]
     for tag in control_tags():
         cols += [mdy(f"last_{tag}_purch").alias(f"last_{tag}_purch"),
                  F.coalesce(F.col(f"{tag}_purch_camp"), F.lit(0)).alias(f"{tag}_purch_camp"),
                  money_text(F.coalesce(F.col(f"{tag}_rev_camp"), F.lit(0))).alias(f"{tag}_rev_camp"),
-                 F.coalesce(F.col(f"{tag}_doses_camp"), F.lit(0)).cast("long").alias(f"{tag}_doses_camp")]
+                 at_least_0(f"{tag}_doses_camp").cast("long").alias(f"{tag}_doses_camp")]
         cols.append(F.col(f"{tag}_last_pet_species"))
-    for tag in svc_tags:
-        cols += [F.coalesce(F.col(f"num_{tag}_purch"), F.lit(0)).alias(f"num_{tag}_purch"),
-                 mdy(f"last_{tag}_purch").alias(f"last_{tag}_purch"),
-                 money_text(F.coalesce(F.col(f"dollar_{tag}_purch"), F.lit(0))).alias(f"dollar_{tag}_purch")]
+    for tag in service_tags():
+        out = "unk" if tag == "other" else tag  # the file calls the uncategorised group "unknown"
+        cols += [F.coalesce(F.col(f"num_{tag}_purch"), F.lit(0)).alias(f"num_{out}_purch"),
+                 mdy(f"last_{tag}_purch").alias(f"last_{out}_purch"),
+                 money_text(F.coalesce(F.col(f"dollar_{tag}_purch").cast("decimal(28,4)"), F.lit(0))).alias(f"dollar_{out}_purch")]
+    cols += [at_least_0(c).cast("long").alias(c) for c in
+             ("int_doses_12", "int_doses_24", "int_doses_camp", "trif_doses", "rev_doses", "adv_doses")]
     cols += [F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in
-             ("int_doses_12", "int_doses_24", "int_doses_camp", "trif_doses", "rev_doses", "adv_doses", "num_visits",
-              "num_prev_purch", "num_dogs", "num_oravet_purch", "num_dental_hyg_purch")]
+             ("num_visits", "num_prev_purch", "num_dogs", "num_oravet_purch", "num_dental_hyg_purch")]
+    cols += ["comp_hg_prod", "comp_fl_prod"]
     cols += [mdy(c).alias(c) for c in ("last_prev_purch", "last_oravet_purch", "last_dental_hyg_purch")]
     cols += [money_text(F.coalesce(F.col(c), F.lit(0))).alias(c) for c in
              ("dollar_prev_purch", "dollar_oravet_purch", "dollar_dental_hyg_purch")]
-    cols += [F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in ("prev_pills", "doses_oravet_purch", "doses_dental_hyg_purch")]
+    cols += [at_least_0(c).cast("double").alias(c) for c in ("prev_pills", "doses_oravet_purch", "doses_dental_hyg_purch")]
     detail = r.select(*cols)
     if materialize is not None:  # report runs: compute the detail once, count from it
         detail = materialize(detail)
@@ -264,12 +281,12 @@ def control_nsaid(t: Tables, ctx: RunContext, keys: tuple = ("h_id", "client_id"
     camp = tm.in_window(F.col("invoice_date"), (F.col("start_date"), F.lit(ctx.as_of - timedelta(days=1))))
     from ..functions.semantics import scaled_round
 
-    pills100 = scaled_round(F.col("quantity"), F.col("dosage_volume"), 2)
+    pills = F.sum(F.when(camp, scaled_round(F.col("quantity"), F.col("dosage_volume"), 9)))
     return s.groupBy(*keys).agg(
         F.count(F.when(camp, F.col("lineitem_id"))).alias("num_prev_purch"),
         F.max("invoice_date").alias("last_prev_purch"),
         F.coalesce(F.sum(F.when(camp, F.col("cost"))), F.lit(0)).cast("double").alias("dollar_prev_purch"),
-        (F.coalesce(F.sum(F.when(camp, pills100)), F.lit(0)) / 100.0).alias("prev_pills"),
+        (F.coalesce(scaled_round(pills, F.lit(10**9), 2), F.lit(0)) / 100.0).alias("prev_pills"),
         F.countDistinct(F.when(camp & (F.col("vi_species_id") == 3), F.col("patient_id"))).alias("num_dogs"),
     )
 
@@ -287,7 +304,7 @@ def control_dental_hygiene(t: Tables, ctx: RunContext, keys: tuple = ("h_id", "c
     from .calllist import dental_matrix, package_fields
 
     x = (lines if lines is not None else control_lines(t, ctx)).where(
-        (F.col("cost") != 0) & F.col("product_info").isin(*DENTAL_HYG_GROUPS))
+        F.col("in_control") & (F.col("cost") != 0) & F.col("product_info").isin(*DENTAL_HYG_GROUPS))
     grp = b._map(F.col("product_info"), DENTAL_HYG_GROUPS)
     x = x.withColumn("product_group", grp).join(maybe_broadcast(package_fields(t).drop("product_info")), "service_id")
     x = dental_doses(x.withColumn("quantity", F.col("quantity").cast("long")), dental_matrix(t.spark))

@@ -65,11 +65,12 @@ def consumer_nsaid_metrics(t: Tables, ctx: RunContext, cp: DataFrame | None = No
     x = consumer_nsaid(t, ctx, cp=cp)
     w12, w24 = ctx.trailing(0), ctx.trailing(1)
     d = F.col("invoice_date")
-    pills100 = scaled_round(F.col("quantity"), F.col("dosage_volume"), 2)
+    # the exact ratios are summed (nine digits hold them) and rounded once, at the end
+    pills = F.coalesce(scaled_round(F.col("quantity"), F.col("dosage_volume"), 9), F.lit(10**9))
     extra = [
         F.countDistinct(F.when(tm.in_window(d, w12), F.col("patient_id"))).alias("prev_pats_12"),
-        (F.sum(F.when(tm.in_window(d, w12), F.coalesce(pills100, F.lit(100)))) / 100.0).alias("prev_pills_12"),
-        (F.sum(F.when(tm.in_window(d, w24), F.coalesce(pills100, F.lit(100)))) / 100.0).alias("prev_pills_24"),
+        (scaled_round(F.sum(F.when(tm.in_window(d, w12), pills)), F.lit(10**9), 2) / 100.0).alias("prev_pills_12"),
+        (scaled_round(F.sum(F.when(tm.in_window(d, w24), pills)), F.lit(10**9), 2) / 100.0).alias("prev_pills_24"),
     ]
     out = tm.tagged_metrics(
         x, ["client_id"], {"prev": F.lit(True)}, {"12": w12, "24": w24},
