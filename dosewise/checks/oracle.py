@@ -1114,7 +1114,7 @@ def ppr_ctes(ctx: RunContext) -> list[str]:
   FROM lines l JOIN patients p ON p.patient_id = l.patient_id
   LEFT JOIN products pr ON pr.service_id = l.service_id
   LEFT JOIN wellness w ON w.service_id = l.service_id
-  WHERE l.invoice_date >= {d(lo)} AND l.invoice_date < {d(hi)} AND NOT l.voided AND p.vi_species_id IN (3, 7)
+  WHERE l.invoice_date >= {d(lo)} AND l.invoice_date < {d(hi)} AND NOT coalesce(l.voided, false) AND p.vi_species_id IN (3, 7)
     AND {_period_sql(mon, ctx)} IS NOT NULL
   GROUP BY 1, 2, 3, 4, 5),
 ppm AS (
@@ -1150,7 +1150,7 @@ def ppr_pm2_cte(ctx: RunContext) -> str:
     count(DISTINCT p.patient_id) AS patients, CAST(sum(l.quantity_norm) AS BIGINT) AS doses
   FROM lines l JOIN patients p ON p.patient_id = l.patient_id
   JOIN products pr ON pr.service_id = l.service_id AND pr.type IS NOT NULL
-  WHERE l.invoice_date >= {d(lo)} AND l.invoice_date < {d(hi)} AND NOT l.voided AND p.vi_species_id IN (3, 7)
+  WHERE l.invoice_date >= {d(lo)} AND l.invoice_date < {d(hi)} AND NOT coalesce(l.voided, false) AND p.vi_species_id IN (3, 7)
     AND l.quantity_norm IS NOT NULL AND l.quantity_norm <> 0 AND l.cost <> 0
     AND EXISTS (SELECT 1 FROM ppm WHERE ppm.patient_id = l.patient_id AND ppm.h_id = p.h_id
                 AND ppm.time_period = {_period_sql(mon, ctx)})

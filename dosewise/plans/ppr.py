@@ -55,7 +55,7 @@ def patient_master(t: Tables, ctx: RunContext) -> DataFrame:
         ((F.col("service_kind") == "vaccine") | (F.col("product_info") == "Surgery - spay")
          | (F.col("service_kind") == "test")).alias("is_wellness")))
     x = (
-        b.lines(t, lo, hi, pats).where(~F.col("voided"))
+        b.lines(t, lo, hi, pats).where(~F.coalesce("voided", F.lit(False)))  # an unknown flag counts as not voided
         .select("patient_id", "h_id", "vi_species_id", "invoice_date", "service_id", "quantity_norm", "cost")
         .join(prod, "service_id", "left")
         .withColumn("month", F.trunc("invoice_date", "MM"))

@@ -108,9 +108,8 @@ def run_report(spark: SparkSession, sf_dir: str, out_dir: str, report: str = "PS
                by_clinic: bool = False) -> dict[str, str]:
     """Build and write every table of ``report``; returns name -> path.
 
-    ``append=True`` keeps earlier runs: rows carry ``run_id`` and the
-    tables are partitioned by it (one folder per run, written atomically
-    per partition). ``by_clinic=True`` also partitions by ``h_id``, so each
+    ``append=True`` keeps other runs: each has a folder ``run_id=<id>`` of
+    its own, which a repeated run with the same id replaces. ``by_clinic=True`` also partitions by ``h_id``, so each
     clinic's file is its own folder. ``publish=True`` registers each table
     as a temp view, file-shaped tables ordered header, detail, trailer on
     read."""
@@ -119,11 +118,11 @@ def run_report(spark: SparkSession, sf_dir: str, out_dir: str, report: str = "PS
     paths = {}
     for name, df in REPORTS[report.upper()](t, ctx).items():
         path = os.path.join(out_dir, name)
-        parts = (["run_id"] if append else []) + (["h_id"] if by_clinic and "h_id" in df.columns else [])
-        if append:
-            df = df.withColumn("run_id", F.lit(ctx.run_id))
-        w = df.write.mode("append" if append else "overwrite")
-        (w.partitionBy(*parts) if parts else w).parquet(path)
+        target = f"{path}/run_id={ctx.run_id}" if append else path
+        if by_clinic and "h_id" in df.columns:  # one file a clinic, however many tasks held its rows
+            df.repartition("h_id").write.mode("overwrite").partitionBy("h_id").parquet(target)
+        else:
+            df.write.mode("overwrite").parquet(target)
         paths[name] = path
         if publish:
             publish_view(spark, name, path)
@@ -132,10 +131,11 @@ def run_report(spark: SparkSession, sf_dir: str, out_dir: str, report: str = "PS
 
 def publish_view(spark: SparkSession, name: str, path: str) -> None:
     """SK6: a read view over a written table; header/detail/trailer files
-    read back in file order (record type first)."""
+    read back in file order within each clinic (record type first)."""
     df = spark.read.parquet(path)
     if "record_type" in df.columns:
-        df = df.orderBy("record_type")
+        keys = ("run_id", "h_id", "record_type", "client_id", "patient_id", "lineitem_id")
+        df = df.orderBy(*(k for k in keys if k in df.columns))
     df.createOrReplaceTempView(name)
 
 

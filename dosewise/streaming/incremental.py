@@ -2,16 +2,19 @@
 
 The batch extract starts the day after the last delivered invoice. The
 streaming form gets the same high-water mark from the stream checkpoint:
-each ``availableNow`` run processes only files not yet seen, deduplicates
-sales by id within the watermark, and appends to the output table. The
-checkpoint lives under the cluster's shared ``spark.checkpoint.dir``, so
-a lost executor or a restarted driver resumes where the last run ended.
+each ``availableNow`` run processes only files not yet seen. A sale is
+delivered once, however late its file comes: a batch leaves out ids that an
+earlier batch has written, and writes a folder of its own that a repeated
+attempt replaces. The checkpoint lives under the cluster's shared
+``spark.checkpoint.dir``, so a lost executor or a restarted driver resumes
+where the last run ended.
 """
 
 from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,30 +22,42 @@ from ..session import ensure_checkpoint_dir
 from ..sources import binding as b
 
 
-def sales_stream(spark: SparkSession, source_dir: str, table: str = "events", watermark: str = "7 days") -> DataFrame:
+def sales_stream(spark: SparkSession, source_dir: str, table: str = "events") -> DataFrame:
     """Sale events of the files named ``table*.parquet`` in ``source_dir``
     (new files dropped there are picked up by the next run)."""
     schema = spark.read.option("pathGlobFilter", f"{table}*.parquet").parquet(source_dir).schema
     s = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 64)
          .option("pathGlobFilter", f"{table}*.parquet").parquet(source_dir))
-    # watermarks need a zoned timestamp; the source column is TIMESTAMP_NTZ
-    s = s.where(F.col("event_type") == b.NSAID_SALE_EVENT).withColumn("event_time", F.col("ts").cast("timestamp"))
-    s = s.withWatermark("event_time", watermark)
-    s = s.dropDuplicatesWithinWatermark(["event_id"])
-    return s.select(
+    return s.where(F.col("event_type") == b.NSAID_SALE_EVENT).select(
         F.col("event_id").alias("lineitem_id"), F.col("user_id").alias("patient_id"),
         F.date_sub(F.col("ts").cast("date"), b.EVENT_SHIFT_DAYS).alias("invoice_date"),
         "ts", F.col("value").cast("decimal(18,2)").alias("cost"),
     )
 
 
+def _delivered(spark: SparkSession, out_path: str, batch: int) -> DataFrame | None:
+    """Ids that other batches have written; None if there are none yet."""
+    try:
+        return spark.read.parquet(out_path).where(F.col("batch_id") != batch).select("lineitem_id")
+    except AnalysisException:  # no output yet
+        return None
+
+
 def run_incremental_extract(spark: SparkSession, source_dir: str, out_path: str, name: str = "sales_extract") -> int:
     """Process everything new since the last run, then stop. Returns the
-    number of rows written by this run."""
+    number of rows that this run has written."""
     ckpt = os.path.join(ensure_checkpoint_dir(spark), name)
-    q = (sales_stream(spark, source_dir).writeStream.format("parquet")
-         .option("path", out_path).option("checkpointLocation", ckpt)
-         .outputMode("append").trigger(availableNow=True).start())
+    written: list[int] = []
+
+    def deliver(rows: DataFrame, batch: int) -> None:
+        new, done = rows.dropDuplicates(["lineitem_id"]), _delivered(spark, out_path, batch)
+        if done is not None:
+            new = new.join(done, "lineitem_id", "left_anti")
+        folder = f"{out_path}/batch_id={batch}"
+        new.write.mode("overwrite").parquet(folder)
+        written.append(spark.read.schema(new.schema).parquet(folder).count())
+
+    q = (sales_stream(spark, source_dir).writeStream.foreachBatch(deliver)
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
-    progress = q.recentProgress
-    return int(sum(p.get("numInputRows", 0) for p in progress)) if progress else 0
+    return sum(written)

@@ -1,3 +1,4 @@
+from datetime import date
 import tempfile
 
 from dosewise.context import RunContext
@@ -60,3 +61,15 @@ def test_cluster_defaults_respect_operator(spark):
     spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "5")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
     spark.conf.unset("spark.dosewise.broadcastCapBytes")
+
+
+def test_same_run_twice_keeps_its_rows(spark, tmp_path):
+    from dosewise.context import make_run
+    from dosewise.plans.runs import run_report
+
+    ctx = make_run("UPL", end_date=date(2001, 7, 1))
+    for _ in range(2):
+        paths = run_report(spark, "/root/testdata/sf0.001", str(tmp_path), "UPL", ctx, append=True)
+        rows = spark.read.parquet(paths["upl_report"])
+        first = rows.count() if _ == 0 else first  # noqa: F821
+        assert rows.count() == first and "run_id" in rows.columns
