@@ -1346,19 +1346,19 @@ def ld_ctes(ctx: RunContext) -> list[str]:
       OR {deny}, false))""",
         _matrix_cte(),
         f"""ld_pur AS (
-  SELECT x.l_orderkey AS lineitem_id, x.patient_id, x.client_id, x.h_id, x.invoice_date, x.product_info AS product,
+  SELECT 'L-' || CASE WHEN x.l_orderkey < 1 THEN 4294967297 - x.l_orderkey ELSE x.l_orderkey END || '-' || x.l_linenumber || '-' || x.l_partkey || '-' || x.l_suppkey AS lineitem_id, x.patient_id, x.client_id, x.h_id, x.invoice_date, x.product_info AS product,
     CAST({_doses_sql()} AS DECIMAL(18,4)) AS quantity, CAST(x.cost AS DECIMAL(18,4)) AS cost,
     CAST({_doses_sql()} AS DECIMAL(18,4)) AS pills,
     CASE WHEN EXISTS (SELECT 1 FROM appointments a WHERE a.patient_id = x.patient_id AND a.appointment_date = x.invoice_date)
          THEN 'Y' ELSE 'N' END AS appointment_flag, 'DENTALHYGIENE' AS type
-  FROM (SELECT l.l_orderkey, l.patient_id, l.client_id, l.invoice_date, l.cost, p.h_id, CAST(l.quantity AS BIGINT) AS quantity,
+  FROM (SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.patient_id, l.client_id, l.invoice_date, l.cost, p.h_id, CAST(l.quantity AS BIGINT) AS quantity,
                pk.product_info, pk.package_quantity, pk.pkg_size, pk.pkg_volume
         FROM lines l JOIN ({_pkg_sql("product_info IN ('Surgery - dental', 'Service - Grooming')")}) pk ON pk.service_id = l.service_id
         JOIN ldp p ON p.patient_id = l.patient_id JOIN ld_start s ON s.h_id = p.h_id
         WHERE NOT l.voided AND l.quantity_norm <> 0 AND l.invoice_date < {d(end_excl)}
           AND l.invoice_date >= CAST(date_trunc('month', s.start_date) AS DATE)) x
   UNION ALL
-  SELECT l.l_orderkey AS lineitem_id, l.patient_id, p.client_id, p.h_id, l.invoice_date, pr.family_name AS product,
+  SELECT 'L-' || CASE WHEN l.l_orderkey < 1 THEN 4294967297 - l.l_orderkey ELSE l.l_orderkey END || '-' || l.l_linenumber || '-' || l.l_partkey || '-' || l.l_suppkey AS lineitem_id, l.patient_id, p.client_id, p.h_id, l.invoice_date, pr.family_name AS product,
     CAST(l.quantity_norm AS DECIMAL(18,4)) AS quantity, CAST(l.cost AS DECIMAL(18,4)) AS cost,
     CAST(NULL AS DECIMAL(18,4)) AS pills,
     CASE WHEN EXISTS (SELECT 1 FROM appointments a WHERE a.patient_id = l.patient_id AND a.appointment_date = l.invoice_date)
@@ -1368,7 +1368,7 @@ def ld_ctes(ctx: RunContext) -> list[str]:
   WHERE NOT l.voided AND l.quantity_norm <> 0 AND l.invoice_date < {d(end_excl)}
     AND l.invoice_date >= CAST(date_trunc('month', s.start_date) AS DATE)
   UNION ALL
-  SELECT n.lineitem_id, n.patient_id, p.client_id, p.h_id, n.invoice_date, n.product,
+  SELECT 'E-' || CASE WHEN n.lineitem_id < 1 THEN 4294967297 - n.lineitem_id ELSE n.lineitem_id END AS lineitem_id, n.patient_id, p.client_id, p.h_id, n.invoice_date, n.product,
     CAST(CASE WHEN n.quantity IS NULL OR n.quantity = 0 THEN 1 ELSE n.quantity END AS DECIMAL(18,4)),
     CAST(CASE WHEN n.cost IS NULL THEN n.cost WHEN n.cost = 0 THEN 1 ELSE n.cost END AS DECIMAL(18,4)),
     CAST(CASE WHEN coalesce({sr('n.quantity', 'CASE WHEN n.dosage_volume IS NULL OR n.dosage_volume = 0 THEN 1 ELSE n.dosage_volume END', 0)}, 1) = 0 THEN 1
@@ -1396,7 +1396,7 @@ def last_dose_clients(ctx: RunContext) -> str:
 def last_dose_file(ctx: RunContext) -> str:
     mb = months_between(d(ctx.end_date), "pa.dob")
     detail = f"""SELECT DISTINCT '2DT' AS record_type,
-    CAST(CASE WHEN u.lineitem_id < 1 THEN 4294967297 - u.lineitem_id ELSE u.lineitem_id END AS VARCHAR) AS lineitem_id,
+    u.lineitem_id,
     CAST(c.client_id AS VARCHAR) AS client_id, substr(c.first_name, 1, 30) AS first_name, substr(c.last_name, 1, 30) AS last_name,
     substr(c.address1, 1, 40) AS address1, substr(c.address2, 1, 40) AS address2, substr(c.city, 1, 30) AS city,
     substr(c.state, 1, 2) AS state, trim(c.postal_code) AS postal_code,
@@ -1423,7 +1423,8 @@ def last_dose_file(ctx: RunContext) -> str:
     def row(vals):
         return ", ".join(f"{vals.get(c, 'CAST(NULL AS ' + types.get(c, 'VARCHAR') + ')')} AS {c}" for c in cols)
 
-    head = {"record_type": "'1HD'", "lineitem_id": f"'{ctx.end_date.year - 1995 + 1}'", "client_id": "account_number",
+    head = {"record_type": "'1HD'", "lineitem_id": f"'{ctx.as_of.strftime('%m/%d/%Y')}'", "client_id": "account_number",
+            "address1": f"'{(ctx.update_flag or ctx.end_date.year - 1995) + 1}'", "address2": f"'{ctx.end_date.year}'", "city": "'PH'",
             "first_name": "CAST(location_number AS VARCHAR)", "last_name": "substr(clinic_name, 1, 40)", "h_id": "h_id"}
     trail = {"record_type": "'3TR'", "lineitem_id": "CAST(coalesce(n.n, 0) + 2 AS VARCHAR)", "h_id": "c.h_id"}
     final = f"""SELECT * FROM ({detail})
@@ -1433,14 +1434,15 @@ UNION ALL SELECT {row(trail)} FROM clinics c LEFT JOIN (SELECT h_id, count(*) AS
 
 
 def newly_inactive(ctx: RunContext) -> str:
-    flag = ctx.end_date.year - 1995
-    final = f"""SELECT b.h_id, c.location_number, b.client_id, {ctx.end_date.year} AS report_year
+    flag = ctx.update_flag or ctx.end_date.year - 1995
+    final = f"""SELECT b.h_id, c.location_number, b.client_id, {ctx.end_date.year} AS report_year, {flag} AS update_flag
 FROM (SELECT DISTINCT h.h_id, h.client_id FROM hist h
-      WHERE h.update_flag < {flag} AND h.vi_species_id = 3
-        AND h.run_id = (SELECT max(run_id) FROM hist x WHERE x.h_id = h.h_id AND x.update_flag = h.update_flag)) b
+      WHERE h.update_flag < {flag}
+        AND h.run_id = (SELECT max(run_id) FROM hist x WHERE x.h_id = h.h_id AND x.update_flag = h.update_flag)
+        AND EXISTS (SELECT 1 FROM patients dog WHERE dog.client_id = h.client_id AND dog.vi_species_id = 3)) b
 JOIN clinics c ON c.h_id = b.h_id
-WHERE NOT EXISTS (SELECT 1 FROM ld_pur u JOIN ldp p ON p.patient_id = u.patient_id AND p.vi_species_id = 3
-                  WHERE u.h_id = b.h_id AND u.client_id = b.client_id)"""
+LEFT JOIN (SELECT client_id FROM ld_cli WHERE canines <> 0) a ON a.client_id = b.client_id
+WHERE a.client_id IS NULL"""
     return with_ctes(*ld_ctes(ctx), final=final)
 
 
@@ -1910,9 +1912,9 @@ def newly_inactive_file(ctx: RunContext) -> str:
     i = nic.index("SELECT b.h_id, c.location_number")
     ctes, body = nic[:i], nic[i:]
     final = f"""SELECT '2DT' AS record_type, h_id, CAST(location_number AS VARCHAR) AS location_number,
-    CAST(client_id AS VARCHAR) AS client_id, CAST(report_year AS VARCHAR) AS report_year FROM ({body})
-UNION ALL SELECT '1HD', h_id, CAST(location_number AS VARCHAR), '{ctx.as_of.strftime('%m/%d/%Y')}', '{ctx.end_date.year}' FROM clinics
-UNION ALL SELECT '3TR', c.h_id, NULL, CAST(coalesce(n.n, 0) + 2 AS VARCHAR), NULL FROM clinics c
+    CAST(client_id AS VARCHAR) AS client_id, CAST(report_year AS VARCHAR) AS report_year, CAST(update_flag AS VARCHAR) AS update_flag FROM ({body})
+UNION ALL SELECT '1HD', h_id, CAST(location_number AS VARCHAR), '{ctx.as_of.strftime('%m/%d/%Y')}', '{ctx.end_date.year}', '{ctx.update_flag or ctx.end_date.year - 1995}' FROM clinics
+UNION ALL SELECT '3TR', c.h_id, NULL, CAST(coalesce(n.n, 0) + 2 AS VARCHAR), NULL, NULL FROM clinics c
   LEFT JOIN (SELECT h_id, count(*) AS n FROM ({body}) GROUP BY h_id) n ON n.h_id = c.h_id"""
     return ctes + final
 
@@ -2080,20 +2082,10 @@ SELECT service_id FROM wellness""")
 
 
 def newly_inactive_merged(ctx: RunContext) -> str:
+    flag = ctx.update_flag or ctx.end_date.year - 1995
     prev_ctx = ctx.with_(end_date=ctx.end_date.replace(year=ctx.end_date.year - 1),
-                         as_of=ctx.as_of.replace(year=ctx.as_of.year - 1))
-    def body(c):
-        s = newly_inactive(c)
-        i = s.index("SELECT b.h_id, c.location_number")
-        return s[:i], s[i:]
-    pc, pb = body(prev_ctx)
-    cc, cb = body(ctx)
-    # two independent WITH blocks: inline each as a subquery
-    prev_sql = pc + pb
-    cur_sql = cc + cb
-    return f"""SELECT coalesce(p.h_id, c.h_id) AS h_id, coalesce(p.client_id, c.client_id) AS client_id,
-  CAST(coalesce(p.location_number, c.location_number) AS BIGINT) AS location_number,
-  CAST(coalesce(p.report_year, c.report_year) AS BIGINT) AS report_year,
-  CASE WHEN p.client_id IS NULL THEN {d(ctx.as_of)} ELSE {d(prev_ctx.as_of)} END AS last_update,
-  CASE WHEN p.client_id IS NULL THEN 'insert' ELSE 'keep' END AS action
-FROM ({prev_sql}) p FULL OUTER JOIN ({cur_sql}) c ON p.h_id = c.h_id AND p.client_id = c.client_id"""
+                         as_of=ctx.as_of.replace(year=ctx.as_of.year - 1), update_flag=flag - 1)
+    both = " UNION ALL ".join(f"""SELECT h_id, client_id, CAST(location_number AS BIGINT) AS location_number, CAST(report_year AS BIGINT) AS report_year,
+  CAST(update_flag AS BIGINT) AS update_flag, {d(c.as_of)} AS last_update, '{action}' AS action FROM ({newly_inactive(c)})"""
+                              for c, action in ((prev_ctx, "keep"), (ctx, "insert")))
+    return both  # the years differ, so no row of one is in the other

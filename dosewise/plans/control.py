@@ -274,7 +274,7 @@ def control_nsaid(t: Tables, ctx: RunContext, keys: tuple = ("h_id", "client_id"
     clin = maybe_broadcast(b.clinics(t).select("h_id", "start_date"))
     pats = b.patients(t).where(F.col("is_active") & ~F.col("is_deceased") & F.col("vi_species_id").isin(3, 7)).select(
         "patient_id", "h_id", "vi_species_id")
-    s = (b.nsaid_sales(t).where((F.col("product") == "Previcox") & ~F.col("voided") & (F.col("cost") != 0)
+    s = (b.nsaid_sales(t, lo, hi).where((F.col("product") == "Previcox") & ~F.col("voided") & (F.col("cost") != 0)
                                 & F.col("quantity").isNotNull() & (F.col("quantity") != 0)
                                 & (F.col("invoice_date") >= F.lit(lo)) & (F.col("invoice_date") < F.lit(hi)))
          .join(pats, "patient_id").join(clin, "h_id"))

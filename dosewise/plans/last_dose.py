@@ -9,7 +9,7 @@ run is the run context's year.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..context import RunContext, add_months
@@ -25,10 +25,18 @@ from .nsaid import _pills_below, last_dose_patients
 FIRST_YEAR = 1995
 FULL_YEAR_FLAG = 11
 DOG = 3
+FILE_TYPE = "PH"  # purchase history
 
 
 def current_flag(ctx: RunContext) -> int:
-    return ctx.end_date.year - FIRST_YEAR
+    """The run's update flag; a run that names none has that of its year."""
+    return ctx.update_flag or ctx.end_date.year - FIRST_YEAR
+
+
+def line_id(source: str, *parts: str) -> Column:
+    """One id for each delivered row: invoice lines and sale events have
+    number ranges of their own, and an order has many lines."""
+    return F.concat_ws("-", F.lit(source), id_remap(F.col(parts[0])).cast("string"), *(F.col(p).cast("string") for p in parts[1:]))
 
 
 # ------------------------------------------------------------ run history
@@ -48,12 +56,11 @@ def run_history(t: Tables, ctx: RunContext) -> DataFrame:
 
 def run_summary(t: Tables, ctx: RunContext) -> DataFrame:
     """History aggregated to (clinic, run, flag, client): last delivered
-    invoice day and whether a dog was involved. Both the incremental start
+    invoice day. Both the incremental start
     and the lapsed-client list derive from this one aggregate, so a plan
     that needs both shuffles the history once."""
     return run_history(t, ctx).groupBy("h_id", "run_id", "update_flag", "client_id").agg(
-        F.max("invoice_date").alias("last_invoice"),
-        F.max(F.col("vi_species_id") == DOG).alias("has_dog"))
+        F.max("invoice_date").alias("last_invoice"))
 
 
 # ------------------------------------------------------------------ IN1
@@ -148,7 +155,7 @@ def last_dose_purchases(t: Tables, ctx: RunContext, pats: DataFrame, starts: Dat
     x = dental_doses(x.withColumn("quantity", F.col("quantity").cast("long")), dental_matrix(t.spark))
     is_fth = F.col("type").isNotNull()
     fth = x.select(
-        F.col("l_orderkey").alias("lineitem_id"), "patient_id", "client_id", "h_id", "invoice_date",
+        line_id("L", *b.LINE_KEY).alias("lineitem_id"), "patient_id", "client_id", "h_id", "invoice_date",
         F.when(is_fth, F.col("family_name")).otherwise(F.col("product_info")).alias("product"),
         F.when(is_fth, F.col("quantity_norm").cast("decimal(18,4)")).otherwise(F.col("doses")).cast("decimal(18,4)").alias("quantity"),
         F.col("cost").cast("decimal(18,4)").alias("cost"),
@@ -158,7 +165,7 @@ def last_dose_purchases(t: Tables, ctx: RunContext, pats: DataFrame, starts: Dat
     q, dv = F.col("quantity"), F.col("dosage_volume")
     min_dvv = b._map(F.col("product"), b.NSAID_MIN_DVV)
     ns = (
-        b.nsaid_sales(t).where(~F.col("voided") & (F.col("invoice_date") >= F.lit(lo))
+        b.nsaid_sales(t, lo, end_excl).where(~F.col("voided") & (F.col("invoice_date") >= F.lit(lo))
                                & (F.col("invoice_date") < F.lit(end_excl)) & F.col("product").isin(*b.NSAID_PRODUCTS)
                                & (F.col("cost") != 0))
         .where(((min_dvv != 0) & q.isNotNull() & (q != 0)) | (min_dvv == 0))
@@ -177,7 +184,7 @@ def last_dose_purchases(t: Tables, ctx: RunContext, pats: DataFrame, starts: Dat
     pills = F.when(q.isNull(), qn.cast("double")).otherwise(ratio_round(q, dvn, 0))
     cost = F.when(F.col("cost").isNull(), F.col("cost")).when(F.col("cost") == 0, F.lit(1)).otherwise(F.col("cost"))
     ns = ns.select(
-        "lineitem_id", "patient_id", "client_id", "h_id", "invoice_date", "product",
+        line_id("E", "lineitem_id").alias("lineitem_id"), "patient_id", "client_id", "h_id", "invoice_date", "product",
         qn.cast("decimal(18,4)").alias("quantity"), cost.cast("decimal(18,4)").alias("cost"),
         F.when(pills == 0, F.lit(1)).otherwise(pills).cast("decimal(18,4)").alias("pills"),
         "appointment_flag", F.lit("NSAID").alias("type"),
@@ -201,7 +208,7 @@ def last_dose_file(t: Tables, ctx: RunContext) -> DataFrame:
     x = cli.join(pur.drop("h_id"), "client_id").join(pats.select("patient_id", "weight"), "patient_id").join(dob, "patient_id")
     detail = x.select(
         F.lit("2DT").alias("record_type"),
-        id_remap(F.col("lineitem_id")).cast("string").alias("lineitem_id"),
+        "lineitem_id",
         F.col("client_id").cast("string").alias("client_id"),
         F.substring("first_name", 1, 30).alias("first_name"), F.substring("last_name", 1, 30).alias("last_name"),
         F.substring("address1", 1, 40).alias("address1"), F.substring("address2", 1, 40).alias("address2"),
@@ -219,32 +226,28 @@ def last_dose_file(t: Tables, ctx: RunContext) -> DataFrame:
     ).distinct()
     clin = maybe_broadcast(b.clinics(t))
     heads = clin.select(
-        F.lit("1HD").alias("record_type"), F.lit(str(current_flag(ctx) + 1)).alias("lineitem_id"),
+        F.lit("1HD").alias("record_type"), F.lit(ctx.as_of.strftime("%m/%d/%Y")).alias("lineitem_id"),
         F.col("account_number").alias("client_id"), F.col("location_number").cast("string").alias("first_name"),
-        F.substring("clinic_name", 1, 40).alias("last_name"), "h_id")
+        F.substring("clinic_name", 1, 40).alias("last_name"), F.lit(str(current_flag(ctx) + 1)).alias("address1"),
+        F.lit(str(ctx.end_date.year)).alias("address2"), F.lit(FILE_TYPE).alias("city"), "h_id")
     return ev.with_header_trailer(detail, heads, "h_id", trailer_offset=2)
 
 
 # ------------------------------------------------------------------ NI1
 def newly_inactive(t: Tables, ctx: RunContext) -> DataFrame:
-    """Clients of households with dogs in the latest run of every earlier
-    update flag who have no dog purchase in the current run (NC1)."""
-    hist = run_summary(t, ctx)
+    """Clients in the latest run of every earlier update flag whose household
+    has dogs, and who are not among the current run's clients with dogs (NC1)."""
     flag = current_flag(ctx)
-    earlier = hist.where(F.col("update_flag") < flag)
+    earlier = run_summary(t, ctx).where(F.col("update_flag") < flag)
     # J12: the latest run of every earlier flag (window max, no self join)
     latest = F.max("run_id").over(Window.partitionBy("h_id", "update_flag"))
-    dogs = earlier.withColumn("_latest", latest).where((F.col("run_id") == F.col("_latest")) & F.col("has_dog"))
-    before = dogs.select("h_id", "client_id").distinct()
-    pats = last_dose_patients(t, ctx)
-    starts = incremental_start(t, ctx, hist=hist)
-    cur = last_dose_purchases(t, ctx, pats, starts).join(
-        pats.where(F.col("vi_species_id") == DOG).select("patient_id"), "patient_id", "left_semi")
-    now = cur.select("h_id", "client_id").distinct()
-    lapsed = before.join(now, ["h_id", "client_id"], "left_anti")
+    before = earlier.withColumn("_latest", latest).where(F.col("run_id") == F.col("_latest")).select("h_id", "client_id").distinct()
+    dogs = b.patients(t).where(F.col("vi_species_id") == DOG).select("client_id").distinct()
+    now = last_dose_clients(t, ctx).where(F.col("canines") != 0).select("client_id")
+    lapsed = before.join(dogs, "client_id", "left_semi").join(now, "client_id", "left_anti")
     clin = maybe_broadcast(b.clinics(t).select("h_id", "location_number"))
     return lapsed.join(clin, "h_id").select("h_id", "location_number", "client_id",
-                                            F.lit(ctx.end_date.year).alias("report_year"))
+                                            F.lit(ctx.end_date.year).alias("report_year"), F.lit(flag).alias("update_flag"))
 
 
 # ------------------------------------------------------------- NI2-NI4
@@ -257,10 +260,12 @@ def newly_inactive_file(t: Tables, ctx: RunContext) -> DataFrame:
     detail = nic.select(F.lit("2DT").alias("record_type"), "h_id",
                         F.col("location_number").cast("string").alias("location_number"),
                         F.col("client_id").cast("string").alias("client_id"),
-                        F.col("report_year").cast("string").alias("report_year"))
+                        F.col("report_year").cast("string").alias("report_year"),
+                        F.col("update_flag").cast("string").alias("update_flag"))
     heads = maybe_broadcast(b.clinics(t)).select(
         F.lit("1HD").alias("record_type"), "h_id", F.col("location_number").cast("string").alias("location_number"),
-        F.lit(ctx.as_of.strftime("%m/%d/%Y")).alias("client_id"), F.lit(str(ctx.end_date.year)).alias("report_year"))
+        F.lit(ctx.as_of.strftime("%m/%d/%Y")).alias("client_id"), F.lit(str(ctx.end_date.year)).alias("report_year"),
+        F.lit(str(current_flag(ctx))).alias("update_flag"))
     return ev2.with_header_trailer(detail, heads, "h_id", trailer_offset=2, count_col="client_id")
 
 
@@ -272,16 +277,16 @@ def last_dose_clients_split(t: Tables, ctx: RunContext) -> DataFrame:
 # ------------------------------------------------------------------ DM1
 def newly_inactive_merged(t: Tables, ctx: RunContext) -> DataFrame:
     """NI1 as the reference stores it: the current lapsed clients merged
-    insert-only into the list kept from the previous year's run (rows
-    already present keep their original report year)."""
+    insert-only into the list kept from the previous year's run. A client is
+    in the list once for each year and update flag, so a client who lapses
+    again has another row, and rows that are there stay as they are."""
     from ..operators.upsert import upsert
 
-    prev_ctx = ctx.with_(end_date=ctx.end_date.replace(year=ctx.end_date.year - 1),
-                         as_of=ctx.as_of.replace(year=ctx.as_of.year - 1))
-    prev = newly_inactive(t, prev_ctx).select(
-        "h_id", "client_id", "location_number", "report_year",
-        F.lit(prev_ctx.as_of).alias("last_update"))
-    cur = newly_inactive(t, ctx).select("h_id", "client_id", "location_number", "report_year")
-    out = upsert(prev, cur, ["h_id", "client_id"], ["location_number", "report_year"], ctx.as_of, mode="insert_only")
+    last_year = ctx.end_date.replace(year=ctx.end_date.year - 1)
+    prev_ctx = ctx.with_(end_date=last_year, as_of=ctx.as_of.replace(year=ctx.as_of.year - 1), update_flag=current_flag(ctx) - 1)
+    prev = newly_inactive(t, prev_ctx).withColumn("last_update", F.lit(prev_ctx.as_of))
+    key = ["h_id", "client_id", "update_flag", "report_year"]
+    out = upsert(prev, newly_inactive(t, ctx), key, ["location_number"], ctx.as_of, mode="insert_only")
     return out.select("h_id", "client_id", F.col("location_number").cast("long").alias("location_number"),
-                      F.col("report_year").cast("long").alias("report_year"), "last_update", "action")
+                      F.col("report_year").cast("long").alias("report_year"), F.col("update_flag").cast("long").alias("update_flag"),
+                      "last_update", "action")

@@ -84,7 +84,7 @@ def control_tables(t: Tables, ctx: RunContext) -> dict[str, DataFrame]:
 
 def last_dose_tables(t: Tables, ctx: RunContext) -> dict[str, DataFrame]:
     out = {"last_dose_report": last_dose.last_dose_file(t, ctx)}
-    if ctx.update_flag > 1:  # the lapsed-client list follows later deliveries only
+    if last_dose.current_flag(ctx) > 1:  # the lapsed-client list follows later deliveries only
         out["last_dose_nic_report"] = last_dose.newly_inactive_file(t, ctx)
     return out
 

@@ -11,7 +11,7 @@ reaches the Parquet scan (``PushedFilters``) instead of sitting above a cast.
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -312,10 +312,16 @@ def surgeries(t: Tables) -> DataFrame:
     )
 
 
-def nsaid_sales(t: Tables) -> DataFrame:
+def nsaid_sales(t: Tables, lo: date | None = None, hi: date | None = None) -> DataFrame:
     """NSAID purchase facts from purchase events: value is the cost, the
-    JSON ``k`` the quantity, and the dosage volume comes from the user."""
+    JSON ``k`` the quantity, and the dosage volume comes from the user.
+    Days from ``lo`` on and before ``hi`` become bounds on the raw ``ts``,
+    which the scan can use."""
     e = t.events.where(F.col("event_type") == NSAID_SALE_EVENT)
+    shift = timedelta(days=EVENT_SHIFT_DAYS)
+    for bound, hit in ((lo, F.col("ts").__ge__), (hi, F.col("ts").__lt__)):
+        if bound is not None:
+            e = e.where(hit(F.lit(f"{bound + shift} 00:00:00").cast("timestamp_ntz")))
     return e.select(
         F.col("event_id").alias("lineitem_id"),
         F.col("user_id").alias("patient_id"),
