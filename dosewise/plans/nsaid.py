@@ -5,6 +5,8 @@ trailer per clinic)."""
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +39,7 @@ def consumer_nsaid(t: Tables, ctx: RunContext, product: str = "Previcox", cp: Da
     cp = (cp if cp is not None else consumer_patients(t, ctx)).select("patient_id", "client_id", "h_id", "vi_species_id")
     q, dv = F.col("quantity"), F.col("dosage_volume")
     s = (
-        b.nsaid_sales(t)
+        b.nsaid_sales(t, add_months(end, -12), end + timedelta(days=1))
         .where((F.col("product") == product) & ~F.col("voided")
                & F.col("invoice_date").between(F.lit(add_months(end, -12)), F.lit(end))
                & dv.isNotNull() & (dv != 0) & (q != 0))
@@ -159,7 +161,7 @@ def nsaid_purchase_file(t: Tables, ctx: RunContext) -> DataFrame:
     pats = patients_with_weight(t, ctx)
     cli = nsaid_clients(t, ctx, pats)
     q, dv = F.col("quantity"), F.col("dosage_volume")
-    s = b.nsaid_sales(t).where(
+    s = b.nsaid_sales(t, start, add_months(end, 1)).where(
         (F.col("invoice_date") >= F.lit(start)) & (F.col("invoice_date") < F.lit(add_months(end, 1)))
         & ~F.col("voided") & (F.col("cost") != 0) & F.col("product").isin(*b.NSAID_PRODUCTS)
     ).drop("client_id").join(pats.select("patient_id", "client_id", F.round("weight", 0).alias("pat_weight")), "patient_id")

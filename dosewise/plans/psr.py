@@ -210,7 +210,7 @@ def _units_pct(num: str, den: str, digits: int = 2) -> F.Column:
 
 def _avg_doses_units() -> F.Column:
     """round(sum(wellness doses) / distinct wellness patients with doses, 1) * 10."""
-    n = F.countDistinct(F.when(F.col("wellness_care").isNotNull() & F.col("doses").isNotNull(), F.col("patient_id")))
+    n = F.count(F.when(F.col("wellness_care").isNotNull() & F.col("doses").isNotNull(), F.col("patient_id")))
     s = F.sum(_w("doses"))
     return F.when(n == 0, F.lit(0)).otherwise(F.coalesce(scaled_round(s, n, 1), F.lit(0)))
 
@@ -289,7 +289,7 @@ def t2_dose_histogram(t: Tables, ctx: RunContext, pm: DataFrame | None = None) -
     pm = pm if pm is not None else patient_master(t, ctx)
     m = _market(pm).where(F.col("wellness_care").isNotNull())
     agg = m.groupBy(*CELL, hb.capped_bucket(F.col("doses"), 12).alias("doses")).agg(
-        F.countDistinct(F.when(F.col("doses") > 0, F.col("patient_id"))).alias("patients")
+        F.count(F.when(F.col("doses") > 0, F.col("patient_id"))).alias("patients")
     )
     grid = spine(_grid(t).select(*CELL, "dose_rec"), "doses", T2_LABELS)
     g = _finish(grid, agg, ctx, {"patients": 0}, CELL + ["doses"])
@@ -646,7 +646,7 @@ def t12_dose_histogram(t: Tables, ctx: RunContext, pm: DataFrame | None = None)
     pm = pm if pm is not None else patient_master(t, ctx)
     m = _market(pm).where(F.col("wellness_care").isNotNull())
     agg = m.groupBy(*CELL, hb.capped_bucket(F.col("doses"), 13).alias("doses")).agg(
-        F.countDistinct("patient_id").alias("patients"),
+        F.count("patient_id").alias("patients"),
         F.sum("opp").alias("total_missed_doses"),
     )
     grid = spine(_grid(t).select(*CELL, "dose_rec"), "doses", T12_LABELS)
@@ -695,7 +695,7 @@ def t13_rec_histogram(t: Tables, ctx: RunContext, pm: DataFrame | None = None) -
     m = _market(pm).where(F.col("wellness_care").isNotNull())
     d0 = F.coalesce(F.col("doses"), F.lit(0))
     agg = m.groupBy(*CELL, hb.rec_label(d0, F.col("rec")).alias("doses")).agg(
-        F.countDistinct("patient_id").alias("patients"))
+        F.count("patient_id").alias("patients"))
     grid = _grid(t).select(*CELL, "dose_rec")
     grid = grid.select("*", F.posexplode(hb.rec_label_list(F.col("dose_rec"))).alias("pos", "doses"))
     g = _finish(grid, agg, ctx, {"patients": 0}, CELL + ["doses"])

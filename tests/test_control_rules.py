@@ -33,3 +33,33 @@ def test_thirds_of_a_pill_add_up(spark):
     frame = spark.createDataFrame([(1, 3)] * 3 + [(2, 3)] * 3, "q int, dv int")
     pills = scaled_round(F.sum(scaled_round(F.col("q"), F.col("dv"), 9)), F.lit(10**9), 2) / 100.0
     assert frame.where("q = 1").agg(pills.alias("p")).first()[0] == 1.0 and frame.agg(pills.alias("p")).first()[0] == 3.0
+
+
+def test_last_dose_rows_have_ids_of_their_own_and_lapsed_clients_have_dogs(spark):
+    from dosewise.context import DEFAULT_CONTEXT as ctx
+    from dosewise.plans import last_dose
+    from dosewise.sources import binding as b
+    from dosewise.sources.tables import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.01")
+    file = last_dose.last_dose_file(t, ctx).cache()
+    detail = file.where("record_type = '2DT'")
+    assert detail.count() == detail.select("lineitem_id").distinct().count()
+    head = file.where("record_type = '1HD'").first()
+    assert (head["lineitem_id"], head["address1"], head["address2"], head["city"]) == ("08/01/2001", "7", "2001", "PH")
+    gone = last_dose.newly_inactive(t, ctx)
+    dogs = b.patients(t).where("vi_species_id = 3").select("client_id").distinct()
+    assert gone.join(dogs, "client_id", "left_anti").count() == 0
+    assert gone.join(last_dose.last_dose_clients(t, ctx).where("canines > 0"), "client_id", "left_semi").count() == 0
+    assert {r["update_flag"] for r in last_dose.newly_inactive(t, ctx.with_(update_flag=3)).select("update_flag").distinct().collect()} == {3}
+
+
+def test_sale_days_are_bounds_of_the_scan(spark):
+    from datetime import date as day
+
+    from dosewise.sources import binding as b
+    from dosewise.sources.tables import Tables
+
+    plan = b.nsaid_sales(Tables(spark, "/root/testdata/sf0.01"), day(2001, 6, 5), day(2001, 6, 9))._jdf.queryExecution().toString()
+    pushed = plan[plan.index("PushedFilters"):]
+    assert "GreaterThanOrEqual(ts" in pushed
