@@ -205,7 +205,8 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     b = F.least("end", (F.col("block") + 1) * BLOCK_WORDS)
     pieces = (
         cuts.withColumn("first", a - F.col("begin")).withColumn("words", b - a)
-        .join(shards, ["source_no", "block"])
+        # one row a block: it grows with the words, which its estimate does not show, so it must not be broadcast
+        .join(shards.hint("merge"), ["source_no", "block"])
         .withColumn("slot", F.xxhash64("shard", "source_no", "block"))
         .select("_source", "_bucket", "_row", "epoch", "first", "words", "block", "shard", "slot")
     )
