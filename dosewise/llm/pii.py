@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -108,9 +109,20 @@ def find(text: str | None) -> list[tuple[str, int, int, float]]:
         score = _SCORES[kind][bool(_CONTEXT[kind].search(near))]
         if kind in BASE or score >= KEEP:
             out.append((kind, a, b, score))
-    taken = [(a, b) for k, a, b, _ in out if k in BASE]
-    # an added span inside a base span tells nothing new
-    return [s for s in out if s[0] in BASE or not any(a < s[2] and s[1] < b for a, b in taken)]
+    # an added span that overlaps a base span tells nothing new
+    taken: list[list[int]] = []  # the base spans, merged, in order
+    for a, b in sorted((a, b) for k, a, b, _ in out if k in BASE):
+        if taken and a < taken[-1][1]:
+            taken[-1][1] = max(b, taken[-1][1])
+        else:
+            taken.append([a, b])
+    ends = [b for _, b in taken]
+
+    def overlaps(start: int, end: int) -> bool:
+        i = bisect_right(ends, start)  # the first base span that ends after the start
+        return i < len(taken) and taken[i][0] < end
+
+    return [s for s in out if s[0] in BASE or not overlaps(s[1], s[2])]
 
 
 def joined(spans, kinds=None) -> str:
