@@ -35,9 +35,16 @@ def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
         return fn(short())
 
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    if any("." in c for c in df.columns):  # mapInArrow takes a dot for a field of a struct
+        df = df.toDF(*(c.replace(".", "_") + f"_{i}" for i, c in enumerate(df.columns)))
     return df.mapInArrow(run, schema)
 
 
+def quoted(df: DataFrame) -> list[Column]:
+    """All columns of df, also those with dots in their names."""
+    return [F.col(f"`{c}`") for c in df.columns]
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The same rows with their lineage cut: written to the shared folder that
     the cluster names in ``spark.checkpoint.dir`` and read back from there."""

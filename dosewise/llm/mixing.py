@@ -27,7 +27,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, word_count
+from .common import cut, quoted, word_count
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -142,7 +142,7 @@ def streams(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sou
     place in their source's stream (_id, _source, size, _bucket, _row, start);
     one row a source with its number, size and target; the words of all targets."""
     sized = docs.select(
-        F.struct(*docs.columns).alias("_doc"), F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), word_count(F.col(text_col)).alias("size"),
+        F.struct(*quoted(docs)).alias("_doc"), F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), word_count(F.col(text_col)).alias("size"),
         F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))).alias("_key"), F.xxhash64(text_col).alias("_tie"))
     digits = _least_digits(docs.count())
     sized = sized.withColumn("_bucket", F.substring("_key", 1, digits))

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_map, cut
+from .common import arrow_map, cut, quoted
 from .components import connected_components
 
 RADIUS = 3
@@ -305,7 +305,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
     twice = by_id.where(F.col("first") & (F.col("times") > 1)).select(F.col("doc_id").alias("_twice"))
     if twice.isEmpty():
         return kept
-    order = Window.partitionBy("_doc.doc_id").orderBy(*(F.col(f"_doc.`{c}`") for c in ("text", *(c for c in docs.columns if c not in ("doc_id", "text")))))
-    repeated = kept.join(twice, kept["doc_id"] == twice["_twice"], "left_semi").select(F.struct(*docs.columns).alias("_doc"))
-    repeated = repeated.withColumn("_n", F.row_number().over(order)).where("_n = 1").select("_doc.*")
+    nth = "_n"
+    while nth in [c.lower() for c in docs.columns]:
+        nth += "_"
+    order = Window.partitionBy("doc_id").orderBy("text", *quoted(docs.drop("doc_id", "text")))
+    repeated = kept.join(twice, kept["doc_id"] == twice["_twice"], "left_semi").withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1).drop(nth)
     return kept.join(twice, kept["doc_id"] == twice["_twice"], "left_anti").unionByName(repeated)

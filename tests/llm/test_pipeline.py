@@ -45,3 +45,17 @@ def test_stages_on_odd_and_empty_rows(spark):
             got = stage(spark, docs, SF)
             got.count()
             assert name == "pack" or got.columns == docs.columns
+
+
+def test_stages_keep_columns_with_clashing_names(spark, tmp_path):
+    extra = ("_doc", "_gone", "_twice", "_id", "_source", "_bucket", "_row", "size", "take", "target", "shard", "node", "root", "fp", "y", "a.b", "doc.text")
+    docs = odd_docs(spark).select("doc_id", "text", "lang", "source", "n_chars")
+    docs = docs.select("*", *(F.concat(F.lit(c), F.col("doc_id").cast("string")).alias(c) for c in extra))
+    docs.write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, docs, SF)
+        rows = got.collect()
+        if name != "pack":
+            assert got.columns == docs.columns
+            assert all(r[c] == (None if r["doc_id"] is None else f"{c}{r['doc_id']}") for r in rows for c in extra)
