@@ -1447,7 +1447,7 @@ WHERE a.client_id IS NULL"""
 
 
 # ---------------------------------------------------------- dims / text
-def merge_enrollment(ctx: RunContext) -> str:
+def merge_enrollment(ctx: RunContext, always: bool = False) -> str:
     t = """SELECT s_suppkey AS location_number, s_name AS account_name, CAST(s_nationkey AS BIGINT) AS nation_key,
     CAST(CASE WHEN s_suppkey % 11 = 0 THEN NULL ELSE s_acctbal END AS DECIMAL(18,2)) AS balance,
     DATE '2000-01-01' AS last_update FROM supplier WHERE s_suppkey % 4 <> 3"""
@@ -1456,7 +1456,7 @@ def merge_enrollment(ctx: RunContext) -> str:
     CAST(CASE WHEN s_suppkey % 13 = 0 THEN (s_nationkey + 1) % 25 ELSE s_nationkey END AS BIGINT) AS nation_key,
     CAST(CASE WHEN s_suppkey % 7 = 0 THEN NULL ELSE s_acctbal END AS DECIMAL(18,2)) AS balance
   FROM supplier WHERE s_suppkey % 4 <> 0"""
-    chg = " OR ".join(f"coalesce(t.{c} <> s.{c}, false)" for c in ("account_name", "nation_key", "balance"))
+    chg = "true" if always else " OR ".join(f"coalesce(t.{c} <> s.{c}, false)" for c in ("account_name", "nation_key", "balance"))
     return f"""WITH t AS ({t}), s AS ({s})
 SELECT coalesce(t.location_number, s.location_number) AS location_number,
   CASE WHEN t.location_number IS NULL OR (s.location_number IS NOT NULL AND ({chg})) THEN s.account_name ELSE t.account_name END AS account_name,
@@ -1468,6 +1468,10 @@ SELECT coalesce(t.location_number, s.location_number) AS location_number,
 FROM t FULL OUTER JOIN s ON t.location_number = s.location_number"""
 
 
+def refresh_enrollment(ctx: RunContext) -> str:
+    return merge_enrollment(ctx, always=True)
+
+
 def run_states(ctx: RunContext) -> str:
     return """WITH log AS (
   SELECT user_id AS run_id,
@@ -1793,7 +1797,8 @@ def call_list(ctx: RunContext) -> str:
 fth AS (SELECT l.patient_id, up.client_id, up.vi_species_id, l.invoice_date, l.quantity_norm, pr.type
         FROM lines l JOIN products pr ON pr.service_id = l.service_id AND pr.type IS NOT NULL
         JOIN up ON up.patient_id = l.patient_id
-        WHERE NOT l.voided AND l.cost <> 0 AND l.invoice_date >= {d(lo)} AND l.invoice_date < {d(hi)}),
+        WHERE NOT l.voided AND l.cost <> 0 AND l.invoice_date >= {d(lo)} AND l.invoice_date < {d(hi)}
+          AND NOT (pr.family_name = 'Certifect' AND date_trunc('month', l.invoice_date) < DATE '2011-07-01')),
 cli AS (SELECT c.client_id, c.h_id,
           coalesce({_strip('c.first_name', RE_NAME_JUNK)}, 'None Given') AS first_name,
           coalesce({_strip('c.last_name', RE_NAME_JUNK)}, 'None Given') AS last_name,

@@ -44,14 +44,19 @@ def enrollment_staging(t: Tables) -> DataFrame:
         F.when((k % 7) == 0, F.lit(None)).otherwise(F.col("s_acctbal")).cast("decimal(18,2)").alias("balance"))
 
 
-def merge_enrollment(t: Tables, ctx: RunContext, null_safe: bool = False) -> DataFrame:
+def merge_enrollment(t: Tables, ctx: RunContext, null_safe: bool = False, mode: str = "update_if_changed") -> DataFrame:
     """Update-if-changed upsert of the enrollment dimension (null-blind
     change test by default, as the reference's <> comparison)."""
     out = up.upsert(enrollment_target(t), enrollment_staging(t), ["location_number"], ENROLLMENT_COLUMNS,
-                    ctx.as_of, null_safe=null_safe)
+                    ctx.as_of, null_safe=null_safe, mode=mode)
     return out.withColumn("balance", F.col("balance").cast("double"))
 
 
+def refresh_enrollment(t: Tables, ctx: RunContext) -> DataFrame:
+    """DM3: the merge that always takes the staging values of a matched row."""
+    return merge_enrollment(t, ctx, mode="update_always")
+
+
 # ------------------------------------------------------------------ OP1
 def run_log(t: Tables) -> DataFrame:
     flag = (F.when(F.col("event_type") == "signup", F.lit("RUNID"))
@@ -86,10 +91,11 @@ def run_states(t: Tables, ctx: RunContext) -> DataFrame:
 
 
 # ------------------------------------------------------------------ DQ1
-def readiness(t: Tables, ctx: RunContext, months_back: int = 12) -> DataFrame:
+def readiness(t: Tables, ctx: RunContext, months_back: int = 12, profiled: DataFrame | None = None) -> DataFrame:
     """Per clinic over the last ``months_back`` months: missing months,
     dog/cat share of patients (reported when <= .5) and share of lines on
-    the catch-all patient 0 (reported when >= .2).
+    the catch-all patient 0 (reported when >= .2). Clinics in ``profiled``
+    (h_id; those that the project has profiled before) are left out.
 
     Intent over letter: the reference restricts its patient join to dogs
     and cats *inside* the left join, so its ratio is 1 whenever any exist;
@@ -105,6 +111,8 @@ def readiness(t: Tables, ctx: RunContext, months_back: int = 12) -> DataFrame:
         F.count(F.lit(1)).alias("total_rows"),
     )
     clin = maybe_broadcast(b.clinics(t).select("h_id", (F.col("h_id") % 5).alias("status_vi_portal")))
+    if profiled is not None:
+        clin = clin.join(profiled.select("h_id").distinct(), "h_id", "left_anti")
     j = clin.join(g, "h_id", "left")
     ratio = ratio_round(F.col("cats_dogs_total"), F.col("total_patients"), 4)
     share0 = ratio_round(F.col("patient_0"), F.col("total_rows"), 4, when_zero=None)

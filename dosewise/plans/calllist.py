@@ -8,12 +8,12 @@ oz in two treat sizes, with one ambiguous key and some unit-less volumes).
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..context import RunContext, add_months
+from ..context import RunContext, add_months, month_start
 from ..functions.semantics import mdy
 from ..operators import contact as cl
 from ..operators import trailing as tm
@@ -23,6 +23,9 @@ from ..sources import binding as b
 from ..sources.tables import Tables
 
 DENTAL = "Surgery - dental"
+# Product families whose sales before their launch month are
+# not counted as purchases (default of the call list's parameter).
+LAUNCH_DATES = {"Certifect": date(2011, 7, 1)}
 
 
 def dental_matrix_rows() -> list[tuple]:
@@ -71,11 +74,13 @@ def dental_purchases(t: Tables, ctx: RunContext) -> DataFrame:
     )
 
 
-def call_list(t: Tables, ctx: RunContext) -> DataFrame:
+def call_list(t: Tables, ctx: RunContext, launch_dates: dict[str, date] | None = None) -> DataFrame:
     """UPL: clients with a dog or cat short of 6 flea/tick or 12 heartworm
     doses in the last 12 months, with their last purchase per species and
-    market, a 10-digit phone and a valid email."""
+    market, a 10-digit phone and a valid email. Lines of a family in
+    ``launch_dates`` count from its launch month on."""
     end = ctx.end_date
+    launch_dates = LAUNCH_DATES if launch_dates is None else launch_dates
     pats = b.patients(t).where(F.col("is_active") & F.col("vi_species_id").isin(3, 7) & (F.col("patient_id") > 0)).select(
         "patient_id", "client_id", "h_id", "vi_species_id")
     s, pid = F.col("vi_species_id"), F.col("patient_id")
@@ -91,10 +96,12 @@ def call_list(t: Tables, ctx: RunContext) -> DataFrame:
                     .otherwise(F.col("phone1")), 1, 10).alias("phone"),
     )
     lo, hi = ctx.months_window(-11, 0)
-    prod = maybe_broadcast(b.products(t).where(F.col("type").isNotNull()).select("service_id", "type"))
+    prod = maybe_broadcast(b.products(t).where(F.col("type").isNotNull()).select("service_id", "type", "family_name"))
     fth = (b.lines(t, lo, hi, pats.select("patient_id", "vi_species_id")).where(~F.col("voided") & (F.col("cost") != 0))
            .select("patient_id", "client_id", "vi_species_id", "invoice_date", "service_id", "quantity_norm")
            .join(prod, "service_id"))
+    for family, launch in launch_dates.items():
+        fth = fth.where((F.col("family_name") != family) | (F.col("invoice_date") >= F.lit(month_start(launch))))
     typ, q = F.col("type"), F.col("quantity_norm")
     per_pat = pats.select("patient_id", "client_id").join(
         fth.groupBy("patient_id").agg(

@@ -195,6 +195,7 @@ from . import admin, text  # noqa: E402
 
 for _name, _fn, _oracle in [
     ("merge_enrollment", admin.merge_enrollment, O.merge_enrollment),
+    ("refresh_enrollment", admin.refresh_enrollment, O.refresh_enrollment),
     ("run_states", admin.run_states, O.run_states),
     ("readiness_profile", admin.readiness, O.readiness),
     ("wellness_by_keywords", text.wellness_by_keywords, O.wellness_by_keywords),

@@ -130,8 +130,8 @@ def last_dose_purchases(t: Tables, ctx: RunContext, pats: DataFrame, starts: Dat
     the clinic's start month to the end month, with same-day appointment
     flags; short NSAID courses near a surgery are dropped."""
     end_excl = add_months(ctx.end_date, 1)
-    lo = starts.agg(F.min("start_date")).first()[0]  # one scalar per run: the scan bound
-    lo = lo.replace(day=1) if lo is not None else add_months(ctx.end_date, -12)
+    # the scan bound: a scalar subquery, so that no job runs while the plan is built
+    lo = starts.agg(F.trunc(F.min("start_date"), "MM").alias("lo")).scalar()
     st = maybe_broadcast(starts.select("h_id", F.trunc("start_date", "MM").alias("start_month")))
     p = pats.select("patient_id", "client_id", "h_id")
     from ..operators.matrix import dental_doses
@@ -165,7 +165,7 @@ def last_dose_purchases(t: Tables, ctx: RunContext, pats: DataFrame, starts: Dat
     q, dv = F.col("quantity"), F.col("dosage_volume")
     min_dvv = b._map(F.col("product"), b.NSAID_MIN_DVV)
     ns = (
-        b.nsaid_sales(t, lo, end_excl).where(~F.col("voided") & (F.col("invoice_date") >= F.lit(lo))
+        b.nsaid_sales(t, lo, end_excl).where(~F.col("voided") & (F.col("invoice_date") >= lo)
                                & (F.col("invoice_date") < F.lit(end_excl)) & F.col("product").isin(*b.NSAID_PRODUCTS)
                                & (F.col("cost") != 0))
         .where(((min_dvv != 0) & q.isNotNull() & (q != 0)) | (min_dvv == 0))

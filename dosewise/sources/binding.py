@@ -95,9 +95,10 @@ def _pick(values: list, idx: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + F.lit(1)).cast("int"))
 
 
-def ts_lit(d: date) -> Column:
-    """A date bound usable against the TIMESTAMP_NTZ columns of the source."""
-    return F.lit(d).cast("timestamp_ntz")
+def ts_lit(d: date | Column) -> Column:
+    """A date bound (a scalar subquery, too) usable against the TIMESTAMP_NTZ
+    columns of the source."""
+    return (d if isinstance(d, Column) else F.lit(d)).cast("timestamp_ntz")
 
 
 # ---------------------------------------------------------------- clinics
@@ -228,7 +229,7 @@ def products(t: Tables) -> DataFrame:
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
-def orders_in(t: Tables, lo: date | None = None, hi: date | None = None) -> DataFrame:
+def orders_in(t: Tables, lo: date | Column | None = None, hi: date | None = None) -> DataFrame:
     """Orders with order day in [lo, hi) (half-open), bound on the raw column."""
     o = t.orders
     if lo is not None:
@@ -238,7 +239,7 @@ def orders_in(t: Tables, lo: date | None = None, hi: date | None = None) -> Data
     return o
 
 
-def lines(t: Tables, lo: date | None = None, hi: date | None = None,
+def lines(t: Tables, lo: date | Column | None = None, hi: date | None = None,
           patients: DataFrame | None = None) -> DataFrame:
     """Invoice lines: lineitem joined to its order (patient, day).
 
@@ -312,16 +313,16 @@ def surgeries(t: Tables) -> DataFrame:
     )
 
 
-def nsaid_sales(t: Tables, lo: date | None = None, hi: date | None = None) -> DataFrame:
+def nsaid_sales(t: Tables, lo: date | Column | None = None, hi: date | None = None) -> DataFrame:
     """NSAID purchase facts from purchase events: value is the cost, the
     JSON ``k`` the quantity, and the dosage volume comes from the user.
     Days from ``lo`` on and before ``hi`` become bounds on the raw ``ts``,
     which the scan can use."""
     e = t.events.where(F.col("event_type") == NSAID_SALE_EVENT)
-    shift = timedelta(days=EVENT_SHIFT_DAYS)
     for bound, hit in ((lo, F.col("ts").__ge__), (hi, F.col("ts").__lt__)):
         if bound is not None:
-            e = e.where(hit(F.lit(f"{bound + shift} 00:00:00").cast("timestamp_ntz")))
+            moved = F.date_add(bound, EVENT_SHIFT_DAYS) if isinstance(bound, Column) else bound + timedelta(days=EVENT_SHIFT_DAYS)
+            e = e.where(hit(ts_lit(moved)))
     return e.select(
         F.col("event_id").alias("lineitem_id"),
         F.col("user_id").alias("patient_id"),

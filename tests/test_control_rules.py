@@ -63,3 +63,45 @@ def test_sale_days_are_bounds_of_the_scan(spark):
     plan = b.nsaid_sales(Tables(spark, "/root/testdata/sf0.01"), day(2001, 6, 5), day(2001, 6, 9))._jdf.queryExecution().toString()
     pushed = plan[plan.index("PushedFilters"):]
     assert "GreaterThanOrEqual(ts" in pushed
+
+
+def test_last_dose_file_is_planned_without_a_job(spark):
+    from dosewise.context import DEFAULT_CONTEXT as ctx
+    from dosewise.plans import last_dose
+    from dosewise.sources.tables import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    for name in ("customer", "orders", "lineitem", "part", "nation", "region", "events"):
+        t[name]  # reading a footer may be a job
+    jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    before = jobs()
+    file = last_dose.last_dose_file(t, ctx)
+    assert jobs() == before
+    assert "scalar-subquery" in file._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_sales_before_the_launch_month_are_no_purchases(spark):
+    from dosewise.context import DEFAULT_CONTEXT as ctx
+    from dosewise.plans import calllist
+    from dosewise.sources import binding as b
+    from dosewise.sources.tables import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.01")
+    families = [r[0] for r in b.products(t).where("type IS NOT NULL").select("family_name").distinct().collect()]
+    seen = ("last_purch_ft_canine", "last_purch_hw_canine", "last_purch_ft_feline", "last_purch_hw_feline")
+    # launched after the window: no client has a purchase; before it: the same as without a rule
+    none = calllist.call_list(t, ctx, {f: date(2001, 8, 1) for f in families})
+    assert none.count() > 0 and none.where(" OR ".join(f"{c} IS NOT NULL" for c in seen)).isEmpty()
+    plain, early = calllist.call_list(t, ctx, {}), calllist.call_list(t, ctx, {f: date(2000, 8, 20) for f in families})
+    assert plain.exceptAll(early).isEmpty() and early.exceptAll(plain).isEmpty()
+
+
+def test_profiled_clinics_are_left_out(spark):
+    from dosewise.context import DEFAULT_CONTEXT as ctx
+    from dosewise.plans import admin
+    from dosewise.sources.tables import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    done = spark.createDataFrame([(3,), (3,), (7,)], "h_id long")
+    every = {r["h_id"] for r in admin.readiness(t, ctx).collect()}
+    assert {r["h_id"] for r in admin.readiness(t, ctx, profiled=done).collect()} == every - {3, 7}
