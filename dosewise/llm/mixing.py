@@ -17,7 +17,8 @@ tree. DataFrame and SQL functions only.
    multivariate hypergeometric, and quotas are conserved exactly. The draws
    come from hashes of node and source: reruns agree.
 4. Shards draw disjoint runs of blocks from the permuted streams, and
-   ``slot`` shuffles the blocks within a shard.
+   ``slot`` shuffles the blocks within a shard. ``mixed_documents`` puts whole
+   documents out in that order: each goes where its first word's block goes.
 """
 
 from __future__ import annotations
@@ -177,6 +178,20 @@ def _taken(epoch: int) -> Column:
     return F.greatest(F.lit(0), F.least(F.col("size"), F.col("take") - epoch * F.col("source_size") - F.col("start"))).cast("long")
 
 
+def _dealt(sources: DataFrame, words: int) -> DataFrame:
+    """(source_no, block, shard, slot): where the tree deals each block, one row a block."""
+    depth = max(0, math.ceil(math.log2(max(1.0, words / SHARD_WORDS))))
+    quotas = split_tree(sources.select("source_no", "blocks"), depth)
+    last = F.sum("blocks").over(Window.partitionBy("source_no").orderBy("shard"))
+    return (
+        quotas.withColumn("last", last).where("blocks > 0")
+        .select("source_no", "shard", F.explode(F.sequence(F.col("last") - F.col("blocks"), F.col("last") - 1)).alias("block"))
+        .withColumn("slot", F.xxhash64("shard", "source_no", "block"))
+        # it grows with the words, which its estimate does not show, so it must not be broadcast
+        .hint("merge")
+    )
+
+
 def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> tuple[DataFrame, DataFrame]:
     """(pieces, rows) of the mix.
 
@@ -188,13 +203,6 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     empty table gives empty results.
     """
     rows, sources, words = streams(docs, id_col, text_col, source_col)
-    depth = max(0, math.ceil(math.log2(max(1.0, words / SHARD_WORDS))))
-    quotas = split_tree(sources.select("source_no", "blocks"), depth)
-    last = F.sum("blocks").over(Window.partitionBy("source_no").orderBy("shard"))
-    shards = (
-        quotas.withColumn("last", last).where("blocks > 0")
-        .select("source_no", "shard", F.explode(F.sequence(F.col("last") - F.col("blocks"), F.col("last") - 1)).alias("block"))
-    )
     placed = _placed(rows, sources)
     runs = placed.select("_source", "_bucket", "_row", "source_no", "source_size", "size", "start", F.explode(F.array(*(
         F.struct(F.lit(e).alias("epoch"), _taken(e).alias("words")) for e in range(CAP)))).alias("r")).where("r.words > 0")
@@ -205,9 +213,7 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     b = F.least("end", (F.col("block") + 1) * BLOCK_WORDS)
     pieces = (
         cuts.withColumn("first", a - F.col("begin")).withColumn("words", b - a)
-        # one row a block: it grows with the words, which its estimate does not show, so it must not be broadcast
-        .join(shards.hint("merge"), ["source_no", "block"])
-        .withColumn("slot", F.xxhash64("shard", "source_no", "block"))
+        .join(_dealt(sources, words), ["source_no", "block"])
         .select("_source", "_bucket", "_row", "epoch", "first", "words", "block", "shard", "slot")
     )
     return pieces, placed
@@ -222,15 +228,32 @@ def mix_digest(docs: DataFrame) -> DataFrame:
         F.col("_id").alias("doc_id"), "size", F.col("source_size").cast("long").alias("source_size"), "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
+def mixed_rows(docs: DataFrame) -> DataFrame:
+    """(_doc, size, source_no, begin, took, block, shard, slot): one row for
+    each reading of a document that the mix takes words of, whole in the block
+    where it begins, and so in that block's shard. A shard's words of a source
+    are its quota of blocks but for the documents over the two ends of its run
+    of blocks: they differ by less than the longest document."""
+    rows, sources, words = streams(docs)
+    epochs = F.explode(F.array(*(F.struct(F.lit(e).alias("epoch"), _taken(e).alias("took")) for e in range(CAP))))
+    begin = F.col("start") + F.col("r.epoch") * F.col("source_size")
+    return (
+        _placed(rows, sources).withColumn("r", epochs).where("r.took > 0")
+        .select("_doc", "size", "source_no", begin.alias("begin"), F.col("r.took").alias("took"), F.floor(begin / BLOCK_WORDS).alias("block"))
+        .join(_dealt(sources, words), ["source_no", "block"])
+    )
+
+
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The documents of the mix with the columns of docs: a document taken
-    twice gives two rows; one that is cut (at most one a source) gives the
-    words taken, separated by single spaces, with n_chars set to match."""
-    rows, sources, _ = streams(docs)
-    out = _placed(rows, sources).withColumn("_took", F.explode(F.array(*(_taken(e) for e in range(CAP))))).where("_took > 0")
+    """The documents of the mix with the columns of docs, in the order of
+    their shards and, within a shard, of its shuffled blocks: so the shards
+    are runs of the output's partitions and rows. A document taken twice gives
+    two rows; one that is cut (at most one a source) gives the words taken,
+    separated by single spaces, with n_chars set to match."""
+    out = mixed_rows(docs).orderBy("shard", "slot", "source_no", "begin")
     words = F.filter(F.split("_doc.text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    cut_off = F.col("_took") < F.col("size")
-    text = F.when(cut_off, F.array_join(F.slice(words, 1, F.col("_took").cast("int")), " ")).otherwise(F.col("_doc.text"))
+    cut_off = F.col("took") < F.col("size")
+    text = F.when(cut_off, F.array_join(F.slice(words, 1, F.col("took").cast("int")), " ")).otherwise(F.col("_doc.text"))
     out = out.withColumn("_text", text)
     new = {"text": F.col("_text")}
     if "n_chars" in docs.columns:

@@ -4,6 +4,7 @@ import functools
 import itertools
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -396,6 +397,39 @@ def test_mix_of_odd_rows(spark, monkeypatch):
     assert mixing.mix_digest(docs.limit(0)).count() == 0 == mixing.mixed_documents(docs.limit(0)).count()
 
 
+@pytest.mark.parametrize("sizes", [(8,), (1, 2, 5, 13, 40)])
+def test_mixed_documents_come_in_the_shards_and_slots_of_the_tree(spark, monkeypatch, sizes):
+    monkeypatch.setattr(mixing, "BLOCK_WORDS", 8)
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 512)
+    rows = [(i, " ".join(f"d{i}w{j}" for j in range(sizes[i % len(sizes)])), "en", "aaaabbbcd"[i % 9], None) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    _, sources, words = mixing.streams(docs)
+    depth = (words - 1).bit_length() - 9
+    number = {r["source"]: r["source_no"] for r in sources.collect()}
+    take = {r["source_no"]: r["take"] for r in sources.collect()}
+    quota, last, run = {}, Counter(), {}
+    for r in sorted(mixing.split_tree(sources.select("source_no", "blocks"), depth).collect()):
+        s, n = r["source_no"], r["blocks"]
+        quota[r["shard"], s] = min((last[s] + n) * 8, take[s]) - min(last[s] * 8, take[s])
+        run |= {(s, b): r["shard"] for b in range(last[s], last[s] + n)}
+        last[s] += n
+    assert depth >= 3 and len({shard for shard, _ in quota}) == 1 << depth
+    out = [(r["doc_id"], len(r["text"].split()), number[r["source"]]) for r in mixing.mixed_documents(docs).collect()]
+    planned = [(r["_doc"]["doc_id"], r["took"], r["source_no"], r["shard"], r["slot"], r["begin"], r["block"]) for r in mixing.mixed_rows(docs).collect()]
+    planned.sort(key=lambda r: (r[3], r[4], r[2], r[5]))
+    assert out == [r[:3] for r in planned]  # the output's order is the plan's
+    assert all(run[s, block] == shard and block == begin // 8 for _, _, s, shard, _, begin, block in planned)
+    total = Counter()
+    for (_, took, s), (_, _, _, shard, *_) in zip(out, planned):
+        total[shard, s] += took
+    off = max(abs(total[k] - quota[k]) for k in quota)
+    assert off == 0 if sizes == (8,) else off < max(sizes)
+    firsts = {(r["doc_id"], r["epoch"]): r["shard"] for r in (lambda p, d: p.where("first = 0").join(d.select("_source", "_bucket", "_row", F.col("_id").alias("doc_id")), ["_source", "_bucket", "_row"]))(*mixing.mix_plan(docs)).collect()}
+    assert Counter((d, shard) for (d, _), shard in firsts.items()) == Counter((r[0], r[3]) for r in planned)
+    blocks = list(dict.fromkeys((r[3], r[2], r[6]) for r in planned))
+    assert blocks != sorted(blocks)  # shuffled within the shards
+
+
 # ---------------------------------------------------------------- URL rules
 
 def test_url_parts_lists_and_rules(spark):
