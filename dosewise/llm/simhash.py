@@ -28,7 +28,7 @@ import itertools
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_map, cut, quoted
@@ -87,15 +87,18 @@ def fingerprints(texts: list[str | None], width: int = 3) -> np.ndarray:
     return np.packbits(on.reshape(-1, 8, 8), axis=2, bitorder="little").reshape(-1, 8).view(">u8").ravel().astype(np.uint64)
 
 
-def with_fingerprint(docs: DataFrame, id_col: str, text_col: str, width: int = 3) -> DataFrame:
-    """(doc_id long, fp long): one row for each row of docs; fp holds the 64 bits."""
+def with_fingerprint(docs: DataFrame, id_col: str, text_col: str, width: int = 3, carry: dict[str, Column] | None = None) -> DataFrame:
+    """(doc_id long, fp long, and the columns of ``carry``): one row for each row of docs; fp holds the 64 bits."""
+    more = [c.alias(n) for n, c in (carry or {}).items()]
+    read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *more)
+    names = ["doc_id", "fp", *(carry or {})]
 
     def run(batches):
         for b in batches:
             fps = fingerprints(b.column(1).to_pylist(), width)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64)), *b.columns[2:]], names)
 
-    return arrow_map(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), run, "doc_id long, fp long")
+    return arrow_map(read, run, ", ".join(["doc_id long", "fp long", *(f"{f.name} {f.dataType.simpleString()}" for f in read.schema.fields[2:])]))
 
 
 # --- variants: the keys that are shuffled, and those made after the shuffle
@@ -273,6 +276,20 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
     return rows.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_collide, "u long, v long")
 
 
+def _grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, carry: dict[str, Column] | None = None) -> DataFrame:
+    """(doc_id, fp, root, component_id, and the columns of ``carry``): one row
+    for each row of docs; root, a fingerprint, names the component also where
+    its rows have no or repeated ids."""
+    fp = cut(with_fingerprint(docs, id_col, text_col, width, carry))
+    own = cut(fp.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    root = connected_components(fingerprint_links(own.select("fp")))
+    named = own.join(root, own["fp"] == root["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    named = cut(named)
+    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    by_fp = named.select("fp", "root").join(least, "root").select("fp", "root", "component_id")
+    return fp.join(by_fp, "fp").select("doc_id", "fp", "root", "component_id", *(carry or {}))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
     """(doc_id, fp, fingerprint, component_id): one row for each row of docs.
 
@@ -283,31 +300,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     has no other); an empty table gives an empty result. Other columns are
     not read.
     """
-    fp = cut(with_fingerprint(docs, id_col, text_col, width))
-    own = cut(fp.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    root = connected_components(fingerprint_links(own.select("fp")))
-    named = own.join(root, own["fp"] == root["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = cut(named)
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = named.select("fp", "root").join(least, "root").select("fp", "component_id")
-    return fp.join(by_fp, "fp").select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return _grouped(docs, id_col, text_col, width).select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """docs without the documents that are near-duplicates of one kept: of
-    each component the row with the least doc_id stays, whole. Of rows with
-    the same doc_id the first by text stays; rows without a doc_id can't be
-    named as copies and stay."""
-    found = cut(near_duplicates(docs).select("doc_id", "component_id").where("doc_id IS NOT NULL"))
-    by_id = found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("first"), F.count("*").alias("times"))
-    gone = by_id.where(~F.col("first")).select(F.col("doc_id").alias("_gone"))
-    kept = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
-    twice = by_id.where(F.col("first") & (F.col("times") > 1)).select(F.col("doc_id").alias("_twice"))
+    each component the row with the least doc_id stays, whole, the first by
+    text if it has several of that id. Rows are told apart by id and text, so
+    rows of one id with unlike texts are decided each in its own component;
+    rows without a doc_id can't be named as copies and stay."""
+    rows = cut(_grouped(docs, carry={"hash": F.xxhash64("text")}).where("doc_id IS NOT NULL").select("doc_id", "hash", "root", "component_id"))
+    by_key = rows.groupBy("doc_id", "hash").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("first"), F.min("root").alias("root"), F.count("*").alias("times"))
+    gone = by_key.where(~F.col("first")).select(F.col("doc_id").alias("_gone"), F.col("hash").alias("_gone_hash"))
+    kept = docs.join(gone, (docs["doc_id"] == gone["_gone"]) & (F.xxhash64(docs["text"]) == gone["_gone_hash"]), "left_anti")
+    stay = by_key.where("first")
+    twice = cut(stay.join(stay.groupBy("doc_id", "root").agg(F.sum("times").alias("all")).where("all > 1"), ["doc_id", "root"])
+                .select(F.col("doc_id").alias("_twice"), F.col("hash").alias("_twice_hash"), "root"))
     if twice.isEmpty():
         return kept
-    nth = "_n"
-    while nth in [c.lower() for c in docs.columns]:
-        nth += "_"
-    order = Window.partitionBy("doc_id").orderBy("text", *quoted(docs.drop("doc_id", "text")))
-    repeated = kept.join(twice, kept["doc_id"] == twice["_twice"], "left_semi").withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1).drop(nth)
-    return kept.join(twice, kept["doc_id"] == twice["_twice"], "left_anti").unionByName(repeated)
+    nth, part = "_n", "_part"
+    while {nth, part} & {c.lower() for c in docs.columns}:
+        nth, part = nth + "_", part + "_"
+    same = (kept["doc_id"] == twice["_twice"]) & (F.xxhash64(kept["text"]) == twice["_twice_hash"])
+    order = Window.partitionBy("doc_id", part).orderBy("text", *quoted(docs.drop("doc_id", "text")))
+    repeated = kept.join(twice, same).select(*(kept[f"`{c}`"] for c in docs.columns), twice["root"].alias(part)).withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1).drop(nth, part)
+    return kept.join(twice, same, "left_anti").unionByName(repeated)

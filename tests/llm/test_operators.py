@@ -101,6 +101,13 @@ def test_near_duplicates_of_odd_rows(spark):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_keep_one_decides_each_row_of_a_repeated_id_in_its_own_component(spark):
+    copied, lone, other = (" ".join(f"{w}{i}" for i in range(60)) for w in ("copy", "lone", "another"))
+    rows = [(2, copied), (5, copied), (5, lone), (7, other), (7, other.upper()), (7, other), (9, lone + " "), (None, "no id at all")]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"] or -1, r["text"]) for r in kept) == [(-1, "no id at all"), (2, copied), (5, lone), (7, other.upper())]
+
+
 # ---------------------------------------------------------------- classifiers
 
 def test_factorisation_machine_identity():
