@@ -8,7 +8,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from dosewise.llm import mixing, packing, pii, quality_fm, simhash
 from dosewise.llm.common import table
@@ -37,11 +36,10 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are packed into bins. The near-duplicates that are left are
-    the readings of a document taken twice, one of them perhaps cut: the
-    cluster is the document (its text where it has no id), so a document
-    never shares a bin with itself."""
-    cluster = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
-    return packing.pack(docs, cluster=cluster)
+    the readings of a document taken twice, one of them perhaps cut, and texts
+    that masking has made alike: the clusters are those of this stage's own
+    input, so neither kind shares a bin."""
+    return packing.pack_apart(docs)
 
 
 STAGES = [("quality", quality), ("near_dedup", near_dedup), ("personal_data", personal_data), ("mix", mix), ("pack", pack)]

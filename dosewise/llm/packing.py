@@ -24,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import word_count
+from . import simhash
+from .common import cut, word_count
 
 CAPACITY = 2048
 SHARD_ROWS = 4096
@@ -158,3 +159,12 @@ def pack(docs: DataFrame, cluster: Column | None = None, size: Column | None = N
     parts = max(1, min(shards, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     ordered = dealt.repartition(parts, "shard").sortWithinPartitions("shard", F.col("size").desc(), "doc_id", "cluster", "source")
     return ordered.mapInArrow(run, PACKED)
+
+
+def pack_apart(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """``pack`` with the near-duplicates among docs, and the rows of one
+    doc_id, as the clusters; nothing but ids, sources, sizes and clusters
+    comes back from the search for them."""
+    carry = {"source": F.col("source").cast("string"), "size": word_count(F.col("text"))}
+    found = cut(simhash.duplicate_clusters(docs, carry))
+    return pack(found, cluster=F.col("cluster"), size=F.col("size"), capacity=capacity)

@@ -303,6 +303,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return _grouped(docs, id_col, text_col, width).select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def duplicate_clusters(docs: DataFrame, carry: dict[str, Column]) -> DataFrame:
+    """(doc_id, cluster, and the columns of ``carry``): one row for each row of
+    docs. Near-duplicates share a cluster, and so do the rows of one doc_id,
+    with all that is near to either."""
+    rows = cut(_grouped(docs, carry=carry).select("doc_id", "root", *carry))
+    pairs = rows.where("doc_id IS NOT NULL").select("doc_id", "root").distinct()
+    apart = pairs.groupBy("doc_id").agg(F.min("root").alias("u"), F.count("*").alias("n")).where("n > 1")
+    links = cut(pairs.join(apart, "doc_id").select("u", F.col("root").alias("v")))
+    if links.isEmpty():
+        return rows.withColumnRenamed("root", "cluster")
+    one = connected_components(links).select("node", F.col("root").alias("_one"))
+    return rows.join(one, rows["root"] == one["node"], "left").select("doc_id", F.coalesce("_one", "root").alias("cluster"), *carry)
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """docs without the documents that are near-duplicates of one kept: of
     each component the row with the least doc_id stays, whole, the first by

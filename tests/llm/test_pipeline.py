@@ -59,3 +59,19 @@ def test_stages_keep_columns_with_clashing_names(spark, tmp_path):
         if name != "pack":
             assert got.columns == docs.columns
             assert all(r[c] == (None if r["doc_id"] is None else f"{c}{r['doc_id']}") for r in rows for c in extra)
+
+
+def test_texts_that_masking_makes_alike_share_no_bin(spark):
+    line = " ".join(f"w{i}" for i in range(40))
+    rows = [(i, f"{line} mail {'abcdefgh'[i] * 9}.{i}@mail{i}.example.com", "en", f"s{i}", None) for i in range(8)]
+    rows += [(100 + i, " ".join(f"x{i}y{j}" for j in range(40)), "en", f"t{i}", None) for i in range(8)]
+    # a document's cut reading, unlike the whole: apart from it, and from what is near to either
+    whole = " ".join(f"u{i}" for i in range(60))
+    rows += [(50, whole, "en", "u", None), (50, " ".join(whole.split()[:9]), "en", "v", None), (51, whole.upper(), "en", "w", None), (52, " ".join(whole.upper().split()[:9]), "en", "z", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    masked = corpus_pipeline.personal_data(spark, docs, SF)
+    got = corpus_pipeline.pack(spark, masked, SF).collect()
+    assert len(got) == len(rows)
+    for ids in (range(8), range(50, 53)):
+        bins = [(r["shard"], r["bin"]) for r in got if r["doc_id"] in ids]
+        assert len(bins) == len(set(bins))
