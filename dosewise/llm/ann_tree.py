@@ -4,7 +4,8 @@ tree, best-bin-first.
 The tree is grown on the driver from a sample of at most ``SAMPLE`` vectors;
 every vector is indexed, in the leaf it descends to. A query walks the tree
 through a priority queue on the inner product with the centres and so meets
-the leaves in the order of their promise. How many it visits is calibrated:
+the leaves in the order of their promise; only leaves with rows count, and a query
+goes on until it has met enough rows for a full list. How many it visits is calibrated:
 for at most ``CALIBRATE`` queries the exact neighbours among all vectors are
 found, and visits are widened until ``TARGET`` of those lie in visited
 leaves. Leaves are searched on Spark, as a join of blocks of vectors with the
@@ -55,16 +56,19 @@ class Tree:
                     todo.append((child, part))
         return out
 
-    def visits(self, q: np.ndarray, most: int) -> list[int]:
-        """The first ``most`` leaves by best bin first."""
+    def visits(self, q: np.ndarray, most: int, counts: dict[int, int], least: int = 0) -> list[int]:
+        """The first ``most`` leaves that hold rows (``counts``), best bin first,
+        and more until they hold ``least`` rows together, if there are as many."""
         if not self.children:
             return [0]
         out: list[int] = []
-        heap = [(0.0, 0)]
-        while heap and len(out) < most:
+        held, heap = 0, [(0.0, 0)]
+        while heap and (len(out) < most or held < least):
             _, node = heapq.heappop(heap)
             if node < 0:
-                out.append(-1 - node)
+                if n := counts.get(-1 - node):
+                    out.append(-1 - node)
+                    held += n
                 continue
             for p, child in zip((-(self.centres[node] @ q)).tolist(), self.children[node]):
                 heapq.heappush(heap, (p, child))
@@ -184,7 +188,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = K, id_col: str = "vec_
         return spark.createDataFrame([], schema)
     qids, queries = np.array([r["vec_id"] for r in chosen]), np.array([r["vec"] for r in chosen])
     true = _brute(rows, qids, queries, dim, tree, k).join(placed.select("vec_id", "leaf"), "vec_id").select("query_id", "leaf").collect()
-    places = {q: {leaf: i for i, leaf in enumerate(tree.visits(v, tree.leaves))} for q, v in zip(qids.tolist(), queries)}
+    places = {q: {leaf: i for i, leaf in enumerate(tree.visits(v, tree.leaves, counts))} for q, v in zip(qids.tolist(), queries)}
     needed = np.sort([places[r["query_id"]][r["leaf"]] + 1 for r in true]) if true else np.array([1])
     width = int(needed[min(len(needed) - 1, int(np.ceil(target * len(needed))) - 1)])
 
@@ -194,9 +198,8 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = K, id_col: str = "vec_
             for at in range(0, len(ids), CHUNK):
                 by: dict[int, list[int]] = {}
                 for i in range(at, min(at + CHUNK, len(ids))):
-                    for leaf in tree.visits(vecs[i], width):
-                        if leaf in counts:
-                            by.setdefault(leaf, []).append(i)
+                    for leaf in tree.visits(vecs[i], width, counts, k + 1):  # its own row and k others
+                        by.setdefault(leaf, []).append(i)
                 keys, rows_ = [], []
                 for leaf, r in by.items():
                     for sub in range(subs_of(counts[leaf])):

@@ -302,6 +302,16 @@ def test_nearest_neighbours_recall_and_scores(spark):
     assert ann_tree.nearest(frame.limit(0)).count() == 0
 
 
+def test_queries_in_small_leaves_get_full_lists(spark, monkeypatch):
+    monkeypatch.setattr(ann_tree, "LEAF_ROWS", 4)
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(60, 8))
+    rows = [(i, (centres[i % 60] + 1e-4 * rng.normal(size=8)).tolist()) for i in range(300)]
+    got = ann_tree.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), target=0.05).collect()
+    lists = Counter(r["query_id"] for r in got)
+    assert lists == {q: 20 for q in range(0, 300, 20)}
+
+
 def test_fewer_candidates_than_k(spark):
     few = spark.createDataFrame([(0, [1.0, 2.0]), (20, [0.5, 0.5]), (1, [3.0, 1.0])], "vec_id long, embedding array<double>")
     assert [tuple(r) for r in ann_tree.nearest(few).sort("query_id", "rank").collect()] == [(0, 1, 1, 5.0), (0, 2, 20, 1.5), (20, 1, 1, 2.0), (20, 2, 0, 1.5)]
