@@ -24,7 +24,7 @@ def op4_ann_kmeans_tree(spark, sf_dir):
 
 
 def op5_best_fit_packing(spark, sf_dir):
-    return packing.pack(table(spark, sf_dir, "documents"))
+    return packing.pack_apart(table(spark, sf_dir, "documents"))
 
 
 def op6_url_rules(spark, sf_dir):

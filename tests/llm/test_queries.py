@@ -31,3 +31,11 @@ def test_one_row_for_each_document(spark, name):
 
 def test_pipeline_is_registered(spark):
     assert "pipeline" in E.queries() and set(queries.QUERIES) <= set(E.queries())
+
+
+def test_op5_keeps_near_copies_of_other_sources_apart(spark, tmp_path):
+    line = " ".join(f"w{i}" for i in range(400))
+    rows = [(i, line.upper() if i % 2 else line + " " * i, "en", f"s{i}", None) for i in range(6)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.op5_best_fit_packing(spark, str(tmp_path)).collect()
+    assert len({(r["shard"], r["bin"]) for r in got}) == len(got) == 6
