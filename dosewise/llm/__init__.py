@@ -1,6 +1,6 @@
 """Training-data pipeline operators (near-duplicates, quality, personal data,
 nearest neighbours, packing, URL filters, mixing, toxicity, token counts,
-exact top-k). Nothing else in the library imports this subpackage."""
+exact top-k, secrets, periodic runs, Merkle manifest). Nothing else in the library imports this subpackage."""
 
 import sys
 

@@ -85,3 +85,58 @@ SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
   array_to_string(a, ' ') AS mined
 FROM k LEFT JOIN (SELECT * FROM m WHERE place = 1) b ON k.n = b.n
 """
+
+
+def _leaf(n_chars: str) -> str:
+    fields = [f"coalesce(strlen({x}::VARCHAR) || ':' || {x}::VARCHAR, '-')" for x in ("doc_id", "source", "lang", n_chars, "text")]
+    return f"sha256({' || '.join(fields)})"
+
+
+def _levels(name: str, leaves: str) -> str:
+    return f"""{name} AS (
+  SELECT tree, 0 AS level, i, h FROM {leaves}
+  UNION ALL
+  SELECT tree, level + 1, i // 2, sha256(string_agg(h, '' ORDER BY i))
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS m FROM {name}) WHERE m > 1 GROUP BY tree, level + 1, i // 2
+)"""
+
+
+def _fold(name: str, start: str, nodes: str) -> str:
+    return f"""{name} AS (
+  {start}
+  UNION ALL
+  SELECT n, f.tree, f.level + 1, f.i // 2,
+    CASE WHEN u.h IS NULL THEN sha256(node) WHEN u.i < f.i THEN sha256(u.h || node) ELSE sha256(node || u.h) END, proof || coalesce(u.h, ''), leaf
+  FROM {name} f JOIN {nodes}_top t ON t.tree = f.tree LEFT JOIN {nodes} u ON u.tree = f.tree AND u.level = f.level AND u.i = xor(f.i, 1)
+  WHERE f.level < t.level
+)"""
+
+
+OP13 = f"""
+WITH RECURSIVE bits AS (
+  SELECT range AS i, range AS c, 0 AS k FROM range(256)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8
+), tab AS (
+  SELECT list(c ORDER BY i) AS v FROM bits WHERE k = 8
+), crc AS (
+  SELECT doc_id, doc_id::VARCHAR AS s, 0 AS k, 4294967295 AS c FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)
+  UNION ALL SELECT doc_id, s, k + 1, xor(c >> 8, v[(xor(c, ord(s[k + 1])) & 255) + 1]) FROM crc, tab WHERE k < length(s)
+), bad AS (
+  SELECT doc_id FROM crc WHERE k = length(s) AND xor(c, 4294967295) % 7 = 0
+), rows AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS tree, {_leaf("n_chars")} AS h, {_leaf("(n_chars + 1)")} AS changed FROM documents
+), leaves AS (
+  SELECT row_number() OVER () AS n, r.doc_id, tree, h, CASE WHEN bad.doc_id IS NULL THEN h ELSE changed END AS forged,
+    row_number() OVER (PARTITION BY tree ORDER BY r.doc_id NULLS FIRST, h) - 1 AS i
+  FROM rows r LEFT JOIN bad ON r.doc_id = bad.doc_id
+), {_levels("low", "leaves")}, low_top AS (
+  SELECT tree, max(level) AS level, arg_max(h, level) AS h FROM low GROUP BY tree
+), subroots AS (
+  SELECT '' AS tree, tree AS name, h, row_number() OVER (ORDER BY tree) - 1 AS i FROM low_top
+), {_levels("high", "subroots")}, high_top AS (
+  SELECT tree, max(level) AS level, arg_max(h, level) AS h FROM high GROUP BY tree
+), {_fold("a", "SELECT n, tree, 0 AS level, i, forged AS node, '' AS proof, h AS leaf FROM leaves", "low")},
+{_fold("b", "SELECT n, '' AS tree, 0 AS level, s.i, node, proof, s.name AS leaf FROM a JOIN low_top t ON a.tree = t.tree AND a.level = t.level JOIN subroots s ON s.name = a.tree", "high")}
+SELECT l.doc_id, l.h AS leaf, s.h AS subroot, t.h AS root, sha256(b.proof) AS proof_sha256, b.node AS folded_root, b.node = t.h AS verified
+FROM b JOIN high_top t ON b.level = t.level JOIN leaves l ON l.n = b.n JOIN subroots s ON s.name = l.tree
+"""
