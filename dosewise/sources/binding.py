@@ -5,8 +5,9 @@ lines. The supplied Parquet tables are a TPC-H-like star schema, so this
 module maps them onto that vocabulary once; every report reads only these
 functions. The same mapping is written in SQL in ``dosewise.checks.oracle``.
 
-All windows are applied to the raw ``o_orderdate`` column so the bound
-reaches the Parquet scan (``PushedFilters``) instead of sitting above a cast.
+Windows of lines prune the months of the line fact; those of orders and events
+are applied to the raw columns, so that the bound reaches the Parquet scan
+(``PushedFilters``) instead of sitting above a cast.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .facts import LINE_KEY, MONTH, month_of
 from .tables import Tables
 
 # --- fixed values of the binding (our own mapping, not reference data) ---
@@ -107,9 +109,10 @@ def clinics(t: Tables) -> DataFrame:
 
     Bounded by the number of clinics, so callers may broadcast it."""
     n = F.col("n_nationkey").cast("long")
+    nation = t.nation if t.clinics is None else t.nation.where(F.col("n_nationkey").isin(*t.clinics))
     reg = t.region.select("r_regionkey", "r_name")
     return (
-        t.nation.join(reg, F.col("n_regionkey") == F.col("r_regionkey"), "left")
+        nation.join(reg, F.col("n_regionkey") == F.col("r_regionkey"), "left")
         .select(
             n.alias("h_id"),
             (F.lit(1000) + n).alias("location_number"),
@@ -131,12 +134,23 @@ def species_of(segment: Column) -> Column:
     return _map(segment, SPECIES_BY_SEGMENT, 5).cast("int")
 
 
+def _in_scope(t: Tables) -> DataFrame:
+    """Customers; in a scoped run the patients of its clinics and those of its clinics' clients."""
+    c = t.customer
+    if t.clinics is None:
+        return c
+    ours = F.col("c_nationkey").isin(*t.clinics)
+    heads = c.where(ours & (F.col("c_custkey") % 3 == 0)).select(F.explode(F.sequence(F.col("c_custkey"), F.col("c_custkey") + 2)).alias("c_custkey"))
+    keys = c.where(ours).select("c_custkey").union(heads).distinct()
+    return c.join(keys, "c_custkey", "left_semi")
+
+
 def patients(t: Tables, species: tuple | None = None) -> DataFrame:
     """patient_ref: one row per customer. ``species`` restricts to those
     species ids through a filter on the raw segment column, so the
     restriction reaches the Parquet scan."""
     k = F.col("c_custkey")
-    c = t.customer
+    c = _in_scope(t)
     if species is not None:
         segs = [s for s, sp in SPECIES_BY_SEGMENT.items() if sp in species]
         c = c.where(F.col("c_mktsegment").isin(*segs)) if 5 not in species else c
@@ -170,7 +184,10 @@ def clients(t: Tables) -> DataFrame:
     contact fields of the household."""
     k = F.col("c_custkey")
     n = F.col("c_nationkey")
-    return t.customer.where((k % 3) == 0).select(
+    c = t.customer.where((k % 3) == 0)
+    if t.clinics is not None:
+        c = c.where(n.isin(*t.clinics))
+    return c.select(
         (k / 3).cast("long").alias("client_id"),
         n.cast("long").alias("h_id"),
         F.col("c_name").alias("last_name"),
@@ -226,64 +243,40 @@ def products(t: Tables) -> DataFrame:
 
 
 # ----------------------------------------------------------------- lines
-LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-
-
-def orders_in(t: Tables, lo: date | Column | None = None, hi: date | None = None) -> DataFrame:
-    """Orders with order day in [lo, hi) (half-open), bound on the raw column."""
-    o = t.orders
-    if lo is not None:
-        o = o.where(F.col("o_orderdate") >= ts_lit(lo))
-    if hi is not None:
-        o = o.where(F.col("o_orderdate") < ts_lit(hi))
-    return o
-
-
 def lines(t: Tables, lo: date | Column | None = None, hi: date | None = None,
           patients: DataFrame | None = None) -> DataFrame:
-    """Invoice lines: lineitem joined to its order (patient, day).
+    """Invoice lines of the line fact (see ``facts``).
 
-    ``lo``/``hi`` restrict the invoice day to [lo, hi). The runtime bloom
-    filter carries the order-date restriction over to the lineitem scan.
+    ``lo``/``hi`` restrict the invoice day to [lo, hi): as months they prune
+    the fact's partitions, as days they are pushed to its files. In a scoped
+    run, so is the clinic of the patient or of the client.
 
-    ``patients`` (keyed by ``patient_id``) is joined to the *orders* before
-    the lineitem join and its columns are carried along: at scale the line
-    rows are then shuffled once (by order key) instead of a second time by
-    patient, and a restrictive patient set shrinks the orders side first.
+    ``patients`` (keyed by ``patient_id``) is joined to the lines and its
+    columns are carried along.
     """
-    o = orders_in(t, lo, hi).select(
-        "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus"
-    )
+    x = t.line_fact().read()
+    if lo is not None:
+        lo = lo if isinstance(lo, Column) else F.lit(lo)
+        x = x.where((F.col(MONTH) >= month_of(lo)) & (F.col("invoice_date") >= lo))
+    if hi is not None:
+        last = F.lit(hi - timedelta(days=1))
+        x = x.where((F.col(MONTH) <= month_of(last)) & (F.col("invoice_date") < F.lit(hi)))
+    if t.clinics is not None:
+        x = x.where(F.col("h_id").isin(*t.clinics) | F.col("client_h_id").isin(*t.clinics))
     extra: list[str] = []
+    x = x.drop("h_id", "client_h_id", MONTH)
     if patients is not None:
         extra = [c for c in patients.columns if c not in ("patient_id", "client_id")]
-        p = patients.select(F.col("patient_id").alias("o_custkey"), *extra)
-        o = o.join(p, "o_custkey")
-    li = t.lineitem.select(
-        *LINE_KEY, "l_quantity", "l_extendedprice", "l_discount", "l_returnflag"
-    )
-    return li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        *extra,
-        *LINE_KEY,
-        F.col("o_custkey").alias("patient_id"),
-        F.floor(F.col("o_custkey") / 3).cast("long").alias("client_id"),
-        F.col("o_orderkey").alias("invoice_number"),
-        F.col("o_orderdate").cast("date").alias("invoice_date"),
+        x = x.join(patients.select("patient_id", *extra), "patient_id")
+    return x.select(
+        *extra, *LINE_KEY, "patient_id", "client_id",
+        F.col("l_orderkey").alias("invoice_number"),
+        "invoice_date",
         F.col("l_partkey").alias("service_id"),
-        F.col("l_quantity").cast("decimal(18,4)").alias("quantity"),
-        F.ceil(F.col("l_quantity") / 10).cast("int").alias("quantity_norm"),
-        line_cost().alias("cost"),
-        (F.col("l_returnflag") == "R").alias("voided"),
+        "quantity", "quantity_norm", "cost", "voided", "line_seq",
     )
 
 
-def line_cost() -> Column:
-    """Net line amount, exact: decimal(18,2) price times decimal(4,2) factor."""
-    price = F.col("l_extendedprice").cast("decimal(18,2)")
-    disc = F.col("l_discount").cast("decimal(4,2)")
-    return (price * (F.lit(1).cast("decimal(4,2)") - disc)).cast("decimal(18,4)")
-
-
 # ---------------------------------------------------------------- events
 def _event_day(ts: str = "ts") -> Column:
     return F.date_sub(F.col(ts).cast("date"), EVENT_SHIFT_DAYS)

@@ -7,10 +7,13 @@ pushdown happen in the scan. Each table is read at most once per
 
 from __future__ import annotations
 
+import copy
 import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .facts import LineFact, line_fact
+
 TABLE_NAMES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -21,7 +24,22 @@ class Tables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.clinics: tuple[int, ...] | None = None  # the clinics of a scoped run; None for all
         self._cache: dict[str, DataFrame] = {}
+        self._facts: dict = {}
+
+    def scoped(self, clinics) -> Tables:
+        """The same tables for a run over some clinics: clinics, patients,
+        clients and lines (``binding``) are cut to them at their scans."""
+        out = copy.copy(self)  # readers and the line fact are shared
+        out.clinics = tuple(sorted(clinics))
+        return out
+
+    def line_fact(self) -> LineFact:
+        """The invoice-line fact, built at its first use (see ``facts``)."""
+        if "lines" not in self._facts:
+            self._facts["lines"] = line_fact(self)
+        return self._facts["lines"]
 
     def path(self, name: str) -> str:
         p = f"{self.root}/{name}.parquet"
