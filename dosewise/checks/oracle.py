@@ -1573,7 +1573,7 @@ def control_cte(ctx: RunContext) -> str:
     return f"""ctl AS (
   SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.patient_id, l.client_id, l.invoice_date,
     l.quantity_norm, l.quantity AS line_quantity, l.cost, p.h_id, p.vi_species_id, pr.product, pr.family_name, pr.type, pr.service_kind,
-    pr.product_info, c.start_date, coalesce(p.is_active AND NOT p.is_deceased AND p.vi_species_id IN (3, 7), false) AS in_control
+    pr.product_info, c.start_date, {d(end)} AS end_day, coalesce(p.is_active AND NOT p.is_deceased AND p.vi_species_id IN (3, 7), false) AS in_control
   FROM lines l JOIN patients p ON p.patient_id = l.patient_id
   LEFT JOIN products pr ON pr.service_id = l.service_id JOIN clinics c ON c.h_id = p.h_id
   WHERE NOT l.voided AND l.client_id IS NOT NULL AND l.invoice_date >= {d(lo)} AND l.invoice_date < {d(hi)})"""
@@ -1597,9 +1597,9 @@ def _last_product(base: str, tag: str, camp: str) -> str:
     GROUP BY client_id) q_{tag} ON q_{tag}.client_id = c.client_id"""
 
 
-# written from the reference's stages: every one joins the control clients' patients, all but medication need a cost
+# written from the reference's stages: every one joins the control clients' patients and needs a cost; medication counts months end-23..end
 CONTROL_SERVICE_SQL = {
-    "pm": "in_control AND service_kind = 'nsaid'",
+    "pm": "in_control AND cost <> 0 AND service_kind = 'nsaid' AND date_trunc('month', invoice_date) >= date_trunc('month', end_day) - INTERVAL 23 MONTH",
     "dental": "in_control AND cost <> 0 AND service_kind = 'general' AND product_info = 'Surgery - dental'",
     "surg": "in_control AND cost <> 0 AND service_kind = 'general' AND product_info LIKE 'Surgery%' AND product_info <> 'Surgery - dental'",
     "vacc": "in_control AND cost <> 0 AND service_kind = 'vaccine'",

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import date
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,6 +23,37 @@ def latest_by(value: Column, *order: Column) -> Column:
     return F.max_by(value, F.struct(*order))
 
 
+# A line's place among its client's lines in one long: day, line_seq (below
+# 2^32) and a small value of the line (below 256), so that "the value of the
+# latest line" is the maximum of a fixed-width number, which hash aggregates keep.
+_SEQ, _DAY = 1 << 8, 1 << 40
+
+
+def packed(day: Column, seq: Column, value: Column) -> Column:
+    """Orders as (day, seq, value) does; NULL if one of them is."""
+    return F.unix_date(day).cast("long") * _DAY + seq.cast("long") * _SEQ + value.cast("long")
+
+
+def packed_day(p: Column) -> Column:
+    return F.date_from_unix_date(F.shiftright(p, 40).cast("int"))
+
+
+def packed_value(p: Column) -> Column:
+    return F.pmod(p, F.lit(_SEQ)).cast("int")
+
+
+def latest_id(day: Column, seq: Column, flag: Column, ident: Column) -> Column:
+    """As ``packed`` for a value as wide as an id and a yes/no, in a decimal."""
+    place = (F.unix_date(day).cast("long") * (1 << 32) + seq.cast("long")).cast("decimal(17,0)")
+    return (place * F.lit(Decimal(10**20)) + F.when(flag, F.lit(Decimal(10**19))).otherwise(F.lit(Decimal(0))) + ident.cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
+def flagged_id(p: Column) -> Column:
+    """The id of a ``latest_id``, NULL where the flag isn't set."""
+    tail = F.pmod(p, F.lit(Decimal(10**20)))
+    return F.when(tail >= F.lit(Decimal(10**19)), F.pmod(tail, F.lit(Decimal(10**19))).cast("long"))
+
+
 def in_window(d: Column, bounds) -> Column:
     """Inclusive window; bounds are dates or per-row columns (e.g. each
     clinic's campaign start)."""
@@ -44,20 +76,22 @@ def tagged_metrics(
     order_key: Sequence[Column] = (),
     last_name: str = "last_pet_species",
     extra: Sequence[Column] = (),
+    last_at: Column | None = None,
 ) -> DataFrame:
     """One row per key with, for every tag: last date, and per window the
     count, revenue and doses of the tagged rows; optionally the value of
-    ``last_value`` at the tag's latest row.
+    ``last_value`` at the tag's latest row, by (day, ``order_key``) or, in a
+    hash aggregate, by ``last_at``, a ``packed`` place.
 
     Column names: ``last_{tag}_purch``, ``{tag}_purch_{w}``, ``{tag}_rev_{w}``,
     ``{tag}_doses_{w}``, ``{tag}_{last_name}``.
     """
-    aggs = tagged_aggs(tags, windows, date_col, count_of, revenue, doses, last_value, order_key, last_name)
+    aggs = tagged_aggs(tags, windows, date_col, count_of, revenue, doses, last_value, order_key, last_name, last_at)
     return df.groupBy(*keys).agg(*aggs, *extra)
 
 
 def tagged_aggs(tags, windows, date_col="invoice_date", count_of=None, revenue=None, doses=None,
-                last_value=None, order_key=(), last_name="last_pet_species") -> list:
+                last_value=None, order_key=(), last_name="last_pet_species", last_at=None) -> list:
     """The aggregate expressions of ``tagged_metrics`` (to combine several
     stages into one ``groupBy``)."""
     d = F.col(date_col)
@@ -72,7 +106,9 @@ def tagged_aggs(tags, windows, date_col="invoice_date", count_of=None, revenue=N
                 aggs.append(F.sum(F.when(hit, revenue)).alias(f"{tag}_rev_{w}"))
             if doses is not None:
                 aggs.append(F.sum(F.when(hit, doses)).alias(f"{tag}_doses_{w}"))
-        if last_value is not None:
+        if last_at is not None:
+            aggs.append(packed_value(F.max(F.when(pred, last_at))).alias(f"{tag}_{last_name}"))
+        elif last_value is not None:
             aggs.append(F.max_by(F.when(pred, last_value), F.when(pred, F.struct(d, *order_key)))
                         .alias(f"{tag}_{last_name}"))
     return aggs

@@ -3,14 +3,16 @@
 Spark shape: one scan of the 24-month invoice lines joined to the active
 patients; every per-client stage is a conditional aggregate over that
 input (TM1). The wide report fuses the product-set and service-category
-stages into a single ``groupBy(client_id)`` - one scan, one shuffle - and
-joins it to the cleansed clients (both sides keyed by ``client_id``),
-where the reference runs some twenty scans and left joins.
+stages: one scan of the lines makes a row per client and service, from which
+every stage of the client is told; it is joined to the cleansed clients (both
+sides keyed by ``client_id``), where the reference runs some twenty scans and
+left joins.
 """
 
 from __future__ import annotations
 
 from datetime import timedelta
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -60,7 +62,7 @@ def consumer_lines(t: Tables, ctx: RunContext, cp: DataFrame | None = None) -> D
     # the patient's client is floor(patient_id / 3), the same as the line's
     x = (
         b.lines(t, lo, end, cp.select("patient_id", "vi_species_id")).where(~F.col("voided"))
-        .select(*LINE_ID, "patient_id", "client_id", "vi_species_id", "invoice_date", "service_id", "quantity_norm", "cost")
+        .select(*LINE_ID, "patient_id", "client_id", "vi_species_id", "invoice_date", "line_seq", "service_id", "quantity_norm", "cost")
         .join(prod, "service_id", "left")
     )
     fth_lo = add_months(end, -23)
@@ -72,6 +74,11 @@ def consumer_lines(t: Tables, ctx: RunContext, cp: DataFrame | None = None) -> D
     )
 
 
+def line_at():
+    """A line's place among its client's lines, with the pet's species."""
+    return tm.packed(F.col("invoice_date"), F.col("line_seq"), F.col("vi_species_id"))
+
+
 # ------------------------------------------------------------ CO9-CO17
 def product_tags() -> dict:
     p, fam, typ = F.col("product"), F.col("family_name"), F.col("type")
@@ -118,8 +125,7 @@ def product_metrics(t: Tables, ctx: RunContext, lines: DataFrame | None = None)
         x, ["client_id"], product_tags(), {"12": w12, "24": w24},
         revenue=F.when(q.isNull(), F.lit(0)).otherwise(F.col("cost")),
         doses=F.when(q.isNull(), F.lit(1)).otherwise(q),
-        last_value=F.col("vi_species_id"), order_key=[F.col(c) for c in LINE_ID],
-        extra=extra,
+        last_at=line_at(), extra=extra,
     )
     return out.select(
         *[F.col(c).cast("double").alias(c) if "_rev_" in c else F.col(c) for c in out.columns]
@@ -171,27 +177,32 @@ def competitor_products(t: Tables, ctx: RunContext, lines: DataFrame | None = No
 
 
 # ------------------------------------------------------------ CO20-CO27
-def service_tags() -> dict:
+def service_categories() -> dict:
+    """The categories of services; ``other`` is what is in none of the named
+    ones (general services, NSAIDs, vaccines) and no purchase of a flea, tick
+    or heartworm product."""
     info, kind = F.col("product_info"), F.col("service_kind")
     general_named = (
         (kind == "general") & (info.like("Surgery%") | F.lower(info).like("%dental%")
                                | F.lower(info).isin("service - boarding", "service - grooming"))
     )
-    nonzero = F.col("cost") != 0
     return {
-        "pain": nonzero & (kind == "nsaid"),
-        "dental": nonzero & (kind == "general") & (info == "Surgery - dental"),
-        "surg": nonzero & (kind == "general") & info.like("Surgery%") & (info != "Surgery - dental"),
-        "vacc": nonzero & (kind == "vaccine"),
-        "board": nonzero & (kind == "general") & (F.lower(info) == "service - boarding"),
-        "groom": nonzero & (kind == "general") & (F.lower(info) == "service - grooming"),
-        # AN1: lines in none of the named categories (general services,
-        # flea/tick/heartworm purchases, NSAIDs, vaccines)
-        "other": nonzero & ~F.coalesce(general_named, F.lit(False)) & ~F.col("is_fth")
-        & ~F.coalesce(kind.isin("nsaid", "vaccine"), F.lit(False)),
+        "pain": kind == "nsaid",
+        "dental": (kind == "general") & (info == "Surgery - dental"),
+        "surg": (kind == "general") & info.like("Surgery%") & (info != "Surgery - dental"),
+        "vacc": kind == "vaccine",
+        "board": (kind == "general") & (F.lower(info) == "service - boarding"),
+        "groom": (kind == "general") & (F.lower(info) == "service - grooming"),
+        "other": ~F.coalesce(general_named, F.lit(False)) & ~F.coalesce(kind.isin("nsaid", "vaccine"), F.lit(False)),
     }
 
 
+def service_tags() -> dict:
+    """The categories of paid lines."""
+    paid = F.col("cost") != 0
+    return {tag: paid & pred & (~F.col("is_fth") if tag == "other" else F.lit(True)) for tag, pred in service_categories().items()}
+
+
 def service_aggs(ctx: RunContext, within=None) -> list:
     """Aggregates of the service-category stage; ``within`` restricts every
     aggregate to a row subset (used when fused with other stages)."""
@@ -275,28 +286,92 @@ def apply_split(clients: DataFrame, split: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ CO30
+def client_services(t: Tables, ctx: RunContext, cp: DataFrame, lines: DataFrame | None = None) -> DataFrame:
+    """Level 1 of the report: one row per client and service, with what every
+    stage needs of its lines. Sets of products and categories of services are
+    properties of the service, so they are told apart on these rows (level 2),
+    not line by line. Days of visits are kept as bits of ``VISIT_WORDS`` longs."""
+    end = ctx.end_date
+    if lines is None:
+        lines = b.lines(t, add_months(end, -24), end, cp.select("patient_id", "vi_species_id")).where(~F.col("voided"))
+    d, q, cost = F.col("invoice_date"), F.col("quantity_norm"), F.col("cost")
+    bought = (q != 0) & (d >= F.lit(add_months(end, -23)))  # with a product type: is_fth
+    trans = d < F.lit(end - timedelta(days=1))
+    paid = trans & (cost != 0)
+    w14 = tm.in_window(d, (add_months(end, -14), end))
+    aggs = [F.max(F.when(bought, line_at())).alias("at")]
+    for w, bounds in (("12", ctx.trailing(0)), ("24", ctx.trailing(1))):
+        hit = bought & tm.in_window(d, bounds)
+        aggs += [F.count(F.when(hit, d)).alias(f"purch_{w}"), F.sum(F.when(hit, cost)).alias(f"rev_{w}"), F.sum(F.when(hit, q)).alias(f"doses_{w}")]
+    in_12 = bought & tm.in_window(d, ctx.trailing(0))
+    number = F.col("l_orderkey").cast("decimal(19,0)") * F.lit(Decimal(10**10)) + F.col("l_linenumber").cast("decimal(10,0)")
+    aggs += [F.max(F.when(in_12, d)).alias("last_12"), F.max(F.when(in_12, number)).alias("last_line_12")]
+    for name, rows in (("any", paid), ("unbought", paid & ~bought)):
+        aggs += [F.count(F.when(rows & w14, F.lit(1))).alias(f"{name}_n"), F.max(F.when(rows, d)).alias(f"{name}_last"),
+                 F.sum(F.when(rows & w14, cost)).alias(f"{name}_cost")]
+    first = add_months(end, -12)
+    bit = F.datediff(d, F.lit(first))
+    visit = trans & d.between(F.lit(first), F.lit(end - timedelta(days=1)))
+    for i in range(VISIT_WORDS):
+        word = F.when(visit & (F.floor(bit / 64) == i), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(bit, F.lit(64))))
+        aggs.append(F.bit_or(word).alias(f"visits_{i}"))
+    aggs.append(F.max(F.when(trans, d)).alias("last_visit"))
+    return lines.groupBy("client_id", "service_id").agg(*aggs)
+
+
+VISIT_WORDS = 6  # 12 months have at most 366 days
+
+
+def client_metrics(t: Tables, ctx: RunContext, cp: DataFrame, lines: DataFrame | None = None) -> DataFrame:
+    """Level 2: one row per client with its product sets (CO9-CO17), rank-1
+    competitor products (CO18-CO19) and service categories (CO20-CO27), equal
+    to the stages' own queries. One scan of the lines; from level 1 on, a
+    client's rows (at most one a service) stay together."""
+    prod = b.products(t).select("service_id", "product", "family_name", "type", "service_kind", "product_info")
+    x = client_services(t, ctx, cp, lines).join(maybe_broadcast(prod), "service_id", "left").repartition("client_id")
+    p, typ, fam = F.col("product"), F.col("type"), F.col("family_name")
+    market = (F.when(~p.startswith("Frontline") & ~p.startswith("Certifect") & typ.isin("ft", "f"), F.lit("FL"))
+              .when(~p.startswith("Heartgard") & (typ == "h"), F.lit("HG")))
+    x = x.withColumn("market", F.when(F.col("purch_12") > 0, market))
+    same = Window.partitionBy("client_id", "market", "product", "family_name")
+    x = x.select("*", F.sum("doses_12").over(same).alias("_doses"), F.max("last_12").over(same).alias("_last"),
+                 F.max(F.struct("last_line_12", "service_id")).over(same).alias("_line"))
+    x = x.withColumn("_rank", F.rank().over(Window.partitionBy("client_id", "market").orderBy("_doses", "_last", "_line")))
+
+    aggs = []
+    for tag, pred in product_tags().items():
+        pred = typ.isNotNull() & pred
+        at = F.max(F.when(pred, F.col("at")))
+        aggs += [tm.packed_day(at).alias(f"last_{tag}_purch"), tm.packed_value(at).alias(f"{tag}_last_pet_species")]
+        for w in ("12", "24"):
+            aggs.append(F.coalesce(F.sum(F.when(pred, F.col(f"purch_{w}"))), F.lit(0)).alias(f"{tag}_purch_{w}"))
+            aggs += [F.sum(F.when(pred, F.col(f"{m}_{w}"))).alias(f"{tag}_{m}_{w}") for m in ("rev", "doses")]
+    for name, pred, w in (("int_doses_12", p.startswith("Interceptor"), "12"), ("int_doses_24", p.startswith("Interceptor"), "24"),
+                          ("trif_doses", fam == "Trifexis", "12"), ("rev_doses", fam == "Revolution", "12"), ("adv_doses", fam == "Advantage Multi", "12")):
+        aggs.append(F.coalesce(F.sum(F.when(typ.isNotNull() & pred, F.col(f"doses_{w}"))), F.lit(0)).alias(name))
+    for tag, pred in service_categories().items():
+        # lines of a typed product are "other" unless they are purchases of it
+        part = lambda m: F.when(typ.isNotNull(), F.col(f"unbought_{m}")).otherwise(F.col(f"any_{m}")) if tag == "other" else F.col(f"any_{m}")  # noqa: B023, E731
+        aggs += [F.coalesce(F.sum(F.when(pred, part("n"))), F.lit(0)).alias(f"num_{tag}_purch"),
+                 F.max(F.when(pred, part("last"))).alias(f"last_{tag}_purch"),
+                 F.coalesce(F.sum(F.when(pred, part("cost"))), F.lit(0)).cast("double").alias(f"dollar_{tag}_purch")]
+    days = [F.bit_count(F.coalesce(F.bit_or(f"visits_{i}"), F.lit(0).cast("long"))) for i in range(VISIT_WORDS)]
+    aggs += [sum(days[1:], days[0]).cast("long").alias("num_visits"), F.max("last_visit").alias("last_visit")]
+    aggs += [F.max(F.when((F.col("_rank") == 1) & (F.col("market") == m), F.col("service_id"))).alias(f"_{m}") for m in ("FL", "HG")]
+    out = x.groupBy("client_id").agg(*aggs)
+    for m in ("FL", "HG"):
+        name = prod.select(F.col("service_id").alias(f"_{m}"), F.col("family_name").alias(f"comp_{m.lower()}_product"))
+        out = out.join(maybe_broadcast(name), f"_{m}", "left").drop(f"_{m}")
+    return out
+
+
 def _report_base(t: Tables, ctx: RunContext, cp: DataFrame | None = None, lines: DataFrame | None = None) -> DataFrame:
     cp = cp if cp is not None else consumer_patients(t, ctx)
-    lines = lines if lines is not None else consumer_lines(t, ctx, cp)
     cli = consumer_clients(t, ctx, cp)
-    # product-set and service-category stages fused: one scan of the lines,
-    # one shuffle on client_id, one aggregate row per client
-    fth = F.col("is_fth")
-    q = F.col("quantity_norm")
-    prod = tm.tagged_aggs(
-        {k: fth & v for k, v in product_tags().items()}, {"12": ctx.trailing(0), "24": ctx.trailing(1)},
-        revenue=F.when(q.isNull(), F.lit(0)).otherwise(F.col("cost")), doses=F.when(q.isNull(), F.lit(1)).otherwise(q),
-        last_value=F.col("vi_species_id"), order_key=[F.col(c) for c in LINE_ID])
-    metrics = lines.groupBy("client_id").agg(*prod, *other_fth_aggs(ctx, within=fth),
-                                             *service_aggs(ctx, within=F.col("is_trans")))
-    # rank-1 competitor products (one per market: line ids make ranks unique)
-    comp = competitor_products(t, ctx, lines).where(F.col("product_order") == 1).groupBy("client_id").agg(
-        F.max(F.when(F.col("market") == "FL", F.col("product"))).alias("comp_fl_product"),
-        F.max(F.when(F.col("market") == "HG", F.col("product"))).alias("comp_hg_product"))
     from .nsaid import consumer_nsaid_metrics
 
     prev = consumer_nsaid_metrics(t, ctx, cp=cp)
-    return cli.join(metrics, "client_id", "left").join(comp, "client_id", "left").join(prev, "client_id", "left")
+    return cli.join(client_metrics(t, ctx, cp, lines), "client_id", "left").join(prev, "client_id", "left")
 
 
 def consumer_report(t: Tables, ctx: RunContext) -> DataFrame:
@@ -343,6 +418,7 @@ def _format_detail(r: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------ CO31-CO33
+# fixed values: words of notes in address line 2; shapes of card and phone numbers there
 ADDRESS2_NOTE_WORDS = [
     "SEND", "BROTHER", "DON'T", "INVOICE", "SISTER", "CASH", "EMERGENCY", "LAND LINE", "TEMPORARY", "CELL",
     "EMPLOYEE", "MAIL", "UNABLE", "CHANGE", "FATHER", "MESSAGE", "UNDELIVERABLE", "CHECK", "FAX", "MOM",

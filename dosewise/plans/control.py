@@ -8,7 +8,7 @@ columns (the clinic dimension is broadcast) rather than literals.
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,8 +18,8 @@ from ..operators import trailing as tm
 from ..operators.sizing import maybe_broadcast
 from ..sources import binding as b
 from ..sources.tables import Tables
+from .consumer import line_at
 
-LINE_ID = b.LINE_KEY
 
 
 def control_lines(t: Tables, ctx: RunContext) -> DataFrame:
@@ -37,7 +37,7 @@ def control_lines(t: Tables, ctx: RunContext) -> DataFrame:
     clin = maybe_broadcast(b.clinics(t).select("h_id", "start_date"))
     return (
         b.lines(t, lo, hi, pats).where(~F.col("voided") & F.col("client_id").isNotNull())
-        .select(*LINE_ID, "patient_id", "client_id", "h_id", "vi_species_id", "in_control", "invoice_date", "service_id",
+        .select("patient_id", "client_id", "h_id", "vi_species_id", "in_control", "invoice_date", "line_seq", "service_id",
                 "quantity", "quantity_norm", "cost")
         .join(prod, "service_id", "left").join(clin, "h_id")
     )
@@ -73,21 +73,28 @@ def product_extras(ctx: RunContext, camp) -> list:
         "int_doses_camp": inter & tm.in_window(d, camp), "trif_doses": (fam == "Trifexis") & tm.in_window(d, camp),
         "rev_doses": (fam == "Revolution") & tm.in_window(d, camp), "adv_doses": (fam == "Advantage Multi") & tm.in_window(d, camp),
     }
-    order = F.struct(d, *(F.col(c) for c in LINE_ID))
     return [F.sum(F.when(ok & hit, q).otherwise(0)).alias(name) for name, hit in doses.items()] + [
-        F.max_by(F.when(tm.in_window(d, camp), F.col("product")), F.when(ok & control_tags()[tag], order)).alias(f"{tag}_prod")
+        tm.flagged_id(F.max(F.when(ok & control_tags()[tag], tm.latest_id(d, F.col("line_seq"), tm.in_window(d, camp), F.col("service_id"))))).alias(f"{tag}_service")
         for tag in ("comp_hg", "comp_fl")]
 
 
-def service_tags() -> dict:
-    """Categories of the control patients' lines; all but medication skip
-    lines without cost. ``other`` is what is in none of the named general
+def with_products(t: Tables, metrics: DataFrame) -> DataFrame:
+    """The names of the last competitor products, for their services."""
+    for tag in ("comp_hg", "comp_fl"):
+        name = b.products(t).select(F.col("service_id").alias(f"{tag}_service"), F.col("product").alias(f"{tag}_prod"))
+        metrics = metrics.join(maybe_broadcast(name), f"{tag}_service", "left").drop(f"{tag}_service")
+    return metrics
+
+
+def service_tags(since: date) -> dict:
+    """Categories of the control patients' paid lines; medication counts from
+    the day ``since`` on. ``other`` is what is in none of the named general
     services, diets, flea/tick/heartworm purchases, medications and vaccines."""
     info, kind, low = F.col("product_info"), F.col("service_kind"), F.lower(F.col("product_info"))
     paid, general = F.col("in_control") & (F.col("cost") != 0), kind == "general"
     named = general & (info.like("Surgery%") | low.like("%dental%") | low.isin("service - boarding", "service - grooming"))
     return {
-        "pm": F.col("in_control") & (kind == "nsaid"),
+        "pm": paid & (kind == "nsaid") & (F.col("invoice_date") >= F.lit(since)),
         "dental": paid & general & (info == "Surgery - dental"),
         "surg": paid & general & info.like("Surgery%") & (info != "Surgery - dental"),
         "vacc": paid & (kind == "vaccine"),
@@ -98,10 +105,10 @@ def service_tags() -> dict:
     }
 
 
-def service_aggs(camp) -> list:
+def service_aggs(camp, since: date) -> list:
     """Per category: purchases and spend since the campaign start, last purchase."""
     d, aggs = F.col("invoice_date"), []
-    for tag, pred in service_tags().items():
+    for tag, pred in service_tags(since).items():
         hit = pred & tm.in_window(d, camp)
         aggs += [
             F.count(F.when(hit, F.lit(1))).alias(f"num_{tag}_purch"),
@@ -122,8 +129,9 @@ def control_product_metrics(t: Tables, ctx: RunContext) -> DataFrame:
     extra = product_extras(ctx, camp)
     out = tm.tagged_metrics(
         x, ["client_id"], control_tags(), {"camp": camp}, revenue=F.col("cost"), doses=q,
-        last_value=F.col("vi_species_id"), order_key=[F.col(c) for c in LINE_ID], extra=extra,
+        last_at=line_at(), extra=extra,
     )
+    out = with_products(t, out)
     return out.select(*[F.col(c).cast("double").alias(c) if "_rev_" in c else F.col(c) for c in out.columns])
 
 
@@ -136,7 +144,7 @@ def control_service_metrics(t: Tables, ctx: RunContext) -> DataFrame:
     x = control_lines(t, ctx)
     end = ctx.end_date
     d = F.col("invoice_date")
-    aggs = service_aggs((F.col("start_date"), F.lit(ctx.as_of - timedelta(days=1))))
+    aggs = service_aggs((F.col("start_date"), F.lit(ctx.as_of - timedelta(days=1))), ctx.month(-23))
     aggs += [
         F.countDistinct(F.when(d.between(F.lit(add_months(end, -12)), F.lit(end)), d)).alias("num_visits"),
         F.max(d).alias("last_active"), F.min(d).alias("first_active"),
@@ -197,11 +205,11 @@ def control_file(t: Tables, ctx: RunContext, lines: DataFrame | None = None, mat
     camp = (F.col("start_date"), F.lit(ctx.as_of - timedelta(days=1)))
     q = F.col("quantity_norm")
     prod = tm.tagged_aggs({k: ok & v for k, v in control_tags().items()}, {"camp": camp}, revenue=F.col("cost"), doses=q,
-                          last_value=F.col("vi_species_id"), order_key=[F.col(c) for c in LINE_ID])
+                          last_at=line_at())
     d = F.col("invoice_date")
     extra = product_extras(ctx, camp) + [
         F.countDistinct(F.when(d.between(F.lit(add_months(ctx.end_date, -12)), F.lit(ctx.end_date)), d)).alias("num_visits")]
-    svc = service_aggs(camp)
+    svc = service_aggs(camp, ctx.month(-23))
     # dental hygiene (CT21) in the same pass: matrix doses on the line frame
     from ..operators.matrix import dental_doses
     from .calllist import dental_matrix, package_fields
@@ -217,6 +225,7 @@ def control_file(t: Tables, ctx: RunContext, lines: DataFrame | None = None, mat
                 F.coalesce(F.sum(F.when(is_g & tm.in_window(d, camp), F.col("cost"))), F.lit(0)).cast("double").alias(f"dollar_{name}_purch"),
                 F.coalesce(F.sum(F.when(is_g & tm.in_window(d, camp), F.col("doses"))), F.lit(0)).cast("double").alias(f"doses_{name}_purch")]
     metrics = xd.groupBy("client_id").agg(*prod, *extra, *svc, *hyg, F.max(d).alias("last_active"))
+    metrics = with_products(t, metrics)
     # client-level NSAID stage for the client-level row
     prev = control_nsaid(t, ctx, keys=("client_id",))
     r = (cli.join(metrics, "client_id", "left").join(prev, "client_id", "left")).where(
@@ -232,7 +241,7 @@ def control_file(t: Tables, ctx: RunContext, lines: DataFrame | None = None, mat
                  money_text(F.coalesce(F.col(f"{tag}_rev_camp"), F.lit(0))).alias(f"{tag}_rev_camp"),
                  at_least_0(f"{tag}_doses_camp").cast("long").alias(f"{tag}_doses_camp")]
         cols.append(F.col(f"{tag}_last_pet_species"))
-    for tag in service_tags():
+    for tag in service_tags(ctx.month(-23)):
         out = "unk" if tag == "other" else tag  # the file calls the uncategorised group "unknown"
         cols += [F.coalesce(F.col(f"num_{tag}_purch"), F.lit(0)).alias(f"num_{out}_purch"),
                  mdy(f"last_{tag}_purch").alias(f"last_{out}_purch"),

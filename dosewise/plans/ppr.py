@@ -21,6 +21,7 @@ from ..operators.grid import spine
 from ..operators.sizing import maybe_broadcast
 from ..sources import binding as b
 from ..sources.tables import Tables
+from . import rollup as ru
 
 DOG, CAT = 3, 7
 SPECIES_NAMES = ("Canine", "Feline")
@@ -106,29 +107,19 @@ def _by_market(pm: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ PP2
-def product_master(t: Tables, ctx: RunContext, pm: DataFrame | None = None) -> DataFrame:
-    """Per period, clinic, species, family and type: distinct patients of
-    the period's master and doses."""
-    pm = pm if pm is not None else patient_master(t, ctx)
-    who = pm.select("time_period", "h_id", "patient_id").distinct()
-    lo, hi = ctx.month(-14), ctx.month(1)
+def product_master(t: Tables, ctx: RunContext) -> DataFrame:
+    """Per period, clinic, species, family and type: distinct patients with
+    wellness care in the period (those of its master) and doses."""
     pats = b.patients(t, species=(DOG, CAT)).where(F.col("vi_species_id").isin(DOG, CAT)).select("patient_id", "h_id", "vi_species_id")
-    prod = maybe_broadcast(b.products(t).where(F.col("type").isNotNull()).select("service_id", "type", "family_name"))
+    prod = maybe_broadcast(b.products(t).select("service_id", "type", "family_name", "service_kind", "product_info"))
     x = (
-        b.lines(t, lo, hi, pats).where(~F.col("voided") & F.col("quantity_norm").isNotNull()
-                                       & (F.col("quantity_norm") != 0) & (F.col("cost") != 0))
-        .select("patient_id", "h_id", "vi_species_id", "invoice_date", "service_id", "quantity_norm")
-        .join(prod, "service_id")
+        b.lines(t, ctx.month(-14), ctx.month(1), pats).where(~F.coalesce("voided", F.lit(False)))
+        .select("patient_id", "h_id", "vi_species_id", "invoice_date", "service_id", "quantity_norm", "cost", "voided")
+        .join(prod, "service_id", "left")
         .withColumn("time_period", _period_of(F.trunc("invoice_date", "MM"), ctx))
         .where(F.col("time_period").isNotNull())
-        .join(who, ["time_period", "h_id", "patient_id"], "left_semi")
-    )
-    typ = F.col("type")
-    return x.groupBy("time_period", "h_id", "vi_species_id", "family_name",
-                     F.when(typ == "f", F.lit("ft")).otherwise(typ).alias("type")).agg(
-        F.countDistinct("patient_id").alias("patients"),
-        F.sum("quantity_norm").cast("long").alias("doses"),
     )
+    return ru.product_sums(ru.wellness_rollup(x, ("time_period",)), "time_period", "h_id").drop("hw_rev", "ft_rev")
 
 
 # ------------------------------------------------------------- PP3 / PP4

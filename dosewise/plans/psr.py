@@ -23,6 +23,7 @@ from ..operators.grid import MARKETS, dense_fill, report_grid, spine
 from ..operators.sizing import maybe_broadcast
 from ..sources import binding as b
 from ..sources.tables import Tables
+from . import rollup as ru
 
 DOG, CAT = 3, 7
 
@@ -31,12 +32,7 @@ DOG, CAT = 3, 7
 def wellness_services(t: Tables) -> DataFrame:
     """Services that make a visit a wellness visit: vaccines, spay/neuter
     surgery, heartworm tests."""
-    p = b.products(t)
-    return p.where(
-        (F.col("service_kind") == "vaccine")
-        | (F.col("product_info") == "Surgery - spay")
-        | (F.col("service_kind") == "test")
-    ).select("service_id", F.lit(1).alias("is_wellness"))
+    return b.products(t).where(ru.is_wellness(F.col("service_kind"), F.col("product_info"))).select("service_id", F.lit(1).alias("is_wellness"))
 
 
 def _window_lines(t: Tables, ctx: RunContext, first: int = -11, last: int = 0,
@@ -49,11 +45,7 @@ def _product_attrs(t: Tables) -> DataFrame:
     """Product columns the patient master needs, with the wellness flag
     computed in the same projection (one scan of the product dimension)."""
     p = b.products(t)
-    well = (
-        (F.col("service_kind") == "vaccine")
-        | (F.col("product_info") == "Surgery - spay")
-        | (F.col("service_kind") == "test")
-    )
+    well = ru.is_wellness(F.col("service_kind"), F.col("product_info"))
     return maybe_broadcast(p.select(
         "service_id", "type", "family_name", "service_kind", "product_info",
         F.when(well, F.lit(1)).alias("is_wellness"),
@@ -459,30 +451,17 @@ def t8_kpis(t: Tables, ctx: RunContext, pm: DataFrame | None = None) -> DataFram
 
 
 # ------------------------------------------------------------------ PS2
-def product_master(t: Tables, ctx: RunContext, pm: DataFrame | None = None) -> DataFrame:
+def wellness_rollup(t: Tables, ctx: RunContext) -> DataFrame:
+    """The window's lines by patient, family, type and month, of patients with wellness care."""
+    pats = b.patients(t, species=(DOG, CAT)).where(F.col("vi_species_id").isin(DOG, CAT)).select("patient_id", "h_id", "vi_species_id")
+    x = _window_lines(t, ctx, patients=pats).select("patient_id", "h_id", "vi_species_id", "invoice_date", "service_id", "quantity_norm", "cost", "voided")
+    return ru.wellness_rollup(x.join(_product_attrs(t), "service_id", "left"))
+
+
+def product_master(t: Tables, ctx: RunContext, rollup: DataFrame | None = None) -> DataFrame:
     """Per clinic, species, family and type (f folded into ft): distinct
     wellness patients, doses and market revenue."""
-    pm = pm if pm is not None else patient_master(t, ctx)
-    well = pm.where(F.col("wellness_care").isNotNull()).select("h_id", "patient_id")
-    pats = b.patients(t, species=(DOG, CAT)).where(F.col("vi_species_id").isin(DOG, CAT)).select("patient_id", "h_id", "vi_species_id")
-    prod = maybe_broadcast(b.products(t).where(F.col("type").isNotNull()).select("service_id", "type", "family_name"))
-    x = (
-        _window_lines(t, ctx, patients=pats)
-        .where((F.col("cost") != 0) & F.col("quantity_norm").isNotNull() & (F.col("quantity_norm") != 0))
-        .select("patient_id", "h_id", "vi_species_id", "service_id", "quantity_norm", "cost")
-        .join(prod, "service_id")
-        .join(well, ["h_id", "patient_id"], "left_semi")
-    )
-    typ = F.col("type")
-    return x.groupBy(
-        "h_id", "vi_species_id", "family_name",
-        F.when(typ == "f", F.lit("ft")).otherwise(typ).alias("type"),
-    ).agg(
-        F.countDistinct("patient_id").alias("patients"),
-        F.sum("quantity_norm").cast("long").alias("doses"),
-        F.sum(cp.hw_revenue(typ, F.col("cost"))).alias("hw_rev"),
-        F.sum(cp.ft_revenue(typ, F.col("cost"))).alias("ft_rev"),
-    )
+    return ru.product_sums(rollup if rollup is not None else wellness_rollup(t, ctx), "h_id")
 
 
 def _pm2_market(pm2: DataFrame) -> DataFrame:
@@ -575,27 +554,12 @@ def t10_revenue_share(t: Tables, ctx: RunContext, pm2: DataFrame | None = None)
 
 
 # ------------------------------------------------------------------ PS3
-def month_master(t: Tables, ctx: RunContext, pm: DataFrame | None = None) -> DataFrame:
+def month_master(t: Tables, ctx: RunContext, rollup: DataFrame | None = None) -> DataFrame:
     """Per clinic, species and month: patients with flea/tick or heartworm
     product, all patients, and doses of patients whose year total is
     positive. Wellness patients only."""
-    pm = pm if pm is not None else patient_master(t, ctx)
-    well = pm.where(F.col("wellness_care").isNotNull()).select("h_id", "patient_id")
-    pats = b.patients(t, species=(DOG, CAT)).where(F.col("vi_species_id").isin(DOG, CAT)).select("patient_id", "h_id", "vi_species_id")
-    prod = _product_attrs(t).select("service_id", "type")
-    x = (
-        _window_lines(t, ctx, patients=pats)
-        .select("patient_id", "h_id", "vi_species_id", "invoice_date", "service_id", "quantity_norm", "cost")
-        .join(well, ["h_id", "patient_id"], "left_semi")
-        .join(prod, "service_id", "left")
-    )
-    fth = F.col("type").isNotNull() & (F.col("cost") != 0) & F.col("quantity_norm").isNotNull() & (F.col("quantity_norm") != 0)
-    ftype = F.when(fth, F.col("type"))
-    qty = F.col("quantity_norm").cast("long")
-    pmon = x.groupBy("h_id", "patient_id", "vi_species_id", F.trunc("invoice_date", "MM").alias("data_month")).agg(
-        F.sum(cp.ft_doses(ftype, qty)).alias("ft_doses"),
-        F.sum(cp.hw_doses(ftype, qty)).alias("hw_doses"),
-    )
+    x = rollup if rollup is not None else wellness_rollup(t, ctx)
+    pmon = x.groupBy("h_id", "patient_id", "vi_species_id", "data_month").agg(F.sum("ft_doses").alias("ft_doses"), F.sum("hw_doses").alias("hw_doses"))
     wp = Window.partitionBy("h_id", "patient_id")
     pmon = pmon.withColumn("ft_year", F.sum("ft_doses").over(wp)).withColumn("hw_year", F.sum("hw_doses").over(wp))
     out = pmon.groupBy("h_id", "vi_species_id", "data_month").agg(

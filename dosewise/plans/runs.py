@@ -31,8 +31,9 @@ def shared(df: DataFrame) -> DataFrame:
 
 def psr_tables(t: Tables, ctx: RunContext) -> dict[str, DataFrame]:
     pm = shared(psr.patient_master(t, ctx))
-    pm2 = shared(psr.product_master(t, ctx, pm))
-    mm = psr.month_master(t, ctx, pm)
+    rollup = shared(psr.wellness_rollup(t, ctx))
+    pm2 = shared(psr.product_master(t, ctx, rollup))
+    mm = psr.month_master(t, ctx, rollup)
     return {
         "psr_patient_master": pm,
         "psr_product_master": pm2,
@@ -55,7 +56,7 @@ def psr_tables(t: Tables, ctx: RunContext) -> dict[str, DataFrame]:
 
 def ppr_tables(t: Tables, ctx: RunContext) -> dict[str, DataFrame]:
     pm = shared(ppr.patient_master(t, ctx))
-    pm2 = ppr.product_master(t, ctx, pm)
+    pm2 = shared(ppr.product_master(t, ctx))
     return {
         "ppr_patient_master": pm,
         "ppr_product_master": pm2,
@@ -142,9 +143,14 @@ def publish_view(spark: SparkSession, name: str, path: str) -> None:
 def run_clinic(spark: SparkSession, sf_dir: str, out_dir: str, report: str, ctx: RunContext) -> dict[str, str]:
     """AP3 for one clinic: check the cross-reference (AP1), guard the
     stages the reference guards (CT0, CO1/LD12 no patients, LD12 no
-    details), then write the clinic's slice of every table. The clinic
-    filter is a predicate on a grouping key, so Catalyst pushes it below
-    the aggregations to the scans."""
+    details), then write the clinic's slice of every table.
+
+    The run reads scoped tables: the clinic is a filter of the nation,
+    customer and line-fact scans, before any join or shuffle, so that masters
+    and line frames hold the clinic's rows only. Its clients' pets that belong
+    to another clinic count where a table counts per client (their lines are
+    read, too), but LAST DOSE, whose start day is the pet's clinic's, lists the
+    clinic's own pets."""
     from ..operators.guards import NoDetails, NoPatients, NotInXref, require_rows
     from . import accounts as acc
 
@@ -154,6 +160,7 @@ def run_clinic(spark: SparkSession, sf_dir: str, out_dir: str, report: str, ctx:
     xref = acc.accounts(t, ctx).where(F.col("location_number") == ctx.location_number)
     require_rows(xref, NotInXref, str(ctx.location_number))
     h_id = xref.select("hid").first()[0]
+    t = t.scoped([h_id])
     rt = report.upper()
     if rt == "CONTROL":
         control.require_control_clinic(t, h_id)

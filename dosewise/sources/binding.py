@@ -135,14 +135,13 @@ def species_of(segment: Column) -> Column:
 
 
 def _in_scope(t: Tables) -> DataFrame:
-    """Customers; in a scoped run the patients of its clinics and those of its clinics' clients."""
+    """Customers; in a scoped run the households with a member at its clinics, whole."""
     c = t.customer
     if t.clinics is None:
         return c
-    ours = F.col("c_nationkey").isin(*t.clinics)
-    heads = c.where(ours & (F.col("c_custkey") % 3 == 0)).select(F.explode(F.sequence(F.col("c_custkey"), F.col("c_custkey") + 2)).alias("c_custkey"))
-    keys = c.where(ours).select("c_custkey").union(heads).distinct()
-    return c.join(keys, "c_custkey", "left_semi")
+    head = F.floor(F.col("c_custkey") / 3).cast("long") * 3
+    ours = c.where(F.col("c_nationkey").isin(*t.clinics)).select(head.alias("head")).distinct()
+    return c.join(ours.select(F.explode(F.sequence("head", F.col("head") + 2)).alias("c_custkey")), "c_custkey", "left_semi")
 
 
 def patients(t: Tables, species: tuple | None = None) -> DataFrame:
@@ -184,9 +183,7 @@ def clients(t: Tables) -> DataFrame:
     contact fields of the household."""
     k = F.col("c_custkey")
     n = F.col("c_nationkey")
-    c = t.customer.where((k % 3) == 0)
-    if t.clinics is not None:
-        c = c.where(n.isin(*t.clinics))
+    c = _in_scope(t).where((k % 3) == 0)
     return c.select(
         (k / 3).cast("long").alias("client_id"),
         n.cast("long").alias("h_id"),

@@ -11,9 +11,10 @@ START, DAY = date(2001, 1, 1), date(2001, 2, 1)
 
 
 def counts(spark, rows):
-    frame = spark.createDataFrame([(*r, START, DAY) for r in rows], LINE)
-    got = frame.agg(*control.service_aggs((F.col("start_date"), F.lit(date(2001, 7, 31))))).first()
-    return {tag: (got[f"num_{tag}_purch"], got[f"dollar_{tag}_purch"]) for tag in control.service_tags()}
+    frame = spark.createDataFrame([(*r[:6], START, r[6] if len(r) > 6 else DAY) for r in rows], LINE)
+    since = date(1999, 8, 1)
+    got = frame.agg(*control.service_aggs((F.col("start_date"), F.lit(date(2001, 7, 31))), since)).first()
+    return {tag: (got[f"num_{tag}_purch"], got[f"dollar_{tag}_purch"]) for tag in control.service_tags(since)} | {"last_pm": got["last_pm_purch"]}
 
 
 def test_only_control_patients_and_paid_lines_count(spark):
@@ -24,9 +25,18 @@ def test_only_control_patients_and_paid_lines_count(spark):
         (True, D(0), "general", "Surgery - spay", None, None), (True, D(7), "general", "Surgery - spay", None, None),  # one without cost
         (True, D(5), "general", "Service - test", None, None),  # a general service of no named group
         (True, D(3), "general", "Service - Boarding", None, None), (True, D(2), "diet", "Food", None, None),
-        (True, D(4), "fth", "x", "ft", 6), (True, D(8), "fth", "x", "ft", 0), (True, D(0), "nsaid", "y", None, None),
+        (True, D(4), "fth", "x", "ft", 6), (True, D(8), "fth", "x", "ft", 0), (True, D(0), "nsaid", "y", None, None), (True, D(6), "nsaid", "y", None, None),
     ])
-    assert got == {"pm": (1, 0.0), "dental": (1, 10.0), "surg": (1, 7.0), "vacc": (0, 0.0), "board": (1, 3.0), "groom": (0, 0.0), "other": (2, 13.0)}
+    assert got.pop("last_pm") == DAY
+    assert got == {"pm": (1, 6.0), "dental": (1, 10.0), "surg": (1, 7.0), "vacc": (0, 0.0), "board": (1, 3.0), "groom": (0, 0.0), "other": (2, 13.0)}
+
+
+def test_medication_starts_23_months_before_the_end(spark):
+    from decimal import Decimal as D
+
+    old = [(True, D(5), "nsaid", "y", None, None, date(1999, 7, 31))]
+    assert counts(spark, old)["last_pm"] is None
+    assert counts(spark, [*old, (True, D(5), "nsaid", "y", None, None, date(1999, 8, 1))])["last_pm"] == date(1999, 8, 1)
 
 
 def test_thirds_of_a_pill_add_up(spark):
