@@ -48,7 +48,7 @@ def _shape(x: str) -> str:
 
 
 OP6 = f"""
-WITH u AS (
+WITH RECURSIVE u AS (
   SELECT row_number() OVER () AS n, page_id, url, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
 ), h AS (
   SELECT *, translate(regexp_extract(rest, '^([^/?#]*)', 1), {_UP}, {_LOW}) AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u
@@ -68,14 +68,14 @@ WITH u AS (
 ), x AS (
   SELECT n, label, unnest(tokens) AS t FROM e
 ), a AS (
-  SELECT n, label, [t] AS a FROM x UNION ALL SELECT x.n, x.label, [x.t, y.t] FROM x JOIN x y ON x.n = y.n AND x.t < y.t
+  SELECT n, label, [t] AS a FROM x UNION ALL SELECT x.n, x.label, list_append(a.a, x.t) FROM a JOIN x ON x.n = a.n AND x.t > a.a[-1]
 ), c AS (
   SELECT a, label, count(*) AS both_n, sum(count(*)) OVER (PARTITION BY a) AS all_n FROM a GROUP BY a, label
 ), g AS (
   SELECT a, label, both_n / all_n::DOUBLE AS conf, both_n FROM c
   WHERE both_n >= ceil(0.02::DOUBLE * (SELECT count(*) FROM e)) AND both_n / all_n::DOUBLE >= 0.8
 ), rules AS (
-  SELECT * FROM g WHERE len(a) = 1 OR NOT EXISTS (SELECT 1 FROM g s WHERE len(s.a) = 1 AND list_contains(g.a, s.a[1]) AND s.label = g.label AND s.conf >= g.conf)
+  SELECT * FROM g WHERE NOT EXISTS (SELECT 1 FROM g s WHERE len(s.a) < len(g.a) AND list_has_all(g.a, s.a) AND s.label = g.label AND s.conf >= g.conf)
 ), m AS (
   SELECT k.n, r.label, r.a, row_number() OVER (PARTITION BY k.n ORDER BY conf DESC, both_n DESC, label <> 'block', a) AS place
   FROM k JOIN rules r ON list_has_all(k.tokens, r.a) WHERE k.rule IS NULL

@@ -3,17 +3,27 @@
 Lists of (host, path) rules come first; the longest that fits decides. Pages
 that a list decides are the labelled examples: Spark's FP-growth mines the
 combinations of URL tokens that occur with a label, rules are pruned by
-support and confidence, and pages that no list decides get the verdict of
-the best rule whose tokens they hold, found through an inverted index from a
-rule's rarest token. Without a rule the verdict is "allow".
-
-The rules are few whatever the size of the input: a set of two tokens must
-be in ``MIN_SUPPORT`` of the examples, so there are at most t^2 / 2 /
-MIN_SUPPORT of them for t tokens an example; they go to the tasks by value.
+support and confidence, whatever their length, and pages that no list decides
+get the verdict of the best rule whose tokens they hold, found through an
+inverted index from a rule's rarest tokens. Without a rule the verdict is
+"allow".
+
+Tokens that occur in the same examples (a site's template) would make every
+subset of theirs a rule; they are one item of the mining, a class of which any
+token will do. A class that all examples hold adds nothing to a rule and
+is one only by itself. Both follow from the redundancy rule, so no rule is lost.
+
+What reaches the driver doesn't grow with the input: a token or set must be in
+``MIN_SUPPORT`` of the examples, so for t tokens an example there are at most
+t / MIN_SUPPORT such tokens and, for t' classes an example, 2^t' / MIN_SUPPORT sets.
 """
 
 from __future__ import annotations
 
+import itertools
+import math
+from collections import Counter
+
 import pyarrow as pa
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
@@ -24,7 +34,6 @@ from .common import arrow_map
 LISTS = {"block": ("net/", "example.com/de/"), "allow": ("example.net/en/", "org/fr/")}
 MIN_SUPPORT = 0.02
 MIN_CONFIDENCE = 0.8
-MAX_TOKENS = 2  # in a rule
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LABEL = "label="
 
@@ -76,43 +85,73 @@ def tokens_of(url: Column) -> Column:
         F.array().cast("array<string>"))
 
 
-def mine(examples: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> list[tuple[tuple[str, ...], str, float, float, int]]:
-    """examples(tokens, label) -> rules (tokens, label, confidence, support,
-    ...best first). Rules that a rule of fewer tokens makes needless (as sure,
-    same label) are dropped; so are those of over MAX_TOKENS tokens."""
-    items = examples.select(F.array_append("tokens", F.concat(F.lit(_LABEL), "label")).alias("items"))
-    if items.isEmpty():
+Rule = tuple[tuple[tuple[str, ...], ...], str, float, float]  # classes of tokens, label, confidence, support
+
+
+def token_classes(examples: DataFrame, least: int) -> dict[tuple[str, ...], int]:
+    """Frequent tokens, those of the same examples together -> number of
+    examples. Sets of examples are compared by their size and two 64-bit hashes."""
+    rows = examples.select("tokens", F.monotonically_increasing_id().alias("n"))
+    held = rows.select(F.explode("tokens").alias("t"), F.xxhash64("n").alias("a"), F.xxhash64("n", F.lit("b")).alias("b"))
+    sets = held.groupBy("t").agg(F.count("*").alias("n"), F.bit_xor("a").alias("a"), F.bit_xor("b").alias("b")).where(F.col("n") >= least)
+    return {tuple(sorted(r["tokens"])): r["n"] for r in sets.groupBy("n", "a", "b").agg(F.collect_list("t").alias("tokens")).collect()}
+
+
+def mine(examples: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> list[Rule]:
+    """examples(tokens, label) -> rules by confidence, then support (best
+    first): a rule holds for what has a token of each of its classes. Rules
+    that a rule of fewer of the classes makes needless (as sure, same label) are dropped."""
+    per_label = {r["label"]: r["count"] for r in examples.groupBy("label").count().collect()}
+    n = sum(per_label.values())
+    if not n:
         return []
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
-    rows = (
-        model.associationRules.where(F.col("consequent")[0].startswith(_LABEL) & (F.size("antecedent") <= MAX_TOKENS))
-        .select(F.array_sort("antecedent").alias("a"), F.col("consequent")[0].alias("c"), "confidence", "support").collect()
-    )
-    rules = sorted(((tuple(r["a"]), r["c"][len(_LABEL):], r["confidence"], r["support"]) for r in rows), key=lambda r: (-r[2], -r[3], r[1] != "block", r[0]))
-    sure = {(a, c): conf for a, c, conf, _ in rules}
-    return [r for r in rules if len(r[0]) == 1 or not any(sure.get(((t,), r[1]), 0) >= r[2] for t in r[0])]
-
-
-def inverted_index(rules) -> dict[str, list[tuple[int, tuple[str, ...], str]]]:
-    """token -> (rank, tokens, label) of the rules whose rarest token it is (the one in fewest rules)."""
-    in_rules: dict[str, int] = {}
-    for a, *_ in rules:
-        for t in a:
-            in_rules[t] = in_rules.get(t, 0) + 1
-    index: dict[str, list] = {}
-    for rank, (a, label, *_) in enumerate(rules):
-        index.setdefault(min(a, key=lambda t: (in_rules[t], t)), []).append((rank, a, label))
+    classes = token_classes(examples, math.ceil(min_support * n))
+    rules: list[Rule] = [((c,), label, k / n, k / n) for c, held in classes.items() if held == n for label, k in per_label.items() if k / n >= min_confidence and k >= math.ceil(min_support * n)]
+    telling = sorted(c for c, held in classes.items() if held < n)
+    if telling:
+        number = F.create_map(*(F.lit(x) for i, c in enumerate(telling) for t in c for x in (t, str(i))))
+        held = F.array_distinct(F.filter(F.transform("tokens", lambda t: F.try_element_at(number, t)), lambda i: i.isNotNull()))
+        items = examples.select(F.array_append(held, F.concat(F.lit(_LABEL), "label")).alias("items"))
+        model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
+        found = model.associationRules.where(F.col("consequent")[0].startswith(_LABEL)).select("antecedent", F.col("consequent")[0].alias("c"), "confidence", "support").collect()
+        rules += [(tuple(sorted(telling[int(i)] for i in r["antecedent"])), r["c"][len(_LABEL):], r["confidence"], r["support"]) for r in found]
+    kept: dict[tuple, float] = {}
+    needed = []
+    for rule in sorted(rules, key=lambda r: (len(r[0]), r[0])):
+        a, label, sure, _ = rule
+        smaller = (s for k in range(1, len(a)) for s in itertools.combinations(a, k))
+        if not any(kept.get((s, label), 0) >= sure for s in smaller):
+            kept[a, label] = sure
+            needed.append(rule)
+    return sorted(needed, key=_place)
+
+
+def _place(rule: Rule) -> tuple:
+    return -rule[2], -rule[3], rule[1] != "block", rule[0]
+
+
+def inverted_index(rules: list[Rule]) -> dict[str, list[Rule]]:
+    """token -> rules of whose rarest class (the one in fewest rules) it is."""
+    in_rules = Counter(c for a, *_ in rules for c in a)
+    index: dict[str, list[Rule]] = {}
+    for rule in rules:
+        for t in min(rule[0], key=lambda c: (in_rules[c], len(c), c)):
+            index.setdefault(t, []).append(rule)
     return index
 
 
-def best_rule(tokens: list[str], index) -> tuple[str | None, str | None]:
-    """(label, tokens of the rule) of the best rule that the tokens hold."""
+def best_rule(tokens: list[str], index: dict[str, list[Rule]]) -> tuple[str | None, str | None]:
+    """(label, tokens) of the best rule that the tokens hold; of equal rules the
+    one with the first tokens (of a class, the first that is held)."""
     have, best = set(tokens), None
-    for t in tokens:
-        for rank, a, label in index.get(t, ()):
-            if (best is None or rank < best[0]) and have.issuperset(a):
-                best = (rank, label, " ".join(a))
-    return best[1:] if best else (None, None)
+    for rule in {id(r): r for t in tokens for r in index.get(t, ())}.values():
+        if best is not None and _place(rule)[:3] > best[0]:
+            continue
+        held = [next((t for t in c if t in have), None) for c in rule[0]]
+        if None not in held:
+            found = (_place(rule)[:3], sorted(held), rule[1])
+            best = found if best is None else min(best, found)
+    return (best[2], " ".join(best[1])) if best else (None, None)
 
 
 def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url") -> DataFrame:

@@ -460,6 +460,50 @@ def test_url_parts_lists_and_rules(spark):
     assert url_rules.judge(pages.limit(0)).count() == 0
     examples = spark.createDataFrame([(["h:x", "p:a"], "block")] * 6 + [(["h:x", "p:b"], "allow")] * 6 + [(["h:y", "p:a"], "allow")] * 2, "tokens array<string>, label string")
     rules = url_rules.mine(examples)
-    assert {(r[0], r[1], round(r[2], 2)) for r in rules} == {(("h:x", "p:a"), "block", 1.0), (("p:b",), "allow", 1.0), (("h:y",), "allow", 1.0)}
+    assert {(r[0], r[1], round(r[2], 2)) for r in rules} == {((("h:x",), ("p:a",)), "block", 1.0), ((("p:b",),), "allow", 1.0), ((("h:y",),), "allow", 1.0)}
     index = url_rules.inverted_index(rules)
     assert url_rules.best_rule(["p:a", "h:x", "q:z"], index) == ("block", "h:x p:a") and url_rules.best_rule(["p:a"], index) == (None, None)
+
+
+def slow_rules(examples, support, confidence):
+    """Every subset of every example that passes support and confidence, and no smaller one makes needless."""
+    n, held = len(examples), Counter()
+    both = Counter()
+    for tokens, label in examples:
+        for k in range(1, len(tokens) + 1):
+            for s in itertools.combinations(sorted(tokens), k):
+                held[s] += 1
+                both[s, label] += 1
+    sure = {(s, label): c / held[s] for (s, label), c in both.items() if c >= np.ceil(support * n) and c / held[s] >= confidence}
+    return {(s, label): c for (s, label), c in sure.items() if not any(sure.get((t, label), 0) >= c for k in range(1, len(s)) for t in itertools.combinations(s, k))}
+
+
+def test_rules_of_any_length_match_brute_force(spark):
+    rng = random.Random(6)
+    for seed in range(3):
+        names = [f"p:{c}" for c in "abcdefg"]
+        examples = []
+        for _ in range(120):
+            tokens = {t for t in names if rng.random() < 0.6} | {"s:x"}
+            tokens |= {"h:one", "h:two"} if "p:a" in tokens and seed else set()  # together with p:a only
+            examples.append((sorted(tokens), "block" if {"p:b", "p:c", "p:d"} <= tokens or rng.random() < 0.05 else "allow"))
+        rules = url_rules.mine(spark.createDataFrame(examples, "tokens array<string>, label string"), 0.05, 0.8)
+        got = {(tuple(sorted(pick)), r[1]): r[2] for r in rules for pick in itertools.product(*r[0])}
+        want = slow_rules(examples, 0.05, 0.8)
+        assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+        assert any(len(k) >= 3 and label == "block" for k, label in got)
+        index = url_rules.inverted_index(rules)
+        n = len(examples)
+        for _ in range(60):
+            page = [t for t in [*names, "h:one", "h:two", "q:z"] if rng.random() < 0.5]
+            fits = [(-c, -sum(set(a) <= set(t) and y == label for t, y in examples) / n, label != "block", list(a), label) for (a, label), c in want.items() if set(a) <= set(page)]
+            best = min(fits, default=None)
+            assert url_rules.best_rule(page, index) == ((best[4], " ".join(best[3])) if best else (None, None))
+
+
+def test_a_long_template_is_one_item(spark):
+    template = [f"p:{i:02d}" for i in range(30)]
+    examples = [([*template, "h:a"], "block")] * 40 + [(["h:b", "p:x"], "allow")] * 60
+    rules = url_rules.mine(spark.createDataFrame(examples, "tokens array<string>, label string"))
+    assert {(r[0], r[1]) for r in rules} == {(((("h:a", *template)),), "block"), ((("h:b", "p:x"),), "allow")}
+    assert url_rules.best_rule(["p:07", "p:29"], url_rules.inverted_index(rules)) == ("block", "p:07")
