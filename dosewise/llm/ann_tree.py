@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut
-from .vectors import CHUNK, QUERY, TopK, block_key, blocks, clean, matrix, ranked, subs_of, unpack
+from .vectors import CHUNK, QUERY, TopK, block_key, blocks, clean, matrix, named, ranked, subs_of, unpack
 
 K = 20
 SAMPLE = 20_000
@@ -161,8 +161,8 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = K, id_col: str = "vec_
     precision, ties go to the smaller id.
 
     Rows left out are those of ``vectors.clean`` and zero vectors; rows with
-    equal ids count as one; fewer candidates than k give fewer rows, an empty
-    table none.
+    equal ids are queries and candidates each; fewer candidates than k give
+    fewer rows, an empty table none.
     """
     spark = vectors.sparkSession
     schema = "query_id long, rank int, vec_id long, score double"
@@ -173,13 +173,13 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = K, id_col: str = "vec_
         return spark.createDataFrame([], schema)
     sample = np.array([r["vec"] for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()])
     tree = grow(sample, max(1.0, LEAF_ROWS * len(sample) / n))
-    is_query = F.col("vec_id") % every == 0
+    is_query = F.col("own") % every == 0
 
     def assign(batches):
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(tree.assign(matrix(b, "vec", dim)))], ["vec_id", "vec", "leaf"])
 
-    placed = cut(rows.mapInArrow(assign, "vec_id long, vec array<double>, leaf long"))
+    placed = cut(rows.select("vec_id", "vec").mapInArrow(assign, "vec_id long, vec array<double>, leaf long"))
     counts = {r["leaf"]: r["count"] for r in placed.groupBy("leaf").count().collect()}
 
     # calibration
@@ -187,7 +187,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = K, id_col: str = "vec_
     if not chosen:
         return spark.createDataFrame([], schema)
     qids, queries = np.array([r["vec_id"] for r in chosen]), np.array([r["vec"] for r in chosen])
-    true = _brute(rows, qids, queries, dim, tree, k).join(placed.select("vec_id", "leaf"), "vec_id").select("query_id", "leaf").collect()
+    true = _brute(rows.select("vec_id", "vec"), qids, queries, dim, tree, k).join(placed.select("vec_id", "leaf"), "vec_id").select("query_id", "leaf").collect()
     places = {q: {leaf: i for i, leaf in enumerate(tree.visits(v, tree.leaves, counts))} for q, v in zip(qids.tolist(), queries)}
     needed = np.sort([places[r["query_id"]][r["leaf"]] + 1 for r in true]) if true else np.array([1])
     width = int(needed[min(len(needed) - 1, int(np.ceil(target * len(needed))) - 1)])
@@ -219,6 +219,6 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = K, id_col: str = "vec_
         yield from best.rows()
 
     packed = blocks(placed.withColumn("key", block_key(F.col("leaf"), counts)), dim).select("key", F.col("ids").alias("c_ids"), F.col("vecs").alias("c_vecs"))
-    sent = rows.where(is_query).mapInArrow(send, QUERY)
+    sent = rows.where(is_query).select("vec_id", "vec").mapInArrow(send, QUERY)
     pairs = sent.join(packed, "key").select("ids", "vecs", "c_ids", "c_vecs")
-    return ranked(pairs.mapInArrow(search, "query_id long, vec_id long, score double"), k)
+    return named(ranked(pairs.mapInArrow(search, "query_id long, vec_id long, score double"), k), rows)

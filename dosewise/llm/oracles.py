@@ -3,13 +3,13 @@ contracts. The others are tested against brute-force versions in tests/llm."""
 
 OP10 = """
 WITH v AS (
-  SELECT vec_id, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS iv FROM embeddings
+  SELECT row_number() OVER () AS n, vec_id, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS iv FROM embeddings
   WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
 ), s AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_dot_product(q.iv, c.iv)::BIGINT AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+  SELECT q.n, q.vec_id AS query_id, c.vec_id AS vec_id, list_dot_product(q.iv, c.iv)::BIGINT AS score
+  FROM v q JOIN v c ON q.n <> c.n WHERE q.vec_id % 100 = 0
 ), r AS (
-  SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM s
+  SELECT query_id, (row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM s
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """

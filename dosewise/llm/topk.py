@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut
-from .vectors import CHUNK, QUERY, TopK, block_key, blocks, clean, matrix, ranked, subs_of, unpack
+from .vectors import CHUNK, QUERY, TopK, block_key, blocks, clean, matrix, named, ranked, subs_of, unpack
 
 K = 10
 SCALE = 1024
@@ -82,15 +82,15 @@ def top_k(vectors: DataFrame, every: int = 100, k: int = K, id_col: str = "vec_i
     rows, ties to the smaller id.
 
     Rows left out are those of ``vectors.clean``; zero vectors take part;
-    rows with equal ids count as one; fewer candidates than k give fewer
-    rows, an empty table none. Exact while scores fit 53 bits (beyond that
+    rows with equal ids are queries and candidates each; fewer candidates than k
+    give fewer rows, an empty table none. Exact while scores fit 53 bits (beyond that
     in Python integers, while they fit a long).
     """
     spark = vectors.sparkSession
     schema = "query_id long, rank int, vec_id long, score long"
     rows, dim = clean(vectors, id_col, vec_col)
     whole = F.transform("vec", lambda x: F.floor(x * SCALE).cast("double"))
-    rows = rows.select("vec_id", whole.alias("vec"))
+    rows = rows.select("vec_id", "own", whole.alias("vec"))
     rows = cut(rows.withColumn("length", F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))))
     n = rows.count()
     if not n:
@@ -149,6 +149,6 @@ def top_k(vectors: DataFrame, every: int = 100, k: int = K, id_col: str = "vec_i
         yield from best.rows()
 
     packed = blocks(placed.withColumn("key", block_key(F.col("band"), counts)), dim, by="length").select("key", F.col("ids").alias("c_ids"), F.col("vecs").alias("c_vecs"))
-    sent = rows.where(F.col("vec_id") % every == 0).mapInArrow(send, QUERY)
+    sent = rows.where(F.col("own") % every == 0).select("vec_id", "vec").mapInArrow(send, QUERY)
     pairs = sent.join(packed, "key").select("ids", "vecs", "bounds", "c_ids", "c_vecs")
-    return ranked(pairs.mapInArrow(search, "query_id long, vec_id long, score long"), k)
+    return named(ranked(pairs.mapInArrow(search, "query_id long, vec_id long, score long"), k), rows)

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .merkle import numbered
+
 BLOCK_ROWS = 1024  # about so many vectors in a block
 CHUNK = 256  # queries that travel together
 BLOCK = "key long, ids binary, vecs binary"
@@ -16,16 +18,27 @@ QUERY = "key long, ids binary, vecs binary, bounds binary"
 
 
 def clean(vectors: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, int]:
-    """(vec_id long, vec array<double>) of the rows that take part, and their
-    dimension. Left out: NULL ids, NULL or empty vectors, those with NULL or
-    non-finite components, and those of another dimension than most (ties:
-    the greater). Rows with equal ids count as one (the least vector)."""
+    """(vec_id long, own long, vec array<double>) of the rows that take part,
+    and their dimension. vec_id is a key of the row here, 0, 1, ... in the order
+    of the id (``own``), then the vector: rows with equal ids stay rows each,
+    and ties of the key are those of the id. Left out: NULL ids, NULL or empty
+    vectors, those with NULL or non-finite components, and those of another
+    dimension than most (ties: the greater), which have no product with them."""
     ok = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("vec"))
     rows = rows.where(F.col("vec_id").isNotNull() & (F.size("vec") > 0) & ok)
     common = rows.groupBy(F.size("vec").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
     dim = common["d"] if common else 0
-    return rows.where(F.size("vec") == dim).groupBy("vec_id").agg(F.min("vec").alias("vec")), dim
+    keyed = numbered(rows.where(F.size("vec") == dim).withColumn("tree", F.lit("")), "vec_id", "vec")
+    return keyed.select(F.col("idx").alias("vec_id"), F.col("vec_id").alias("own"), "vec"), dim
+
+
+def named(found: DataFrame, rows: DataFrame) -> DataFrame:
+    """(query_id, rank, vec_id, score) with the rows' own ids for their keys."""
+    ids = rows.select(F.col("vec_id").alias("_key"), "own")
+    for c in ("query_id", "vec_id"):
+        found = found.join(ids.withColumnsRenamed({"_key": c, "own": "_own"}), c).drop(c).withColumnRenamed("_own", c)
+    return found.select("query_id", "rank", "vec_id", "score")
 
 
 def matrix(batch: pa.RecordBatch, column: str, dim: int) -> np.ndarray:

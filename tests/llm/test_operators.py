@@ -265,25 +265,50 @@ def vectors(spark, n=700, d=12, seed=3):
 
 
 def valid(frame, zero):
-    rows = {r["vec_id"]: r["embedding"] for r in frame.collect() if r["vec_id"] is not None and r["embedding"] and len(r["embedding"]) > 1}
-    rows = {i: np.array(v, float) for i, v in rows.items() if None not in v and np.isfinite(np.array(v, float)).all()}
-    return {i: v for i, v in sorted(rows.items()) if zero or v.any()}
+    """(id, vector) of every row that takes part; rows of one id are rows each."""
+    rows = [(r["vec_id"], r["embedding"]) for r in frame.collect() if r["vec_id"] is not None and r["embedding"] and len(r["embedding"]) > 1]
+    rows = [(i, np.array(v, float)) for i, v in rows if None not in v and np.isfinite(np.array(v, float)).all()]
+    return sorted(((i, v) for i, v in rows if zero or v.any()), key=lambda r: (r[0], r[1].tolist()))
+
+
+def slow_top_k(frame):
+    rows = [(i, [int(np.floor(1024 * x)) for x in v]) for i, v in valid(frame, True)]
+    want = []
+    for n, (q, query) in enumerate(rows):
+        if q % 100 == 0:
+            s = sorted((-sum(a * b for a, b in zip(query, v)), i) for m, (i, v) in enumerate(rows) if m != n)
+            want += [(q, k + 1, i, -x) for k, (x, i) in enumerate(s[:10])]
+    return sorted(want)
 
 
 def test_exact_top_k(spark):
     frame = vectors(spark)
-    rows = {i: [int(np.floor(1024 * x)) for x in v] for i, v in valid(frame, True).items()}
-    want = []
-    for q in (i for i in rows if i % 100 == 0):
-        s = sorted((-sum(a * b for a, b in zip(rows[q], v)), i) for i, v in rows.items() if i != q)
-        want += [(q, n + 1, i, -x) for n, (x, i) in enumerate(s[:10])]
-    assert sorted(map(tuple, topk.top_k(frame).collect())) == sorted(want)
+    assert sorted(map(tuple, topk.top_k(frame).collect())) == slow_top_k(frame)
     assert topk.top_k(frame.limit(0)).count() == 0
 
 
+def test_rows_of_one_id_are_queries_and_candidates_each(spark, tmp_path):
+    from dosewise.checks.compare import compare, duck_connect
+    from dosewise.llm import oracles
+
+    rng = np.random.default_rng(9)
+    rows = [(i // 3 * 20, rng.normal(size=4).tolist()) for i in range(60)] + [(0, [1.0, 1.0, 1.0, 1.0])] * 3
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = topk.top_k(frame)
+    assert sorted(map(tuple, got.collect())) == slow_top_k(frame)
+    duck = duck_connect(SF)
+    frame.write.parquet(f"{tmp_path}/embeddings.parquet")
+    duck.execute(f"CREATE OR REPLACE TEMP VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    assert compare(got, duck, oracles.OP10)["match"]
+    near = Counter(r["query_id"] for r in ann_tree.nearest(frame).collect())
+    assert near == {q: 20 * n for q, n in Counter(i for i, _ in rows).items()}
+    pair = spark.createDataFrame([(0, [1.0, 2.0]), (0, [3.0, 1.0])], "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, ann_tree.nearest(pair).collect())) == [(0, 1, 0, 5.0)] * 2
+
+
 def test_nearest_neighbours_recall_and_scores(spark):
-    frame = vectors(spark, 4000)
-    rows = valid(frame, False)
+    frame = vectors(spark, 4000).dropDuplicates(["vec_id"])
+    rows = dict(valid(frame, False))
     got = {}
     for r in ann_tree.nearest(frame).collect():
         got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
