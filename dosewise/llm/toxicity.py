@@ -57,16 +57,43 @@ class PUModel:
         return sigmoid(self.bias + np.bincount(rows, self.w[np.concatenate([*docs, np.zeros(0, np.int64)])].astype(float), len(docs)))
 
 
-def apart(docs: list[np.ndarray]) -> list[np.ndarray]:
-    """Without documents that share their two least-hashed features with an
-    earlier one: copies would make every word of theirs look telling."""
-    seen, out = set(), []
-    for d in docs:
-        key = tuple(np.sort((d * 2_654_435_761) % 4_294_967_291)[:2].tolist())
-        if key not in seen:
-            seen.add(key)
-            out.append(d)
-    return out
+def copy_weights(docs: list[np.ndarray], least: float = 0.8) -> np.ndarray:
+    """1 / size of each document's group of near copies, which would make every
+    word of theirs look telling: documents meet in bands of min-hashes and are
+    copies from a Jaccard similarity of ``least`` of their features on."""
+    up = list(range(len(docs)))
+
+    def root(i: int) -> int:
+        while up[i] != i:
+            up[i] = up[up[i]]
+            i = up[i]
+        return i
+
+    factor = np.random.default_rng(5).integers(1, 1 << 61, (1, 64), np.uint64) | np.uint64(1)
+    signs = [((d.astype(np.uint64) + np.uint64(1))[:, None] * factor).min(0, initial=np.uint64(2**64 - 1)) for d in docs]
+    for band in range(0, 64, 4):
+        first: dict[bytes, int] = {}
+        for i, sign in enumerate(signs):
+            j = first.setdefault(sign[band : band + 4].tobytes(), i)
+            if root(i) != root(j):
+                both = len(np.intersect1d(docs[i], docs[j]))
+                if both >= least * (len(docs[i]) + len(docs[j]) - both):
+                    up[root(i)] = root(j)
+    group = np.array([root(i) for i in range(len(docs))], np.int64)
+    return 1.0 / np.bincount(group)[group] if docs else np.zeros(0)
+
+
+def pu_risk(f: np.ndarray, pos: np.ndarray, weight: np.ndarray, prior: float) -> tuple[float, np.ndarray]:
+    """The risk of logits f with the logistic loss, and the step's direction by
+    f: the gradient, or, where the corrected negative risk is below zero, that
+    of taking it back. ``weight`` sums to 1 over P and over U."""
+    q = sigmoid(f)
+    p_neg, u_neg = (weight * np.logaddexp(0, f))[pos].sum(), (weight * np.logaddexp(0, f))[~pos].sum()
+    p_pos = (weight * np.logaddexp(0, -f))[pos].sum()
+    negative = weight * np.where(pos, -prior * q, q)
+    if u_neg - prior * p_neg < 0:
+        return prior * p_pos, -negative
+    return prior * p_pos + u_neg - prior * p_neg, negative - np.where(pos, prior * weight * (1 - q), 0)
 
 
 def telling(in_p: np.ndarray, in_u: np.ndarray, n_p: int, n_u: int, least: int = 3, deviations: float = 4.0) -> np.ndarray:
@@ -78,16 +105,20 @@ def telling(in_p: np.ndarray, in_u: np.ndarray, n_p: int, n_u: int, least: int =
 
 
 def fit(p: list[np.ndarray], u: list[np.ndarray], prior: float, steps: int = 150, decay: float = 1e-4) -> PUModel:
-    """Logistic loss, Adam over the whole sample. Without P or U every score is the prior."""
+    """Logistic loss, Adam over the whole sample; a group of near copies in P
+    weighs as one example. Without P or U every score is the prior."""
     bias = float(np.log(prior / (1 - prior)))
     if not p or not u:
         return PUModel(np.zeros(BUCKETS), bias)
-    p = apart(p)
     docs = [*p, *u]
     pos = np.arange(len(docs)) < len(p)
+    one = np.concatenate([copy_weights(p), np.ones(len(u))])
+    groups = one[pos].sum()
+    weight = np.where(pos, one / groups, one / len(u))
     at = np.concatenate(docs)
     row = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
-    used = telling(np.bincount(at[pos[row]], minlength=BUCKETS), np.bincount(at[~pos[row]], minlength=BUCKETS), len(p), len(u))
+    mine = pos[row]
+    used = telling(np.bincount(at[mine], one[row[mine]], BUCKETS), np.bincount(at[~mine], minlength=BUCKETS), groups, len(u))
     place = np.full(BUCKETS, -1)
     place[used] = np.arange(len(used))
     at = place[at]
@@ -95,17 +126,7 @@ def fit(p: list[np.ndarray], u: list[np.ndarray], prior: float, steps: int = 150
     w = np.zeros(len(used) + 1)
     m, s = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, steps + 1):
-        f = bias + w[-1] + np.bincount(row, w[at], len(docs))
-        q = sigmoid(f)
-        # losses: positive softplus(-f), negative softplus(f)
-        rp_neg, ru_neg = np.logaddexp(0, f[pos]).mean(), np.logaddexp(0, f[~pos]).mean()
-        g = np.zeros(len(docs))
-        negative = np.where(pos, -prior * q / pos.sum(), q / (~pos).sum())
-        if ru_neg - prior * rp_neg >= 0:
-            g += negative
-            g[pos] -= prior * (1 - q[pos]) / pos.sum()
-        else:
-            g -= negative
+        _, g = pu_risk(bias + w[-1] + np.bincount(row, w[at], len(docs)), pos, weight, prior)
         d = np.append(np.bincount(at, g[row], len(used)), g.sum())
         d[:-1] += decay * w[:-1] * prior
         m += 0.1 * (d - m)

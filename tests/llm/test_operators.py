@@ -532,3 +532,47 @@ def test_a_long_template_is_one_item(spark):
     rules = url_rules.mine(spark.createDataFrame(examples, "tokens array<string>, label string"))
     assert {(r[0], r[1]) for r in rules} == {(((("h:a", *template)),), "block"), ((("h:b", "p:x"),), "allow")}
     assert url_rules.best_rule(["p:07", "p:29"], url_rules.inverted_index(rules)) == ("block", "p:07")
+
+
+# ---------------------------------------------------------------- toxicity: risk and copies
+
+def test_pu_risk_and_gradient_are_those_of_the_formula():
+    rng = np.random.default_rng(2)
+    pos, prior = np.arange(12) < 5, 0.3
+    weight = np.where(pos, 0.2, 1 / 7)
+    soft = lambda x: np.log1p(np.exp(x))
+    for shift in (0.0, -6.0):  # far below zero, U's risk is corrected to less than nothing
+        f = rng.normal(size=12) + np.where(pos, -shift, shift)
+        r_p, r_pn, r_un = soft(-f[pos]).mean(), soft(f[pos]).mean(), soft(f[~pos]).mean()
+        risk, grad = toxicity.pu_risk(f, pos, weight, prior)
+        assert risk == pytest.approx(prior * r_p + max(0, r_un - prior * r_pn))
+
+        def value(f):
+            plain = soft(f[~pos]).mean() - prior * soft(f[pos]).mean()
+            return prior * soft(-f[pos]).mean() + plain if shift == 0 else -plain
+
+        assert (r_un - prior * r_pn < 0) == (shift < 0)
+        for i in range(12):
+            e = np.zeros(12)
+            e[i] = 1e-5
+            assert (value(f + e) - value(f - e)) / 2e-5 == pytest.approx(grad[i], abs=1e-6)
+
+
+def test_near_copies_share_the_weight_of_one_example():
+    rng = np.random.default_rng(3)
+    base = [np.unique(rng.integers(0, 1 << 17, 120)) for _ in range(4)]
+    shared = base[1][:2]  # two features in common make no copies
+    docs = [base[0], base[0], np.append(base[0][3:], [7, 8]), base[1], np.append(base[2], shared), base[3], np.zeros(0, np.int64), np.zeros(0, np.int64)]
+    assert toxicity.copy_weights(docs).tolist() == [1 / 3] * 3 + [1.0] * 3 + [0.5] * 2
+    assert toxicity.copy_weights([]).tolist() == []
+    many = [np.append(base[0][5:], rng.integers(0, 1 << 17, 3)) for _ in range(400)] + [base[1]]
+    weights = toxicity.copy_weights(many)
+    assert weights[-1] == 1.0 and weights[:-1].sum() == pytest.approx(1.0)
+
+
+def test_toxicity_recall_and_precision_on_the_held_out_fold(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    rows = toxicity.score_toxicity(docs, toxicity.learn(docs, labels)).join(labels, "doc_id").where("held_out").select("toxic", "predicted").collect()
+    both = sum(r["toxic"] and r["predicted"] for r in rows)
+    assert both / sum(r["toxic"] for r in rows) >= 0.85 and both / sum(r["predicted"] for r in rows) >= 0.8
