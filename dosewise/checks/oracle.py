@@ -153,6 +153,10 @@ def with_ctes(*ctes: str, final: str) -> str:
     return "WITH " + ",\n".join(binding_ctes() + list(ctes)) + "\n" + final
 
 
+def run_flag(ctx: RunContext) -> int:
+    return ctx.end_date.year - 1995 if ctx.update_flag is None else ctx.update_flag
+
+
 # ---------------------------------------------------------------- PSR
 def psr_pm_cte(ctx: RunContext, first: int = -11, last: int = 0, name: str = "pm") -> str:
     lo, hi = ctx.months_window(first, last)
@@ -1424,7 +1428,7 @@ def last_dose_file(ctx: RunContext) -> str:
         return ", ".join(f"{vals.get(c, 'CAST(NULL AS ' + types.get(c, 'VARCHAR') + ')')} AS {c}" for c in cols)
 
     head = {"record_type": "'1HD'", "lineitem_id": f"'{ctx.as_of.strftime('%m/%d/%Y')}'", "client_id": "account_number",
-            "address1": f"'{(ctx.update_flag or ctx.end_date.year - 1995) + 1}'", "address2": f"'{ctx.end_date.year}'", "city": "'PH'",
+            "address1": f"'{run_flag(ctx) + 1}'", "address2": f"'{ctx.end_date.year}'", "city": "'PH'",
             "first_name": "CAST(location_number AS VARCHAR)", "last_name": "substr(clinic_name, 1, 40)", "h_id": "h_id"}
     trail = {"record_type": "'3TR'", "lineitem_id": "CAST(coalesce(n.n, 0) + 2 AS VARCHAR)", "h_id": "c.h_id"}
     final = f"""SELECT * FROM ({detail})
@@ -1434,7 +1438,7 @@ UNION ALL SELECT {row(trail)} FROM clinics c LEFT JOIN (SELECT h_id, count(*) AS
 
 
 def newly_inactive(ctx: RunContext) -> str:
-    flag = ctx.update_flag or ctx.end_date.year - 1995
+    flag = run_flag(ctx)
     final = f"""SELECT b.h_id, c.location_number, b.client_id, {ctx.end_date.year} AS report_year, {flag} AS update_flag
 FROM (SELECT DISTINCT h.h_id, h.client_id FROM hist h
       WHERE h.update_flag < {flag}
@@ -1918,7 +1922,7 @@ def newly_inactive_file(ctx: RunContext) -> str:
     ctes, body = nic[:i], nic[i:]
     final = f"""SELECT '2DT' AS record_type, h_id, CAST(location_number AS VARCHAR) AS location_number,
     CAST(client_id AS VARCHAR) AS client_id, CAST(report_year AS VARCHAR) AS report_year, CAST(update_flag AS VARCHAR) AS update_flag FROM ({body})
-UNION ALL SELECT '1HD', h_id, CAST(location_number AS VARCHAR), '{ctx.as_of.strftime('%m/%d/%Y')}', '{ctx.end_date.year}', '{ctx.update_flag or ctx.end_date.year - 1995}' FROM clinics
+UNION ALL SELECT '1HD', h_id, CAST(location_number AS VARCHAR), '{ctx.as_of.strftime('%m/%d/%Y')}', '{ctx.end_date.year}', '{run_flag(ctx)}' FROM clinics
 UNION ALL SELECT '3TR', c.h_id, NULL, CAST(coalesce(n.n, 0) + 2 AS VARCHAR), NULL, NULL FROM clinics c
   LEFT JOIN (SELECT h_id, count(*) AS n FROM ({body}) GROUP BY h_id) n ON n.h_id = c.h_id"""
     return ctes + final
@@ -2087,7 +2091,7 @@ SELECT service_id FROM wellness""")
 
 
 def newly_inactive_merged(ctx: RunContext) -> str:
-    flag = ctx.update_flag or ctx.end_date.year - 1995
+    flag = run_flag(ctx)
     prev_ctx = ctx.with_(end_date=ctx.end_date.replace(year=ctx.end_date.year - 1),
                          as_of=ctx.as_of.replace(year=ctx.as_of.year - 1), update_flag=flag - 1)
     both = " UNION ALL ".join(f"""SELECT h_id, client_id, CAST(location_number AS BIGINT) AS location_number, CAST(report_year AS BIGINT) AS report_year,

@@ -40,7 +40,7 @@ class RunContext:
     end_date: date = date(2001, 7, 1)
     as_of: date = date(2001, 8, 1)
     run_id: int = 1
-    update_flag: int = 0
+    update_flag: int | None = None  # None: that of the run's year
     location_number: int | None = None
     start_date: date | None = None
     report_type: str = "PSR"
@@ -91,7 +91,7 @@ class MissingEndDate(ValueError):
 
 
 def make_run(report_type: str, end_date: date | None = None, as_of: date | None = None,
-             run_id: int = 1, update_flag: int = 0, location_number: int | None = None) -> RunContext:
+             run_id: int = 1, update_flag: int | None = None, location_number: int | None = None) -> RunContext:
     """AP2: validate the report type and settle the end date.
 
     Without an end date, CONSUMER and LAST DOSE default to two days before

@@ -30,7 +30,7 @@ FILE_TYPE = "PH"  # purchase history
 
 def current_flag(ctx: RunContext) -> int:
     """The run's update flag; a run that names none has that of its year."""
-    return ctx.update_flag or ctx.end_date.year - FIRST_YEAR
+    return ctx.end_date.year - FIRST_YEAR if ctx.update_flag is None else ctx.update_flag
 
 
 def line_id(source: str, *parts: str) -> Column:

@@ -64,6 +64,18 @@ def test_last_dose_rows_have_ids_of_their_own_and_lapsed_clients_have_dogs(spark
     assert {r["update_flag"] for r in last_dose.newly_inactive(t, ctx.with_(update_flag=3)).select("update_flag").distinct().collect()} == {3}
 
 
+def test_the_run_before_flag_1_delivered_nothing(spark):
+    from dosewise.context import DEFAULT_CONTEXT as ctx
+    from dosewise.plans import last_dose
+    from dosewise.sources.tables import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    assert (last_dose.current_flag(ctx), last_dose.current_flag(ctx.with_(update_flag=0))) == (6, 0)
+    assert last_dose.newly_inactive(t, ctx.with_(update_flag=0)).count() == 0
+    merged = last_dose.newly_inactive_merged(t, ctx.with_(update_flag=1))
+    assert {r["update_flag"] for r in merged.select("update_flag").distinct().collect()} <= {1}
+
+
 def test_sale_days_are_bounds_of_the_scan(spark):
     from datetime import date as day
 
