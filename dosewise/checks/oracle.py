@@ -1443,7 +1443,7 @@ def newly_inactive(ctx: RunContext) -> str:
 FROM (SELECT DISTINCT h.h_id, h.client_id FROM hist h
       WHERE h.update_flag < {flag}
         AND h.run_id = (SELECT max(run_id) FROM hist x WHERE x.h_id = h.h_id AND x.update_flag = h.update_flag)
-        AND EXISTS (SELECT 1 FROM patients dog WHERE dog.client_id = h.client_id AND dog.vi_species_id = 3)) b
+        AND EXISTS (SELECT 1 FROM hist dog WHERE dog.run_id = h.run_id AND dog.client_id = h.client_id AND dog.vi_species_id = 3)) b
 JOIN clinics c ON c.h_id = b.h_id
 LEFT JOIN (SELECT client_id FROM ld_cli WHERE canines <> 0) a ON a.client_id = b.client_id
 WHERE a.client_id IS NULL"""
@@ -1917,15 +1917,23 @@ FROM ({base})"""
 
 
 def newly_inactive_file(ctx: RunContext) -> str:
-    nic = newly_inactive(ctx)
-    i = nic.index("SELECT b.h_id, c.location_number")
-    ctes, body = nic[:i], nic[i:]
-    final = f"""SELECT '2DT' AS record_type, h_id, CAST(location_number AS VARCHAR) AS location_number,
-    CAST(client_id AS VARCHAR) AS client_id, CAST(report_year AS VARCHAR) AS report_year, CAST(update_flag AS VARCHAR) AS update_flag FROM ({body})
-UNION ALL SELECT '1HD', h_id, CAST(location_number AS VARCHAR), '{ctx.as_of.strftime('%m/%d/%Y')}', '{ctx.end_date.year}', '{run_flag(ctx)}' FROM clinics
-UNION ALL SELECT '3TR', c.h_id, NULL, CAST(coalesce(n.n, 0) + 2 AS VARCHAR), NULL, NULL FROM clinics c
-  LEFT JOIN (SELECT h_id, count(*) AS n FROM ({body}) GROUP BY h_id) n ON n.h_id = c.h_id"""
-    return ctes + final
+    runs = [r for r in (_year_before(ctx), ctx) if run_flag(r) > 1]  # their years differ, so neither has rows of the other
+    parts = []
+    for r in runs:
+        year, flag = r.end_date.year, run_flag(r)
+        tail = f"CAST({year} AS BIGINT) AS report_year, CAST({flag} AS BIGINT) AS update_flag"
+        body = newly_inactive(r)
+        parts += [
+            f"SELECT '1HD' AS record_type, '{r.as_of.strftime('%m/%d/%Y')}' AS creation_date, '{flag}' AS client_id, CAST({year} AS BIGINT) AS cc_year, {tail}",
+            f"SELECT '2DT', CAST(location_number AS VARCHAR), CAST(client_id AS VARCHAR), CAST(NULL AS BIGINT), {tail} FROM ({body})",
+            f"SELECT '3TR', CAST(count(*) + 2 AS VARCHAR), NULL, CAST(NULL AS BIGINT), {tail} FROM ({body}) HAVING count(*) > 0",
+        ]
+    return " UNION ALL ".join(f"SELECT * FROM ({p})" for p in parts)
+
+
+def _year_before(ctx: RunContext) -> RunContext:
+    return ctx.with_(end_date=ctx.end_date.replace(year=ctx.end_date.year - 1),
+                     as_of=ctx.as_of.replace(year=ctx.as_of.year - 1), update_flag=run_flag(ctx) - 1)
 
 
 # ------------------------------------------------------------- accounts

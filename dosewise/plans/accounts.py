@@ -63,7 +63,7 @@ def ppr_accounts(t: Tables, ctx: RunContext) -> DataFrame:
 
 def psr_meta(t: Tables, ctx: RunContext) -> DataFrame:
     """DI3: completed PSR runs of approved clinics with their 12-month label."""
-    runs = last_dose.run_history(t, ctx).select("h_id", "run_id", "update_flag").distinct()
+    runs = last_dose.run_summary(t, ctx).select("h_id", "run_id", "update_flag").distinct()
     runs = runs.withColumn("end_date", F.make_date(F.col("update_flag") + last_dose.FIRST_YEAR, F.lit(12), F.lit(1)))
     acc = maybe_broadcast(accounts(t, ctx))
     j = runs.join(acc, runs["h_id"] == acc["hid"])

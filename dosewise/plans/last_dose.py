@@ -18,7 +18,10 @@ from ..operators import contact as cl
 from ..operators import events as ev
 from ..operators import trailing as tm
 from ..operators.sizing import maybe_broadcast
+from ..operators.versioned import VersionedTable, replace_rows
 from ..sources import binding as b
+from ..sources.facts import MONTH
+from ..sources.marks import delivery_marks
 from ..sources.tables import Tables
 from .nsaid import _pills_below, last_dose_patients
 
@@ -40,27 +43,17 @@ def line_id(source: str, *parts: str) -> Column:
 
 
 # ------------------------------------------------------------ run history
-def run_history(t: Tables, ctx: RunContext) -> DataFrame:
-    """Delivered detail of earlier runs: (h_id, run_id, update_flag,
-    client_id, patient_id, vi_species_id, invoice_date)."""
-    hi = ctx.end_date.replace(month=1, day=1)
-    pats = b.patients(t).select("patient_id", "h_id", "vi_species_id")
-    prod = maybe_broadcast(b.products(t).where(F.col("type").isNotNull()).select("service_id"))
-    x = (b.lines(t, None, hi, pats).where(~F.col("voided") & (F.col("quantity_norm") != 0))
-         .select("patient_id", "client_id", "h_id", "vi_species_id", "invoice_date", "service_id")
-         .join(prod, "service_id", "left_semi"))
-    flag = (F.year("invoice_date") - FIRST_YEAR).cast("int")
-    return x.select("h_id", (F.col("h_id") * 100 + flag).alias("run_id"), flag.alias("update_flag"),
-                    "client_id", "patient_id", "vi_species_id", "invoice_date")
-
-
 def run_summary(t: Tables, ctx: RunContext) -> DataFrame:
-    """History aggregated to (clinic, run, flag, client): last delivered
-    invoice day. Both the incremental start
-    and the lapsed-client list derive from this one aggregate, so a plan
-    that needs both shuffles the history once."""
-    return run_history(t, ctx).groupBy("h_id", "run_id", "update_flag", "client_id").agg(
-        F.max("invoice_date").alias("last_invoice"))
+    """Delivered detail of earlier runs by (clinic, run, flag, client): last
+    delivered invoice day, and whether the delivered rows count dogs. Both the
+    incremental start and the lapsed-client list derive from it. It is read
+    from the stored marks (a row a client and month), not from the lines."""
+    hi = ctx.end_date.replace(month=1, day=1)
+    flag = (F.floor(F.col(MONTH) / 100) - FIRST_YEAR).cast("int")
+    x = delivery_marks(t).where(F.col(MONTH) < hi.year * 100 + hi.month)
+    return (x.select("h_id", (F.col("h_id") * 100 + flag).alias("run_id"), flag.alias("update_flag"), "client_id", "last_day", "dogs")
+            .groupBy("h_id", "run_id", "update_flag", "client_id")
+            .agg(F.max("last_day").alias("last_invoice"), F.max("dogs").alias("dogs")))
 
 
 # ------------------------------------------------------------------ IN1
@@ -235,38 +228,87 @@ def last_dose_file(t: Tables, ctx: RunContext) -> DataFrame:
 
 # ------------------------------------------------------------------ NI1
 def newly_inactive(t: Tables, ctx: RunContext) -> DataFrame:
-    """Clients in the latest run of every earlier update flag whose household
-    has dogs, and who are not among the current run's clients with dogs (NC1)."""
+    """Clients that the latest run of any earlier update flag delivered with
+    dogs, and who are not among the current run's clients with dogs (NC1)."""
     flag = current_flag(ctx)
     earlier = run_summary(t, ctx).where(F.col("update_flag") < flag)
     # J12: the latest run of every earlier flag (window max, no self join)
     latest = F.max("run_id").over(Window.partitionBy("h_id", "update_flag"))
-    before = earlier.withColumn("_latest", latest).where(F.col("run_id") == F.col("_latest")).select("h_id", "client_id").distinct()
-    dogs = b.patients(t).where(F.col("vi_species_id") == DOG).select("client_id").distinct()
+    before = (earlier.withColumn("_latest", latest).where((F.col("run_id") == F.col("_latest")) & F.col("dogs"))
+              .select("h_id", "client_id").distinct())
     now = last_dose_clients(t, ctx).where(F.col("canines") != 0).select("client_id")
-    lapsed = before.join(dogs, "client_id", "left_semi").join(now, "client_id", "left_anti")
+    lapsed = before.join(now, "client_id", "left_anti")
     clin = maybe_broadcast(b.clinics(t).select("h_id", "location_number"))
     return lapsed.join(clin, "h_id").select("h_id", "location_number", "client_id",
                                             F.lit(ctx.end_date.year).alias("report_year"), F.lit(flag).alias("update_flag"))
 
 
 # ------------------------------------------------------------- NI2-NI4
+LIST_SCHEMA = ("record_type string, report_year long, update_flag long, h_id long, client_id long, "
+               "location_number long, value string, last_update date")
+LIST_KEY = ["record_type", "report_year", "update_flag", "h_id", "client_id"]
+
+
+def list_changes(kept: DataFrame, nic: DataFrame, ctx: RunContext) -> DataFrame:
+    """Rows that a run puts into the lapsed list ``kept``: the lapsed clients
+    that it has not yet for this year and flag, the one header of the year and
+    flag with this run's date, and their one trailer: rows of the list + 2
+    (none while the list has no row)."""
+    year, flag = ctx.end_date.year, current_flag(ctx)
+    mine = kept.where((F.col("record_type") == "2DT") & (F.col("report_year") == year) & (F.col("update_flag") == flag))
+
+    def rows(df: DataFrame, kind: str, **values) -> DataFrame:
+        cols = {"record_type": F.lit(kind), "report_year": F.lit(year), "update_flag": F.lit(flag), "last_update": F.lit(ctx.as_of), **values}
+        schema = df.sparkSession.createDataFrame([], LIST_SCHEMA).schema
+        return df.select(*(cols.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema))
+
+    new = rows(nic.join(mine.select("h_id", "client_id"), ["h_id", "client_id"], "left_anti"), "2DT",
+               h_id=F.col("h_id"), client_id=F.col("client_id"), location_number=F.col("location_number"))
+    header = rows(nic.sparkSession.range(1), "1HD", value=F.lit(ctx.as_of.strftime("%m/%d/%Y")))
+    n = mine.select("client_id").unionByName(new.select("client_id")).agg(F.count(F.lit(1)).alias("n")).where("n > 0")
+    trailer = rows(n, "3TR", value=F.col("n") + 2)
+    return new.unionByName(header).unionByName(trailer)
+
+
+def list_file(rows: DataFrame) -> DataFrame:
+    """The lapsed list as its file: header (creation date, flag), a row a
+    client, trailer (record count)."""
+    kind, text = F.col("record_type"), lambda c: F.col(c).cast("string")
+    return rows.select(
+        "record_type",
+        F.when(kind == "2DT", text("location_number")).otherwise(F.col("value")).alias("creation_date"),
+        F.when(kind == "1HD", text("update_flag")).when(kind == "2DT", text("client_id")).alias("client_id"),
+        F.when(kind == "1HD", F.col("report_year")).alias("cc_year"), "report_year", "update_flag")
+
+
+def _year_before(ctx: RunContext) -> RunContext:
+    return ctx.with_(end_date=ctx.end_date.replace(year=ctx.end_date.year - 1), as_of=add_months(ctx.as_of, -12),
+                     update_flag=current_flag(ctx) - 1)
+
+
 def newly_inactive_file(t: Tables, ctx: RunContext) -> DataFrame:
-    """The newly-inactive list as a file: header (creation date) per
-    clinic, detail rows, trailer = details + 2."""
-    from ..operators import events as ev2
-
-    nic = newly_inactive(t, ctx)
-    detail = nic.select(F.lit("2DT").alias("record_type"), "h_id",
-                        F.col("location_number").cast("string").alias("location_number"),
-                        F.col("client_id").cast("string").alias("client_id"),
-                        F.col("report_year").cast("string").alias("report_year"),
-                        F.col("update_flag").cast("string").alias("update_flag"))
-    heads = maybe_broadcast(b.clinics(t)).select(
-        F.lit("1HD").alias("record_type"), "h_id", F.col("location_number").cast("string").alias("location_number"),
-        F.lit(ctx.as_of.strftime("%m/%d/%Y")).alias("client_id"), F.lit(str(ctx.end_date.year)).alias("report_year"),
-        F.lit(str(current_flag(ctx))).alias("update_flag"))
-    return ev2.with_header_trailer(detail, heads, "h_id", trailer_offset=2, count_col="client_id")
+    """The file of the lapsed list after the runs of the year before and of
+    ``ctx``: one header and one trailer for each year and update flag."""
+    kept = t.spark.createDataFrame([], LIST_SCHEMA)
+    for run in (_year_before(ctx), ctx):
+        if current_flag(run) > 1:  # the list follows later deliveries only
+            kept = replace_rows(kept, list_changes(kept, newly_inactive(t, run), run), LIST_KEY)
+    return list_file(kept)
+
+
+class LapsedList:
+    """The stored lapsed list: one table for all clinics, years and flags. A
+    run adds its lapsed clients and updates its header and trailer in place;
+    the files of other hash buckets stay."""
+
+    def __init__(self, spark, path: str, buckets: int = 64):
+        self.table = VersionedTable(spark, path, LIST_SCHEMA, LIST_KEY, buckets)
+
+    def run(self, t: Tables, ctx: RunContext) -> list[int]:
+        return self.table.merge(list_changes(self.table.read(), newly_inactive(t, ctx), ctx))
+
+    def file(self) -> DataFrame:
+        return list_file(self.table.read())
 
 
 def last_dose_clients_split(t: Tables, ctx: RunContext) -> DataFrame:
@@ -282,8 +324,7 @@ def newly_inactive_merged(t: Tables, ctx: RunContext) -> DataFrame:
     again has another row, and rows that are there stay as they are."""
     from ..operators.upsert import upsert
 
-    last_year = ctx.end_date.replace(year=ctx.end_date.year - 1)
-    prev_ctx = ctx.with_(end_date=last_year, as_of=ctx.as_of.replace(year=ctx.as_of.year - 1), update_flag=current_flag(ctx) - 1)
+    prev_ctx = _year_before(ctx)
     prev = newly_inactive(t, prev_ctx).withColumn("last_update", F.lit(prev_ctx.as_of))
     key = ["h_id", "client_id", "update_flag", "report_year"]
     out = upsert(prev, newly_inactive(t, ctx), key, ["location_number"], ctx.as_of, mode="insert_only")

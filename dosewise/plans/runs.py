@@ -84,10 +84,17 @@ def control_tables(t: Tables, ctx: RunContext) -> dict[str, DataFrame]:
 
 
 def last_dose_tables(t: Tables, ctx: RunContext) -> dict[str, DataFrame]:
-    out = {"last_dose_report": last_dose.last_dose_file(t, ctx)}
-    if last_dose.current_flag(ctx) > 1:  # the lapsed-client list follows later deliveries only
-        out["last_dose_nic_report"] = last_dose.newly_inactive_file(t, ctx)
-    return out
+    return {"last_dose_report": last_dose.last_dose_file(t, ctx)}
+
+
+def update_lapsed_list(t: Tables, out_dir: str, ctx: RunContext) -> dict[str, DataFrame]:
+    """Merges a run's lapsed clients into the list that ``out_dir`` keeps for
+    all runs (nothing before the second delivery); returns the list's file."""
+    if last_dose.current_flag(ctx) <= 1:
+        return {}
+    kept = last_dose.LapsedList(t.spark, os.path.join(out_dir, "last_dose_nic"))
+    kept.run(t, ctx)
+    return {"last_dose_nic_report": kept.file()}
 
 
 def nsaid_tables(t: Tables, ctx: RunContext) -> dict[str, DataFrame]:
@@ -117,7 +124,10 @@ def run_report(spark: SparkSession, sf_dir: str, out_dir: str, report: str = "PS
     ctx = ctx or RunContext()
     t = Tables(spark, sf_dir)
     paths = {}
-    for name, df in REPORTS[report.upper()](t, ctx).items():
+    tables = REPORTS[report.upper()](t, ctx)
+    if report.upper() == "LAST DOSE":
+        tables |= update_lapsed_list(t, out_dir, ctx)
+    for name, df in tables.items():
         path = os.path.join(out_dir, name)
         target = f"{path}/run_id={ctx.run_id}" if append else path
         if by_clinic and "h_id" in df.columns:  # one file a clinic, however many tasks held its rows
@@ -175,4 +185,8 @@ def run_clinic(spark: SparkSession, sf_dir: str, out_dir: str, report: str, ctx:
         path = os.path.join(out_dir, f"{name}_{ctx.location_number}")
         part.write.mode("overwrite").parquet(path)
         paths[name] = path
+    if rt == "LAST DOSE":  # one file for all clinics
+        for name, df in update_lapsed_list(t, out_dir, ctx).items():
+            paths[name] = os.path.join(out_dir, name)
+            df.write.mode("overwrite").parquet(paths[name])
     return paths

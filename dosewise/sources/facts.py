@@ -29,6 +29,7 @@ MONTH = "invoice_month"  # year * 100 + month, NULL for lines without a day
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 BUCKET_BYTES = 256 * 1024 * 1024  # of a month's lines in a bucket
 _MONTHS = 84  # of lines, for the estimate of bytes a month
+_CHANGES: dict[tuple[str, str], int] = {}
 FACT_CONF, BUCKETS_CONF = "spark.dosewise.lineFact", "spark.dosewise.lineFact.buckets"
 
 
@@ -83,6 +84,7 @@ class LineFact:
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = 0):
         self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
+        self.key = (spark.sparkContext.applicationId, self.path)
         self.name = "line_fact_" + hashlib.md5(self.path.encode()).hexdigest()[:12]
 
     def _laid_out(self, rows: DataFrame) -> DataFrame:
@@ -98,8 +100,13 @@ class LineFact:
         if self.buckets:
             w = w.bucketBy(self.buckets, "patient_id")
         w.option("path", self.path).saveAsTable(self.name)
+        _CHANGES[self.key] = self.changes() + 1
         return self
 
+    def changes(self) -> int:
+        """How often this session has written the fact; what is derived from it is in step with one such number."""
+        return _CHANGES.get(self.key, 0)
+
     def open(self) -> bool:
         """Makes a fact that is already in the folder readable; False if there is none."""
         if self.spark.catalog.tableExists(self.name):
@@ -142,6 +149,7 @@ class LineFact:
             self._laid_out(staged).write.mode("overwrite").insertInto(self.name)
         finally:
             self.spark.conf.set(mode, before)
+        _CHANGES[self.key] = self.changes() + 1
         return sorted(touched, key=lambda m: m or 0)
 
 

@@ -35,6 +35,12 @@ class Tables:
         out.clinics = tuple(sorted(clinics))
         return out
 
+    def whole(self) -> Tables:
+        """The same tables for all clinics."""
+        out = copy.copy(self)
+        out.clinics = None
+        return out
+
     def line_fact(self) -> LineFact:
         """The invoice-line fact, built at its first use (see ``facts``)."""
         if "lines" not in self._facts:

@@ -100,7 +100,7 @@ def test_a_clinics_run_equals_its_slice_of_the_whole(spark, tmp_path, report):
             a, b = a.where("record_type = '2DT'"), b.where("record_type = '2DT'").join(theirs, "lineitem_id", "left_semi").select(*a.columns)
             assert a.count() > 0
         if name == "last_dose_nic_report":  # so a client may have lapsed at the clinic that another clinic still serves
-            a, b = (x.where("record_type = '2DT'").select("client_id") for x in (a, b))
+            a, b = (x.where("record_type = '2DT' AND creation_date = '1001'").select("client_id") for x in (a, b))
             a = a.join(b, "client_id", "left_semi")
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
 

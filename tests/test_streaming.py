@@ -36,3 +36,22 @@ def test_late_and_repeated_sales_are_delivered_once(spark, tmp_path):
         total += run_incremental_extract(spark, source, out, name=name)
         got = [r[0] for r in spark.read.parquet(out).select("lineitem_id").collect()]
         assert len(got) == len(set(got)) == total and set(got) == wanted
+
+
+def test_a_batch_reads_no_earlier_output(spark, tmp_path):
+    events = spark.read.parquet(f"{SMOKE}/events.parquet")
+    source, out = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+    name = f"extract_{tmp_path.name}_{dt.datetime.now().timestamp()}"
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    total = 0
+    for i, part in enumerate((events.where("event_id % 2 = 0"), events)):
+        part.coalesce(1).write.parquet(f"{tmp_path}/part{i}")
+        for f in (tmp_path / f"part{i}").glob("part-*.parquet"):
+            shutil.copy(f, source / f"events_{i}.parquet")
+        total += run_incremental_extract(spark, str(source), str(out), name=name)
+        (out / f"batch_id={100 + i}").mkdir()
+        (out / f"batch_id={100 + i}" / "part-0.parquet").write_text("not Parquet: reading the output would fail")
+    assert total == events.where("event_type = 'purchase'").select("event_id").distinct().count()
+    assert spark.conf.get(provider) == before
