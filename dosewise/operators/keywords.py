@@ -81,7 +81,8 @@ def trie_regex(terms) -> str:
 
 
 def strip_braces(c: Column) -> Column:
-    return F.regexp_replace(c, BRACES, "")
+    """Texts without a brace, nearly all, are not rewritten."""
+    return F.when(F.contains(c, F.lit("{")), F.regexp_replace(c, BRACES, "")).otherwise(c)
 
 
 def clean_text(c: Column) -> Column:

@@ -9,7 +9,7 @@ turn); the tokeniser runs over whole ``benchmark`` and document texts.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..context import RunContext
@@ -25,12 +25,19 @@ def service_lookup(t: Tables) -> DataFrame:
         F.concat_ws(" ", F.col("lang"), F.col("source")).alias("handle"), F.col("text").alias("descr"))
 
 
+def _hit(clean: str, terms) -> Column:
+    """Whether a cleaned text holds a term; a NULL text holds none."""
+    return F.coalesce(kw.matches_clean(F.col(clean), terms), F.lit(False))
+
+
 def wellness_by_keywords(t: Tables, ctx: RunContext) -> DataFrame:
     """TX1: services classified as wellness by the include/exclude lists,
     counted per clinic with the number of texts screened."""
     s = service_lookup(t).select("hid", kw.clean_text(F.col("handle")).alias("h"), kw.clean_text(F.col("descr")).alias("d"))
-    s = s.select("hid", kw.keyword_classify(F.col("h"), F.col("d"), cleaned=True).alias("is_wellness"),
-                 kw.matches_clean(F.col("d"), kw.INCLUDE_TERMS).alias("descr_hit"))
+    # each list passes a text once: the include hit is a column, used twice, and only its rows meet the exclude list
+    s = s.select("hid", "h", "d", _hit("h", kw.INCLUDE_TERMS).alias("handle_hit"), _hit("d", kw.INCLUDE_TERMS).alias("descr_hit"))
+    include = F.col("handle_hit") | F.col("descr_hit")
+    s = s.select("hid", "descr_hit", F.when(include, ~(_hit("h", kw.EXCLUDE_TERMS) | _hit("d", kw.EXCLUDE_TERMS))).alias("is_wellness"))
     return s.groupBy("hid").agg(
         F.count(F.lit(1)).alias("services"),
         F.count(F.when(F.col("is_wellness"), 1)).alias("wellness_services"),
