@@ -1385,7 +1385,7 @@ def ld_ctes(ctx: RunContext) -> list[str]:
     AND n.invoice_date >= CAST(date_trunc('month', s.start_date) AS DATE)
     AND NOT ((n.quantity IS NULL OR n.quantity < 10 * CASE WHEN n.dosage_volume IS NULL OR n.dosage_volume = 0 THEN 1 ELSE n.dosage_volume END) AND EXISTS (
       SELECT 1 FROM surgeries g WHERE g.patient_id = n.patient_id AND g.surgery_family IN ({fams}) AND g.cost > 0
-        AND n.invoice_date BETWEEN g.surgery_date - 5 AND g.surgery_date + 5)))""",
+        AND n.invoice_ts BETWEEN g.surgery_ts - INTERVAL 5 DAY AND g.surgery_ts + INTERVAL 5 DAY)))""",
     ]
 
 

@@ -43,6 +43,30 @@ def exclude_near(df: DataFrame, events: DataFrame, keys: Sequence[str], day_col:
     return df.join(cover, cond, "left_anti")
 
 
+def exclude_near_instant(df: DataFrame, events: DataFrame, keys: Sequence[str], at: str, event_at: str,
+                         days: int, when: Column | None = None) -> DataFrame:
+    """IV1 by instants: drop rows of ``df`` (meeting ``when``) whose instant
+    ``at`` is at most ``days`` x 24 hours from an event of the same key.
+
+    Still an equi-join on (keys, day), against one row a key and day however
+    many events it has: an event that is less than ``days`` days away is near
+    whatever its time, so only the days at the two ends compare instants, with
+    the latest event of the one and the earliest of the other."""
+    off = F.col("_off")
+    spread = events.where(F.col(event_at).isNotNull()).select(
+        *keys, F.col(event_at).alias("_at"), F.explode(F.sequence(F.lit(-days), F.lit(days))).alias("_off"))
+    cover = spread.groupBy(*keys, F.date_add(F.col("_at").cast("date"), off).alias("_day")).agg(
+        F.max(F.abs(off) < days).alias("_inside"),
+        F.max(F.when(off == days, F.col("_at"))).alias("_earlier"),
+        F.min(F.when(off == -days, F.col("_at"))).alias("_later"))
+    span = F.make_dt_interval(F.lit(days))
+    near = F.col("_inside") | (df[at] <= F.col("_earlier") + span) | (df[at] >= F.col("_later") - span)
+    cond = [df[k] == cover[k] for k in keys] + [df[at].cast("date") == cover["_day"], near]
+    if when is not None:
+        cond.append(when)
+    return df.join(cover, cond, "left_anti")
+
+
 # --- WU1 -------------------------------------------------------------------
 def weight_in_pounds(weight: Column, unit: Column) -> Column:
     """Text weight + unit -> pounds (exact decimal factors); unknown units

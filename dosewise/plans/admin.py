@@ -69,18 +69,18 @@ def run_log(t: Tables) -> DataFrame:
                            F.col("value"))
 
 
-def run_states(t: Tables, ctx: RunContext) -> DataFrame:
-    """For every requested run id (customers): unknown / already_run /
+def states_of(log: DataFrame, requested: DataFrame) -> DataFrame:
+    """(run_id, state) for every requested run id: unknown / already_run /
     in_progress / ok, checked in the reference's order. 'In progress' is a
-    set difference: started (process, day) minus finished (process, day)."""
-    log = run_log(t)
+    set difference: started (process, day) minus finished (process, day).
+    ``log`` has run_id, flag, process, end_date and, as delivered, whether the
+    row stands for a run that was completed."""
     registered = log.where(F.col("flag") == "RUNID").select("run_id").distinct()
-    delivered = log.where((F.col("flag") == "SUCCESS") & (F.col("value") > 45)).select("run_id").distinct()
+    delivered = log.where("delivered").select("run_id").distinct()
     started = log.where(F.col("flag") == "STARTED").select("run_id", "process", "end_date")
     finished = log.where(F.col("flag").isin("SUCCESS", "ERROR", "INFO")).select("run_id", "process", "end_date")
     open_runs = started.subtract(finished).select("run_id").distinct()
-    req = t.customer.select(F.col("c_custkey").alias("run_id"))
-    j = (req.join(registered.withColumn("_reg", F.lit(True)), "run_id", "left")
+    j = (requested.select("run_id").join(registered.withColumn("_reg", F.lit(True)), "run_id", "left")
          .join(delivered.withColumn("_done", F.lit(True)), "run_id", "left")
          .join(open_runs.withColumn("_open", F.lit(True)), "run_id", "left"))
     state = (F.when(F.col("_reg").isNull(), F.lit("unknown"))
@@ -90,6 +90,12 @@ def run_states(t: Tables, ctx: RunContext) -> DataFrame:
     return j.select("run_id", state.alias("state"))
 
 
+def run_states(t: Tables, ctx: RunContext) -> DataFrame:
+    """OP1 for every requested run id (customers) over the supplied log."""
+    log = run_log(t).withColumn("delivered", (F.col("flag") == "SUCCESS") & (F.col("value") > 45))
+    return states_of(log, t.customer.select(F.col("c_custkey").alias("run_id")))
+
+
 # ------------------------------------------------------------------ DQ1
 def readiness(t: Tables, ctx: RunContext, months_back: int = 12, profiled: DataFrame | None = None) -> DataFrame:
     """Per clinic over the last ``months_back`` months: missing months,

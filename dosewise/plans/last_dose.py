@@ -170,10 +170,10 @@ def last_dose_purchases(t: Tables, ctx: RunContext, pats: DataFrame, starts: Dat
     qn = F.when(q.isNull() | (q == 0), F.lit(1)).otherwise(q)
     dvn = F.when(dv.isNull() | (dv == 0), F.lit(1)).otherwise(dv)
     # pills = quantity / dosage volume (a NULL quantity counts as 1 pill);
-    # short courses (< 10 pills) near a surgery are dropped; the file keeps
+    # short courses (< 10 pills) within 5 x 24 hours of a surgery are dropped; the file keeps
     # whole pills, 0 shown as 1
     short = F.when(q.isNull(), F.lit(True)).otherwise(_pills_below(ns["quantity"], dvn, 10))
-    ns = ev.exclude_near(ns, surg, ["patient_id"], "invoice_date", "surgery_date", 5, when=short)
+    ns = ev.exclude_near_instant(ns, surg, ["patient_id"], "invoice_ts", "surgery_ts", 5, when=short)
     pills = F.when(q.isNull(), qn.cast("double")).otherwise(ratio_round(q, dvn, 0))
     cost = F.when(F.col("cost").isNull(), F.col("cost")).when(F.col("cost") == 0, F.lit(1)).otherwise(F.col("cost"))
     ns = ns.select(

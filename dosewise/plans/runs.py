@@ -21,6 +21,7 @@ from ..sources.tables import Tables
 from pyspark.sql import functions as F
 
 from . import calllist, consumer, control, last_dose, nsaid, ppr, psr
+from .runlog import RunLog
 
 
 def shared(df: DataFrame) -> DataFrame:
@@ -113,15 +114,22 @@ REPORTS: dict[str, Callable[[Tables, RunContext], dict[str, DataFrame]]] = {
 
 def run_report(spark: SparkSession, sf_dir: str, out_dir: str, report: str = "PSR",
                ctx: RunContext | None = None, append: bool = False, publish: bool = False,
-               by_clinic: bool = False) -> dict[str, str]:
+               by_clinic: bool = False, log: RunLog | None = None) -> dict[str, str]:
     """Build and write every table of ``report``; returns name -> path.
 
     ``append=True`` keeps other runs: each has a folder ``run_id=<id>`` of
     its own, which a repeated run with the same id replaces. ``by_clinic=True`` also partitions by ``h_id``, so each
     clinic's file is its own folder. ``publish=True`` registers each table
     as a temp view, file-shaped tables ordered header, detail, trailer on
-    read."""
+    read. With a ``log``, the run is registered and its attempt logged as
+    started and then as a success or an error; a success is a delivery."""
     ctx = ctx or RunContext()
+    if log is not None:
+        log.write(ctx, "RUN", "RUNID")
+        with log.process(ctx, f"BUILD {report.upper()}"):
+            paths = run_report(spark, sf_dir, out_dir, report, ctx, append, publish, by_clinic)
+        log.write(ctx, "RUN", "DELIVERED")
+        return paths
     t = Tables(spark, sf_dir)
     paths = {}
     tables = REPORTS[report.upper()](t, ctx)
