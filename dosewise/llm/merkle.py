@@ -8,9 +8,10 @@ depend on its own leaves alone; the block roots are the leaves of the next
 round, until one node is left. No task ever holds more than one block.
 Proofs go back the same way: a block gets the path of its root from the round
 above and adds the siblings inside. A tampered leaf makes a new version of
-its block by path copying: only its ancestors are copied, all other nodes are
-shared with the original; the version's block root then goes on along the
-block's upper path, version by version, beside the rows that they belong to.
+the tree by path copying: only its ancestors are copied, in its block and then
+in every block above up to the root, all other nodes are shared with the
+original. Each version is copied beside the row that it belongs to. Every
+row's proof is folded, a tampered one's from the tampered leaf.
 
 Defined results: NULL fields hash as ``-``; rows of a NULL lang form a tree
 of their own, the first; NULL doc_ids come first in their tree, rows of equal
@@ -83,11 +84,18 @@ class Block:
         return copied
 
 
-def follow(node: str, path: list[str]) -> str:
-    """The node at the end of a path, from a node at its beginning."""
+def copied(node: str, path: list[str]) -> list[str]:
+    """The nodes that a changed node copies along a path, itself first, the
+    version's root last; each shares the sibling that the path names."""
+    out = [node]
     for step in path:
-        node = digest(step[1:], node) if step[0] == "<" else digest(node, step[1:]) if step[0] == ">" else digest(node)
-    return node
+        out.append(digest(step[1:], out[-1]) if step[0] == "<" else digest(out[-1], step[1:]) if step[0] == ">" else digest(out[-1]))
+    return out
+
+
+def follow(node: str, path: list[str]) -> str:
+    """A proof folded: the node at the end of a path, from a node at its beginning."""
+    return copied(node, path)[-1]
 
 
 def leaf_hash(n_chars: Column | None = None) -> Column:
@@ -183,15 +191,29 @@ def _descend(below: DataFrame, above: DataFrame, bits: int) -> DataFrame:
     return _met(below, above, bits, Upper, rows)
 
 
-Manifest = "doc_id long, leaf string, subroot string, root string, proof array<string>, folded_root string"
+Manifest = "doc_id long, leaf string, subroot string, root string, proof array<string>, folded_root string, version array<string>"
+
+
+def proven(t: pa.Table, block: Block, first: int, path: list[str], top: dict) -> dict:
+    """The manifest's columns of a block's leaves: their proofs, what these fold to, the versions of the forged."""
+    k, proofs, folded, versions = t.num_rows, [], [], []
+    for i, leaf, forged in zip(t["idx"].to_pylist(), t["hash"].to_pylist(), t["forged"].to_pylist()):
+        proofs.append(block.path(i - first) + path)
+        folded.append(follow(leaf if forged is None else forged, proofs[-1]))
+        inside = None if forged is None else block.version(i - first, forged)
+        versions.append(inside and inside[:-1] + copied(inside[-1], path))
+    return {"doc_id": t["doc_id"], "leaf": t["hash"], "subroot": pa.array([top["subroot"]] * k, pa.string()), "root": pa.array([top["root"]] * k, pa.string()),
+            "proof": pa.array(proofs, pa.list_(pa.string())), "folded_root": pa.array(folded, pa.string()), "version": pa.array(versions, pa.list_(pa.string()))}
 
 
 def manifest(leaves: DataFrame, bits: int = BITS) -> DataFrame:
-    """(doc_id, leaf, subroot, root, proof, folded_root) of ``leaves``'s rows.
+    """(doc_id, leaf, subroot, root, proof, folded_root, version) of ``leaves``'s rows.
 
     proof lists the siblings from the leaf to the root: ``<`` or ``>`` and the
     hash (to the left, to the right), ``-`` where a node has none. folded_root is
-    the root of the version that the forged leaf makes, the root if there is none.
+    the proof folded from the forged leaf, from the leaf if there is none.
+    version lists the nodes that the forged leaf copies, itself first, the
+    version's root last; NULL without one.
     """
     docs = numbered(cut(leaves), "doc_id", "hash")
     low = rounds(docs, bits)
@@ -206,15 +228,7 @@ def manifest(leaves: DataFrame, bits: int = BITS) -> DataFrame:
     for nodes in reversed(low[1:-1]):
         above = _descend(nodes, above, bits)
 
-    def rows(t, block, first, path, top):
-        k, proofs, folded = t.num_rows, [], []
-        for i, forged in zip(t["idx"].to_pylist(), t["forged"].to_pylist()):
-            proofs.append(block.path(i - first) + path)
-            folded.append(top["root"] if forged is None else follow(block.version(i - first, forged)[-1], path))
-        return {"doc_id": t["doc_id"], "leaf": t["hash"], "subroot": pa.array([top["subroot"]] * k, pa.string()), "root": pa.array([top["root"]] * k, pa.string()),
-                "proof": pa.array(proofs, pa.list_(pa.string())), "folded_root": pa.array(folded, pa.string())}
-
-    return _met(docs, above, bits, Manifest, rows)
+    return _met(docs, above, bits, Manifest, proven)
 
 
 def report(manifest: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from dosewise.llm import merkle, queries, runs, secret_scan
@@ -265,6 +266,26 @@ def test_manifest_of_odd_rows(spark):
     assert manifest(odd.limit(0), 12) == []
 
 
+def test_every_proof_is_folded_and_versions_reach_the_root(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "x", f"l{i % 3}", "s", 1) for i in range(60)], "doc_id long, text string, lang string, source string, n_chars int")
+    rows = merkle.manifest(merkle.leaves(docs, merkle.tampered_rows()), 2).collect()
+    versions = [r for r in rows if r["version"]]
+    assert {r["doc_id"] for r in versions} == {i for i in range(60) if zlib.crc32(str(i).encode()) % 7 == 0}
+    for r in versions:  # a copied node for the leaf and each level above it, also above its block
+        assert len(r["version"]) == len(r["proof"]) + 1 and r["version"][-1] == r["folded_root"] != r["root"]
+        assert all(a != b for a, b in zip(r["version"], r["version"][1:]))
+
+    def cut_short(block, at):  # paths without the last level: no proof may pass
+        return real(block, at)[:-1]
+
+    real = merkle.Block.path
+    monkeypatch.setattr(merkle.Block, "path", cut_short)
+    wrong = merkle.Block.of([sha(str(i)) for i in range(8)], 3)
+    t = pa.table({"doc_id": list(range(8)), "idx": list(range(8)), "hash": wrong.levels[0], "forged": pa.array([None] * 8, pa.string())})
+    got = merkle.proven(t, wrong, 0, [], {"root": wrong.root, "subroot": wrong.root})
+    assert wrong.root not in got["folded_root"].to_pylist()
+
+
 def test_a_version_copies_only_its_path():
     block = merkle.Block.of([sha(str(i)) for i in range(11)], 4)
     before = [list(level) for level in block.levels]
