@@ -106,3 +106,61 @@ def test_rows_without_a_day_or_a_patient(spark):
     customer = spark.createDataFrame([(4, 7), (3, 2)], "c_custkey long, c_nationkey int")
     got = {r["l_orderkey"]: r for r in fact_rows(li, orders, customer).collect()}
     assert got.keys() == {1, 2} and got[1]["h_id"] is None and (got[2]["h_id"], got[2]["client_h_id"], got[2][MONTH]) == (7, 2, None)
+
+
+def odd_lines(spark):
+    """Lines, orders and patients with repeated and NULL keys, lines without an order, orders without a day or a patient."""
+    li = [(k % 23 if k % 11 else None, k % 3, k % 4, k % 2, float(k % 50), 10.0 + k, 0.1, "RN"[k % 2]) for k in range(150)]
+    orders = [(k % 20, k % 13 if k % 7 else None, f"1999-0{1 + k % 2}-03 00:00:00" if k % 5 else None) for k in range(32)] + [(None, 3, "1999-01-03 00:00:00")]
+    customer = [(k % 11, k % 4) for k in range(14)] + [(None, 2)]
+    return (spark.createDataFrame(li, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_discount double, l_returnflag string"),
+            spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate string").withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz")),
+            spark.createDataFrame(customer, "c_custkey long, c_nationkey int"))
+
+
+@pytest.mark.parametrize("slice_bytes", [1, 1 << 40])
+def test_slices_hold_all_rows_in_their_places(spark, monkeypatch, tmp_path, slice_bytes):
+    monkeypatch.setattr("dosewise.sources.facts.SLICE_BYTES", slice_bytes)
+    monkeypatch.setattr("dosewise.sources.facts.estimated_bytes", lambda df: 9)
+    li, orders, customer = odd_lines(spark)
+    got = LineFact(spark, f"{tmp_path}/fact").build(li, orders, customer).read().collect()
+    slow, clinics = [], {}
+    for c in customer.collect():
+        clinics.setdefault(c[0], []).append(c[1])
+    for x in li.collect():
+        for o in orders.collect():
+            if x[0] is not None and x[0] == o[0]:
+                client = o[1] // 3 if o[1] is not None else None
+                at = lambda k: clinics.get(k) or [None] if k is not None else [None]
+                slow += [(*x[:4], o[1], client, a, b, o[2] and o[2].date()) for a in at(o[1]) for b in at(None if client is None else client * 3)]
+    names = [*LINE_KEY]
+    order = lambda r: tuple(r[c] for c in names)
+    key = [li.columns.index(c) for c in names]
+    wide = ["patient_id", "client_id", "h_id", "client_h_id", "invoice_date"]
+    assert sorted(((*order(r), *(r[c] for c in wide)) for r in got), key=str) == sorted(((*(r[i] for i in key), *r[4:]) for r in slow), key=str)
+    days = {}
+    for r in got:
+        days.setdefault((r["client_id"], r["invoice_date"]), []).append(r)
+    for day in days.values():
+        day.sort(key=lambda r: r["line_seq"])
+        assert [r["line_seq"] for r in day] == [*range(1, len(day) + 1)]
+        assert [*map(order, day)] == sorted(map(order, day))
+
+
+def test_the_fact_shuffles_its_lines_twice_at_size(spark, tmp_path):
+    """Once to their orders, once to their months, whatever the size of the patients."""
+    t, kept = Tables(spark, SMOKE), {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        for c, v in zip(kept, ("-1", "false")):
+            spark.conf.set(c, v)
+        steps = plan(LineFact(spark, f"{tmp_path}/fact")._sliced(t.lineitem, t.orders, t.customer)).splitlines()
+    finally:
+        for c, v in kept.items():
+            spark.conf.set(c, v)
+    above, shuffled = [], 0
+    for step in steps:  # the shuffles on the way from the lines' scan to the top
+        depth = len(step) - len(step.lstrip(" :+-"))
+        above = [a for a in above if a[0] < depth] + [(depth, "Exchange" in step)]
+        if "l_orderkey" in step and "FileScan" in step:
+            shuffled = sum(x for _, x in above)
+    assert shuffled == 2
