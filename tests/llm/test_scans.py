@@ -76,6 +76,10 @@ def test_each_candidate_is_read_alone_and_whole():
     texts = [secret_scan._encoded("a", v, "b") for v in ("x" * 3000 + "7", "12345678", "q" * 50)]
     together = net.logits(texts)
     assert together == pytest.approx([net.logits([t])[0] for t in texts])
+    with pytest.MonkeyPatch.context() as m:  # a long text is read in pieces
+        m.setattr(secret_scan, "BATCH_CHARS", 1)
+        m.setattr(secret_scan, "PIECE", 7)
+        assert net.logits(texts) == pytest.approx(together)
     assert net.logits([secret_scan._encoded("a", "x" * 2999 + "%7", "b")])[0] != pytest.approx(together[0])
 
 
@@ -124,6 +128,41 @@ def test_secrets_of_documents_and_odd_rows(spark):
     assert secret_scan.find_secrets(odd.limit(0), secret_scan.learn(secret_scan.labelled_findings(odd.limit(0)))).count() == 0
 
 
+def test_every_finding_is_learned_from_and_calibrates(spark, monkeypatch):
+    hexes = lambda i: hashlib.sha256(str(i).encode()).hexdigest()[:40]
+    rows = [(i, 0, "token = ", hexes(i), f" {i}", True) for i in range(700)] + [(i, 0, "the ", f"chapter{i:04d}", " of", False) for i in range(700)]
+    rows += [(9, 0, "a ", "x1" * 5000, " b", False)] + rows[:20]  # a long value; texts that come twice
+    found = spark.createDataFrame(rows, "doc_id long, start long, left string, value string, right string, secret boolean")
+    want = {secret_scan.Finding(*r[2:]) for r in rows}
+    seen = spark.sparkContext.accumulator(0)
+    real, counts = secret_scan.calibrate, []
+    monkeypatch.setattr(secret_scan, "calibrate", lambda net, bins, recall: counts.append(sum(bins.values())) or real(net, bins, recall))
+    rounds = secret_scan._round
+
+    def round_(rows, net, epochs, classes, turn):
+        got = [secret_scan.Finding(*r) for r in rows.select("left", "value", "right", "secret").collect()]
+        assert sorted(map(str, got)) == sorted(str(f) for f in want if not secret_scan.held(f))
+        assert sum(classes) == len(got) and rows.select("part").distinct().count() > 1
+        seen.add(epochs)
+        return rounds(rows, net, epochs, classes, turn)
+
+    monkeypatch.setattr(secret_scan, "_round", round_)
+    net = secret_scan.learn(found, part=400)
+    assert seen.value == secret_scan.EPOCHS and counts == [2 * sum(map(secret_scan.held, want))]
+    again = [bool(secret_scan.find([f"see token = {hexes(i).upper()} 1"], net)[0]) for i in range(2000, 2040)]
+    assert np.mean(again) >= 0.9
+    assert np.mean([bool(secret_scan.find([f"the chapter{i} of"], net)[0]) for i in range(3000, 3040)]) <= 0.05
+
+
+def test_counts_of_logits_stand_for_the_logits():
+    rng = np.random.default_rng(5)
+    z, y = np.floor(np.concatenate([rng.normal(2, 1, 300), rng.normal(-2, 1, 900)]) * 4) / 4, np.repeat([1.0, 0.0], [300, 900])
+    cells, count = np.unique(np.stack([z, y]), axis=1, return_counts=True)
+    assert secret_scan.platt(*cells, count=count) == pytest.approx(secret_scan.platt(z, y))
+    for r in (0.3, 0.95, 1.0):
+        assert secret_scan.recalling(*cells, r, count) == secret_scan.recalling(z, y, r)
+
+
 # ---------------------------------------------------------------- periodic runs
 
 def slow_runs(w, least=12):
