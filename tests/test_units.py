@@ -209,3 +209,23 @@ def test_pc1_null_two_back(spark):
     df = spark.createDataFrame(rows, "column_order int, v long").withColumn("g", F.lit(1))
     got = dict(df.select("column_order", pct_change("v", "column_order", ["g"]).alias("x")).collect())
     assert got[3] == -1.0 and got[6] == 0.0
+
+
+def test_tk2_texts_without_tokens(spark, tmp_path):
+    import duckdb
+
+    from dosewise.checks import oracle as O
+    from dosewise.checks.compare import compare
+    from dosewise.context import DEFAULT_CONTEXT as CTX
+    from dosewise.plans.text import token_profile
+    from dosewise.sources.tables import Tables
+
+    texts = [(1, None), (2, ""), (3, "   "), (4, ","), (5, " , ,"), (6, "|"), (7, "one"), (8, ",a"), (None, None), (None, "a b")]
+    con = duckdb.connect()
+    for name, key in (("benchmark", "item_id"), ("documents", "doc_id")):
+        spark.createDataFrame(texts, f"{key} long, text string").coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    got = token_profile(Tables(spark, str(tmp_path)), CTX)
+    assert [r.first_token for r in got.where("src = 'documents' AND id IN (1, 2, 3, 7)").collect()] == [None, None, None, "one"]
+    r = compare(got, con, O.token_profile(CTX))
+    assert r["match"] and r["rows_spark"] == 2 * len(texts), r
