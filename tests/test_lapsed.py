@@ -115,3 +115,20 @@ def test_the_file_scans_no_history_before_its_start_month(spark):
     scans = [s for s in plan.splitlines() if "FileScan parquet spark_catalog" in s]
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
     assert scans and all(re.search(r"PartitionFilters: \[.*invoice_month#\d+ >= ", s) for s in scans), scans
+
+
+def test_the_merge_deals_its_rows_by_key_whatever_the_runs_constants(spark):
+    plan = last_dose.newly_inactive_merged(Tables(spark, SMOKE), RunContext())._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "FullOuter" in plan
+
+
+def test_a_merge_on_constant_repeated_and_null_keys(spark):
+    from dosewise.operators.upsert import upsert
+
+    kept = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c")], "k int, n string").selectExpr("*", "5 AS flag", "DATE'2000-01-01' AS last_update")
+    new = spark.createDataFrame([(1, "x"), (None, "y"), (2, "z")], "k long, n string")
+    got = lambda flag, mode: sorted(upsert(kept, new.selectExpr("*", f"{flag} AS flag"), ["k", "flag"], ["n"], dt.date(2001, 1, 1), mode=mode)
+                                    .select("k", "flag", "n", "action").collect(), key=str)
+    rows = lambda *r: sorted(r, key=str)
+    assert [tuple(r) for r in got(6, "insert_only")] == rows((1, 5, "a", "keep"), (1, 5, "b", "keep"), (None, 5, "c", "keep"), (1, 6, "x", "insert"), (None, 6, "y", "insert"), (2, 6, "z", "insert"))
+    assert [tuple(r) for r in got(5, "update_always")] == rows((1, 5, "x", "update"), (1, 5, "x", "update"), (None, 5, "c", "keep"), (None, 5, "y", "insert"), (2, 5, "z", "insert"))
