@@ -95,3 +95,30 @@ def test_size_checked_broadcast(spark):
         assert "broadcast" not in plain.lower()
     finally:
         spark.conf.unset(CAP_CONF)
+
+
+def test_a_side_read_from_large_files_is_not_broadcast(spark, tmp_path):
+    """The estimate takes the share of the columns kept of compressed files;
+    the rows in memory may be twenty times as large."""
+    from dosewise.operators.sizing import CAP_CONF, estimated_bytes, maybe_broadcast
+    from dosewise.plans import control
+    from dosewise.sources.tables import Tables
+
+    spark.range(1000).selectExpr(
+        "id AS p_partkey", "concat('part gizmo ', id) AS p_name", "concat('Brand#', id % 50) AS p_brand", "'SMALL' AS p_type",
+        "int(id) AS p_size", "double(id) AS p_retailprice").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    t = Tables(spark, str(tmp_path))
+    files = estimated_bytes(t.part)
+    hint = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    names, brands = t.part.select("p_partkey", "p_name"), t.part.groupBy("p_size").count()
+    last = spark.createDataFrame([(1, 4, None), (2, None, 7), (3, 4, 4)], "client_id long, comp_hg_service long, comp_fl_service long")
+    try:
+        spark.conf.set(CAP_CONF, str(2 * files))  # more than the estimate, less than the files' weight
+        assert estimated_bytes(names) < files and not hint(maybe_broadcast(names)) and hint(maybe_broadcast(brands))
+        got = control.with_products(t, last)
+        assert not hint(got)
+        assert sorted((r.client_id, r.comp_hg_prod is None, r.comp_fl_prod is None) for r in got.collect()) == [(1, False, True), (2, True, False), (3, False, False)]
+        spark.conf.set(CAP_CONF, str(4 * files))
+        assert hint(maybe_broadcast(names)) and hint(control.with_products(t, last))
+    finally:
+        spark.conf.unset(CAP_CONF)
